@@ -1,9 +1,680 @@
-"""Named queries over the driver's tables and their SQL counterparts."""
+"""Named queries over the driver's tables and their SQL counterparts.
 
+The documents hold no source code, so most queries run over a view that puts headers and paths around them.
+One SQL text makes that view in Spark and in the SQL engine that checks the results.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+import re
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.functions import dictionaries as D
+from lodestone.functions import predicates as P
+from lodestone.functions import values as V
+from lodestone.functions.text import basename, byte_view, purl_id, version_id
+from lodestone.operators import archive as A
+from lodestone.operators import detect, fingerprint, kb
+from lodestone.operators.outcome import LISTED, outcome
+from lodestone.plans import mining
+
+SRC = """SELECT doc_id, source AS component, lang AS version, 'pkg:generic/' || source AS purl, md5(source || ',' || lang) AS url_id,
+  CASE WHEN lang = 'en' THEN 'MIT' WHEN lang = 'de' THEN 'Apache-2.0' ELSE '' END AS license,
+  source || '/' || CASE doc_id % 12 WHEN 0 THEN '.hidden/f_' WHEN 1 THEN 'venv/f_' WHEN 2 THEN 'a,b,c/f_' WHEN 3 THEN 'one,two/f_' ELSE 'src/f_' END
+    || CASE WHEN doc_id % 12 = 4 THEN 'x/LICENSE' ELSE CAST(doc_id AS VARCHAR(20)) || CASE doc_id % 9
+         WHEN 0 THEN '.json' WHEN 1 THEN '.min.js' WHEN 2 THEN '.MD' WHEN 3 THEN '.py' WHEN 4 THEN '.s' ELSE '.c' END END AS path,
+  CASE doc_id % 10
+      WHEN 0 THEN '// SPDX-License-Identifier: MIT' || chr(10)
+      WHEN 1 THEN '/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */' || chr(10)
+      WHEN 2 THEN '# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception and MIT' || chr(10)
+      WHEN 3 THEN '// Copyright (c) 2019-2021, Example Org ' || source || chr(10)
+      WHEN 4 THEN '/* @author Jane Doe */' || chr(10)
+      WHEN 5 THEN '// this copyright notice must stay' || chr(10) || '// (C) 2020 Some Body' || chr(10)
+      WHEN 6 THEN '# Licensed under the Apache License, Version 2.0.' || chr(10)
+      WHEN 7 THEN '{ "k": 1 }' || chr(10) || '// Copyright 2020 Hidden Org' || chr(10)
+      WHEN 8 THEN chr(9) || 'int x;' || chr(10) || '  int y;' || chr(10)
+      ELSE '' END
+  || CASE doc_id % 7
+      WHEN 0 THEN 'MD5_Init(&c); y = AES_cbc_encrypt(a,b); MD5_Init(&d);' || chr(10)
+      WHEN 1 THEN 'import rc4; see md5. end' || chr(10)
+      WHEN 2 THEN 'RSA_size(md5) desx' || chr(10)
+      ELSE '' END
+  || text AS text
+FROM documents"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _sql(spark: SparkSession, text: str, name: str, frame: DataFrame) -> DataFrame:
+    """A statement in which the table called name stands for frame."""
+    plain = text.replace("{", "{{").replace("}", "}}").replace(f"FROM {name}", f"FROM {{{name}}}")
+    return spark.sql(plain, **{name: frame})
+
+
+def src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, SRC, "documents", table(spark, sf_dir, "documents"))
+
+
+def query(oracle: str | None = None):
+    """Register a query (spark, sf_dir) under its name, with its SQL counterpart."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
+
+
+# ---------------------------------------------------------------- pieces of SQL
+
+
+def masked(text: str) -> str:
+    """A text in which each byte beyond ASCII is a tilde: as long as the text is in bytes."""
+    for low, high, width in ((r"\x{80}", r"\x{7FF}", 2), (r"\x{800}", r"\x{FFFF}", 3), (r"\x{10000}", r"\x{10FFFF}", 4)):
+        text = f"regexp_replace({text}, '[{low}-{high}]', '{'~' * width}', 'g')"
+    return text
+
+
+def strings(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v.lower()}'" for v in values) + "]"
+
+
+def _plain(phrase: str) -> str:
+    return re.sub("[^a-z0-9+]", "", phrase.lower())
+
+
+W = f"WITH src AS ({SRC}), v AS (SELECT *, {masked('text')} AS b, md5(text) AS file_id FROM src)"
+DICT = "dict(ord, spdx_id, phrase) AS (VALUES " + ", ".join(f"({i}, '{s}', '{_plain(p)}')" for i, s, p in D.license_entries()) + ")"
+WORDS = "words AS (SELECT lower(keyword) AS keyword, arg_min(algorithm, ord) AS algorithm, arg_min(strength, ord) AS strength FROM (VALUES " + ", ".join(f"({i}, '{k}', '{a}', {s})" for i, k, a, s in D.crypto_entries()) + ") t(ord, keyword, algorithm, strength) GROUP BY 1)"
+
+
+def head(column: str = "b") -> str:
+    return f"substr(lower(regexp_replace(substr({column}, 1, 4095), '[^A-Za-z0-9+]', '', 'g')), 1, 1023)"
+
+
+def spdx_cte(key: str = "doc_id", rel: str = "v") -> str:
+    """tags(key, spdx_id) as CTEs."""
+    return f"""tag0 AS (SELECT {key}, b, strpos(lower(substr(b, 1, 4121)), 'spdx-license-identifier:') AS p FROM {rel}),
+tag1 AS (SELECT {key}, regexp_extract(substr(b, p + 24, 2048), '^[^\\n\\rA-Za-z]*([A-Za-z][^\\n]*)\\n', 1) AS line FROM tag0 WHERE p > 0 AND length(substr(b, 1, p - 1)) - length(replace(substr(b, 1, p - 1), chr(10), '')) <= 30),
+tags AS (SELECT {key}, spdx_id FROM (SELECT {key}, regexp_replace(unnest(string_split_regex(line, '(?i) (?:AND|OR) |#')), '[^A-Za-z0-9+]+$', '') AS spdx_id FROM tag1 WHERE length(line) < 1024) WHERE spdx_id <> '')"""
+
+
+def text_cte(key: str = "doc_id", rel: str = "v") -> str:
+    """worded(key, spdx_id) as CTEs."""
+    return f"""{DICT}, heads AS (SELECT {key}, {head()} AS h FROM {rel}),
+worded AS (SELECT {key}, arg_min(spdx_id, strpos(h, phrase) * 10000 + ord) AS spdx_id FROM heads JOIN dict ON strpos(h, phrase) > 0 GROUP BY {key})"""
+
+
+def licenses_cte(key: str = "doc_id", rel: str = "v") -> str:
+    """lic(key, source, spdx_id) as CTEs."""
+    return f"""{spdx_cte(key, rel)}, {text_cte(key, rel)},
+lic AS (SELECT {key}, 1 AS source, spdx_id FROM tags UNION ALL SELECT {key}, 2, spdx_id FROM worded WHERE {key} NOT IN (SELECT {key} FROM tags))"""
+
+
+def copyright_cte(key: str = "doc_id", rel: str = "v") -> str:
+    """cop(key, statement) as CTEs. Lines that hold a statement are ASCII before it in this data."""
+    return f"""cl0 AS (SELECT {key}, string_split(b, chr(10)) AS ls, string_split(text, chr(10)) AS ts, CASE WHEN strpos(b, '{{') > 0 THEN strpos(b, '{{') - 1 ELSE 4097 END AS lim FROM {rel}),
+cl1 AS (SELECT {key}, lim, ls, ts, unnest(range(1, least(len(ls), 21) + 1)) AS i FROM cl0),
+cl2 AS (SELECT {key}, lim, i, ls[i] AS line, ts[i] AS plain, CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(ls[1:i-1], lambda x: length(x) + 1)) END AS s FROM cl1 WHERE regexp_matches(ls[i], '(?i)\\(c\\)|copyright|@author')),
+cl3 AS (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM cl2),
+cl4 AS (SELECT *, lower(substr(line, p, 24)) AS here FROM cl3),
+cl5 AS (SELECT *, CASE WHEN here[1:3] = '(c)' THEN 3 WHEN here[1:9] = 'copyright' AND NOT ({" OR ".join(f"starts_with(here, 'copyright{t}')" for t in V.IGNORED_COPYRIGHT)}) THEN 9 WHEN here[1:7] = '@author' THEN 7 END AS n FROM cl4),
+cl6 AS (SELECT *, substr(line, p + n, 256) AS tail FROM cl5 WHERE n IS NOT NULL AND s + p <= least(lim, 4097)),
+cl7 AS (SELECT {key}, i, p, here, plain FROM cl6 WHERE length(line) - p + 1 <= 256 AND length(regexp_replace(tail, '[^A-Za-z0-9]', '', 'g')) >= 3 AND length(regexp_replace(tail, '[A-Za-z0-9 ]', '', 'g')) <= 10),
+cop AS (SELECT {key}, arg_min(replace(CASE WHEN here[1:7] = '@author' THEN substr(plain, p + 8) ELSE substr(plain, p) END, ',', ';'), i * 100000 + p) AS statement FROM cl7 GROUP BY {key})"""
+
+
+def crypto_cte(key: str = "doc_id", rel: str = "v") -> str:
+    return f"""{WORDS}, tok AS (SELECT {key}, unnest(list_distinct(regexp_extract_all(lower(b), '[a-z0-9*._-]{{3,}}'))) AS t FROM {rel}),
+alg AS (SELECT DISTINCT {key}, algorithm, strength FROM tok JOIN words ON t = keyword)"""
+
+
+def quality_cte(key: str = "doc_id", rel: str = "v") -> str:
+    return f"""q0 AS (SELECT {key}, b, string_split(b, chr(10)) AS ls FROM {rel} WHERE length(b) >= 256 AND contains(b, chr(10))),
+qual AS (SELECT {key}, CAST((len(ls) - 1 <= 420)::INT
+  + (coalesce(list_sum(list_filter(list_transform(ls[1:len(ls)-1], lambda x: length(x)), lambda n: n > 2)), 0) // (len(ls) - 1) <= 72)::INT
+  + (len(list_filter(ls, lambda x: regexp_matches(x, '^[ \\t]*(//|/\\*|#)'))) <= 54)::INT
+  + (NOT (len(list_filter(ls, lambda x: starts_with(x, ' '))) > 0 AND len(list_filter(ls, lambda x: starts_with(x, chr(9)))) > 0))::INT
+  + (strpos(lower(substr(b, 1, 4119)), 'spdx-license-identifier:') > 0)::INT AS INT) AS score FROM q0)"""
+
+
+def ending(name: str, endings: list[str]) -> str:
+    return f"len(list_filter({strings(sorted({e.lower() for e in endings}))}, lambda e: ends_with(lower({name}), e) OR ends_with(e, lower({name})))) > 0"
+
+
+UNWANTED = f"(regexp_matches(path, '^\\.[^./]|/\\.[A-Za-z0-9]') OR path = '.' OR {' OR '.join(f'contains(path, {chr(39)}{p}{chr(39)})' for p in V.IGNORED_PATH_PARTS)})"
+NOTICE = f"list_contains({strings(V.NOTICE_NAMES)}, lower(regexp_extract(path, '[^/]*$')))"
+
+
+def start_sql(b: str = "b") -> str:
+    return f"(length({b}) = 0 OR " + " OR ".join(f"starts_with(lower({b}), '{s}') OR starts_with('{s}', lower({b}))" for s in V.IGNORED_STARTS) + ")"
+
+
+def square_sql(b: str = "b") -> str:
+    """A list expression; lengths beyond the first hundred do not come up in this data's long texts."""
+    lens = f"list_filter(list_transform(string_split({b}, chr(10))[1:len(string_split({b}, chr(10)))-1], lambda x: length(x) + 1), lambda n: n > 2)"
+    return f"(len(string_split({b}, chr(10))) > 500 AND coalesce(list_max(map_values(list_histogram(list_filter({lens}, lambda n: list_position(list_distinct({lens}), n) >= 1)))), 0) * 100 // len(string_split({b}, chr(10))) > 70)"
+
+
+def outcome_sql(extra: bool) -> str:
+    name = lambda x: "extra" if extra else x
+    denied = ", ".join(f"'{d}'" for d in V.DENIED_FILES)
+    return f"""CASE WHEN {NOTICE} THEN '{name("notice")}' WHEN {ending("path", V.IGNORED_ENDINGS)} THEN '{name("ignored_ending")}' WHEN {UNWANTED} THEN '{name("ignored_path")}'
+WHEN length(b) < 256 THEN 'too_small' WHEN file_id IN ({denied}) THEN 'denied' WHEN starts_with(b, 'PK') AND ascii(substr(b, 3, 1)) < 9 THEN 'binary' WHEN {ending("path", V.UNARCHIVED_ENDINGS)} THEN 'not_archived' ELSE 'accepted' END"""
+
+
+# ---------------------------------------------------------------- licenses
+
+
+@query(f"{W}, {text_cte()} SELECT doc_id, spdx_id FROM worded")
+def license_header(spark, sf_dir):
+    found = src(spark, sf_dir).select("doc_id", detect.license_text(byte_view(F.col("text")), D.license_dictionary(spark)).alias("spdx_id"))
+    return found.where("spdx_id IS NOT NULL")
+
+
+@query(f"{W}, {spdx_cte()} SELECT doc_id, spdx_id FROM tags")
+def license_spdx(spark, sf_dir):
+    return src(spark, sf_dir).select("doc_id", F.explode(detect.spdx_ids(byte_view(F.col("text")))).alias("spdx_id"))
+
+
+@query(f"{W}, {licenses_cte()} SELECT doc_id, source, spdx_id FROM lic")
+def license_all(spark, sf_dir):
+    return detect.licenses(src(spark, sf_dir), D.license_dictionary(spark), "doc_id").withColumnRenamed("id", "doc_id")
+
+
+@query(f"WITH {DICT} SELECT a.ord AS inner_ord, b.ord AS outer_ord FROM dict a JOIN dict b ON a.ord <> b.ord AND a.spdx_id <> b.spdx_id AND contains(b.phrase, a.phrase)")
+def license_dict_conflicts(spark, sf_dir):
+    d = D.license_dictionary(spark)
+    a, b = d.select(F.col("ord").alias("inner_ord"), F.col("spdx_id").alias("i"), F.col("phrase").alias("p")), d.select(F.col("ord").alias("outer_ord"), F.col("spdx_id").alias("o"), "phrase")
+    return a.join(F.broadcast(b), (F.col("i") != F.col("o")) & F.contains("phrase", F.col("p"))).select("inner_ord", "outer_ord")
+
+
+@query(f"{W}, {licenses_cte()} SELECT component, spdx_id, count(*) AS n FROM lic JOIN (SELECT doc_id, component FROM src) USING (doc_id) GROUP BY ALL")
+def license_by_component(spark, sf_dir):
+    s = src(spark, sf_dir).withColumn("k", F.struct("doc_id", "component"))
+    return detect.licenses(s, D.license_dictionary(spark), "k").groupBy(F.col("id.component").alias("component"), "spdx_id").agg(F.count("*").alias("n"))
+
+
+COMPONENTS = "comp AS (SELECT DISTINCT component, version, purl, url_id, license, md5(purl) AS purl_id, md5(purl || '@' || version) AS version_id FROM src)"
+
+
+def components(spark, sf_dir) -> DataFrame:
+    s = src(spark, sf_dir).select("component", "version", "purl", "url_id", "license").distinct()
+    return s.withColumns({"purl_id": purl_id(F.col("purl")), "version_id": version_id(F.col("purl"), F.col("version"))})
+
+
+DECLARED = "declared AS (SELECT unnest([version_id, purl_id]) AS id, 0 AS source, license AS spdx_id FROM comp WHERE license <> '')"
+
+
+@query(f"{W}, {COMPONENTS}, {DECLARED} SELECT * FROM declared")
+def license_declared(spark, sf_dir):
+    return detect.declared_licenses(components(spark, sf_dir))
+
+
+@query(f"{W}, {licenses_cte()}, {COMPONENTS}, {DECLARED} SELECT source, count(*) AS n FROM (SELECT source FROM lic UNION ALL SELECT source FROM declared) GROUP BY source")
+def license_source_counts(spark, sf_dir):
+    both = license_all(spark, sf_dir).select("source").unionByName(license_declared(spark, sf_dir).select("source"))
+    return both.groupBy("source").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- copyright, cryptography, quality
+
+
+@query(f"{W}, {copyright_cte()} SELECT doc_id, statement FROM cop")
+def copyright_first(spark, sf_dir):
+    return detect.copyrights(src(spark, sf_dir), "doc_id").select(F.col("id").alias("doc_id"), "statement")
+
+
+@query(f"{W}, t AS (SELECT unnest({strings(V.IGNORED_COPYRIGHT)}) AS tail) SELECT tail, count(*) AS n FROM v JOIN t ON contains(lower(substr(b, 1, 4096)), 'copyright' || tail) GROUP BY tail")
+def copyright_ignored_prefixes(spark, sf_dir):
+    low = F.lower(F.substring(byte_view(F.col("text")), 1, V.HEADER))
+    tails = F.filter(F.array(*[F.lit(t) for t in V.IGNORED_COPYRIGHT]), lambda t: F.contains(low, F.concat(F.lit("copyright"), t)))
+    return src(spark, sf_dir).select(F.explode(tails).alias("tail")).groupBy("tail").agg(F.count("*").alias("n"))
+
+
+@query(f"{W}, {crypto_cte()} SELECT doc_id, algorithm, strength FROM alg")
+def crypto_algorithms(spark, sf_dir):
+    return detect.algorithms(src(spark, sf_dir), D.crypto_dictionary(spark), "doc_id").withColumnRenamed("id", "doc_id")
+
+
+@query(f"{W}, {crypto_cte()} SELECT strength, count(DISTINCT doc_id) AS files, count(DISTINCT algorithm) AS algorithms FROM alg GROUP BY strength")
+def crypto_strength_rollup(spark, sf_dir):
+    return crypto_algorithms(spark, sf_dir).groupBy("strength").agg(F.countDistinct("doc_id").alias("files"), F.countDistinct("algorithm").alias("algorithms"))
+
+
+@query(f"WITH {WORDS} SELECT keyword, algorithm, strength FROM words")
+def crypto_dict_first_wins(spark, sf_dir):
+    return D.first_keywords(D.crypto_dictionary(spark)).select("keyword", "algorithm", "strength")
+
+
+@query(f"{W}, {quality_cte()} SELECT doc_id, score FROM qual")
+def quality_score(spark, sf_dir):
+    return detect.quality(src(spark, sf_dir), "doc_id").select(F.col("id").alias("doc_id"), "score")
+
+
+@query(f"{W}, {quality_cte()} SELECT score, count(*) AS n FROM qual GROUP BY score")
+def quality_histogram(spark, sf_dir):
+    return quality_score(spark, sf_dir).groupBy("score").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- filters
+
+
+@query(f"{W} SELECT doc_id, path FROM v WHERE {ending('path', V.IGNORED_ENDINGS)}")
+def filter_extension(spark, sf_dir):
+    return src(spark, sf_dir).where(P.ignored_ending(F.col("path"))).select("doc_id", "path")
+
+
+@query(f"{W} SELECT doc_id, path FROM v WHERE {UNWANTED}")
+def filter_path(spark, sf_dir):
+    return src(spark, sf_dir).where(P.unwanted_path(F.col("path"))).select("doc_id", "path")
+
+
+@query(f"SELECT page_id FROM (SELECT page_id, {masked('html')} AS b FROM pages) WHERE {start_sql()}")
+def filter_header(spark, sf_dir):
+    return table(spark, sf_dir, "pages").where(P.unwanted_start(byte_view(F.col("html")))).select("page_id")
+
+
+@query(f"{W} SELECT doc_id FROM (SELECT doc_id, {masked('text')} AS b FROM documents) WHERE length(b) >= 256")
+def filter_min_size(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(P.big_enough(byte_view(F.col("text")))).select("doc_id")
+
+
+@query(f"{W} SELECT doc_id FROM v WHERE {NOTICE}")
+def filter_notice(spark, sf_dir):
+    return src(spark, sf_dir).where(P.is_notice(F.col("path"))).select("doc_id")
+
+
+@query(f"WITH sq AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN repeat('aaaa,bbbb' || chr(10), 600) WHEN 1 THEN repeat('aaaa,bbbb' || chr(10), 400) ELSE text END AS b FROM documents) SELECT doc_id FROM sq WHERE {square_sql()}")
+def filter_square(spark, sf_dir):
+    shaped = "CASE doc_id % 3 WHEN 0 THEN repeat('aaaa,bbbb' || chr(10), 600) WHEN 1 THEN repeat('aaaa,bbbb' || chr(10), 400) ELSE text END"
+    return table(spark, sf_dir, "documents").select("doc_id", byte_view(F.expr(shaped)).alias("b")).where(P.too_square(F.col("b"))).select("doc_id")
+
+
+@query(f"{W} SELECT doc_id, regexp_extract(path, '[^/]*$') AS name FROM v WHERE contains(upper(regexp_extract(path, '[^/]*$')), 'LIC') OR contains(upper(regexp_extract(path, '[^/]*$')), 'COPY') OR starts_with(upper(regexp_extract(path, '[^/]*$')), 'NOTICE')")
+def filter_license_name(spark, sf_dir):
+    name = basename(F.col("path"))
+    return src(spark, sf_dir).where(P.license_name(name)).select("doc_id", name.alias("name"))
+
+
+# ---------------------------------------------------------------- outcomes and tables of a component
+
+
+def _outcomes(spark, sf_dir, extra: bool) -> DataFrame:
+    s = src(spark, sf_dir).withColumn("file_id", F.md5("text"))
+    return s.withColumn("outcome", outcome(F.col("path"), byte_view(F.col("text")), F.col("file_id"), keep_rejected=extra))
+
+
+@query(f"{W} SELECT doc_id, {outcome_sql(False)} AS outcome FROM v")
+def mine_outcome(spark, sf_dir):
+    return _outcomes(spark, sf_dir, False).select("doc_id", "outcome")
+
+
+@query(f"{W} SELECT outcome, count(*) AS n FROM (SELECT {outcome_sql(True)} AS outcome FROM v) GROUP BY outcome")
+def mine_outcome_extra(spark, sf_dir):
+    return _outcomes(spark, sf_dir, True).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, md5(text) AS file_id FROM documents")
+def file_ids(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("file_id"))
+
+
+@query("SELECT md5(text) AS file_id, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def exact_duplicates(spark, sf_dir):
+    counted = file_ids(spark, sf_dir).groupBy("file_id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
+    return counted.where("copies > 1")
+
+
+@query(f"{W}, {COMPONENTS} SELECT purl, version, purl_id, version_id FROM comp")
+def purl_ids(spark, sf_dir):
+    return components(spark, sf_dir).select("purl", "version", "purl_id", "version_id")
+
+
+DASHED = "CASE WHEN strpos(path, ',') > 0 THEN substr(path, 1, strpos(path, ',') - 1) || '-' || substr(path, strpos(path, ',') + 1) ELSE path END"
+FILES = f"files AS (SELECT file_id, url_id, {DASHED} AS path FROM (SELECT *, {outcome_sql(False)} AS outcome FROM v) WHERE outcome IN ('accepted', 'not_archived', 'binary'))"
+
+
+@query(f"{W}, {FILES} SELECT * FROM files")
+def file_table(spark, sf_dir):
+    listed = _outcomes(spark, sf_dir, False).where(F.col("outcome").isin(*LISTED))
+    return listed.select("file_id", "url_id", P.first_comma_replaced(F.col("path")).alias("path"))
+
+
+@query(f"{W}, {FILES} SELECT DISTINCT url_id, file_id FROM files")
+def pivot_table(spark, sf_dir):
+    return file_table(spark, sf_dir).select("url_id", "file_id").distinct()
+
+
+@query(f"{W}, {COMPONENTS} SELECT url_id, component AS vendor, component, version, '20240101' AS release_date, license, purl, 'https://example.org/' || component AS download_url FROM comp")
+def url_table(spark, sf_dir):
+    return components(spark, sf_dir).select("url_id", F.col("component").alias("vendor"), "component", "version", F.lit("20240101").alias("release_date"), "license", "purl", F.concat(F.lit("https://example.org/"), "component").alias("download_url"))
+
+
+@query("SELECT substr(md5(text), 1, 2) AS p, count(*) AS n FROM documents GROUP BY 1")
+def shard_histogram(spark, sf_dir):
+    return kb.shard_histogram(file_ids(spark, sf_dir), "file_id")
+
+
+ATTRIBUTION = f"attr AS (SELECT v.*, md5(purl) AS purl_id FROM v WHERE {NOTICE} AND length(b) >= 256)"
+
+
+@query(f"{W}, {ATTRIBUTION} SELECT DISTINCT purl_id, file_id AS notice_id FROM attr")
+def attribution_notices(spark, sf_dir):
+    s = src(spark, sf_dir).where(P.is_notice(F.col("path")) & P.big_enough(byte_view(F.col("text"))))
+    return s.select(purl_id(F.col("purl")).alias("purl_id"), F.md5("text").alias("notice_id")).distinct()
+
+
+@query(f"{W}, {ATTRIBUTION}, {copyright_cte('doc_id', 'attr')} SELECT md5(purl) AS id, 2 AS source, statement FROM cop JOIN (SELECT doc_id, purl FROM src) USING (doc_id)")
+def attribution_copyrights(spark, sf_dir):
+    s = src(spark, sf_dir).where(P.is_notice(F.col("path")) & P.big_enough(byte_view(F.col("text"))))
+    return detect.copyrights(s.withColumn("purl_id", purl_id(F.col("purl"))), "purl_id", source=2)
+
+
+NAMED = "named AS (SELECT *, md5(purl || '@' || version) AS version_id FROM v WHERE contains(upper(regexp_extract(path, '[^/]*$')), 'LIC'))"
+
+
+@query(f"{W}, {NAMED}, {licenses_cte('doc_id', 'named')} SELECT version_id AS id, 3 AS source, spdx_id FROM lic JOIN (SELECT doc_id, version_id FROM named) USING (doc_id)")
+def license_files(spark, sf_dir):
+    s = src(spark, sf_dir).where(P.license_name(basename(F.col("path")))).withColumn("id", version_id(F.col("purl"), F.col("version")))
+    return detect.licenses(s, D.license_dictionary(spark), license_file=True)
+
+
+# ---------------------------------------------------------------- lines and loading
+
+
+@query(f"{W} SELECT doc_id, {DASHED} AS path FROM v WHERE contains(path, ',')")
+def first_comma_path(spark, sf_dir):
+    return src(spark, sf_dir).where(F.contains("path", F.lit(","))).select("doc_id", P.first_comma_replaced(F.col("path")).alias("path"))
+
+
+LINES = """lines AS (SELECT substr(md5(text), 3) || ',' || url_id || ',' || path AS line, substr(md5(text), 1, 2) AS shard FROM src
+UNION ALL SELECT substr(md5(text), 3) || ',' || url_id || ',zz/' || path, substr(md5(text), 1, 2) FROM src
+UNION ALL SELECT substr(md5(text), 3) || ',' || url_id || ',zz/' || path, substr(md5(text), 1, 2) FROM src WHERE doc_id % 2 = 0
+UNION ALL SELECT 'no comma ' || doc_id, '00' FROM src WHERE doc_id % 50 = 0
+UNION ALL SELECT 'd41d8cd98f00b204e9800998ecf8427e,' || url_id || ',a/b.c', 'd4' FROM src
+UNION ALL SELECT repeat('0', 32) || ',' || url_id || ',a/b.c', '00' FROM src
+UNION ALL SELECT md5(text) || ',' || url_id || ',' || repeat('x', 1000), substr(md5(text), 1, 2) FROM src WHERE doc_id % 40 = 0)"""
+WL = f"{W}, {LINES}"
+
+
+def lines(spark, sf_dir) -> DataFrame:
+    return _sql(spark, f"WITH {LINES} SELECT * FROM lines", "src", src(spark, sf_dir))
+
+
+@query(f"{WL} SELECT line FROM lines WHERE length(line) - length(replace(line, ',', '')) <> 2")
+def csv_arity_reject(spark, sf_dir):
+    return lines(spark, sf_dir).where(~P.has_fields(F.col("line"), 3)).select("line")
+
+
+@query(f"{W}, m AS (SELECT DISTINCT component || ',' || component || ',' || version || ',20240101,' || license || ',' || purl AS meta FROM src) SELECT meta, string_split(meta, ',')[1] AS vendor, string_split(meta, ',')[3] AS version, string_split(meta, ',')[5] AS license, string_split(meta, ',')[6] AS purl FROM m WHERE length(meta) - length(replace(meta, ',', '')) = 5")
+def metadata_fields(spark, sf_dir):
+    m = components(spark, sf_dir).select(F.concat_ws(",", "component", "component", "version", F.lit("20240101"), "license", "purl").alias("meta"))
+    part = lambda n: F.element_at(F.split("meta", ",", -1), n)
+    return m.where(P.has_fields(F.col("meta"), 6)).select("meta", part(1).alias("vendor"), part(3).alias("version"), part(5).alias("license"), part(6).alias("purl"))
+
+
+@query(f"{WL} SELECT DISTINCT line FROM lines")
+def load_sort_unique(spark, sf_dir):
+    return kb.sort_unique(lines(spark, sf_dir))
+
+
+LOADED = f"""l0 AS (SELECT CASE WHEN strpos(line, ',') = 31 THEN shard || substr(line, 1, 30) ELSE string_split(line, ',')[1] END AS file_id, string_split(line, ',')[2] AS url_id, regexp_extract(line, '^[^,]*,[^,]*,(.*)$', 1) AS path FROM lines WHERE length(line) <= 1023 AND length(line) - length(replace(line, ',', '')) >= 2),
+l1 AS (SELECT file_id, url_id, min(path) AS path FROM l0 GROUP BY ALL),
+loaded AS (SELECT * FROM l1 WHERE regexp_matches(file_id, '^[0-9a-f]{{32}}$') AND file_id NOT IN ('{V.EMPTY_MD5}', '{V.ZERO_MD5}') AND NOT contains(path, ',') AND NOT {ending("path", V.IGNORED_ENDINGS)})"""
+
+
+@query(f"{WL}, {LOADED} SELECT * FROM loaded")
+def load_file_dedup(spark, sf_dir):
+    return kb.load_files(lines(spark, sf_dir))
+
+
+@query(f"{W} SELECT DISTINCT url_id, file_id FROM v")
+def load_pivot(spark, sf_dir):
+    s = src(spark, sf_dir)
+    text = s.select(F.concat_ws(",", F.substring("url_id", 3, 30), F.md5("text")).alias("line"), F.substring("url_id", 1, 2).alias("shard"))
+    return kb.load_pivot(text)
+
+
+@query(f"{WL} SELECT line FROM lines WHERE string_split(line, ',')[1] IN ('{V.EMPTY_MD5}', '{V.ZERO_MD5}')")
+def load_reserved_md5(spark, sf_dir):
+    return lines(spark, sf_dir).where(P.reserved_id(F.substring_index("line", ",", 1))).select("line")
+
+
+@query(f"{WL} SELECT DISTINCT CASE WHEN strpos(line, ',') = 31 THEN shard || substr(line, 1, 30) ELSE substr(line, 1, 32) END AS file_id FROM lines WHERE strpos(line, ',') IN (31, 33)")
+def load_key_decode(spark, sf_dir):
+    key = F.substring_index("line", ",", 1)
+    rows = lines(spark, sf_dir).where(F.contains("line", F.lit(",")) & F.length(key).isin(30, 32))
+    return rows.select(kb.decoded_key(key, F.col("shard")).alias("file_id")).distinct()
+
+
+@query(f"{WL}, {LOADED} SELECT file_id, string_agg(url_id || ':' || path, '|' ORDER BY url_id, path) AS records FROM loaded GROUP BY file_id")
+def load_grouped(spark, sf_dir):
+    g = kb.grouped(load_file_dedup(spark, sf_dir), "file_id")
+    return g.select("file_id", F.array_join(F.transform("records", lambda r: F.concat(r["url_id"], F.lit(":"), r["path"])), "|").alias("records"))
+
+
+@query(f"{WL} SELECT CASE WHEN length(line) > 1023 THEN 'line too long' WHEN length(line) - length(replace(line, ',', '')) <> 2 THEN 'wrong number of fields' WHEN NOT regexp_matches(string_split(line, ',')[1], '^[0-9a-f]{{30,32}}$') THEN 'no valid id' ELSE 'reserved id' END AS problem, count(*) AS n FROM lines WHERE length(line) > 1023 OR length(line) - length(replace(line, ',', '')) <> 2 OR NOT regexp_matches(string_split(line, ',')[1], '^[0-9a-f]{{30,32}}$') OR string_split(line, ',')[1] IN ('{V.EMPTY_MD5}', '{V.ZERO_MD5}') GROUP BY 1")
+def load_validation(spark, sf_dir):
+    return kb.validation(lines(spark, sf_dir), "file")
+
+
+MERGED = "a AS (SELECT * FROM files WHERE substr(file_id, 1, 1) < '8'), b AS (SELECT * FROM files WHERE substr(file_id, 1, 1) > '3')"
+
+
+def _halves(spark, sf_dir) -> DataFrame:
+    files = file_table(spark, sf_dir)
+    return kb.merge(files.where(F.substring("file_id", 1, 1) < "8"), files.where(F.substring("file_id", 1, 1) > "3"))
+
+
+@query(f"{W}, {FILES}, {MERGED} SELECT * FROM a UNION ALL SELECT * FROM b")
+def merge_union(spark, sf_dir):
+    return _halves(spark, sf_dir)
+
+
+@query(f"{W}, {FILES}, {MERGED} SELECT substr(file_id, 1, 1) AS digit, count(*) AS n FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1")
+def merge_counts(spark, sf_dir):
+    return _halves(spark, sf_dir).groupBy(F.substring("file_id", 1, 1).alias("digit")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- archives
+
+ARCHIVE = """SELECT md5(text) AS file_id, text AS content FROM src UNION ALL SELECT md5(text), text FROM src WHERE doc_id % 10 = 0
+UNION ALL SELECT md5(text), text || 'x' FROM src WHERE doc_id % 25 = 0"""
+WA = f"{W}, arch AS ({ARCHIVE}), av AS (SELECT *, {masked('content')} AS b FROM arch)"
+
+
+def archive(spark, sf_dir) -> DataFrame:
+    return _sql(spark, ARCHIVE, "src", src(spark, sf_dir))
+
+
+@query(
+    f"""{WA}, k0 AS (SELECT file_id, CASE WHEN substr(md5(content), 5) <> substr(file_id, 5) THEN 'corrupted' WHEN length(b) < 256 THEN 'small' WHEN {square_sql()} THEN 'square' WHEN {start_sql()} THEN 'header' END AS first FROM av),
+k1 AS (SELECT file_id, count(*) AS n FROM k0 WHERE first IS NULL GROUP BY file_id),
+k2 AS (SELECT file_id, n, CASE WHEN file_id < '2' THEN 'excluded' WHEN file_id > 'd' THEN 'orphan' ELSE 'keep' END AS fate FROM k1),
+k3 AS (SELECT first AS verdict FROM k0 WHERE first IS NOT NULL UNION ALL SELECT fate FROM k2 UNION ALL SELECT 'duplicate' FROM k2, range(1, 1000) r(i) WHERE i < n)
+SELECT verdict, count(*) AS n FROM k3 GROUP BY verdict"""
+)
+def archive_optimise(spark, sf_dir):
+    a = archive(spark, sf_dir)
+    ids = a.select("file_id")
+    return A.report(A.verdicts(a, excluded=ids.where("file_id < '2'"), known_files=ids.where("file_id <= 'd' OR file_id < '2'")))
+
+
+@query(f"{WA} SELECT file_id, md5(min(content)) AS content_md5 FROM arch GROUP BY file_id")
+def archive_optimise_dup(spark, sf_dir):
+    return A.unique(archive(spark, sf_dir)).select("file_id", F.md5("content").alias("content_md5"))
+
+
+@query(f"{WA} SELECT file_id FROM arch WHERE file_id NOT IN (SELECT md5(text) FROM src WHERE doc_id % 3 = 0)")
+def archive_exclude(spark, sf_dir):
+    keys = src(spark, sf_dir).where("doc_id % 3 = 0").select(F.md5("text").alias("file_id"))
+    return A.without(archive(spark, sf_dir), keys).select("file_id")
+
+
+@query(f"{WA}, {FILES} SELECT arch.file_id FROM arch WHERE file_id IN (SELECT file_id FROM files)")
+def archive_orphans(spark, sf_dir):
+    return A.known(archive(spark, sf_dir), file_table(spark, sf_dir)).select("file_id")
+
+
+@query(f"{WA} SELECT file_id, CAST(length(b) AS INT) AS n_bytes, substr(md5(content), 5) = substr(file_id, 5) AS intact FROM av")
+def archive_check(spark, sf_dir):
+    return A.listing(archive(spark, sf_dir))
+
+
+@query(f"{WA} SELECT DISTINCT file_id FROM arch")
+def archive_keys(spark, sf_dir):
+    return A.keys(archive(spark, sf_dir))
+
+
+@query("SELECT md5('// SPDX-License-Identifier: MIT' || chr(10) || 'MD5_Init(&c); y = AES_cbc_encrypt(a,b); MD5_Init(&d);' || chr(10) || text) AS file_id, 1 AS one FROM documents WHERE doc_id = 0")
+def archive_cat(spark, sf_dir):
+    key = src(spark, sf_dir).where("doc_id = 0").select(F.md5("text").alias("file_id"))
+    one = A.known(A.unique(archive(spark, sf_dir).where(A.intact(F.col("file_id"), F.col("content")))), key)
+    return one.select(F.md5("content").alias("file_id"), F.lit(1).alias("one"))
+
+
+WU = f"{W}, uniq AS (SELECT file_id, any_value(b) AS b, any_value(text) AS text FROM v GROUP BY file_id)"
+
+
+def _stored(spark, sf_dir) -> DataFrame:
+    a = archive(spark, sf_dir)
+    return A.unique(a.where(A.intact(F.col("file_id"), F.col("content"))))
+
+
+@query(f"{WU}, {licenses_cte('file_id', 'uniq')} SELECT file_id AS id, source, spdx_id FROM lic")
+def archive_mine_license(spark, sf_dir):
+    return detect.licenses(_stored(spark, sf_dir), D.license_dictionary(spark), "file_id", "content")
+
+
+@query(f"{WU}, {copyright_cte('file_id', 'uniq')} SELECT file_id AS id, 1 AS source, statement FROM cop")
+def archive_mine_copyright(spark, sf_dir):
+    return detect.copyrights(_stored(spark, sf_dir), "file_id", "content")
+
+
+@query(f"{WU}, {crypto_cte('file_id', 'uniq')} SELECT file_id AS id, algorithm, strength FROM alg")
+def archive_mine_crypto(spark, sf_dir):
+    return detect.algorithms(_stored(spark, sf_dir), D.crypto_dictionary(spark), "file_id", "content")
+
+
+@query(f"{WU}, {quality_cte('file_id', 'uniq')} SELECT file_id AS id, 0 AS source, score FROM qual")
+def archive_mine_quality(spark, sf_dir):
+    return detect.quality(_stored(spark, sf_dir), "file_id", "content")
+
+
+# ---------------------------------------------------------------- fingerprints
+
+WFP = f"""fit AS (SELECT doc_id, {masked('text')} AS b FROM documents),
+ok AS (SELECT doc_id, b, lower(regexp_replace(b, '[^A-Za-z0-9]', '', 'g')) AS t FROM fit WHERE NOT {start_sql()} AND NOT {square_sql()} AND contains(b, chr(10))),
+g0 AS (SELECT doc_id, t, unnest(range(1, length(t) - 28)) AS i FROM ok WHERE length(t) >= 30 + 63),
+g1 AS (SELECT doc_id, i, ('0x' || substr(md5(substr(t, i, 30)), 1, 8))::BIGINT * 2147483648 + (2147483648 - i) AS k FROM g0),
+g2 AS (SELECT doc_id, i, min(k) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 63 FOLLOWING) AS m, count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 63 FOLLOWING) AS c FROM g1),
+g3 AS (SELECT doc_id, i, m, lag(m) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g2 WHERE c = 64),
+g4 AS (SELECT doc_id, m // 2147483648 AS wfp, 2147483648 - m % 2147483648 AS pos FROM g3 WHERE before IS NULL OR before <> m),
+l0 AS (SELECT doc_id, unnest(string_split(b, chr(10))) AS line, generate_subscripts(string_split(b, chr(10)), 1) AS n FROM ok),
+l1 AS (SELECT doc_id, n, sum(length(regexp_replace(line, '[^A-Za-z0-9]', '', 'g'))) OVER (PARTITION BY doc_id ORDER BY n) AS upto, length(regexp_replace(line, '[^A-Za-z0-9]', '', 'g')) AS w FROM l0),
+wfps AS (SELECT g4.doc_id, wfp, CAST(n AS INT) AS line FROM g4 JOIN l1 ON g4.doc_id = l1.doc_id AND pos > upto - w AND pos <= upto)"""
+
+
+def _fingerprints(spark, sf_dir) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), "text"), hash_name="md5")
+
+
+@query(f"WITH {WFP} SELECT doc_id AS file_id, wfp, line FROM wfps")
+def fingerprints_md5(spark, sf_dir):
+    return _fingerprints(spark, sf_dir)
+
+
+@query()
+def fingerprints_crc32(spark, sf_dir):
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), "text"))
+
+
+@query(f"WITH {WFP} SELECT wfp, doc_id AS file_id, min(line) AS line FROM wfps GROUP BY ALL")
+def wfp_dedup(spark, sf_dir):
+    return fingerprint.first_lines(_fingerprints(spark, sf_dir))
+
+
+@query(f"WITH {WFP} SELECT wfp, doc_id AS file_id, line FROM wfps WHERE wfp NOT IN (SELECT wfp FROM wfps GROUP BY wfp HAVING count(DISTINCT doc_id) > 3)")
+def wfp_ignored(spark, sf_dir):
+    w = _fingerprints(spark, sf_dir)
+    denied = w.groupBy("wfp").agg(F.countDistinct("file_id").alias("n")).where("n > 3")
+    return fingerprint.without_denied(w, denied).select("wfp", "file_id", "line")
+
+
+@query("SELECT doc_id, CAST(least(doc_id * 700, 65535) AS INT) AS line FROM documents")
+def wfp_line_saturate(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.least(F.col("doc_id") * 700, F.lit(V.MAX_LINE_NUMBER)).cast("int").alias("line"))
+
+
+@query(f"WITH {WFP}, pair AS (SELECT DISTINCT q.doc_id AS query_id, k.doc_id AS file_id, q.wfp FROM wfps q JOIN wfps k ON q.wfp = k.wfp WHERE q.doc_id % 50 = 0) SELECT query_id, file_id, count(*) AS hits FROM pair GROUP BY ALL")
+def snippet_match(spark, sf_dir):
+    w = _fingerprints(spark, sf_dir)
+    return fingerprint.snippet_matches(w.where("file_id % 50 = 0"), w)
+
+
+# ---------------------------------------------------------------- readers, version, inventory
+
+
+@query("SELECT CAST(text AS VARCHAR) AS data, doc_id FROM documents")
+def encoded_field(spark, sf_dir):
+    from lodestone.sources.readers import decode_field
+
+    enc = table(spark, sf_dir, "documents").select("doc_id", F.base64(F.encode("text", "UTF-8")).alias("data"))
+    return decode_field(enc, "data")
+
+
+@query("SELECT '24.02' AS monthly, '24.01.24' AS daily")
+def version_merge(spark, sf_dir):
+    new = spark.createDataFrame([("24.02", "N/A")], "monthly string, daily string")
+    return kb.version(new, spark.createDataFrame([("24.01", "24.01.24")], "monthly string, daily string"))
+
+
+@query(
+    f"""{W}, {licenses_cte()}, {crypto_cte()}, {quality_cte()}, o AS (SELECT doc_id, component, {outcome_sql(False)} AS outcome FROM v)
+SELECT component, count(*) AS files, count(*) FILTER (WHERE outcome = 'accepted') AS accepted,
+ (SELECT count(DISTINCT spdx_id) FROM lic JOIN src s USING (doc_id) WHERE s.component = o.component) AS licenses,
+ (SELECT count(DISTINCT algorithm) FROM alg JOIN src s USING (doc_id) WHERE s.component = o.component) AS algorithms,
+ (SELECT CAST(sum(score) AS BIGINT) FROM qual JOIN src s USING (doc_id) WHERE s.component = o.component) AS score
+FROM o GROUP BY component"""
+)
+def component_inventory(spark, sf_dir):
+    """The flagship: one row a component over all detectors, from one scan of the files for each."""
+    s = src(spark, sf_dir).withColumn("k", F.struct("doc_id", "component"))
+    by = F.col("id.component").alias("component")
+    files = _outcomes(spark, sf_dir, False).groupBy("component").agg(F.count("*").alias("files"), F.count_if(F.col("outcome") == "accepted").alias("accepted"))
+    lic = detect.licenses(s, D.license_dictionary(spark), "k").groupBy(by).agg(F.countDistinct("spdx_id").alias("licenses"))
+    alg = detect.algorithms(s, D.crypto_dictionary(spark), "k").groupBy(by).agg(F.countDistinct("algorithm").alias("algorithms"))
+    qual = detect.quality(s, "k").groupBy(by).agg(F.sum("score").alias("score"))
+    return files.join(lic, "component", "left").join(alg, "component", "left").join(qual, "component", "left").fillna(0, ["licenses", "algorithms"])
+
+
+@query()
+def mined_tables(spark, sf_dir):
+    """Rows of each table that mining all components gives."""
+    s = src(spark, sf_dir).select("url_id", "path", "text")
+    comps = url_table(spark, sf_dir)
+    tables = mining.mine(s, mining.with_ids(comps))
+    counts = [t.select(F.lit(n).alias("name")) for n, t in tables.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.groupBy("name").agg(F.count("*").alias("n"))
