@@ -76,9 +76,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     # Spark's text reader hides the last line end, so the last line of a file is judged by its bytes.
     whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    torn = whole.where(F.expr("substring(content, -1, 1)") != F.lit(b"\n")).select(F.col("path").alias("torn"), F.element_at(F.split(F.decode("content", "UTF-8"), "\n"), -1).alias("tail"))
+    torn = whole.where(F.expr("substring(content, -1, 1)") != F.lit(b"\n")).select(F.col("_metadata.file_path").alias("torn"), F.element_at(F.split(F.decode("content", "UTF-8"), "\n"), -1).alias("tail"))
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-    kept = lines.join(torn, (F.col("file") == F.regexp_replace("torn", "^file:/+", "file:///")) & (F.col("line") == F.col("tail")), "left_anti")
+    kept = lines.join(torn, (F.col("file") == F.col("torn")) & (F.col("line") == F.col("tail")), "left_anti")
     return kept.select("line", F.regexp_extract("file", r"([^/.]*)(\.[^/]*)?$", 1).alias("shard"))
 
 
