@@ -1,5 +1,61 @@
-"""SQL counterparts of those corpus operators that SQL can express."""
+"""SQL counterparts of those corpus operators that SQL can express, over whole tables.
+
+Tokenizers, trees, exponents found by bisection, decoded layers and singular vectors are beyond SQL; those
+operators are tested against brute force, round trips or held-out labels in tests/llm.
+"""
+
+from __future__ import annotations
+
+from lodestone.llm import quality_rules as Q
+from lodestone.llm.queries import SHARD_LIMIT
+
+WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+OP4 = (
+    rf"""WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, coalesce({WORDS}, []) AS ws FROM documents),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), range(3) t(k) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+s AS (SELECT doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals FROM w LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(1000 * n_symbols // nullif(word_chars, 0), 0) AS symbol_rate, coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) AS dup_line_rate, coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) AS repeat_rate, coalesce(1000 * n_capitals // nullif(word_chars, 0), 0) AS capital_rate, coalesce(100 * word_chars // nullif(n_words, 0), 0) AS word_length FROM s),
+u AS (UNPIVOT (SELECT doc_id, lang, source, symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length FROM v WHERE n_words > 0) ON symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length INTO NAME rate VALUE x),
+f AS (SELECT lang, source, rate, (x >> greatest(length(bin(x)) - 6, 0)) << greatest(length(bin(x)) - 6, 0) AS x FROM u),
+z AS (SELECT 1 AS level, lang, source, rate, x FROM f UNION ALL SELECT 2, lang, NULL, rate, x FROM f UNION ALL SELECT 3, NULL, NULL, rate, x FROM f),
+c AS (SELECT level, lang, source, rate, x, count(*) AS n FROM z GROUP BY ALL),
+d AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY x) AS upto, sum(n) OVER (PARTITION BY level, lang, source, rate) AS docs FROM c),
+q AS (SELECT level, lang, source, rate, max(docs) AS docs, min(x) FILTER (WHERE upto * 4 >= docs) AS q1, min(x) FILTER (WHERE upto * 4 >= docs * 2) AS q2, min(x) FILTER (WHERE upto * 4 >= docs * 3) AS q3 FROM d GROUP BY ALL),
+k AS (SELECT rate, slack FROM (VALUES """
+    + ", ".join(f"('{r}', {s})" for r, s in Q.SLACK.items())
+    + rf""") t(rate, slack)),
+e AS (SELECT q.*, CASE WHEN rate = 'word_length' THEN least(q1 - {Q.FENCE} * (q3 - q1), q2 - slack) ELSE -1 END AS low, greatest(q3 + {Q.FENCE} * (q3 - q1), q2 + slack) AS high FROM q JOIN k USING (rate)),
+b AS (SELECT a.lang, a.source, a.rate, CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.low WHEN m.docs >= {Q.MIN_DOCS} THEN m.low ELSE t.low END AS low, CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.high WHEN m.docs >= {Q.MIN_DOCS} THEN m.high ELSE t.high END AS high
+FROM e a JOIN e m ON m.level = 2 AND a.rate = m.rate AND a.lang IS NOT DISTINCT FROM m.lang JOIN e t ON t.level = 3 AND a.rate = t.rate WHERE a.level = 1),
+o AS (SELECT u.doc_id FROM u JOIN b ON u.rate = b.rate AND u.lang IS NOT DISTINCT FROM b.lang AND u.source IS NOT DISTINCT FROM b.source WHERE u.x NOT BETWEEN low AND high)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM o) AS kept, symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length FROM v"""
+)
+
+OP5 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i+4], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON d.doc_id = c.a"""
+
+OP7 = rf"""WITH w AS (SELECT doc_id, coalesce({WORDS}, []) AS ws FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+19], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM w)),
+later AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(20) t(k)),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+OP8 = f"""WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, lpad(bin(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT), 60, '0') AS h FROM documents),
+p AS (SELECT doc_id, n_bytes, d, substr(h, 1, d) AS shard FROM (SELECT *, unnest(range(61)) AS d FROM r)),
+s AS (SELECT d, shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM p GROUP BY ALL),
+m AS (SELECT doc_id, min(d) AS d FROM p JOIN s USING (d, shard) WHERE shard_bytes <= {SHARD_LIMIT} OR shard_docs = 1 GROUP BY doc_id)
+SELECT doc_id, shard, CAST(d AS INT) AS depth, n_bytes, shard_bytes, shard_docs FROM m JOIN p USING (doc_id, d) JOIN s USING (d, shard)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_quality_rules": OP4, "op5_near_dedup": OP5, "op7_substring_dedup": OP7, "op8_sharding": OP8}

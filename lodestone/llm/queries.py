@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, mixing, near_dedup, quality_model, quality_rules, secret_scan, sharding, substring_dedup, token_count, token_output
 from lodestone.llm.common import scratch_root, table
@@ -61,6 +60,3 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_output, op2_quality_model, op3_mixing, op4_quality_rules, op5_near_dedup, op6_secret_scan, op7_substring_dedup, op8_sharding, op9_decontamination, op10_token_count)}
-
-
-__all__ = ["F", "queries"]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import discard, materialize
+from lodestone.llm.common import materialize
 
 STEP = 15
 KEY_BITS, ALL_BITS = 60, 120
@@ -77,6 +77,3 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     at = F.array(*[F.lit(d) for d in sorted(depths)])
     tried = rows.select("id", "n_bytes", F.explode(F.transform(at, lambda d: _prefix(d))).alias("shard"))
     return tried.join(leaves, "shard").select(F.col("id").alias(id_col), "shard", "depth", "n_bytes", "shard_bytes", "shard_docs")
-
-
-__all__ = ["assign_shards", "directory", "discard"]
