@@ -12,7 +12,7 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each node's larger neighbours are linked with the least of it and its neighbours."""
     both = _both(edges)
     least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "star-least")
@@ -20,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     return materialize(out.where("a <> b").distinct(), "star-large"), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each node's smaller neighbours and itself are linked with the least of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = materialize(down.groupBy("a").agg(F.min("b").alias("m")), "star-least")
@@ -32,20 +32,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the least node reachable) for every node of edges (a, b: long).
 
-    The two steps alternate until each node hangs on its component's least node, which the same set
-    of links coming out again shows. Links stay in tables; the driver sees two numbers a round.
+    The two steps alternate until every node hangs on its component's least node alone. Links stay in
+    tables; the driver learns only whether a round was the last.
     """
     current = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star")
-    mark = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-    before = current.agg(mark).first()[0]
-    while before[0]:
+    while not _stars(current):
         large, t1 = _large_star(current)
         small, t2 = _small_star(large)
-        now = small.agg(mark).first()[0]
         discard(current, large, t1, t2)
         current = small
-        if now == before:
-            break
-        before = now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    out = current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    out._scratch_path = current._scratch_path
+    return out
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Each a has one b, and no b is an a."""
+    forked = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    inner = edges.select(F.col("b").alias("a")).distinct().join(edges.select("a").distinct(), "a", "left_semi")
+    return forked.unionByName(inner).isEmpty()

@@ -4,14 +4,16 @@
    ((a*h + b) mod 2^64, upper half) of it leave their minima as the signature. Texts with equal sets form
    a class; all that follows works on classes, so exact copies cost nothing further.
 2. BANDS bands of ROWS minima put classes into buckets. At a similarity of 0.85 all bands miss with
-   a probability below 1e-9, at 0.8 below 1e-7.
-3. Buckets are worked off in rounds, without forming all their pairs. A bucket whose classes are in one
-   component is done. In the others, classes outside the largest component become pivots, two
-   to the power of the round in each bucket; a pivot is compared with all members of other components
-   and then leaves the bucket. So every pair of a bucket is compared or found connected already, and
-   a large group of near copies costs a few pivots for each member, not the square of its size.
-4. A pair passes a size check, then the signature check (an estimate far below the threshold ends
-   it), then the exact comparison of the full sets, which alone makes a link.
+   a probability below 1e-8, at 0.8 below 1e-5; texts that share a passage rarely meet (0.03 at 0.3).
+3. Large groups of near copies shrink first, without forming pairs: in PIVOT_ROUNDS rounds over
+   PIVOT_BANDS of the bands, each bucket's members are compared with one pivot of another component. A bucket
+   whose classes are in one component has nothing left to tell.
+4. What then still shares a bucket across components forms clusters. A cluster is dealt into blocks
+   of bounded size, and each pair of blocks is one task's work: it takes pairs of other components by
+   falling similarity of their signatures, down to SLACK below the threshold, and compares their full
+   sets, unless links found there have connected them already. So a task gives one link at most for
+   each of its classes, every pair that may be linked is compared or found connected, and no task grows with
+   its cluster. (Clusters without pivots in common cost block pairs; that is the price of losing no link.)
 
 Defined results: null and empty texts have no shingles and are linked with nothing; texts of fewer
 words than a shingle have the whole sequence as one; rows with equal ids are one document whose set is that
@@ -22,6 +24,7 @@ gets a null component and is kept; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,12 @@ from lodestone.llm.common import as_bytes, discard, materialize
 from lodestone.llm.components import components
 
 SHINGLE = 5
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 6
 PERMUTATIONS = BANDS * ROWS
-SLACK = 0.2  # five standard deviations of the estimate and more
+SLACK = 0.13  # five standard deviations of the estimate
 KEEP_WORDS = 300_000
+PIVOT_ROUNDS, PIVOT_BANDS = 2, 8
+BLOCK_CLASSES, BLOCK_BYTES = 1024, 16 << 20
 
 _RNG = np.random.default_rng(20240501)
 _A = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,7 +108,7 @@ def _signed(df: DataFrame, size: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """bucket, rep: every band of every class."""
+    """bucket, band, rep: every band of every class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,13 +118,14 @@ def _buckets(classes: DataFrame) -> DataFrame:
                 h = (h ^ (sig[:, :, k] + _C[50 + k])) * np.uint64(0xBF58476D1CE4E5B9)
                 h ^= h >> np.uint64(30)
             rep = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(rep)], names=["bucket", "rep"])
+            band = np.tile(np.arange(BANDS, dtype=np.int8), len(sig))
+            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(band), pa.array(rep)], names=["bucket", "band", "rep"])
 
-    return classes.select("rep", "sig").mapInArrow(run, "bucket long, rep long")
+    return classes.select("rep", "sig").mapInArrow(run, "bucket long, band byte, rep long")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """rep, set (sorted 64-bit hashes) from rows (rep, class, text); a text of another class is passed over."""
+    """rep, value (sorted 64-bit hashes) from rows (rep, class, text); a text of another class is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,9 +135,9 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
                 if xxhash.xxh3_128_digest(s) == key:
                     reps.append(rep)
                     sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "value"])
 
-    return texts.mapInArrow(run, "rep long, set binary").groupBy("rep").agg(F.first("set").alias("set"))
+    return texts.mapInArrow(run, "rep long, value binary").groupBy("rep").agg(F.first("value").alias("value"))
 
 
 def _estimated(pairs: DataFrame, least: float) -> DataFrame:
@@ -146,36 +152,85 @@ def _estimated(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """The exact test on two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, sa, sb: full sets) with 100 * intersection >= percent * union."""
 
-    def linked(x: bytes, y: bytes) -> bool:
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-        return 100 * both >= percent * (len(x) + len(y) - both)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                keep = pa.array([linked(x, y) for x, y in zip(some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)], pa.bool_())
+                sets = zip(some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)
+                keep = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in sets], pa.bool_())
                 yield pa.RecordBatch.from_arrays([some.column(0).filter(keep), some.column(1).filter(keep)], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
-    """a, b, sa, sb: value of both ends of each pair."""
-    at_a = values.select(F.col("rep").alias("a"), F.col(value).alias("sa"))
-    at_b = values.select(F.col("rep").alias("b"), F.col(value).alias("sb"))
-    return pairs.join(at_a, "a").join(at_b, "b").select("a", "b", "sa", "sb")
+def _block_links(members: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect what is linked within each task's classes.
 
+    members: cluster, i, j (blocks), side (block of the class), rep, comp, sig, value (full set).
+    """
 
-def _merged(classes: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame | None:
-    """node, component of the classes that the threshold connects to others; None if there are none.
+    def links(part: pa.Table) -> pa.Table:
+        reps, comps, side = (part.column(c).to_numpy() for c in ("rep", "comp", "side"))
+        i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
+        sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).astype(np.uint8).reshape(len(reps), PERMUTATIONS)
+        sets = [np.frombuffer(v, np.uint64) for v in part.column("value").to_pylist()]
+        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+        least = (percent / 100 - SLACK) * PERMUTATIONS
+        found: list[np.ndarray] = []
+        for at in range(0, len(left), 64):
+            rows = left[at : at + 64]
+            alike = np.stack([(sig[right] == sig[r]).sum(1, dtype=np.uint16) for r in rows])
+            far = (alike >= least) & (comps[rows][:, None] != comps[right][None, :])
+            if i == j:
+                far &= rows[:, None] < right[None, :]
+            x, y = np.nonzero(far)
+            found.append(np.stack([alike[x, y].astype(np.int64), rows[x], right[y]], 1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
+        root = {c: c for c in comps.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        out: list[tuple[int, int]] = []
+        for _, x, y in pairs[np.argsort(-pairs[:, 0], kind="stable")].tolist():
+            a, b = find(int(comps[x])), find(int(comps[y]))
+            if a != b and _linked(sets[x], sets[y], percent):
+                root[a] = b
+                out.append((int(reps[x]), int(reps[y])))
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    return members.groupBy("cluster", "i", "j").applyInArrow(links, "a long, b long")
+
+
+def _with(pairs: DataFrame, values: DataFrame, percent: int | None = None) -> DataFrame:
+    """a, b, sa, sb: the value (rep, value) of both ends of each pair; with percent, ends too unlike in size n go first."""
+    n = ["n"] if percent else []
+    at_a = values.select(F.col("rep").alias("a"), F.col("value").alias("sa"), *[F.col(c).alias("na") for c in n])
+    at_b = values.select(F.col("rep").alias("b"), F.col("value").alias("sb"), *[F.col(c).alias("nb") for c in n])
+    both = pairs.join(at_a, "a").join(at_b, "b")
+    if percent:
+        both = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return both.select("a", "b", "sa", "sb")
+
+
+def _merged(classes: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame:
+    """node, component of the classes that the threshold connects to others.
 
     classes: rep (the class's number), id (its least), class, n, sig. rows: id, text.
     """
@@ -183,45 +238,58 @@ def _merged(classes: DataFrame, rows: DataFrame, percent: int, size: int) -> Dat
     shared = placed.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     members = materialize(placed.join(shared, "bucket", "left_semi"), "near-members")
     met = members.select("rep").distinct()
-    known = materialize(classes.join(met, "rep", "left_semi"), "near-signatures")
-    wanted = materialize(known.select("id", "rep", "class"), "near-wanted")
-    sets = materialize(_sets(rows.join(wanted, "id").select("rep", "class", "text"), size), "near-sets")
-    links, round_, merged = None, 0, None
-    while True:
-        if merged is None:
-            now = members.withColumn("comp", F.col("rep"))
-        else:
-            now = members.join(merged, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-        now = materialize(now, "near-round")
-        sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-        open_ = sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("top")).where("comps > 1").select("bucket", F.col("top.comp").alias("top"))
-        open_ = materialize(open_, "near-open")
-        if open_.isEmpty():
-            discard(now, open_)
-            break
-        live = materialize(now.join(open_, "bucket"), "near-live")
-        # A salt of 2^round values gives that many pivots by plain aggregation.
-        salt = F.pmod(F.xxhash64("rep", F.lit(round_)), F.lit(2**round_))
-        pivots = live.where("comp <> top").groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("rep", "comp")).alias("p"))
+    known = materialize(classes.join(met, "rep", "left_semi").withColumnRenamed("sig", "value"), "near-signatures")
+    sets = materialize(_sets(rows.join(known.select("id", "rep", "class"), "id").select("rep", "class", "text"), size), "near-sets")
+    links: list[DataFrame] = []
+    merged = None
+    for round_ in range(PIVOT_ROUNDS):
+        live = materialize(_open(_placed(members.where(F.col("band") < PIVOT_BANDS), merged)), "near-live")
+        order = F.xxhash64("rep", F.lit(round_)) if round_ else F.col("rep")
+        pivots = live.where("comp <> top").groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "rep", "comp")).alias("p"))
         pivots = materialize(pivots.select("bucket", F.col("p.rep").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "near-pivots")
         pairs = live.join(pivots, "bucket").where("comp <> pivot_comp").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        ns = known.select("rep", "n")
-        pairs = pairs.join(ns.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a").join(ns.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b")
-        pairs = pairs.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)).select("a", "b")
-        likely = materialize(_estimated(_with(pairs, known, "sig"), percent / 100 - SLACK), "near-likely")
-        found = materialize(_confirmed(_with(likely, sets, "set"), percent), "near-links")
-        rest = materialize(live.join(pivots, (live.bucket == pivots.bucket) & (live.rep == pivots.pivot), "left_anti").select(live.bucket, "rep"), "near-members")
-        discard(members, now, open_, live, likely, pivots)
-        members, round_ = rest, round_ + 1
-        before, links = links, found if links is None else materialize(links.unionByName(found), "near-links")
-        if before is not None:
-            discard(before, found)
-        discard(merged)
-        merged = materialize(components(links), "near-components")
-    discard(members, known, wanted, sets, links)
+        likely = materialize(_estimated(_with(pairs, known, percent), percent / 100 - SLACK), "near-likely")
+        found = materialize(_confirmed(_with(likely, sets), percent), "near-links")
+        discard(live, pivots, likely)
+        if not found.isEmpty():
+            links.append(found)
+            discard(merged)
+            merged = components(reduce(DataFrame.unionByName, links))
+    live = materialize(_open(_placed(members, merged)), "near-live")
+    # Clusters: components that share open buckets, each bucket as a star around its least component.
+    centre = materialize(live.groupBy("bucket").agg(F.min("comp").alias("b")), "near-centres")
+    clusters = components(live.join(centre, "bucket").select(F.col("comp").alias("a"), "b"))
+    held = live.select("rep", "comp").distinct().join(clusters, F.col("comp") == F.col("node")).select(F.col("component").alias("cluster"), "rep", "comp")
+    held = materialize(held.join(known.select("rep", "n"), "rep"), "near-held")
+    blocks = held.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    sided = held.join(materialize(blocks, "near-blocks"), "cluster").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    full = sided.join(known.select("rep", F.col("value").alias("sig")), "rep").join(sets, "rep")
+    each = full.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.select("cluster", F.least("side", "k").cast("int").alias("i"), F.greatest("side", "k").cast("int").alias("j"), "side", "rep", "comp", "sig", "value")
+    found = materialize(_block_links(each, percent), "near-links")
+    discard(live, centre, clusters, held)
+    links.append(found)
+    discard(merged)
+    merged = components(reduce(DataFrame.unionByName, links))
+    discard(members, known, sets, *links)
     return merged
 
 
+def _placed(members: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """bucket, rep, comp: members with the component that they are in so far."""
+    if merged is None:
+        return materialize(members.select("bucket", "rep", F.col("rep").alias("comp")), "near-placed")
+    joined = members.join(merged, F.col("rep") == F.col("node"), "left")
+    return materialize(joined.select("bucket", "rep", F.coalesce("component", "rep").alias("comp")), "near-placed")
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """bucket, rep, comp, top of the buckets with several components; top: the largest one there."""
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    open_ = sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("top")).where("comps > 1")
+    return placed.join(open_.select("bucket", F.col("top.comp").alias("top")), "bucket")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; rows of the component's least doc_id are kept."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -231,9 +299,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = SHINGLE, id_
     classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
     merged = _merged(classes, rows, percent, size)
     roots = classes.select("class", "rep", F.col("id").alias("least"))
-    if merged is not None:
-        lowest = roots.join(merged, F.col("rep") == F.col("node")).groupBy("component").agg(F.min("least").alias("low"))
-        roots = roots.join(merged.join(lowest, "component"), F.col("rep") == F.col("node"), "left").select("class", F.coalesce("low", "least").alias("least"))
+    lowest = roots.join(merged, F.col("rep") == F.col("node")).groupBy("component").agg(F.min("least").alias("low"))
+    roots = roots.join(merged.join(lowest, "component"), F.col("rep") == F.col("node"), "left").select("class", F.coalesce("low", "least").alias("least"))
     roots = materialize(roots.select("class", "least"), "near-roots")
     discard(classes, merged)
     lone = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
