@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +68,23 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def hashed_words(texts: pa.Array, normal: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[np.ndarray]:
+    """Each text's words as 64-bit hashes of their normal form; words without one are left out.
+
+    Some thousand texts are split at once, and each different word among them is hashed once.
+    """
+    for at in range(0, len(texts), 2000):
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, 2000).cast(pa.large_string()), ""))
+        coded = lists.flatten().dictionary_encode()
+        plain = (normal(coded.dictionary) if normal else coded.dictionary).to_numpy(False)
+        h = hash_array(plain, categorize=False) | np.uint64(1)
+        h[plain == ""] = 0
+        words = h[coded.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        for some in np.split(words, ends[:-1]):
+            yield some[some != 0]
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., tuple], text: str | None = None) -> DataFrame:
     """Apply row(*values) -> tuple to every row, a batch of Arrow columns at a time.
 

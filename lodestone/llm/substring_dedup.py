@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, discard, materialize
-from lodestone.llm.near_dedup import _C, word_hashes
+from lodestone.llm.common import as_bytes, discard, hashed_words, materialize
+from lodestone.llm.near_dedup import _C
 
 WINDOW, GRAM = 20, 8
 BATCHES, FANOUT = 3, 2
@@ -49,14 +50,22 @@ def _runs(words: np.ndarray, size: int, salt: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _sliding(x: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
+    """The least or largest of each run of size values, by doubling."""
+    width = 1
+    while 2 * width <= size:
+        x, width = pick(x[:-width], x[width:]), 2 * width
+    return pick(x[: len(x) - (size - width)], x[size - width :]) if width < size else x
+
+
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash and place of each window's anchor (the rightmost of least hash)."""
+    """The anchor hash of each window, and the hashes at all places that are an anchor of some window."""
     grams = _runs(words, GRAM, 0)
     if len(grams) < SPAN:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, SPAN)
-    at = SPAN - 1 - view[:, ::-1].argmin(1) + np.arange(len(view))
-    return grams[at], at
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    least = _sliding(grams, SPAN, np.minimum)
+    around = np.concatenate([np.zeros(SPAN - 1, np.uint64), least, np.zeros(SPAN - 1, np.uint64)])
+    return least, grams[_sliding(around, SPAN, np.maximum) == grams]
 
 
 def _row_anchors(df: DataFrame) -> DataFrame:
@@ -65,12 +74,10 @@ def _row_anchors(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps, rows, twice = [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
-                h, at = anchors(word_hashes((text or b"").split()))
-                if len(h):
-                    first = np.ones(len(at), bool)
-                    first[1:] = at[1:] != at[:-1]
-                    fp, n = np.unique(h[first], return_counts=True)
+            for row, words in zip(batch.column(0).to_pylist(), hashed_words(batch.column(1)), strict=True):
+                _, placed = anchors(words)
+                if len(placed):
+                    fp, n = np.unique(placed, return_counts=True)
                     fps.append(fp)
                     rows.append(np.full(len(fp), row))
                     twice.append(n > 1)
@@ -119,10 +126,10 @@ def _windows(df: DataFrame) -> DataFrame:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
             lists = batch.column(2)
-            for k, (row, text) in enumerate(zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True)):
-                words = word_hashes((text or b"").split())
+            for k, (row, words) in enumerate(zip(batch.column(0).to_pylist(), hashed_words(batch.column(1)), strict=True)):
                 h, _ = anchors(words)
-                at = np.flatnonzero(np.isin(h, lists[k].values.to_numpy().view(np.uint64)))
+                suspect = np.sort(lists[k].values.to_numpy().view(np.uint64))
+                at = np.flatnonzero(suspect[np.minimum(np.searchsorted(suspect, h), len(suspect) - 1)] == h)
                 out[0].append(_runs(words, WINDOW, 0)[at].view(np.int64))
                 out[1].append(_runs(words, WINDOW, 24)[at].view(np.int64))
                 out[2].append(np.full(len(at), row))
@@ -190,9 +197,9 @@ def _kept(words: list[bytes], at, gone: list[bytes] | None, key: bytes | None) -
         return words
     cover = np.zeros(len(words) + 1, np.int64)
     at = at[at <= len(words) - WINDOW]
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + WINDOW, -1)
-    return [w for w, c in zip(words, np.cumsum(cover[:-1]), strict=True) if c == 0]
+    cover[at] += 1  # places are distinct
+    cover[at + WINDOW] -= 1
+    return list(compress(words, (np.cumsum(cover[:-1]) == 0).tolist()))
 
 
 def substring_duplicates(docs: DataFrame, batches: int = BATCHES, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
