@@ -71,10 +71,10 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
 def hashed_words(texts: pa.Array, normal: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[np.ndarray]:
     """Each text's words as 64-bit hashes of their normal form; words without one are left out.
 
-    Some thousand texts are split at once, and each different word among them is hashed once.
+    Some hundred texts are split at once, and each different word among them is hashed once.
     """
-    for at in range(0, len(texts), 2000):
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, 2000).cast(pa.large_string()), ""))
+    for at in range(0, len(texts), 500):
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, 500).cast(pa.large_string()), ""))
         coded = lists.flatten().dictionary_encode()
         plain = (normal(coded.dictionary) if normal else coded.dictionary).to_numpy(False)
         h = hash_array(plain, categorize=False) | np.uint64(1)
