@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pandas.util import hash_array
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -64,24 +65,31 @@ def discard(*frames: DataFrame | None) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default, so that texts of some kilobytes take few MB in each worker; another number stays."""
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def hashed_words(texts: pa.Array, normal: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[np.ndarray]:
-    """Each text's words as 64-bit hashes of their normal form; words without one are left out.
-
-    Some hundred texts are split at once, and each different word among them is hashed once.
-    """
-    for at in range(0, len(texts), 500):
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, 500).cast(pa.large_string()), ""))
+def split_words(texts: pa.Array, size: int = 500) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The different words of each run of size texts, the number among these of every word, and where each text's words end."""
+    for at in range(0, len(texts), size):
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, size).cast(pa.large_string()), ""))
         coded = lists.flatten().dictionary_encode()
-        plain = (normal(coded.dictionary) if normal else coded.dictionary).to_numpy(False)
-        h = hash_array(plain, categorize=False) | np.uint64(1)
-        h[plain == ""] = 0
-        words = h[coded.indices.to_numpy()]
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-        for some in np.split(words, ends[:-1]):
+        yield coded.dictionary, coded.indices.to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
+
+
+def hashed_words(texts: pa.Array, normal: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[np.ndarray]:
+    """Each text's words as 64-bit hashes of their normal form; words without one are left out."""
+    for words, coded, ends in split_words(texts):
+        plain = as_bytes(normal(words) if normal else words)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, plain), np.uint64, len(plain)) | np.uint64(1)
+        h[[not w for w in plain]] = 0
+        for some in np.split(h[coded], ends[:-1]):
             yield some[some != 0]
 
 
@@ -90,6 +98,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[...,
 
     The column named by text reaches row as UTF-8 bytes.
     """
+    bound_batches(df.sparkSession)
     target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

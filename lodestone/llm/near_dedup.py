@@ -28,18 +28,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, discard, materialize
+from lodestone.llm.common import bound_batches, discard, hashed_words, materialize
 from lodestone.llm.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 40, 6
 PERMUTATIONS = BANDS * ROWS
 SLACK = 0.13  # five standard deviations of the estimate
-KEEP_WORDS = 300_000
 PIVOT_ROUNDS, PIVOT_BANDS = 2, 8
 BLOCK_CLASSES, BLOCK_BYTES = 1024, 16 << 20
 
@@ -49,21 +49,6 @@ _B = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _C = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < KEEP_WORDS and len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_hashes = _WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of each run of size words: a sum of multiples, mixed."""
     n = len(words) - size + 1
@@ -75,12 +60,10 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text, A-Z lower-cased."""
-    words = (text or b"").lower().split()  # bytes.lower() changes A-Z alone
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(window_hashes(word_hashes(words), min(size, len(words))))
+def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, A-Z lower-cased."""
+    for words in hashed_words(texts, pc.ascii_lower):
+        yield np.unique(window_hashes(words, min(size, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -98,8 +81,7 @@ def _signed(df: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in as_bytes(batch.column(1)):
-                s = shingle_set(text, size)
+            for s in shingle_sets(batch.column(1), size):
                 rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, signature(s).tobytes() if len(s) else None))
             n, key, sig = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], names=["id", "n", "class", "sig"])
@@ -130,8 +112,8 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps, sets = [], []
-            for rep, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), strict=True):
-                s = shingle_set(text, size).tobytes()
+            for rep, key, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), size), strict=True):
+                s = hashes.tobytes()
                 if xxhash.xxh3_128_digest(s) == key:
                     reps.append(rep)
                     sets.append(s)
@@ -292,6 +274,7 @@ def _open(placed: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row; rows of the component's least doc_id are kept."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialize(_signed(rows, size), "near-signed")
     real = signed.where("class IS NOT NULL AND id IS NOT NULL")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, labelled_fold
+from lodestone.llm.common import as_bytes, bound_batches, labelled_fold
 
 STATISTICS = (
     "log_words", "word_length", "long_words", "short_words", "distinct_words", "top_word", "capital_letters", "digits",
@@ -145,6 +145,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text") -> Forest:
     """Fit on the labelled rows outside the held-out fold, at most max_train of them."""
+    bound_batches(docs.sparkSession)
     known = labels.where((labelled_fold(id_col) != 1) & F.col(label).isNotNull())
     known = known.select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("__y"))
     # max_train bounds what is broadcast here and what the driver collects below.
@@ -164,6 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train:
 
 def quality_scores(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text."""
+    bound_batches(docs.sparkSession)
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(forest)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, materialize
+from lodestone.llm.common import as_bytes, bound_batches, materialize
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
 FENCE = 3
@@ -150,6 +150,7 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str, *more)
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """doc_id, the base counts, base_failed, kept, and the rates behind the verdict, per row."""
+    bound_batches(docs.sparkSession)
     stats = materialize(_rows(docs, text_col, lang_col, source_col, F.col(id_col).alias("__id")), "quality-stats")
     marks = materialize(fences(sketch(stats.select("lang", "source", "__stats.*"))), "quality-fences")
     joined, kept = _judged(stats, marks, F.col("lang"), F.col("source"), "__stats")
@@ -162,6 +163,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
 
     Texts are measured twice, for the fences and for the verdicts, so that no text is shuffled.
     """
+    bound_batches(docs.sparkSession)
     marks = materialize(fences(sketch(_rows(docs, text_col, lang_col, source_col).select("lang", "source", "__stats.*"))), "quality-fences")
     measured = docs.withColumn("__stats", stats_of(F.col(text_col)))
     joined, kept = _judged(measured, marks, F.col(lang_col).cast("string"), F.col(source_col).cast("string"), "__stats")

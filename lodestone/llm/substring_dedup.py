@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, discard, hashed_words, materialize
+from lodestone.llm.common import as_bytes, bound_batches, discard, hashed_words, materialize
 from lodestone.llm.near_dedup import _C
 
 WINDOW, GRAM = 20, 8
@@ -204,6 +204,7 @@ def _kept(words: list[bytes], at, gone: list[bytes] | None, key: bytes | None) -
 
 def substring_duplicates(docs: DataFrame, batches: int = BATCHES, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row; with texts, kept_text too."""
+    bound_batches(docs.sparkSession)
     marks = repeat_marks(docs, batches, id_col, text_col)
     joined = _rows(docs, id_col, text_col).join(marks, "row", "left").select("row", "text", "at", "gone")
 

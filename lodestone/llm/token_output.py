@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes
+from lodestone.llm.common import as_bytes, bound_batches, split_words
 
 SHARD_IDS = 2_000_000  # a shard is closed once it holds this many ids
-KEEP_WORDS, KEEP_PIECES = 500_000, 300_000  # entries that a worker remembers
+KEEP_WORDS, KEEP_PIECES = 60_000, 80_000  # entries that a task remembers
 SHARD_SCHEMA = "part int, seq int, part_offset long, n_ids long, n_docs long, first_id long, last_id long, payload binary, docs binary, index binary"
 
 # ---------------------------------------------------------------- encoding
@@ -96,17 +96,14 @@ class WordEncoder(dict):
             self[word] = found
         return found
 
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text. Each different word of some hundred texts is looked up once."""
+        for words, coded, ends in split_words(texts):
+            known = pa.array([self[w] if w else b"" for w in as_bytes(words)], pa.large_binary()).take(pa.array(coded))
+            _, offsets, ids = known.buffers()
+            at = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])].tolist() if len(coded) else [0] * (len(ends) + 1)
+            for a, b in zip(at, at[1:]):
+                yield ids.slice(a, b - a).to_pybytes() if b > a else b""
 
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -202,7 +199,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part = encoder(tokenizer_file), TaskContext.get().partitionId()
+        enc, part = WordEncoder(tokenizer_file), TaskContext.get().partitionId()
         end, width = enc.pack([end_id]), enc.dtype.itemsize
         ids: list = []
         payload: list[bytes] = []
@@ -214,9 +211,9 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1)), strict=True):
                 ids.append(doc_id)
-                payload.append(enc.encode(text or b"") + end)
+                payload.append(encoded + end)
                 held += len(payload[-1]) // width
                 if held >= SHARD_IDS:
                     yield out(_shard(part, seq, offset, ids, payload, width))
@@ -225,6 +222,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
             yield out(_shard(part, seq, offset, ids, payload, width))
 
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), F.monotonically_increasing_id().alias("tie"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, F.asc_nulls_first("k"), "tie").sortWithinPartitions(F.asc_nulls_first("k"), "tie")

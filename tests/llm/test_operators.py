@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge import frame, rows
 from pyspark.sql import functions as F
@@ -71,9 +72,9 @@ def test_op1_words_as_the_library_encodes_them():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    enc = token_output.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    enc = token_output.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     for text in ["It's we'LL 3rd x2y--z", "É́té ǅ İstanbul ſs", "a b\u0085c\x1cd\x00e", "ΑΣ ας ﬁ ½ 漢字", "<|endoftext|>x <|startoftext|>", "x" * 500, "é ́e", "'s'T ''d", "ªº²³ µ-x", "_^~`", "a­b"]:
-        assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(next(enc.encode(pa.array([text]))), enc.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
 def test_minimal_perfect_hash():
