@@ -130,7 +130,8 @@ def stats_of(text):
         types = [pa.bool_() if n == "base_failed" else pa.int64() for n in names]
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return run(text)
+    # Not deterministic for the optimizer, which else measures a text anew for each rule that it moves.
+    return run.asNondeterministic()(text)
 
 
 def _judged(rows: DataFrame, marks: DataFrame, lang, source, stats: str):

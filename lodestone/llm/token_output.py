@@ -40,6 +40,7 @@ SHARD_SCHEMA = "part int, seq int, part_offset long, n_ids long, n_docs long, fi
 # ---------------------------------------------------------------- encoding
 
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own split
+_OTHER = re.compile(r"[^!-~¡-¬®-ɏ]|<\|").search  # what isn't printable Latin, or may begin a special token
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -67,6 +68,7 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.split = regex.compile(_PIECES).findall
+        self.packed = [self.pack([i]) for i in range(self.tokenizer.get_vocab_size())]
         self.letters = _byte_letters()
         self.pieces: dict[str, bytes] = {}
 
@@ -77,14 +79,14 @@ class WordEncoder(dict):
         found = self.pieces.get(piece)
         if found is None:
             text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            found = self.pack([t.id for t in self.model.tokenize(text)])
+            found = b"".join([self.packed[t.id] for t in self.model.tokenize(text)])
             if len(self.pieces) < KEEP_PIECES and len(piece) <= 48:
                 self.pieces[piece] = found
         return found
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if not text.isprintable() or max(text) >= "ɐ" or "<|" in text or len(text) > 200:
+        if _OTHER(text) or len(text) > 200:
             found = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         else:
             lower = text.lower()
