@@ -128,10 +128,9 @@ def _unbase64(run: str) -> str | None:
     except (binascii.Error, ValueError):
         return None
     try:
-        text = _inflate(raw).decode()
+        return _inflate(raw).decode() or None
     except UnicodeDecodeError:
         return None
-    return text if text and all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
 
 
 def scan_layers(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:

@@ -325,6 +325,17 @@ def test_op6_layers():
     assert secret_scan.scan_layers(bomb)[2] == 1
 
 
+def test_op6_layers_with_unprintable_characters():
+    import base64
+    import gzip
+
+    for c in "\u00a0\ufeff\u00ad\u200b\u200d\u2028\x00\x1b":
+        plain = f"note{c} password = hunter2222"
+        for raw in (plain.encode(), gzip.compress(plain.encode())):
+            run = base64.b64encode(base64.b64encode(raw)).decode()
+            assert secret_scan.scan_layers(f"é {run} x")[1] == [(2, 2 + len(run), "assign")], repr(c)
+
+
 # -- 7
 
 
