@@ -1,8 +1,8 @@
 """Secret scans over a text and all layers that can be decoded out of it.
 
 A worklist starts with the text. Each layer is scanned by every rule; then its URL escapes, its
-Unicode escapes and each base64 run (plain or compressed) are unwrapped into further layers until
-no new layer comes up. A layer already seen over the same part of the text is not taken again, so
+Unicode escapes and each base64 run (plain or compressed, over several lines, or glued to a word by
+one of /, _ and -) are unwrapped into further layers until no new layer comes up. A layer already seen over the same part of the text is not taken again, so
 payloads that unpack to themselves end. Each layer knows how its positions map to its parent's,
 and a finding's span is mapped back to the code points of the original text.
 
@@ -20,6 +20,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
@@ -36,6 +37,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINE_AFTER = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
+_LINE_BEFORE = re.compile(r"([A-Za-z0-9+/_-]+)[\x20\t]*\r?\n[\x20\t]*\Z")
+_GLUE = re.compile(r"[/_-]+")
+_PACKED = re.compile(r"[/_-](?=H4sI|e[AFJN])")  # how gzip and zlib streams begin
 
 
 def scan(text: str) -> list[tuple[int, int, str]]:
@@ -89,10 +94,9 @@ def _substituted(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _url(escapes: str) -> str | None:
-    try:
-        return bytes.fromhex(escapes.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+    """The text of the escapes, U+FFFD for bytes that aren't UTF-8; None if none are."""
+    plain = bytes.fromhex(escapes.replace("%", "")).decode(errors="replace")
+    return plain if plain.strip("\ufffd") else None
 
 
 def _unicode(escape: str) -> str | None:
@@ -105,34 +109,89 @@ class Bomb(Exception):
 
 
 def _inflate(raw: bytes) -> bytes:
-    """raw, or what it holds if it is a gzip or zlib stream."""
-    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and raw[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
+    """raw, or what it holds if it is a zlib stream or gzip members."""
+    if raw[:2] != b"\x1f\x8b" and not (raw[:1] == b"\x78" and raw[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
+        return raw
+    out, size, rest = [], 0, raw
+    while rest[:2] == b"\x1f\x8b" or not out:
         d = zlib.decompressobj(zlib.MAX_WBITS | 32)
         try:
-            plain = d.decompress(raw, MAX_LAYER)
+            plain = d.decompress(rest, MAX_LAYER - size + 1)
         except (zlib.error, EOFError, gzip.BadGzipFile):
-            return raw
-        if d.unconsumed_tail:
+            break
+        size += len(plain)
+        if size > MAX_LAYER:
             raise Bomb
-        return plain if d.eof else raw
-    return raw
+        if not d.eof:
+            break
+        out.append(plain)
+        rest = d.unused_data.lstrip(b"\0")  # members may be padded
+    return b"".join(out) if out else raw
 
 
-def _unbase64(run: str) -> str | None:
+def _unbase64(run: str, errors: str = "strict") -> str | None:
     """The text in a base64 run (either alphabet, padding optional), inflated if compressed."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
-        return None
+        if errors == "strict":
+            return None
+        body = body[:-1]
     try:
         raw = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
     try:
-        return _inflate(raw).decode() or None
+        return _inflate(raw).decode(errors=errors) or None
     except UnicodeDecodeError:
         return None
 
 
+def _blocks(lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First and last line of the wrapped payloads that lines (start, end) may be: equal lines, the first (after other words) and the last may be shorter."""
+    width, out = [b - a for a, b in lines], []
+    for i in range(len(lines) - 1):
+        if i and width[i] == width[i - 1]:
+            continue
+        j = i + 1
+        # A shorter line ends a payload, but the first one may be what is left of a line.
+        while j + 1 < len(lines) and width[j] == width[i + 1] and width[j + 1] <= width[j]:
+            j += 1
+        out.append((i, j))
+    return out
+
+
+def _glued(run: str, first: int) -> list[int]:
+    """Where in the first characters of run a payload after a separator may start: the first place of each alignment
+    holds all later ones of it, but compressed streams start at their own."""
+    starts: dict[int, int] = {}
+    for g in _GLUE.finditer(run, 0, first):
+        for at in range(g.start() + 1, g.end() + 1):
+            starts.setdefault(at % 4, at)
+        if len(starts) == 4:
+            break
+    return sorted({*starts.values(), *(g.end() for g in _PACKED.finditer(run, 0, first))})
+
+
+def _payloads(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, base64 and how to treat bytes that aren't UTF-8, of all that may be a base64 payload."""
+    grouped = 0
+    for m in _BASE64.finditer(text):
+        runs = [(m.start(), m.end(), m.group(), len(m.group()))]
+        if m.start() >= grouped:
+            lines = [m.span()]
+            before = _LINE_BEFORE.search(text, max(0, m.start() - 200), m.start())
+            if before:
+                lines.insert(0, before.span(1))
+            while after := _LINE_AFTER.match(text, lines[-1][1]):
+                lines.append(after.span(1))
+            grouped = lines[-1][1]
+            runs += [(lines[i][0], lines[j][1], "".join(text[a:b] for a, b in lines[i : j + 1]), lines[i][1] - lines[i][0]) for i, j in _blocks(lines)]
+        for start, end, run, first in runs:
+            yield start, end, run, "strict"
+            for at in _glued(run, first):
+                yield start + at, end, run[at:], "replace"
+
+
 def scan_layers(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
     """Base spans, all spans (base ones and those of every decoded layer, mapped), and bombs."""
     base = scan(text)
@@ -141,14 +200,14 @@ def scan_layers(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int,
         layer = work.pop()
         inner = [_substituted(layer, _URL, _url)] if "%" in layer.text else []
         inner += [_substituted(layer, _UNICODE, _unicode)] if "\\" in layer.text else []
-        for m in _BASE64.finditer(layer.text):
+        for start, end, run, errors in _payloads(layer.text):
             try:
-                plain = _unbase64(m.group())
+                plain = _unbase64(run, errors)
             except Bomb:
                 bombs += 1
                 continue
             if plain is not None:
-                inner.append(Layer(plain, layer, [(0, m.start(), m.end(), False)]))
+                inner.append(Layer(plain, layer, [(0, start, end, False)]))
         for found in inner:
             if found is None or not found.text:
                 continue

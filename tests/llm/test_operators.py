@@ -336,6 +336,33 @@ def test_op6_layers_with_unprintable_characters():
             assert secret_scan.scan_layers(f"é {run} x")[1] == [(2, 2 + len(run), "assign")], repr(c)
 
 
+def test_op6_layers_wrapped_glued_and_in_parts():
+    import base64
+    import gzip
+    import random
+
+    rng = random.Random(3)
+    filler = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    plain = f"{filler} password = hunter2222 {filler}"
+    wrap = lambda run, n, end: end.join(run[i : i + n] for i in range(0, len(run), n))
+    for raw in (plain.encode(), gzip.compress(plain.encode())):
+        run = base64.b64encode(raw).decode()
+        for n in (64, 76):
+            for end in ("\n", "\r\n", "\n    "):
+                for head in ("", "-----BEGIN CERTIFICATE-----\n", "some words\n", "key: "):
+                    found = secret_scan.scan_layers(f"{head}{wrap(run, n, end)}\n-----END X-----")[1]
+                    assert any(k == "assign" and s >= 0 for s, _, k in found), (n, end, head)
+        for glue in ("data/", "key_", "a-b/c_", "x-", "ab_cd/"):
+            for text in (glue + run, glue + wrap(run, 64, "\n")):
+                assert any(s <= len(glue) and e == len(text) and k == "assign" for s, e, k in secret_scan.scan_layers(text)[1]), text[:80]
+    secret = base64.b64encode(b"password=aa" + b"hunter2").decode()
+    assert secret_scan.scan_layers(f"{secret[:16]}\n{secret[16:]}")[1]
+    two = base64.b64encode(gzip.compress(b"first") + gzip.compress(b"token=abcdefgh")).decode()
+    assert secret_scan.scan_layers(two)[1] == [(0, len(two), "assign")]
+    text = "".join(f"%{b:02x}" for b in b"\xfftoken=abcdefgh\xfe")
+    assert secret_scan.scan_layers(text)[1] == [(0, len(text), "assign")]
+
+
 # -- 7
 
 
