@@ -15,8 +15,8 @@ Texts equal as a whole are settled before, by a hash of their words: all of a la
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing; rows of
 a null doc_id are one document that comes before all others; rows with equal ids are versions of one
-document, so a window at the same place in two of them counts once; empty tables give an empty
-result; other columns are ignored.
+document, so a window at the same place in two of them counts once, and each version loses what its own
+windows tell; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -120,24 +120,32 @@ class FingerprintIndex:
 
 
 def _windows(df: DataFrame) -> DataFrame:
-    """w1, w2 (128 bits of a window's words), row, at, from rows (row, text, fps: its suspect fingerprints)."""
+    """w1, w2 (128 bits of a window's words), row, version, at, from rows (row, text, fps: its suspect fingerprints, gone: keys of texts to pass over)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            lists = batch.column(2)
-            for k, (row, words) in enumerate(zip(batch.column(0).to_pylist(), hashed_words(batch.column(1)), strict=True)):
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            lists, texts = batch.column(2), as_bytes(batch.column(1))
+            for k, (row, gone, words) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), hashed_words(batch.column(1)), strict=True)):
+                if gone and _text_key(texts[k]) in gone:
+                    continue
                 h, _ = anchors(words)
                 suspect = np.sort(lists[k].values.to_numpy().view(np.uint64))
                 at = np.flatnonzero(suspect[np.minimum(np.searchsorted(suspect, h), len(suspect) - 1)] == h)
                 out[0].append(_runs(words, WINDOW, 0)[at].view(np.int64))
                 out[1].append(_runs(words, WINDOW, 24)[at].view(np.int64))
                 out[2].append(np.full(len(at), row))
-                out[3].append(at.astype(np.int32))
+                out[3].append(np.full(len(at), _version(words)))
+                out[4].append(at.astype(np.int32))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["w1", "w2", "row", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["w1", "w2", "row", "version", "at"])
 
-    return df.mapInArrow(run, "w1 long, w2 long, row long, at int")
+    return df.mapInArrow(run, "w1 long, w2 long, row long, version long, at int")
+
+
+def _version(words: np.ndarray) -> int:
+    """A hash that tells the versions of a document apart."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(words.tobytes())).view(np.int64))
 
 
 def _text_key(text: bytes | None) -> bytes | None:
@@ -159,7 +167,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, at (starts of windows that occur earlier), gone (keys of texts that are later copies as a whole)."""
+    """row, at (for each version, starts of windows that occur earlier), gone (keys of texts that are later copies as a whole)."""
     rows = _rows(docs, id_col, text_col)
     keys = materialize(_keys(rows).where("key IS NOT NULL"), "repeat-keys")
     firsts = materialize(keys.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last").select("key", "first"), "repeat-firsts")
@@ -178,13 +186,16 @@ def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id"
     suspects = materialize(suspects.distinct(), "repeat-suspects")
     index.drop()
     met = _row_anchors(rows).join(suspects, "fp").groupBy("row").agg(F.collect_list("fp").alias("fps"))
-    lists = materialize(met.join(gone, "row", "left_anti"), "repeat-lists")
-    windows = materialize(_windows(rows.join(lists, "row").select("row", "text", "fps")), "repeat-windows")
+    # Documents of a single text that is gone are settled; of others, the texts that aren't gone are judged.
+    settled = keys.groupBy("row").agg(F.count_distinct("key").alias("n")).join(gone, "row").where(F.col("n") == F.size("gone")).select("row")
+    lists = materialize(met.join(settled, "row", "left_anti").join(gone, "row", "left"), "repeat-lists")
+    windows = materialize(_windows(rows.join(lists, "row").select("row", "text", "fps", "gone")), "repeat-windows")
     discard(keys, firsts, suspects, lists)
     # Verified on 128 bits of all words: the first place of each sequence that has several.
     place = F.struct("row", "at")
     least = materialize(windows.groupBy("w1", "w2").agg(F.min(place).alias("m"), F.max(place).alias("x")).where("m <> x").select("w1", "w2", "m"), "repeat-least")
-    later = windows.join(least, ["w1", "w2"]).where(place != F.col("m")).groupBy("row").agg(F.collect_set("at").alias("at"))
+    later = windows.join(least, ["w1", "w2"]).where(place != F.col("m")).groupBy("row", "version").agg(F.collect_set("at").alias("at"))
+    later = later.groupBy("row").agg(F.collect_list(F.struct("version", "at")).alias("at"))
     marks = materialize(later.join(gone, "row", "full_outer").select("row", "at", "gone"), "repeat-marks")
     discard(windows, least, gone)
     return marks
@@ -211,9 +222,11 @@ def substring_duplicates(docs: DataFrame, batches: int = BATCHES, texts: bool =
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             out: list[tuple] = []
-            for row, text, at, gone in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2), batch.column(3).to_pylist(), strict=True):
+            for row, text, hashes, at, gone in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), hashed_words(batch.column(1)), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 words = (text or b"").split()
-                kept = _kept(words, at.values.to_numpy() if at.is_valid else None, gone, _text_key(text) if gone else None)
+                mine = _version(hashes) if at.is_valid else None
+                places = next((x["at"].values.to_numpy() for x in at.values if x["version"].as_py() == mine), None) if at.is_valid else None
+                kept = _kept(words, places, gone, _text_key(text) if gone else None)
                 plain = b" ".join(kept)
                 out.append((None if row == -(2**63) else row, len(words), len(words) - len(kept), hashlib.sha256(plain).hexdigest(), *([plain.decode()] if texts else [])))
             columns = list(zip(*out, strict=True)) or [()] * (4 + texts)

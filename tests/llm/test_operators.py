@@ -403,6 +403,31 @@ def test_op7_repeats_inside_one_text(spark):
     assert Counter(map(tuple, got.collect())) == Counter(brute_repeats(data))
 
 
+def test_op7_versions_of_one_document(spark):
+    import random
+
+    rng = random.Random(11)
+    prose = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, own = prose(60), prose(40), prose(30), prose(50)
+    data = [(1, a), (2, b), (5, a), (5, f"{own} {b} {prose(20)} {c}"), (5, f"{c} {prose(90)}"), (7, f"{prose(10)} {c} {own}"), (8, f"{a} {a}"), (8, a)]
+    first = {}
+    for i, t in data:
+        w = t.split()
+        for k in range(len(w) - 19):
+            key = tuple(w[k : k + 20])
+            first[key] = min(first.get(key, (i, k)), (i, k))
+    want = Counter()
+    for i, t in data:
+        w = t.split()
+        whole = any(j < i and u == t for j, u in data)
+        gone = {k + d for k in range(len(w) - 19) if first[tuple(w[k : k + 20])] != (i, k) for d in range(20)}
+        kept = " ".join(x for k, x in enumerate(w) if not whole and k not in gone)
+        want[i, len(w), len(w) - len(kept.split()), hashlib.sha256(kept.encode()).hexdigest()] += 1
+    for batches in (1, 3):
+        got = substring_dedup.substring_duplicates(spark.createDataFrame(data, "doc_id long, text string"), batches)
+        assert Counter(map(tuple, got.collect())) == want
+
+
 # -- 8
 
 
