@@ -10,7 +10,7 @@ still too large, 60 further bits of the row's place in the table part it, so equ
 rows) may be any share of the input. A single row over the limit is a shard by itself, over size.
 
 Defined results: null texts count 0 bytes; null keys hash as the empty string; an empty table has no
-shards; other columns ride along in write_shards and are ignored elsewhere.
+shards; other columns are ignored. Shards are only assigned here, no files are written.
 """
 
 from __future__ import annotations
