@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +16,8 @@ from pyspark.sql import types as T
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+RUN_BYTES = 8 << 20  # of texts whose words are split at once
+
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -27,11 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """The folder that the whole cluster shares: spark.checkpoint.dir, which must be set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lodestone-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root
 
 
@@ -55,6 +54,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def materialize_counted(df: DataFrame, tag: str, flag: str) -> tuple[DataFrame, int]:
+    """The same, and in how many rows flag is true; counted while they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(F.col(flag)).alias("n")), tag)
+    return out, seen.get.get("n", 0)
+
+
 def discard(*frames: DataFrame | None) -> None:
     """Delete scratch tables that nothing reads any more."""
     for df in frames:
@@ -75,22 +81,63 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def split_words(texts: pa.Array, size: int = 500) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """The different words of each run of size texts, the number among these of every word, and where each text's words end."""
-    for at in range(0, len(texts), size):
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, size).cast(pa.large_string()), ""))
+def split_words(texts: pa.Array, size: int = 1000) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The different words of each run of texts, the number among these of every word, and where each text's words end.
+
+    A run is size texts or RUN_BYTES, so that a run of long texts takes no more memory than one of short ones.
+    """
+    for run in runs_of(texts, size):
+        lists = pc.ascii_split_whitespace(pc.fill_null(run.cast(pa.large_string()), ""))
         coded = lists.flatten().dictionary_encode()
         yield coded.dictionary, coded.indices.to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
 
 
+def runs_of(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """texts in runs of size rows at most; one of over RUN_BYTES is a single text."""
+    total = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())])
+    at = 0
+    while at < len(texts):
+        end = min(at + size, max(int(np.searchsorted(total, total[at] + RUN_BYTES, "right")) - 1, at + 1))
+        yield texts.slice(at, end - at)
+        at = end
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, eight bytes of all words at a time; 0 for empty ones."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
+    start, left = at[:-1].copy(), np.diff(at)
+    h = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    raw = np.concatenate([raw[: at[-1]], np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))  # the eight bytes from each place on
+    here = np.flatnonzero(left > 0)
+    start, left = start[here], left[here]
+    while len(here):
+        lane = eight[start] & _MASKS[np.minimum(left, 8)]
+        x = (h[here] ^ lane) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        h[here] = x ^ (x >> np.uint64(29))
+        more = left > 8
+        here, start, left = here[more], start[more] + 8, left[more] - 8
+    h |= np.uint64(1)
+    h[np.diff(at) == 0] = 0
+    return h
+
+
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 def hashed_words(texts: pa.Array, normal: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[np.ndarray]:
     """Each text's words as 64-bit hashes of their normal form; words without one are left out."""
     for words, coded, ends in split_words(texts):
-        plain = as_bytes(normal(words) if normal else words)
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, plain), np.uint64, len(plain)) | np.uint64(1)
-        h[[not w for w in plain]] = 0
-        for some in np.split(h[coded], ends[:-1]):
-            yield some[some != 0]
+        each = word_hashes(normal(words) if normal else words)
+        h = each[coded]
+        some_empty = not each.all()
+        for some in np.split(h, ends[:-1]):
+            yield some[some != 0] if some_empty else some
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., tuple], text: str | None = None) -> DataFrame:
