@@ -21,27 +21,27 @@ rows with equal ids keep separate entries; empty tables give no shard; other col
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, bound_batches, split_words
+from lodestone.llm.common import bound_batches, split_words
 
 SHARD_IDS = 2_000_000  # a shard is closed once it holds this many ids
-KEEP_WORDS, KEEP_PIECES = 60_000, 80_000  # entries that a task remembers
+KEEP_PIECES = 300_000  # pieces that a Python worker remembers
 SHARD_SCHEMA = "part int, seq int, part_offset long, n_ids long, n_docs long, first_id long, last_id long, payload binary, docs binary, index binary"
 
 # ---------------------------------------------------------------- encoding
 
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own split
-_OTHER = re.compile(r"[^!-~¡-¬®-ɏ]|<\|").search  # what isn't printable Latin, or may begin a special token
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Fixed value: the vocabulary's own split of lower-cased text.
+_PIECES = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
+_WHOLE = "\x01"  # begins what is encoded as a whole; no piece has this character
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,61 +51,100 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordEncoder(dict):
-    """Word (bytes) -> its ids as little-endian bytes, exactly as the tokenizers library encodes it.
+class WordEncoder:
+    """Texts -> their ids as little-endian bytes, exactly as the tokenizers library encodes them.
 
-    The vocabulary drops white space and never joins across it, so words are encoded one by one.
-    Printable Latin words take the library's model directly, piece by piece; any other word, and
-    all that might hold a special token, goes through the library's whole encoder.
+    The vocabulary drops white space and never joins across it, so words are encoded one by one, each different
+    word of some hundred texts once. Words in printable Latin are lower-cased and split into pieces by
+    Arrow, and each different piece goes to the library's model; any other word, and all that might
+    hold a special token, goes through the library's whole encoder. A bounded number of pieces is remembered.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split = regex.compile(_PIECES).findall
         self.packed = [self.pack([i]) for i in range(self.tokenizer.get_vocab_size())]
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def pack(self, ids) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
     def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            found = b"".join([self.packed[t.id] for t in self.model.tokenize(text)])
-            if len(self.pieces) < KEEP_PIECES and len(piece) <= 48:
-                self.pieces[piece] = found
-        return found
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if _OTHER(text) or len(text) > 200:
-            found = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            lower = text.lower()
-            if lower.isalpha():
-                found = self.piece(lower)
-            else:
-                found = b"".join(map(self.piece, _ASCII_PIECES.findall(lower) if lower.isascii() else self.split(lower)))
-        if len(self) < KEEP_WORDS and len(word) <= 64:
-            self[word] = found
-        return found
+        if not piece:  # Arrow's split gives one after the last space
+            return b""
+        if piece[0] == _WHOLE:
+            return self.pack(self.tokenizer.encode(piece[1:], add_special_tokens=False).ids)
+        text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(text)])
+
+    def pieces(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of some different pieces."""
+        at = pc.index_in(pieces, self.known)
+        new = pieces.filter(pc.is_null(at))
+        fresh = pa.array(map(self.piece, new.to_pylist()), pa.large_binary())
+        place = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        place[pc.is_null(at).to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+        ids = pa.concat_arrays([self.ids, fresh])
+        if len(self.known) < KEEP_PIECES:
+            short = pc.less_equal(pc.binary_length(new), 48)
+            self.known, self.ids = pa.concat_arrays([self.known, new.filter(short)]), pa.concat_arrays([self.ids, fresh.filter(short)])
+        return ids.take(pa.array(place))
+
+    def words(self, words: pa.Array) -> pa.Array:
+        """The ids of each word."""
+        whole, lower = pa.array(_beyond_latin(words)), pc.utf8_lower(words)
+        parted = pc.and_not(pc.invert(pc.utf8_is_alpha(lower)), whole)
+        split = pc.replace_substring_regex(lower.filter(parted), _PIECES, r"\1 ")
+        kept = pc.binary_join_element_wise(pa.scalar(_WHOLE, words.type), words.filter(whole), pa.scalar("", words.type))
+        lists = pc.ascii_split_whitespace(pc.replace_with_mask(pc.replace_with_mask(lower, parted, split), whole, kept))
+        coded = lists.flatten().dictionary_encode()
+        return _joined(self.pieces(coded.dictionary).take(coded.indices), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]))
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
-        """The ids of each text. Each different word of some hundred texts is looked up once."""
-        for words, coded, ends in split_words(texts):
-            known = pa.array([self[w] if w else b"" for w in as_bytes(words)], pa.large_binary()).take(pa.array(coded))
-            _, offsets, ids = known.buffers()
-            at = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])].tolist() if len(coded) else [0] * (len(ends) + 1)
+        """The ids of each text."""
+        for words, coded, ends in split_words(texts, 4000):
+            ids = _joined(self.words(words).take(pa.array(coded)), np.concatenate([[0], ends]))
+            _, offsets, data = ids.buffers()
+            at = np.frombuffer(offsets, np.int64, len(ids) + 1).tolist()
             for a, b in zip(at, at[1:]):
-                yield ids.slice(a, b - a).to_pybytes() if b > a else b""
+                yield data.slice(a, b - a).to_pybytes() if b > a else b""
+
+
+def _beyond_latin(words: pa.Array) -> np.ndarray:
+    """Words with anything but printable Latin up to U+023F, a capital that lower-cases to two characters, or what may begin a special token; and those of 200 bytes or more."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
+    if at[-1] == at[0]:
+        return np.zeros(len(words), bool)
+    here = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    before = np.concatenate([[0], here[:-1]])
+    odd = (here < 0x21) | (here == 0x7F) | (here >= 0xC9)
+    odd |= (before == 0xC2) & ((here <= 0xA0) | (here == 0xAD)) | (before == 0xC4) & (here == 0xB0) | (before == 0x3C) & (here == 0x7C)
+    upto = np.concatenate([[0], np.cumsum(odd)])[at - at[0]]
+    return (np.diff(upto) > 0) | (np.diff(at) >= 200)
+
+
+def _joined(values: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Each run of values, from one of bounds to the next, as one value."""
+    if not len(values):
+        return pa.array([b""] * (len(bounds) - 1), pa.large_binary())
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int64, len(values) + 1)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(at[bounds].tobytes()), data])
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One for each Python worker, which Spark uses for many tasks."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -201,7 +240,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part = WordEncoder(tokenizer_file), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer_file), TaskContext.get().partitionId()
         end, width = enc.pack([end_id]), enc.dtype.itemsize
         ids: list = []
         payload: list[bytes] = []
