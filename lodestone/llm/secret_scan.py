@@ -2,31 +2,42 @@
 
 A worklist starts with the text. Each layer is scanned by every rule; then its URL escapes, its
 Unicode escapes and each base64 run (plain or compressed, over several lines, or glued to a word by
-one of /, _ and -) are unwrapped into further layers until no new layer comes up. A layer already seen over the same part of the text is not taken again, so
-payloads that unpack to themselves end. Each layer knows how its positions map to its parent's,
-and a finding's span is mapped back to the code points of the original text.
+one of /, _ and -) are unwrapped into further layers until no new layer comes up. Compressed are gzip, zlib and
+raw deflate streams, bzip2, xz and zstandard, of any number of members; text is UTF-8 or UTF-16. A layer already
+seen over the same part of the text is not taken again, so payloads that unpack to themselves end. Each layer
+knows how its positions map to its parent's, and a finding's span is mapped back to the code points of the
+original text.
+
+Nothing that unpacks is left out for its size: what comes out of a compressed payload is decoded as it is read, and
+beyond MAX_LAYER characters it is scanned in pieces that overlap by OVERLAP, of which one is in memory at a time (such
+payloads are counted in n_large). A base64 run inside of it that is longer than the overlap may be cut
+where two pieces meet; its parts are decoded by themselves.
 
 Defined results: null and empty texts have no spans (counts 0, sha256 of the empty string); a null
-doc_id stays null; repeated rows are scanned each; other columns are ignored. A base64 payload that
-would inflate beyond MAX_LAYER bytes is a bomb, not a text: it is not unwrapped but counted in n_bombs.
+doc_id stays null; repeated rows are scanned each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
-import gzip
+import bz2
+import codecs
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 
 from lodestone.llm.common import map_rows
 
-MAX_LAYER = 1 << 26
+MAX_LAYER = 1 << 24  # characters
+OVERLAP, CHUNK = 1 << 16, 1 << 20
 
 # The base rules, by kind in order.
 KINDS = ("assign", "access", "hex")
@@ -35,7 +46,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a run of 20 or more; shorter ones
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
+_UNICODE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINE_AFTER = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
 _LINE_BEFORE = re.compile(r"([A-Za-z0-9+/_-]+)[\x20\t]*\r?\n[\x20\t]*\Z")
@@ -100,50 +111,115 @@ def _url(escapes: str) -> str | None:
 
 
 def _unicode(escape: str) -> str | None:
+    if len(escape) == 12:  # a pair that stands for one character
+        return chr(0x10000 + (int(escape[2:6], 16) - 0xD800 << 10) + int(escape[8:], 16) - 0xDC00)
     code = int(escape[2:].strip("{}"), 16)
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
 
 
-class Bomb(Exception):
-    pass
+class _Zstd:
+    """zstandard's decompressor as the others are used: an input that is one chunk, output in pieces."""
 
+    def __init__(self):
+        self.eof, self.needs_input, self.unused_data, self._reader = False, True, b"", None
 
-def _inflate(raw: bytes) -> bytes:
-    """raw, or what it holds if it is a zlib stream or gzip members."""
-    if raw[:2] != b"\x1f\x8b" and not (raw[:1] == b"\x78" and raw[1:2] in (b"\x01", b"\x5e", b"\x9c", b"\xda")):
-        return raw
-    out, size, rest = [], 0, raw
-    while rest[:2] == b"\x1f\x8b" or not out:
-        d = zlib.decompressobj(zlib.MAX_WBITS | 32)
-        try:
-            plain = d.decompress(rest, MAX_LAYER - size + 1)
-        except (zlib.error, EOFError, gzip.BadGzipFile):
-            break
-        size += len(plain)
-        if size > MAX_LAYER:
-            raise Bomb
-        if not d.eof:
-            break
-        out.append(plain)
-        rest = d.unused_data.lstrip(b"\0")  # members may be padded
-    return b"".join(out) if out else raw
+    def decompress(self, data: bytes, most: int) -> bytes:
+        self._reader = self._reader or zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
+        out = self._reader.read(most)
+        self.eof = not out
+        return out
+
+
+#: How compressed streams begin (fixed values), and what reads them.
+_MAGIC: tuple[tuple[bytes, Callable], ...] = (
+    (b"\x1f\x8b", lambda: zlib.decompressobj(zlib.MAX_WBITS | 16)),
+    (b"\x78\x01", zlib.decompressobj),
+    (b"\x78\x5e", zlib.decompressobj),
+    (b"\x78\x9c", zlib.decompressobj),
+    (b"\x78\xda", zlib.decompressobj),
+    (b"BZh", bz2.BZ2Decompressor),
+    (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
+    (b"\x28\xb5\x2f\xfd", _Zstd),
+)
+
+
+def _inflated(raw: bytes, make: Callable) -> Iterator[bytes]:
+    """What a compressed stream holds, member after member, chunk by chunk; what comes before an error counts."""
+    try:
+        while raw:
+            d = make()
+            plain, rest = d.decompress(raw, CHUNK), b""
+            while True:
+                if plain:
+                    yield plain
+                if d.eof:
+                    rest = d.unused_data
+                    break
+                rest = getattr(d, "unconsumed_tail", b"")
+                if not plain and not rest:
+                    return  # the stream has no end
+                plain = d.decompress(rest, CHUNK)
+            raw = rest.lstrip(b"\0")  # members may be padded
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+        return
+
+
+def _encoding(head: bytes) -> str:
+    """UTF-16 by its mark or by the zero bytes of Latin text, UTF-8 otherwise."""
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16"
+    zeros = head[0:512:2].count(0), head[1:512:2].count(0)
+    if len(head) >= 8 and 4 * max(zeros) > len(head[:512]) and 8 * min(zeros) < max(zeros):
+        return "utf-16-be" if zeros[0] > zeros[1] else "utf-16-le"
+    return "utf-8"
+
+
+def _texts(chunks: Iterator[bytes], errors: str) -> Iterator[str]:
+    """The text of chunks, whole up to MAX_LAYER characters, else in pieces; ends at bytes that can't be decoded."""
+    decoder, held, size = None, [], 0
+    try:
+        for chunk in chunks:
+            decoder = decoder or codecs.getincrementaldecoder(_encoding(chunk))(errors)
+            held.append(decoder.decode(chunk))
+            size += len(held[-1])
+            if size > MAX_LAYER:
+                text = "".join(held)
+                yield text
+                held, size = [text[-OVERLAP:]], OVERLAP
+        if decoder:
+            held.append(decoder.decode(b"", True))
+    except UnicodeDecodeError:
+        if errors == "strict":
+            return
+    if any(held):
+        yield "".join(held)
 
 
-def _unbase64(run: str, errors: str = "strict") -> str | None:
-    """The text in a base64 run (either alphabet, padding optional), inflated if compressed."""
+def _decoded(run: str, errors: str = "strict") -> Iterator[str]:
+    """The text in a base64 run (either alphabet, padding optional), inflated if compressed; in pieces if it is large."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
         if errors == "strict":
-            return None
+            return
         body = body[:-1]
     try:
         raw = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
-        return None
-    try:
-        return _inflate(raw).decode(errors=errors) or None
-    except UnicodeDecodeError:
-        return None
+        return
+    packed = False
+    for magic, make in _MAGIC:
+        if raw.startswith(magic):
+            for text in _texts(_inflated(raw, make), errors):
+                packed = True
+                yield text
+            break
+    if not packed:
+        plain = False
+        for text in _texts(iter([raw]), errors):
+            plain = True
+            yield text
+        if not plain or errors == "replace":  # nothing tells a raw deflate stream but that it inflates to text
+            yield from _texts(_inflated(raw, lambda: zlib.decompressobj(-zlib.MAX_WBITS)), "strict")
 
 
 def _blocks(lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -192,32 +268,36 @@ def _payloads(text: str) -> Iterator[tuple[int, int, str, str]]:
                 yield start + at, end, run[at:], "replace"
 
 
+def _inner(layer: Layer, large: list[int]) -> Iterator[Layer]:
+    """The layers right inside of one; large gets a number for each payload that comes in pieces."""
+    if "%" in layer.text and (found := _substituted(layer, _URL, _url)):
+        yield found
+    if "\\" in layer.text and (found := _substituted(layer, _UNICODE, _unicode)):
+        yield found
+    for start, end, run, errors in _payloads(layer.text):
+        for k, text in enumerate(_decoded(run, errors)):
+            if k == 1:
+                large.append(start)
+            yield Layer(text, layer, [(0, start, end, False)])
+
+
 def scan_layers(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
-    """Base spans, all spans (base ones and those of every decoded layer, mapped), and bombs."""
-    base = scan(text)
-    spans, work, seen, bombs = set(base), [Layer(text)], {(text, 0, len(text))}, 0
+    """Base spans, all spans (base ones and those of every decoded layer, mapped), and payloads scanned in pieces."""
+    base, large = scan(text), []
+    spans, seen = set(base), {(xxhash.xxh3_128_digest(text.encode()), 0, len(text))}
+    work = [_inner(Layer(text), large)]
     while work:
-        layer = work.pop()
-        inner = [_substituted(layer, _URL, _url)] if "%" in layer.text else []
-        inner += [_substituted(layer, _UNICODE, _unicode)] if "\\" in layer.text else []
-        for start, end, run, errors in _payloads(layer.text):
-            try:
-                plain = _unbase64(run, errors)
-            except Bomb:
-                bombs += 1
-                continue
-            if plain is not None:
-                inner.append(Layer(plain, layer, [(0, start, end, False)]))
-        for found in inner:
-            if found is None or not found.text:
-                continue
-            key = (found.text, *found.to_root(0, len(found.text)))
-            if key in seen:
-                continue
-            seen.add(key)
-            spans.update((*found.to_root(s, e), kind) for s, e, kind in scan(found.text))
-            work.append(found)
-    return base, list(spans), bombs
+        found = next(work[-1], None)
+        if found is None:
+            work.pop()
+            continue
+        key = (xxhash.xxh3_128_digest(found.text.encode(errors="surrogatepass")), *found.to_root(0, len(found.text)))
+        if not found.text or key in seen:
+            continue
+        seen.add(key)
+        spans.update((*found.to_root(s, e), kind) for s, e, kind in scan(found.text))
+        work.append(_inner(found, large))
+    return base, list(spans), len(large)
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
@@ -225,12 +305,12 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_bombs of every whole text."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_large of every whole text."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def row(doc_id, text: bytes | None) -> tuple:
-        base, spans, bombs = scan_layers(text.decode()) if text else ([], [], 0)
+        base, spans, large = scan_layers(text.decode()) if text else ([], [], 0)
         counts = [sum(k == kind for _, _, k in base) for kind in KINDS]
-        return doc_id, *counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), bombs
+        return doc_id, *counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans), large
 
-    return map_rows(docs, [id_col, text_col], f"{id_col} {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_bombs long", row, text_col)
+    return map_rows(docs, [id_col, text_col], f"{id_col} {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_large long", row, text_col)
