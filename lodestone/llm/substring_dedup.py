@@ -1,10 +1,12 @@
 """Substring dedup with a log-structured fingerprint index.
 
 The input comes in batches of ascending doc_id. Of each batch, window fingerprints go into a run: a
-table sorted by fingerprint within its partitions, never changed once written. A batch's own run is
-joined by merging with the runs of history; what meets there (or twice within the batch) is
+table of (fp, row) sorted by fingerprint within its partitions, never changed once written. A batch's own
+run is joined by merging with the runs of history; what meets there (or twice within the batch) is
 suspect. When FANOUT runs of a level have come together they are compacted into one of the next
-level that has each fingerprint once, so the index stays sorted, short of duplicates and of few runs.
+level, which later batches read instead. Runs live in a folder of the shared store and a manifest names
+those that count, so an index outlasts the session: remove_repeats() takes a new batch against all
+batches before it, and reads of their texts only those with a suspect.
 
 A window of WINDOW words is filed under its anchor, the GRAM-word run of least hash inside it: equal
 windows have equal anchors, neighbours mostly share one, so the index holds one entry for some seven
@@ -22,20 +24,22 @@ windows tell; empty tables give an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import as_bytes, bound_batches, discard, hashed_words, materialize
+from lodestone.llm.common import as_bytes, bound_batches, discard, hashed_words, materialize, scratch_root
 from lodestone.llm.near_dedup import _C
 
 WINDOW, GRAM = 20, 8
-BATCHES, FANOUT = 3, 2
+BATCHES, FANOUT = 3, 2  # the third batch reads the compacted runs of the first two
 SPAN = WINDOW - GRAM + 1  # anchors that a window can choose from
 
 
@@ -88,35 +92,63 @@ def _row_anchors(df: DataFrame) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Immutable sorted runs of fingerprints, by level; adding a batch tells which of its fingerprints were met before."""
-
-    def __init__(self):
-        self.levels: list[list[DataFrame]] = []
+    """Immutable sorted runs of fingerprints, by level, in a folder; adding a batch tells which of its fingerprints are suspect.
+
+    The folder holds runs and manifests, one for each change: the last manifest lists the runs that count. A manifest
+    is written after its runs and before others are deleted, so a job that dies leaves the index as it was.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        jvm = spark._jvm
+        self._at = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._at(path))
+        names = [x.getPath().getName() for x in self._fs.listStatus(self._at(path))]
+        made = sorted(int(x.split("-")[1]) for x in names if x.startswith("manifest-"))
+        self.version = made[-1] if made else 0
+        held = spark.read.json(f"{path}/manifest-{self.version}", "level int, name string").collect() if made else []
+        self.runs = [(r.level, r.name) for r in held]  # logarithmic in the number of batches
+
+    def read(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema("fp long, row long, twice boolean").parquet(*[f"{self.path}/{n}" for n in names])
+
+    def entries(self) -> DataFrame:
+        """fp, row, twice of all batches."""
+        return self.read([n for _, n in self.runs])
+
+    def _write(self, entries: DataFrame) -> str:
+        name = f"run-{uuid.uuid4().hex}"
+        entries.sortWithinPartitions("fp").write.parquet(f"{self.path}/{name}")
+        return name
+
+    def _commit(self, runs: list[tuple[int, str]]) -> None:
+        old = [n for _, n in self.runs if n not in {m for _, m in runs}]
+        self.spark.createDataFrame(runs, "level int, name string").coalesce(1).write.json(f"{self.path}/manifest-{self.version + 1}")
+        old += [f"manifest-{self.version}"] if self.version else []
+        self.runs, self.version = runs, self.version + 1
+        for name in old:
+            self._fs.delete(self._at(f"{self.path}/{name}"), True)
 
     def add(self, entries: DataFrame) -> DataFrame:
         """Suspect fingerprints (fp) of a batch's entries (fp, row, twice), which become a run."""
-        batch = materialize(entries.groupBy("fp").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).sortWithinPartitions("fp"), "index-run")
-        suspect = batch.where("n > 1 OR twice").select("fp")
-        for run in (r for level in self.levels for r in level):
-            suspect = suspect.unionByName(batch.select("fp").join(run.select("fp"), "fp", "left_semi"))
+        name = self._write(entries)
+        batch = self.read([name])
+        suspect = batch.groupBy("fp").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("fp")
+        for _, run in self.runs:
+            suspect = suspect.unionByName(batch.select("fp").join(self.read([run]).select("fp"), "fp", "left_semi"))
         suspect = materialize(suspect.distinct(), "index-suspect")
-        self._file(batch, 0)
+        self._commit([*self.runs, (0, name)])
+        level = 0
+        while len(full := [n for k, n in self.runs if k == level]) >= FANOUT:
+            # By place too, as one fingerprint may be any share of all.
+            merged = self._write(self.read(full).repartition("fp", F.pmod("row", F.lit(64))))
+            level += 1
+            self._commit([(k, n) for k, n in self.runs if n not in full] + [(level, merged)])
         return suspect
 
-    def _file(self, run: DataFrame, level: int) -> None:
-        if len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) > FANOUT:
-            runs, self.levels[level] = self.levels[level], []
-            union = runs[0].select("fp")
-            for other in runs[1:]:
-                union = union.unionByName(other.select("fp"))
-            self._file(materialize(union.distinct().sortWithinPartitions("fp"), "index-compacted"), level + 1)
-            discard(*runs)
-
     def drop(self) -> None:
-        discard(*(r for level in self.levels for r in level))
+        self._fs.delete(self._at(self.path), True)
 
 
 def _windows(df: DataFrame) -> DataFrame:
@@ -166,31 +198,20 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("row"), F.col(text_col).alias("text"))
 
 
-def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, at (for each version, starts of windows that occur earlier), gone (keys of texts that are later copies as a whole)."""
-    rows = _rows(docs, id_col, text_col)
+def _marks(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """row, at (for each version, starts of windows that occur earlier), gone (keys of texts that are later copies as a whole).
+
+    rows: row, text. met: fp, row, the suspects of each row.
+    """
     keys = materialize(_keys(rows).where("key IS NOT NULL"), "repeat-keys")
     firsts = materialize(keys.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last").select("key", "first"), "repeat-firsts")
     gone = materialize(keys.join(firsts, "key").where("row > first").groupBy("row").agg(F.collect_set("key").alias("gone")), "repeat-gone")
-    cuts = rows.agg(F.percentile_approx("row", [k / batches for k in range(1, batches)])).first()[0] or [] if batches > 1 else []
-    edges = [None, *sorted(set(cuts)), None]
-    index, suspects = FingerprintIndex(), None
-    for low, high in zip(edges, edges[1:]):
-        some = rows
-        if low is not None:
-            some = some.where(F.col("row") > low)
-        if high is not None:
-            some = some.where(F.col("row") <= high)
-        met = index.add(_row_anchors(some))
-        suspects = met if suspects is None else suspects.unionByName(met)
-    suspects = materialize(suspects.distinct(), "repeat-suspects")
-    index.drop()
-    met = _row_anchors(rows).join(suspects, "fp").groupBy("row").agg(F.collect_list("fp").alias("fps"))
+    lists = met.groupBy("row").agg(F.collect_list("fp").alias("fps"))
     # Documents of a single text that is gone are settled; of others, the texts that aren't gone are judged.
     settled = keys.groupBy("row").agg(F.count_distinct("key").alias("n")).join(gone, "row").where(F.col("n") == F.size("gone")).select("row")
-    lists = materialize(met.join(settled, "row", "left_anti").join(gone, "row", "left"), "repeat-lists")
+    lists = materialize(lists.join(settled, "row", "left_anti").join(gone, "row", "left"), "repeat-lists")
     windows = materialize(_windows(rows.join(lists, "row").select("row", "text", "fps", "gone")), "repeat-windows")
-    discard(keys, firsts, suspects, lists)
+    discard(keys, firsts, lists)
     # Verified on 128 bits of all words: the first place of each sequence that has several.
     place = F.struct("row", "at")
     least = materialize(windows.groupBy("w1", "w2").agg(F.min(place).alias("m"), F.max(place).alias("x")).where("m <> x").select("w1", "w2", "m"), "repeat-least")
@@ -201,6 +222,38 @@ def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id"
     return marks
 
 
+def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The marks of a whole table: an index is made of it batch by batch, and dropped."""
+    spark, rows = docs.sparkSession, _rows(docs, id_col, text_col)
+    cuts = rows.agg(F.percentile_approx("row", [k / batches for k in range(1, batches)])).first()[0] or [] if batches > 1 else []
+    edges = [None, *sorted(set(cuts)), None]
+    index, suspects = FingerprintIndex(spark, f"{scratch_root(spark)}/index-{uuid.uuid4().hex}"), []
+    for low, high in zip(edges, edges[1:]):
+        some = rows
+        if low is not None:
+            some = some.where(F.col("row") > low)
+        if high is not None:
+            some = some.where(F.col("row") <= high)
+        suspects.append(index.add(_row_anchors(some)))
+    met = materialize(index.entries().join(reduce(DataFrame.unionByName, suspects).distinct(), "fp").select("row", "fp"), "repeat-met")
+    discard(*suspects)
+    index.drop()
+    marks = _marks(rows, met)
+    discard(met)
+    return marks
+
+
+def remove_repeats(batch: DataFrame, before: DataFrame, index: FingerprintIndex, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """substring_duplicates() of a batch whose ids are above all those of before, the texts that index holds; index takes the batch in."""
+    rows = _rows(batch, id_col, text_col)
+    suspects = index.add(_row_anchors(rows))
+    met = materialize(index.entries().join(suspects, "fp").select("row", "fp"), "repeat-met")
+    both = rows.unionByName(_rows(before, id_col, text_col).join(met.select("row").distinct(), "row", "left_semi").select("row", "text"))
+    marks = _marks(both, met)
+    discard(suspects, met)
+    return _applied(rows, marks, texts, id_col)
+
+
 def _kept(words: list[bytes], at, gone: list[bytes] | None, key: bytes | None) -> list[bytes]:
     if gone and key in gone:
         return []
@@ -216,8 +269,11 @@ def _kept(words: list[bytes], at, gone: list[bytes] | None, key: bytes | None) -
 def substring_duplicates(docs: DataFrame, batches: int = BATCHES, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row; with texts, kept_text too."""
     bound_batches(docs.sparkSession)
-    marks = repeat_marks(docs, batches, id_col, text_col)
-    joined = _rows(docs, id_col, text_col).join(marks, "row", "left").select("row", "text", "at", "gone")
+    return _applied(_rows(docs, id_col, text_col), repeat_marks(docs, batches, id_col, text_col), texts, id_col)
+
+
+def _applied(rows: DataFrame, marks: DataFrame, texts: bool, id_col: str) -> DataFrame:
+    joined = rows.join(marks, "row", "left").select("row", "text", "at", "gone")
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:

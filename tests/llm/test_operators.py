@@ -321,8 +321,61 @@ def test_op6_layers():
     _, spans, _ = secret_scan.scan_layers(text)
     assert [text[s:e] for s, e, _ in spans] == [text]
     assert secret_scan.scan_layers("token=token:abcdefg")[1] == []
-    bomb = base64.b64encode(gzip.compress(b"a" * (secret_scan.MAX_LAYER + 10))).decode()
-    assert secret_scan.scan_layers(bomb)[2] == 1
+
+
+def test_op6_large_payloads_are_scanned_in_pieces(monkeypatch):
+    import base64
+    import bz2
+    import gzip
+
+    n = 1 << 21
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", n)
+    inner = base64.b64encode(b"token=zyxwvuts").decode()
+    for at in (0, n - 10, n + 6, 2 * n + 12346):
+        for secret in ("password = hunter2222", inner):
+            plain = ("a " * (3 * n // 2)).encode()
+            plain = plain[:at] + secret.encode() + plain[at:]
+            for pack in (gzip.compress, bz2.compress):
+                run = base64.b64encode(pack(plain)).decode()
+                assert secret_scan.scan_layers(f"x {run}")[1:] == ([(2, 2 + len(run), "assign")], 1), (at, secret)
+
+
+def _wrappers():
+    import base64
+    import bz2
+    import gzip
+    import lzma
+    import zlib
+    from urllib.parse import quote
+
+    import zstandard
+
+    raw = zlib.compressobj(9, zlib.DEFLATED, -15)
+    b64 = lambda b: base64.b64encode(b).decode()
+    deflate = lambda b, c=raw: (lambda d: d.compress(b) + d.flush())(c.copy())
+    return {
+        "url": lambda t: "".join(f"%{b:02X}" for b in t.encode()), "quote": lambda t: quote(t, safe="") + "%20", "unicode": lambda t: "".join(f"\\u{ord(c):04x}" if ord(c) < 65536 else "\\u{%x}" % ord(c) for c in t),
+        "pairs": lambda t: "".join("\\u" + t[i].encode("utf-16-be")[k : k + 2].hex() for i in range(len(t)) for k in range(0, 2 * len(t[i].encode("utf-16-be")) // 2, 2)),
+        "base64": lambda t: b64(t.encode()), "urlsafe": lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("="), "utf16": lambda t: b64(t.encode("utf-16")), "utf16le": lambda t: b64(t.encode("utf-16-le")),
+        "gzip": lambda t: b64(gzip.compress(t.encode())), "members": lambda t: b64(gzip.compress(t.encode()[:9]) + gzip.compress(t.encode()[9:])), "zlib": lambda t: b64(zlib.compress(t.encode())),
+        "deflate": lambda t: b64(deflate(t.encode())), "bz2": lambda t: b64(bz2.compress(t.encode())), "xz": lambda t: b64(lzma.compress(t.encode())), "zstd": lambda t: b64(zstandard.ZstdCompressor().compress(t.encode())),
+    }
+
+
+def test_op6_random_nestings():
+    """Whatever the nesting, the span of the outermost payload is found, and no kind that isn't there."""
+    import random
+
+    rng, wrappers = random.Random(12), _wrappers()
+    for trial in range(300):
+        kind, secret = rng.choice([("assign", "api_key: 'k-4711-aa'"), ("access", "AKIA" + "Q7" * 9), ("hex", "0f" * 13)])
+        text = f"note 😀 ü {secret} end" if kind != "access" else f"{secret} é"
+        chosen = [rng.choice(list(wrappers)) for _ in range(1 + trial % 4)]
+        for w in chosen:
+            text = wrappers[w](text)
+        whole = f"héad {text} tail"
+        spans = secret_scan.scan_layers(whole)[1]
+        assert any(k == kind and 5 <= s < e <= 5 + len(text) for s, e, k in spans), (chosen, spans)
 
 
 def test_op6_layers_with_unprintable_characters():
@@ -396,6 +449,24 @@ def test_op7(spark, local):
     assert substring_dedup.substring_duplicates(frame(spark, [])).count() == 0
 
 
+def test_op7_batches_in_sequence(spark, local, tmp_path):
+    """Batches against a stored index, opened anew for each, give what one call over all gives."""
+    schema, want = "doc_id long, text string", {r[0]: r for r in brute_repeats(local)}
+    ids = sorted(i for i, _ in local)
+    cuts, got = [0, 40, 41, 90, 120, 170, len(ids)], []
+    for a, b in zip(cuts, cuts[1:]):
+        low, high = ids[a], ids[b - 1]
+        batch = spark.createDataFrame([r for r in local if low <= r[0] <= high], schema)
+        before = spark.createDataFrame([r for r in local if r[0] < low], schema)
+        index = substring_dedup.FingerprintIndex(spark, str(tmp_path / "index"))
+        got += [tuple(r) for r in substring_dedup.remove_repeats(batch, before, index).collect()]
+        assert len(index.runs) <= 3
+    assert {r[0]: r for r in got} == want and len(got) == len(want)
+    assert index.entries().count() == index.read([n for _, n in index.runs]).dropDuplicates(["fp", "row"]).count()
+    empty = substring_dedup.remove_repeats(spark.createDataFrame([], schema), before, index)
+    assert empty.count() == 0
+
+
 def test_op7_repeats_inside_one_text(spark):
     phrase = " ".join(f"k{i}" for i in range(7))
     data = [(1, phrase + " " + phrase + " " + phrase + " " + phrase + " tail"), (2, "a " * 60), (3, None), (4, "b " * 19)]
