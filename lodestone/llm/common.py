@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -27,11 +30,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that the whole cluster shares: spark.checkpoint.dir, which must be set."""
+    """The folder that the whole cluster shares: spark.checkpoint.dir.
+
+    Only where that is unset and driver and executors are one process, a temporary folder serves until it ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if root:
+        return root
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return root
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="lodestone-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return _own[0]
+
+
+_own: list[str] = []
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -51,6 +65,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     out._scratch_path = path
+    _written.add(path)
     return out
 
 
@@ -66,9 +81,25 @@ def discard(*frames: DataFrame | None) -> None:
     for df in frames:
         path = getattr(df, "_scratch_path", None)
         if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            _delete(df.sparkSession, path)
+
+
+def materialize_alone(make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """materialize() what make returns, then delete the scratch tables that it left for its result to be read from."""
+    before = set(_written)
+    out = materialize(make(), tag)
+    for path in _written - before - {out._scratch_path}:
+        _delete(out.sparkSession, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _written.discard(path)
+
+
+_written: set[str] = set()  # scratch tables that exist
 
 
 def bound_batches(spark: SparkSession) -> None:

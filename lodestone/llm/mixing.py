@@ -105,6 +105,13 @@ def mixing_plan(units: DataFrame, entropy: float | None = None, max_repeats: flo
     return full
 
 
+def in_order(mix: DataFrame) -> DataFrame:
+    """The rows of mixed() in order of reading: by ranges of position, sorted within each, so that files written from it hold the permutation."""
+    spark = mix.sparkSession
+    order = [F.col("__mix.position"), F.xxhash64("__mix.block", *[c for c in mix.columns if c != "__mix"])]
+    return mix.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+
+
 def mixed(docs: DataFrame, entropy: float | None = None, max_repeats: float | None = None, budget: float | None = None, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The columns of docs, a row for each copy that the mix takes, and a struct __mix beside them.
 

@@ -6,7 +6,7 @@ and any of its readers can open. A row is a shard:
     part, seq        place of the shard: range partition of doc_id, then number within it
     part_offset      ids written in this partition before the shard
     n_ids, n_docs    sizes
-    first_id, last_id  range of doc_id (null: the shard starts with null ids)
+    first_id, last_id  least and greatest doc_id (first_id null: the shard holds null ids)
     payload          the raw ids, little-endian uint16 or uint32 by vocabulary size
     docs             doc_id as int64 and a null flag as uint8 per document, in payload order
     index            minimal perfect hash: levels of bits, then by hash slot the fingerprint (uint32)
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,12 +166,15 @@ def key_hash(doc_ids: np.ndarray, nulls: np.ndarray, occurrence: np.ndarray) ->
 
 
 def occurrences(doc_ids: np.ndarray, nulls: np.ndarray) -> np.ndarray:
-    """0, 1, 2... within runs of equal keys (the ids are sorted)."""
-    n = len(doc_ids)
-    new = np.ones(n, bool)
-    new[1:] = (doc_ids[1:] != doc_ids[:-1]) | (nulls[1:] != nulls[:-1])
+    """0, 1, 2... for the rows of equal keys, in order."""
+    order = np.lexsort((doc_ids, nulls))
+    ids, none = doc_ids[order], nulls[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (none[1:] != none[:-1])
     starts = np.flatnonzero(new)
-    return np.arange(n) - np.repeat(starts, np.diff([*starts, n]))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.arange(len(order)) - np.repeat(starts, np.diff([*starts, len(order)]))
+    return out
 
 
 def build_index(hashes: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
@@ -227,14 +231,16 @@ def _shard(part: int, seq: int, offset: int, ids: list, payload: list[bytes], wi
     size = np.array([len(p) // width for p in payload], np.int64)
     first = np.cumsum(size) - size
     index = build_index(key_hash(keys, nulls, occurrences(keys, nulls)), first, size)
-    return part, seq, offset, int(size.sum()), len(ids), ids[0], ids[-1], b"".join(payload), keys.tobytes() + nulls.tobytes(), index
+    return part, seq, offset, int(size.sum()), len(ids), None if nulls.any() else int(keys.min()), int(keys[nulls == 0].max()) if not nulls.all() else None, b"".join(payload), keys.tobytes() + nulls.tobytes(), index
 
 
-def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text", as_stored: bool = False) -> None:
     """Encode every whole text, append end_id, and write the shards to path in ascending doc_id order.
 
     The one shuffle is by ranges of doc_id. Rows of one repeated id may be any share of the table:
     the row's place in the scan breaks ties, so that such rows spread over several ranges too.
+    With as_stored the order is that of the rows in the files that docs are read from (by file name, then
+    row), such as a mix was written in; rows that come from no files are in order of doc_id again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,9 +270,16 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
 
     spark = docs.sparkSession
     bound_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), F.monotonically_increasing_id().alias("tie"))
+    row = [F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.asc_nulls_first("k"), "tie").sortWithinPartitions(F.asc_nulls_first("k"), "tie")
+    rows, order = docs.select(*row, F.monotonically_increasing_id().alias("tie")), [F.asc_nulls_first("k"), F.col("tie")]
+    if as_stored:
+        try:
+            rows = docs.select(*row, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("tie"))
+            order = [F.col("file"), F.col("tie")]
+        except AnalysisException:  # docs aren't read from files
+            pass
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     dealt.select("k", "t").mapInArrow(run, SHARD_SCHEMA).write.mode("overwrite").parquet(path)
 
 

@@ -107,6 +107,24 @@ def test_op2_edge(spark):
     assert quality_model.quality_scores(frame(spark, []), none).count() == 0
 
 
+def test_op2_scores_as_trees_walked_one_by_one(spark, docs, local):
+    forest = quality_model.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    data = [*local, *pairs(rows())]
+    got = quality_model.quality_scores(spark.createDataFrame(data, "doc_id long, text string"), forest).collect()
+
+    def score(text):
+        x, total = quality_model.statistics(None if text is None else text.encode()), forest.start
+        for t in range(len(forest.feature)):
+            node = 0
+            while forest.feature[t][node] >= 0:
+                node = forest.left[t][node] if x[forest.feature[t][node]] <= forest.threshold[t][node] else forest.right[t][node]
+            total += forest.value[t][node]
+        return round(1 / (1 + np.exp(-total)), 9)
+
+    want = Counter((i, i is not None and zlib.crc32(str(i).encode()) % 3 == 1, s := score(t), int(s >= 0.5)) for i, t in data)
+    assert Counter((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in got) == want and len({w[2] for w in want}) > 20
+
+
 def test_op2_flat_trees_fit():
     rng = np.random.default_rng(3)
     x = rng.random((2000, 5))
@@ -136,6 +154,46 @@ def test_op3_repetition_limit_and_budget(docs):
     assert (whole == 1).all()
 
 
+def brute_mix(spark, units, plan):
+    """How often each unit (hash, source, block, tokens) is taken: whole epochs, then blocks of the next permutation, then rows of the cut block by hash."""
+    taken = Counter()
+    for source in {u.source for u in units}:
+        mine = [u for u in units if u.source == source]
+        p = next(r for r in plan if r.source == source)
+        epochs, total = int(p.repeats + 1e-9), sum(u.n_tokens for u in mine)
+        quota = max(p.repeats - epochs, 0) * total if p.repeats - epochs >= 1e-9 else 0
+        blocks = Counter()
+        for u in mine:
+            blocks[u.block] += u.n_tokens
+        frame = spark.createDataFrame([(source, epochs, b) for b in blocks], "source string, epochs int, block int")
+        order = [r.block for r in frame.orderBy(mixing._order(1, "source", "epochs", "block"), "block").collect()]
+        extra, left = set(), quota
+        for b in order if quota else []:
+            inside = sorted((u for u in mine if u.block == b), key=lambda u: u.h)
+            if blocks[b] <= left:
+                extra |= {u.h for u in inside}
+                left -= blocks[b]
+                continue
+            for h in sorted({u.h for u in inside}):
+                left -= sum(u.n_tokens for u in inside if u.h == h)
+                if left < 0:
+                    break
+                extra.add(h)
+            break
+        for u in mine:
+            taken[u.source, u.h] += epochs + (u.h in extra)
+    return +taken
+
+
+def test_op3_takes_what_brute_force_takes(spark, docs):
+    for data, options in ((docs, {"max_repeats": 2.0}), (docs, {"entropy": 0.999, "budget": 50_000.0}), (frame(spark), {"max_repeats": 3.0})):
+        base = data.select("doc_id", "text", "source")
+        units = mixing._rows(base, "doc_id", "text", "source")
+        plan = mixing.mixing_plan(units, options.get("entropy"), options.get("max_repeats"), options.get("budget")).collect()
+        got = mixing.mixed(base, **options).select("source", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h")).collect()
+        assert Counter((r.source, r.h) for r in got) == brute_mix(spark, units.collect(), plan)
+
+
 def test_op3_entropy(docs):
     got = mixing.mixed(docs.select("doc_id", "text", "source"), entropy=0.999, budget=50_000.0).select("source", "__mix.*").toPandas()
     w = got.groupby("source").weight.first()
@@ -274,6 +332,41 @@ def test_op5_chains_within_one_bucket(spark):
     assert Counter(map(tuple, got.collect())) == Counter(brute_near(data, 85))
 
 
+def test_op5_block_tasks(spark, local, monkeypatch):
+    """Buckets of many blocks give what whole buckets give."""
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 3)
+    got = near_dedup.near_duplicates(spark.createDataFrame(local, "doc_id long, text string"), 60)
+    want = near_dedup.near_duplicates(spark.createDataFrame(local, "doc_id long, text string"), 60).collect()
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want))
+    import random
+
+    rng, data = random.Random(4), []
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    for i in range(80):  # copies of one text, of which some are linked to each other alone
+        copy = list(words)
+        for _ in range(rng.randrange(1, 5)):
+            copy[rng.randrange(120)] = f"w{rng.randrange(10**6)}"
+        data.append((i, " ".join(copy)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 85)
+    assert Counter(map(tuple, got.collect())) == Counter(brute_near(data, 85))
+
+
+def test_components(spark):
+    import random
+
+    from lodestone.llm.components import components
+
+    rng = random.Random(1)
+    cases = [[], [(1, 1), (None, 3)], [(1, 2), (2, 1), (1, 2)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 200)] + [(200, i) for i in range(199, 220)], [(rng.randrange(60), rng.randrange(60)) for _ in range(50)]]
+    for links in cases:
+        root = {x: x for a, b in links if None not in (a, b) and a != b for x in (a, b)}
+        for _ in root:
+            for a, b in links:
+                if a in root and b in root:
+                    root[a] = root[b] = min(root[a], root[b])
+        assert {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == root
+
+
 # -- 6
 
 
@@ -510,6 +603,20 @@ def test_op8_edge(spark):
     assert sharding.assign_shards(frame(spark, []), 1000).count() == 0
 
 
+def test_op8_splits_as_sql_does(spark):
+    """A limit under which most buckets split many times; the SQL counterpart at the same limit."""
+    import duckdb
+
+    from lodestone.llm import oracle
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for limit in (4000, 20_000, 100_000):
+        got = sharding.assign_shards(spark.read.parquet(f"{SF}/documents.parquet"), limit)
+        want = con.sql(oracle.OP8.replace(str(queries.SHARD_LIMIT), str(limit))).project(", ".join(got.columns)).fetchall()
+        assert Counter(map(tuple, got.collect())) == Counter(want) and len({w[1] for w in want}) > 3
+
+
 def test_op8_hot_key(spark):
     same = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("x" * 50).alias("text"))
     got = sharding.assign_shards(same, 1000).toPandas()
