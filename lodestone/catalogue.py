@@ -204,7 +204,7 @@ def license_all(spark, sf_dir):
 def license_dict_conflicts(spark, sf_dir):
     d = D.license_dictionary(spark)
     a, b = d.select(F.col("ord").alias("inner_ord"), F.col("spdx_id").alias("i"), F.col("phrase").alias("p")), d.select(F.col("ord").alias("outer_ord"), F.col("spdx_id").alias("o"), "phrase")
-    return a.join(F.broadcast(b), (F.col("i") != F.col("o")) & F.contains("phrase", F.col("p"))).select("inner_ord", "outer_ord")
+    return a.join(b, (F.col("i") != F.col("o")) & F.contains("phrase", F.col("p"))).select("inner_ord", "outer_ord")
 
 
 @query(f"{W}, {licenses_cte()} SELECT component, spdx_id, count(*) AS n FROM lic JOIN (SELECT doc_id, component FROM src) USING (doc_id) GROUP BY ALL")
@@ -620,9 +620,23 @@ def wfp_ignored(spark, sf_dir):
     return fingerprint.without_denied(w, denied).select("wfp", "file_id", "line")
 
 
-@query("SELECT doc_id, CAST(least(doc_id * 700, 65535) AS INT) AS line FROM documents")
+@query(f"WITH {WFP.replace('FROM documents', "FROM (SELECT doc_id, repeat(chr(10), 65530) || text AS text FROM documents WHERE doc_id % 50 = 0)")} SELECT doc_id AS file_id, wfp, CAST(least(line, 65535) AS INT) AS line FROM wfps")
 def wfp_line_saturate(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.least(F.col("doc_id") * 700, F.lit(V.MAX_LINE_NUMBER)).cast("int").alias("line"))
+    """Texts that start on a line near the largest; the query set of snippet_match."""
+    late = table(spark, sf_dir, "documents").where("doc_id % 50 = 0").select(F.col("doc_id").alias("file_id"), F.concat(F.repeat(F.lit("\n"), F.lit(65530)), "text").alias("text"))
+    return fingerprint.fingerprints(late, hash_name="md5")
+
+
+@query(f"{W.replace('FROM src)', 'FROM src)')}, stored AS (SELECT DISTINCT file_id, text FROM v), {WFP.replace('SELECT doc_id, ' + masked('text') + ' AS b FROM documents', 'SELECT file_id AS doc_id, ' + masked('text') + ' AS b FROM stored')} SELECT doc_id AS file_id, wfp, min(line) AS line FROM wfps GROUP BY ALL")
+def archive_fingerprints(spark, sf_dir):
+    return fingerprint.first_lines(fingerprint.fingerprints(_stored(spark, sf_dir), hash_name="md5", text_col="content"))
+
+
+@query(f"{W}, {FILES}, {COMPONENTS} SELECT DISTINCT file_id, url_id, component, version, purl FROM files JOIN comp USING (url_id) WHERE file_id < '2'")
+def file_urls(spark, sf_dir):
+    files = file_table(spark, sf_dir)
+    urls = components(spark, sf_dir).select("url_id", "component", "version", "purl")
+    return mining.urls_of_files(files.where("file_id < '2'"), files.select("url_id", "file_id").distinct(), urls)
 
 
 @query(f"WITH {WFP}, pair AS (SELECT DISTINCT q.doc_id AS query_id, k.doc_id AS file_id, q.wfp FROM wfps q JOIN wfps k ON q.wfp = k.wfp WHERE q.doc_id % 50 = 0) SELECT query_id, file_id, count(*) AS hits FROM pair GROUP BY ALL")

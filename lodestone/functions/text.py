@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 
 def byte_view(text: Column) -> Column:
-    return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    """A character for each byte of a text, or of a binary column as it is."""
+    return F.decode(text.cast("binary"), "ISO-8859-1")
 
 
 def from_byte_view(view: Column) -> Column:
-    return F.decode(F.encode(view, "ISO-8859-1"), "UTF-8")
+    """The text whose bytes these are: UTF-8, of which the end may cut a character, or else Latin-1."""
+    whole = F.encode(F.regexp_replace(view, "[\u00C2-\u00F4][\u0080-\u00BF]{0,2}$", ""), "ISO-8859-1").cast("string")
+    text = F.encode(view, "ISO-8859-1").cast("string")
+    return F.when(F.is_valid_utf8(text), text).when(F.is_valid_utf8(whole), F.make_valid_utf8(text)).otherwise(view)
 
 
 def lower_ascii(view: Column) -> Column:

@@ -11,15 +11,12 @@ from lodestone.functions.text import byte_view
 
 
 def intact(file_id, content):
-    """The last 14 bytes of the id are those of the content's MD5."""
-    return F.substring(F.md5(content), 5, 28) == F.substring(file_id, 5, 28)
+    """The last 14 bytes of the id are those of the content's MD5; a content that can't be read is none."""
+    return F.coalesce(F.substring(F.md5(content.cast("binary")), 5, 28) == F.substring(file_id, 5, 28), F.lit(False))
 
 
-def verdicts(archive: DataFrame, excluded: DataFrame | None = None, known_files: DataFrame | None = None) -> DataFrame:
-    """file_id, content, verdict: corrupted, small, square, header, duplicate, excluded, orphan or keep.
-
-    Only rows that pass the first four can be duplicates; one row of each id stays.
-    """
+def _first(archive: DataFrame) -> DataFrame:
+    """The rows of archive with first: corrupted, small, square, header or null."""
     view = byte_view(F.col("content"))
     first = (
         F.when(~intact(F.col("file_id"), F.col("content")), "corrupted")
@@ -27,30 +24,39 @@ def verdicts(archive: DataFrame, excluded: DataFrame | None = None, known_files:
         .when(P.too_square(view), "square")
         .when(P.unwanted_start(view), "header")
     )
-    judged = archive.select("file_id", "content", first.alias("first"))
-    bad = judged.where("first IS NOT NULL").select("file_id", "content", F.col("first").alias("verdict"))
-    # Rows of one id have one content here, so their number and any one of them say it all.
-    good = judged.where("first IS NULL").groupBy("file_id").agg(F.first("content").alias("content"), F.count("*").alias("n"))
+    return archive.select("file_id", "content", first.alias("first"))
+
+
+def verdicts(archive: DataFrame, excluded: DataFrame | None = None, known_files: DataFrame | None = None) -> DataFrame:
+    """file_id, verdict of every row: corrupted, small, square, header, duplicate, excluded, orphan or keep.
+
+    Only rows that pass the first four can be duplicates; one row of each id stays. One pass over the contents, of which
+    none is shuffled: rows of one id and verdict are counted where they are read.
+    """
+    counted = _first(archive).groupBy("file_id", "first").agg(F.count("*").alias("n"))
     fate = F.lit("keep")
     if known_files is not None:
-        known = known_files.select("file_id").distinct().withColumn("known", F.lit(True))
-        good = good.join(known, "file_id", "left")
+        counted = counted.join(known_files.select("file_id").distinct().withColumn("known", F.lit(True)), "file_id", "left")
         fate = F.when(F.col("known").isNull(), "orphan").otherwise(fate)
     if excluded is not None:
-        out = excluded.select("file_id").distinct().withColumn("out", F.lit(True))
-        good = good.join(out, "file_id", "left")
+        counted = counted.join(excluded.select("file_id").distinct().withColumn("out", F.lit(True)), "file_id", "left")
         fate = F.when(F.col("out"), "excluded").otherwise(fate)
-    kept = good.select("file_id", "content", fate.alias("verdict"))
-    again = good.where("n > 1").select("file_id", "content", F.explode(F.sequence(F.lit(2), "n")).alias("k")).select("file_id", "content", F.lit("duplicate").alias("verdict"))
-    return bad.unionByName(kept).unionByName(again)
+    each = counted.select("file_id", "first", fate.alias("fate"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
+    return each.select("file_id", F.coalesce("first", F.when(F.col("k") == 1, F.col("fate")).otherwise("duplicate")).alias("verdict"))
 
 
 def report(judged: DataFrame) -> DataFrame:
     return judged.groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-def optimised(archive: DataFrame, **others) -> DataFrame:
-    return verdicts(archive, **others).where("verdict = 'keep'").select("file_id", "content")
+def optimised(archive: DataFrame, excluded: DataFrame | None = None, known_files: DataFrame | None = None) -> DataFrame:
+    """The rows that stay. Rows of one id have one content here, so any of them will do."""
+    good = _first(archive).where("first IS NULL").select("file_id", "content")
+    if known_files is not None:
+        good = known(good, known_files)
+    if excluded is not None:
+        good = without(good, excluded)
+    return good.dropDuplicates(["file_id"])
 
 
 def unique(archive: DataFrame) -> DataFrame:

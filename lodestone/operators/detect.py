@@ -6,7 +6,8 @@ a check of their size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
@@ -14,13 +15,14 @@ from lodestone.functions.dictionaries import first_keywords
 from lodestone.functions.text import byte_view, count_alnum, count_char, count_marks, from_byte_view, lower_ascii, normalised
 
 TAG = "spdx-license-identifier:"
-MAX_LITERAL = 20_000  # entries of a dictionary that may become a literal
+MAX_ENTRIES = 20_000  # of a dictionary, which goes to every task
+MAX_LITERAL = 64  # wordings that are searched for one by one in the plan; more of them by an automaton
 
 
 def _entries(dictionary: DataFrame, order: str = "ord") -> list:
-    rows = dictionary.orderBy(order).limit(MAX_LITERAL + 1).collect()
-    if len(rows) > MAX_LITERAL:
-        raise ValueError(f"a dictionary of over {MAX_LITERAL} entries; split it")
+    rows = dictionary.orderBy(order).limit(MAX_ENTRIES + 1).collect()
+    if len(rows) > MAX_ENTRIES:
+        raise ValueError(f"a dictionary of over {MAX_ENTRIES} entries; split it")
     return rows
 
 
@@ -39,10 +41,32 @@ def license_text(view: Column, dictionary: DataFrame) -> Column:
     if not entries:
         return F.lit(None).cast("string")
     head = F.substring(normalised(view, V.HEADER - 1), 1, V.MAX_LICENSE - 1)
+    if len(entries) > MAX_LITERAL:
+        return _first_wording(dictionary.sparkSession, entries)(head)
     found = [F.when(F.instr(head, r.phrase) > 0, F.struct(F.instr(head, r.phrase).alias("at"), F.lit(r.ord).alias("ord"), F.lit(r.spdx_id).alias("id"))) for r in entries]
     return F.array_min(F.array(*found))["id"]
 
 
+def _first_wording(spark: SparkSession, entries: list):
+    """The same by one walk over each header, with an automaton of all wordings."""
+    sent, made = spark.sparkContext.broadcast([(r.phrase, r.ord, r.spdx_id) for r in entries]), []
+
+    @F.arrow_udf("string")
+    def found(heads: pa.Array) -> pa.Array:
+        import ahocorasick
+
+        if not made:
+            made.append(ahocorasick.Automaton())
+            for phrase, order, spdx_id in sent.value:
+                if phrase not in made[0]:
+                    made[0].add_word(phrase, (len(phrase), order, spdx_id))
+            made[0].make_automaton()
+        least = lambda head: min(((end - n, order, spdx_id) for end, (n, order, spdx_id) in made[0].iter(head)), default=(0, 0, None))[2]
+        return pa.array([least(h) if h else None for h in heads.to_pylist()], pa.string())
+
+    return found
+
+
 def licenses(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text", license_file: bool = False) -> DataFrame:
     """id, source, spdx_id: the tag's ids (source 1), or else the header's wording (2); 3 for license files."""
     view = files.select(F.col(id_col).alias("id"), byte_view(F.col(text_col)).alias("b"))
@@ -76,7 +100,9 @@ def copyright_statement(view: Column) -> Column:
             fits = (F.length(z["line"]) - p + 1 <= V.MAX_COPYRIGHT) & (count_alnum(after) >= V.MIN_COPYRIGHT_ALNUM) & (count_marks(after) <= V.MAX_COPYRIGHT_MARKS)
             return F.coalesce(size.isNotNull() & fits & (z["start"] + p <= limit), F.lit(False))
 
-        places = F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1)))
+        # Only places where a mark starts: the line is cut before each, and lengths add up.
+        parts = F.split(low, r"(?=\(c\)|copyright|@author)", -1)
+        places = F.transform(parts, lambda x, i: F.aggregate(F.slice(parts, F.lit(1), i), F.lit(1), lambda a, y: a + F.length(y)))
         first = F.array_min(F.filter(places, acceptable))
         return F.when(first.isNotNull(), F.substring(z["line"], first, F.lit(V.MAX_COPYRIGHT)))
 

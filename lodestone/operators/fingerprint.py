@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,20 +17,38 @@ from lodestone.functions.text import byte_view
 GRAM, WINDOW = 30, 64
 
 
-def gram_md5(grams: list[bytes]) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.md5(g).digest()[:4], "big") for g in grams], np.int64)
+def gram_md5(plain: bytes, gram: int) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.md5(plain[i : i + gram]).digest()[:4], "big") for i in range(len(plain) - gram + 1)], np.int64)
 
 
-def gram_crc32(grams: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, grams), np.int64, len(grams))
+def _crc_table(polynomial: int) -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & np.uint32(1), np.uint32(polynomial), np.uint32(0))
+    return table
 
 
-HASHES: dict[str, Callable[[list[bytes]], np.ndarray]] = {"md5": gram_md5, "crc32": gram_crc32}
+def _gram_crc(table: np.ndarray) -> Callable[[bytes, int], np.ndarray]:
+    """A cyclic redundancy check of every gram at once, a byte of all grams at a time."""
+
+    def hashes(plain: bytes, gram: int) -> np.ndarray:
+        raw = np.frombuffer(plain, np.uint8)
+        n = len(raw) - gram + 1
+        crc = np.full(n, 0xFFFFFFFF, np.uint32)
+        for k in range(gram):
+            crc = table[(crc ^ raw[k : k + n]) & np.uint32(0xFF)] ^ (crc >> np.uint32(8))
+        return (crc ^ np.uint32(0xFFFFFFFF)).astype(np.int64)
+
+    return hashes
+
+
+#: By name: of the text's letters and digits and the gram's size, a hash of each gram. Reflected polynomials.
+HASHES: dict[str, Callable[[bytes, int], np.ndarray]] = {"md5": gram_md5, "crc32": _gram_crc(_crc_table(0xEDB88320)), "crc32c": _gram_crc(_crc_table(0x82F63B78))}
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _OTHERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b).isalnum())
 
 
-def winnow(text: bytes, gram: int, window: int, hashes: Callable[[list[bytes]], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def winnow(text: bytes, gram: int, window: int, hashes: Callable[[bytes, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of a text and the lines (from 1, saturating) where their grams start."""
     plain = text.translate(_FOLD, _OTHERS)
     n = len(plain) - gram + 1
@@ -41,10 +58,13 @@ def winnow(text: bytes, gram: int, window: int, hashes: Callable[[list[bytes]],
     keep = np.ones(256, bool)
     keep[list(_OTHERS)] = False
     lines = (1 + np.cumsum(raw == 10))[keep[raw]]
-    h = hashes([plain[i : i + gram] for i in range(n)])
+    h = hashes(plain, gram)
     # The rightmost of the least: places count down, so the greater place is the lesser key.
     key = (h << 31) | ((1 << 31) - 1 - np.arange(n))
-    least = np.lib.stride_tricks.sliding_window_view(key, window).min(1)
+    least, width = key, 1
+    while 2 * width <= window:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    least = np.minimum(least[: len(least) - (window - width)], least[window - width :])
     moved = np.append(True, least[1:] != least[:-1])
     at = (1 << 31) - 1 - (least[moved] & ((1 << 31) - 1))
     return h[at], np.minimum(lines[at], V.MAX_LINE_NUMBER)

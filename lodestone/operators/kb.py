@@ -21,11 +21,11 @@ def admissible(lines: DataFrame, n_fields: int, line: str = "line") -> DataFrame
     return lines.where((size >= 32 + n_fields + 1) & (size <= V.MAX_CSV_LINE))
 
 
-def with_fields(lines: DataFrame, table: str, line: str = "line") -> DataFrame:
-    """Lines that have a table's number of fields, split into its columns."""
+def with_fields(lines: DataFrame, table: str, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Lines that have a table's number of fields, split into its columns; columns to keep ride along."""
     names = V.TABLES[table]
     kept = lines.where(P.has_fields(F.col(line), len(names)))
-    return kept.select(*[field(F.col(line), i + 1).alias(n) for i, n in enumerate(names)])
+    return kept.select(*[field(F.col(line), i + 1).alias(n) for i, n in enumerate(names)], *keep)
 
 
 def decoded_key(key, shard=None):
@@ -73,9 +73,10 @@ def merge(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def write_table(table: DataFrame, path: str, key: str, overwrite: bool = False) -> None:
-    """Write by the first byte of the key (256 folders), sorted by key."""
+    """Write by the first byte of the key (256 folders), sorted by key; a folder gets as many tasks and files as there are shuffle partitions for it."""
     sharded = table.withColumn("p", F.substring(key, 1, 2))
-    sharded.repartition("p").sortWithinPartitions("p", key).write.mode("overwrite" if overwrite else "append").partitionBy("p").parquet(path)
+    n = max(256, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sharded.repartition(n, "p", F.pmod(F.xxhash64(key), F.lit(n // 256))).sortWithinPartitions("p", key).write.mode("overwrite" if overwrite else "append").partitionBy("p").parquet(path)
 
 
 def shard_histogram(table: DataFrame, key: str) -> DataFrame:

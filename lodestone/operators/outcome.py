@@ -19,7 +19,7 @@ def outcome(path: Column, view: Column, file_id: Column, all_extensions: bool =
     if not all_extensions:
         chain = chain.when(P.ignored_ending(path), extra("ignored_ending"))
     chain = chain.when(P.unwanted_path(path), extra("ignored_path"))
-    chain = chain.when(F.length(view) < least, F.lit("too_small")).when(P.denied_file(file_id), F.lit("denied"))
+    chain = chain.when(F.coalesce(F.length(view), F.lit(0)) < least, F.lit("too_small")).when(P.denied_file(file_id), F.lit("denied"))
     return chain.when(P.is_binary(view), F.lit("binary")).when(P.unarchived_ending(path), F.lit("not_archived")).otherwise(F.lit("accepted"))
 
 

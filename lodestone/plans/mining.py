@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from lodestone.functions.dictionaries import crypto_dictionary, license_dictiona
 from lodestone.functions.text import basename, byte_view, purl_id, version_id
 from lodestone.operators import detect, fingerprint, kb
 from lodestone.operators.outcome import ARCHIVED, LISTED, MINED, outcome
+from lodestone.sources import readers
 
 
 def component(spark: SparkSession, metadata: str, download_url: str = "", archive_id: str | None = None) -> DataFrame:
@@ -27,13 +29,18 @@ def with_ids(components: DataFrame) -> DataFrame:
 
 
 def judged(files: DataFrame, all_extensions: bool = False, keep_rejected: bool = False, least: int = V.MIN_FILE) -> DataFrame:
-    """files (url_id, path, text) with file_id and outcome."""
-    marked = files.withColumn("file_id", F.md5("text"))
+    """files (url_id, path, text) with file_id and outcome; a null text is an empty file."""
+    empty = F.lit("").cast(files.schema["text"].dataType)
+    marked = files.withColumn("text", F.coalesce("text", empty)).withColumn("file_id", F.md5(F.col("text").cast("binary")))
     return marked.withColumn("outcome", outcome(F.col("path"), byte_view(F.col("text")), F.col("file_id"), all_extensions, keep_rejected, least))
 
 
 def mine(files: DataFrame, components: DataFrame, licenses: DataFrame | None = None, crypto: DataFrame | None = None, **options) -> dict[str, DataFrame]:
-    """Every table of the knowledge base, from files (url_id, path, text) and their components."""
+    """Every table of the knowledge base, from files (url_id, path, text) and their components.
+
+    text is a string or the bytes of a file. Detectors work before repeated files are dropped, as facts are small and
+    texts are not: only the tables that store contents shuffle these.
+    """
     spark = files.sparkSession
     licenses = license_dictionary(spark) if licenses is None else licenses
     crypto = crypto_dictionary(spark) if crypto is None else crypto
@@ -45,20 +52,19 @@ def mine(files: DataFrame, components: DataFrame, licenses: DataFrame | None = N
     notices = notices.join(ids, F.col("url_id") == F.col("url_")).where("purl_id IS NOT NULL")
     root = all_.where(~F.contains("path", F.lit("/")) & P.license_name(basename(F.col("path")))).join(ids, F.col("url_id") == F.col("url_")).where("version_id IS NOT NULL")
     facts = ["id", "source", "spdx_id"]
-    # "file" rows are distinct by content, so each detector sees a file's text once.
-    texts = mined.dropDuplicates(["file_id"])
+    archived = all_.where(F.col("outcome").isin(*ARCHIVED))
     return {
         "url": components.select(*V.TABLES["url"]),
         "file": listed.select("file_id", "url_id", P.first_comma_replaced(F.col("path")).alias("path")),
         "pivot": listed.select("url_id", "file_id").distinct(),
-        "license": detect.licenses(texts, licenses, "file_id").select(*facts).unionByName(detect.licenses(root, licenses, "version_id", license_file=True).select(*facts)).unionByName(detect.declared_licenses(components).select(*facts)),
-        "copyright": detect.copyrights(texts, "file_id").unionByName(detect.copyrights(notices, "purl_id", source=2)),
-        "cryptography": detect.algorithms(texts, crypto, "file_id"),
-        "quality": detect.quality(texts, "file_id"),
+        "license": detect.licenses(mined, licenses, "file_id").select(*facts).distinct().unionByName(detect.licenses(root, licenses, "version_id", license_file=True).select(*facts)).unionByName(detect.declared_licenses(components).select(*facts)),
+        "copyright": detect.copyrights(mined, "file_id").distinct().unionByName(detect.copyrights(notices, "purl_id", source=2)),
+        "cryptography": detect.algorithms(mined, crypto, "file_id").distinct(),
+        "quality": detect.quality(mined, "file_id").distinct(),
         "attribution": notices.select("purl_id", F.col("file_id").alias("notice_id")).distinct(),
-        "sources": all_.where(F.col("outcome").isin(*ARCHIVED)).select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
+        "sources": archived.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
         "notices": notices.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
-        "wfp": fingerprint.first_lines(fingerprint.fingerprints(all_.where(F.col("outcome").isin(*ARCHIVED)).dropDuplicates(["file_id"]))),
+        "wfp": fingerprint.first_lines(fingerprint.fingerprints(archived)),
         "extra_file": extra.select("file_id", "url_id", "path"),
         "extra_sources": extra.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
     }
@@ -74,6 +80,81 @@ def save(tables: dict[str, DataFrame], path: str, only: list[str] | None = None,
             kb.write_table(table, f"{path}/{name}", KEYS[name], overwrite)
 
 
+def files_of(members: DataFrame) -> DataFrame:
+    """Members of unpacked archives (archive_id, path, content) as files to mine, byte for byte."""
+    return members.select(F.col("archive_id").alias("url_id"), "path", F.col("content").alias("text"))
+
+
+def load(spark: SparkSession, mined: str, path: str, tables: list[str] | None = None, overwrite: bool = False) -> list[str]:
+    """Load a dataset of text tables (a folder for each) into a knowledge base; the names of those that were there.
+
+    Lines of another length or number of fields are left out, repeated rows too; file, pivot and purl have rules of their own.
+    """
+    done = []
+    for name in tables or list(V.TABLES):
+        lines = read_table(spark, f"{mined}/{name}")
+        if lines is None:
+            continue
+        if name == "file":
+            rows = kb.load_files(lines)
+        elif name == "pivot":
+            rows = kb.load_pivot(lines)
+        elif name == "purl":
+            rows, related = kb.load_purl(kb.admissible(lines, 2))
+            kb.write_table(related.distinct(), f"{path}/purl_related", "purl_id", overwrite)
+        else:
+            key = V.TABLES[name][0]
+            rows = kb.with_fields(kb.admissible(lines, len(V.TABLES[name])), name, keep=("shard",)).withColumn(key, kb.decoded_key(F.col(key), F.col("shard")))
+        kb.write_table(rows.drop("shard").distinct(), f"{path}/{name}", KEYS.get(name, V.TABLES[name][0]), overwrite)
+        done.append(name)
+    return done
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return readers.read_lines(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def merge(spark: SparkSession, source: str, target: str, out: str) -> list[str]:
+    """Merge two knowledge bases into a third: every table of either, each row once; the names of the tables.
+
+    All tables are compared before anything is written; tables of different columns can't be merged.
+    """
+    found: dict[str, list[DataFrame]] = {}
+    for root in (source, target):
+        for name in (*KEYS, "dependency", "purl", "purl_related", "vulnerability"):
+            try:
+                found.setdefault(name, []).append(spark.read.parquet(f"{root}/{name}").drop("p"))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+    both = {name: kb.merge(*parts) if len(parts) == 2 else parts[0] for name, parts in found.items() if parts}
+    for name, rows in both.items():
+        kb.write_table(rows.distinct(), f"{out}/{name}", KEYS.get(name, rows.columns[0]))
+    return list(both)
+
+
+def local_facts(files: DataFrame, licenses: DataFrame, crypto: DataFrame) -> dict[str, DataFrame]:
+    """What the four local detectors say of a folder's files (path, text), by path; no filter by name, no knowledge base."""
+    rows = local(files)
+    return {
+        "license": detect.licenses(rows, licenses, "path"),
+        "copyright": detect.copyrights(rows, "path"),
+        "cryptography": detect.algorithms(rows, crypto, "path"),
+        "quality": detect.quality(rows, "path"),
+    }
+
+
+def urls_of_files(files: DataFrame, pivot: DataFrame, urls: DataFrame) -> DataFrame:
+    """file_id and the row of every url that holds it, for the file_id in files."""
+    wanted = files.select("file_id").distinct()
+    return pivot.join(wanted, "file_id").join(urls, "url_id").select("file_id", *urls.columns)
+
+
 def local(files: DataFrame, text_col: str = "text", path_col: str = "path") -> DataFrame:
     """Files that a local detector looks at: no filter by name or path, but by content."""
     view = byte_view(F.col(text_col))

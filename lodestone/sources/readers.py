@@ -10,11 +10,11 @@ import struct
 import tarfile
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
@@ -34,15 +34,15 @@ def read_folder(spark: SparkSession, path: str, hidden: bool = False) -> DataFra
     return files.select("path", "length", "content") if hidden else files.where(~F.startswith(basename(F.col("path")), F.lit("."))).select("path", "length", "content")
 
 
-def unpack(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
-    """Members of an archive; the file itself if it is none; nothing if it can't be opened."""
+def unpack(name: str, content: bytes, password: str | None = None) -> Iterator[tuple[str, bytes]]:
+    """Members of an archive, the file itself if it is none; Unreadable where something can't be opened."""
     low = name.lower()
     if low.endswith(UNSUPPORTED):
-        return
+        raise Unreadable("packed in a way that isn't supported")
     try:
         if low.endswith(ZIPPED):
             with zipfile.ZipFile(io.BytesIO(content)) as z:
-                yield from ((i.filename, z.read(i)) for i in z.infolist() if not i.is_dir())
+                yield from ((i.filename, z.read(i, password and password.encode())) for i in z.infolist() if not i.is_dir())
         elif low.endswith(TARRED):
             with tarfile.open(fileobj=io.BytesIO(content)) as t:
                 for m in t:
@@ -52,39 +52,55 @@ def unpack(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
             yield name[: -len(end)].rpartition("/")[2], SINGLE[end](content)
         else:
             yield name.rpartition("/")[2], content
-    except (OSError, zipfile.BadZipFile, tarfile.TarError, lzma.LZMAError, EOFError, zlib.error):
-        return
+    except (OSError, zipfile.BadZipFile, tarfile.TarError, lzma.LZMAError, EOFError, zlib.error, RuntimeError, NotImplementedError) as e:
+        raise Unreadable(str(e)) from e  # RuntimeError: encrypted; NotImplementedError: an unknown compression
 
 
-def expand(files: DataFrame) -> DataFrame:
-    """archive, archive_id (MD5 of the archive), path, content of every member of files (path, content)."""
+class Unreadable(Exception):
+    pass
+
+
+def expand(files: DataFrame, password: str | None = None, report: bool = False) -> DataFrame:
+    """archive, archive_id (MD5 of the archive), path, content of every member of files (path, content).
+
+    An archive gives the members before what can't be read in it. With report there is a column error, and a row
+    without path and content for each such archive.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, key, content in zip(batch.path, batch.archive_id, batch.content, strict=True):
-                for member, data in unpack(path, content):
-                    yield pd.DataFrame({"archive": [path], "archive_id": [key], "path": [member], "content": [data]})
+                one = lambda member, data, error=None: pd.DataFrame({"archive": [path], "archive_id": [key], "path": [member], "content": [data], "error": [error]})  # noqa: B023, E731
+                try:
+                    for member, data in unpack(path, content, password):
+                        yield one(member, data)
+                except Unreadable as e:
+                    yield one(None, None, str(e))
 
     rows = files.select("path", F.md5("content").alias("archive_id"), "content")
-    return rows.mapInPandas(run, "archive string, archive_id string, path string, content binary")
+    members = rows.mapInPandas(run, "archive string, archive_id string, path string, content binary, error string")
+    return members if report else members.where("error IS NULL").drop("error")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line, shard (the file's name up to the first dot), ended, of text tables.
+    """line, shard (the folder p=.. or else the file's name up to the first dot) of text tables.
 
-    A last line without a line end was cut off while it was written; only ended lines are returned.
+    A last line without a line end was cut off while it was written; only ended lines are returned. Line ends are
+    counted: where lines and ends make more than the file's size, the last line of its last block has none.
     """
-    # Spark's text reader hides the last line end, so the last line of a file is judged by its bytes.
-    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    torn = whole.where(F.expr("substring(content, -1, 1)") != F.lit(b"\n")).select(F.col("_metadata.file_path").alias("torn"), F.element_at(F.split(F.decode("content", "UTF-8"), "\n"), -1).alias("tail"))
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-    kept = lines.join(torn, (F.col("file") == F.col("torn")) & (F.col("line") == F.col("tail")), "left_anti")
-    return kept.select("line", F.regexp_extract("file", r"([^/.]*)(\.[^/]*)?$", 1).alias("shard"))
+    read = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    meta = {"file": "file_path", "size": "file_size", "block": "file_block_start"}
+    lines = read.select(F.col("value").alias("line"), *[F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()], F.monotonically_increasing_id().alias("at"))
+    place = F.struct("block", "at")
+    torn = lines.groupBy("file").agg(F.sum(F.octet_length("line") + 1).alias("read"), F.max("size").alias("size"), F.max(place).alias("last")).where("read > size")
+    kept = lines.join(torn.select(F.col("file").alias("torn"), "last"), (F.col("file") == F.col("torn")) & (place == F.col("last")), "left_anti")
+    folder, name = F.regexp_extract("file", "/p=([0-9a-f]{2})/", 1), F.regexp_extract("file", r"([^/.]*)(\.[^/]*)?$", 1)
+    return kept.select("line", F.when(folder != "", folder).otherwise(name).alias("shard"))
 
 
-def decode_field(rows: DataFrame, column: str) -> DataFrame:
-    """Rows of an encoded table: a column holds base64."""
-    return rows.withColumn(column, F.decode(F.unbase64(column), "UTF-8"))
+def decode_field(rows: DataFrame, column: str, decoder: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Rows of an encoded table: a column holds base64, or what decoder (a column expression) undoes."""
+    return rows.withColumn(column, decoder(F.col(column)) if decoder else F.decode(F.unbase64(column), "UTF-8"))
 
 
 def read_wfp(spark: SparkSession, path: str) -> DataFrame:
@@ -106,7 +122,10 @@ def read_wfp(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mz(spark: SparkSession, path: str) -> DataFrame:
-    """file_id, content from archive shards xxxx.mz: 14 bytes of id, a length, zlib data; the id starts in the name."""
+    """file_id, content from archive shards xxxx.mz: 14 bytes of id, a length, zlib data; the id starts in the name.
+
+    A damaged record has a null content, which archive.verdicts() calls corrupted; one that is cut off is the last of its shard.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,7 +134,10 @@ def read_mz(spark: SparkSession, path: str) -> DataFrame:
                 while at + 18 <= len(data):
                     (size,) = struct.unpack_from("<I", data, at + 14)
                     ids.append(head + data[at : at + 14].hex())
-                    contents.append(zlib.decompress(data[at + 18 : at + 18 + size]).removesuffix(b"\0"))
+                    try:
+                        contents.append(zlib.decompress(data[at + 18 : at + 18 + size]).removesuffix(b"\0"))
+                    except zlib.error:
+                        contents.append(None)
                     at += 18 + size
                 yield pd.DataFrame({"file_id": ids, "content": contents})
 

@@ -1,7 +1,7 @@
 """Writers: text tables and the two binary layouts. Parquet is the library's own form; these are exports.
 
-A shard is a file, so each export is one task for each shard: rows are dealt by shard and the tasks write
-bytes through Spark's own committer, by way of a partitioned text or binary row.
+Text tables go through Spark's own writer and committer. A binary shard is a file of a fixed layout that Spark
+has no writer for: rows are dealt by shard, and tasks write into a folder that must be mounted by all executors.
 """
 
 from __future__ import annotations
@@ -29,23 +29,25 @@ def write_lines(table: DataFrame, path: str, shard_key: str | None = None) -> No
 def _write_shards(rows: DataFrame, path: str, suffix: str) -> int:
     """Write rows (shard, data: pieces in order of n) as files in a folder that all executors share.
 
-    Each task writes a temporary file and renames it, so a repeated task does no harm.
+    Each attempt of a task writes files of its own and renames them when they are whole, so a repeated task does no harm.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        handle, now, names = None, None, []
+        from pyspark import TaskContext
+
+        handle, now, names, attempt = None, None, [], TaskContext.get().taskAttemptId()
         for batch in batches:
             for shard, data in zip(batch.shard, batch.data, strict=True):
                 if shard != now:
                     if handle:
                         handle.close()
-                        os.replace(f"{path}/.{now}.tmp", f"{path}/{now}{suffix}")
-                    now, handle = shard, open(f"{path}/.{shard}.tmp", "wb")  # noqa: SIM115
+                        os.replace(f"{path}/.{now}.{attempt}.tmp", f"{path}/{now}{suffix}")
+                    now, handle = shard, open(f"{path}/.{shard}.{attempt}.tmp", "wb")  # noqa: SIM115
                     names.append(shard)
                 handle.write(data)
         if handle:
             handle.close()
-            os.replace(f"{path}/.{now}.tmp", f"{path}/{now}{suffix}")
+            os.replace(f"{path}/.{now}.{attempt}.tmp", f"{path}/{now}{suffix}")
         yield pd.DataFrame({"shard": names})
 
     os.makedirs(path, exist_ok=True)

@@ -50,6 +50,32 @@ def test_license_text(spark):
     assert {r.text: r.x for r in got} == cases
 
 
+def test_many_wordings_by_automaton(spark, monkeypatch):
+    """A dictionary of hundreds gives what one search for each entry gives."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(3, 7)))
+    dictionary = spark.createDataFrame([(i, f"L-{i}", word()) for i in range(300)], "ord int, spdx_id string, phrase string")
+    df = texts(spark, *[" ".join(word() for _ in range(rng.randrange(0, 4))) for _ in range(300)])
+    many = df.select("id", detect.license_text(byte_view(F.col("text")), dictionary).alias("x")).collect()
+    monkeypatch.setattr(detect, "MAX_LITERAL", 10_000)
+    assert many == df.select("id", detect.license_text(byte_view(F.col("text")), dictionary).alias("x")).collect() and len({r.x for r in many}) > 20
+
+
+def test_scancode(spark):
+    report = '{"files": [{"path": "a", "license_expressions": ["mit", "mit"], "detected_license_expression_spdx": "MIT"}, {"path": "b", "license_expressions": null}]}'
+    df = spark.createDataFrame([("x", report), ("y", '{"files": []}'), ("z", None)], "id string, report string")
+    assert ids(detect.scancode_licenses(df), "id", "source", "spdx_id") == [("x", 5, "MIT"), ("x", 5, "mit")]
+
+
+def test_gram_hashes():
+    import zlib
+
+    assert fingerprint.HASHES["crc32c"](b"123456789", 9).tolist() == [0xE3069283]  # the published check value
+    assert fingerprint.HASHES["crc32"](b"hello world", 5).tolist() == [zlib.crc32(b"hello world"[i : i + 5]) for i in range(7)]
+
+
 def test_copyright(spark):
     cases = {
         "Copyright (c) 2019-2021, X\n": "Copyright (c) 2019-2021; X",
@@ -118,11 +144,11 @@ def test_winnowing_moves_with_the_text():
 
     rng = np.random.default_rng(1)
     text = bytes(rng.choice(list(b"abcdefghij \n"), 3000))
-    h, lines = fingerprint.winnow(text, 12, 16, fingerprint.gram_crc32)
+    h, lines = fingerprint.winnow(text, 12, 16, fingerprint.HASHES["crc32"])
     assert len(h) and (np.diff(lines) >= 0).all() and lines.max() <= text.count(b"\n") + 1
-    other, _ = fingerprint.winnow(b"something else entirely " * 3 + text, 12, 16, fingerprint.gram_crc32)
+    other, _ = fingerprint.winnow(b"something else entirely " * 3 + text, 12, 16, fingerprint.HASHES["crc32"])
     assert len(set(h) & set(other)) > 0.9 * len(set(h))
-    assert len(fingerprint.winnow(b"short", 12, 16, fingerprint.gram_crc32)[0]) == 0
+    assert len(fingerprint.winnow(b"short", 12, 16, fingerprint.HASHES["crc32"])[0]) == 0
 
 
 def test_dictionaries(spark, tmp_path):

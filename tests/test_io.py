@@ -6,9 +6,10 @@ import io
 import tarfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import kb
+from lodestone.operators import archive, kb
 from lodestone.plans import mining
 from lodestone.sources import readers, writers
 from lodestone.streaming import ingest
@@ -32,7 +33,59 @@ def test_expand(spark, tmp_path):
     assert got == {("src/a.c", CODE.encode()), ("b.c", CODE.encode()), ("c.txt", b"hello"), ("f.c", b"int x;")}
 
 
+def test_unreadable_archives_are_reported(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
+        z.writestr("a.c", CODE)
+    data = bytearray((tmp_path / "good.zip").read_bytes())
+    for at in (data.find(b"PK\3\4") + 6, data.find(b"PK\1\2") + 8):
+        data[at] |= 1  # the flag of an encrypted member
+    (tmp_path / "locked.zip").write_bytes(data)
+    (tmp_path / "torn.tar.gz").write_bytes(b"torn")
+    got = readers.expand(readers.read_folder(spark, str(tmp_path)), report=True).collect()
+    assert {(r.archive.rpartition("/")[2], r.path, r.error is None) for r in got} == {("good.zip", "a.c", True), ("locked.zip", None, False), ("torn.tar.gz", None, False)}
+
+
+def test_bytes_from_archives_to_facts(spark, tmp_path):
+    """Latin-1 files are mined byte for byte, null texts are empty files."""
+    plain = "// Copyright 2020 Jürgen Müller GmbH\n".encode("latin-1") + b"int a;\n" * 60
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("src/a.c", plain)
+        z.writestr("src/b.c", "// Copyright 2020 Jürgen Müller GmbH\n" + "int b;\n" * 60)
+        z.writestr("src/c.c", b"")
+    files = mining.files_of(readers.expand(readers.read_folder(spark, str(tmp_path))))
+    comp = mining.component(spark, "me,thing,1.0,20240101,MIT,pkg:generic/thing", archive_id=files.first().url_id)
+    tables = mining.mine(files, comp)
+    assert {r.file_id for r in tables["file"].collect()} >= {hashlib.md5(plain).hexdigest()}
+    assert [r.statement for r in tables["copyright"].collect()] == ["Copyright 2020 Jürgen Müller GmbH"] * 2
+    assert tables["file"].count() == 2 and {len(r.content) for r in tables["sources"].collect()} == {len(plain), len(plain) + 2}
+    none = mining.judged(spark.createDataFrame([("u", "a.c", None)], "url_id string, path string, text string")).first()
+    assert (none.file_id, none.outcome) == ("d41d8cd98f00b204e9800998ecf8427e", "too_small")
+    local = mining.local_facts(files, *(f(spark) for f in (mining.license_dictionary, mining.crypto_dictionary)))
+    assert {r.id for r in local["copyright"].collect()} == {"src/a.c", "src/b.c"} and local["quality"].count() == 2
+
+
+def test_load_and_merge_of_datasets(spark, tmp_path):
+    a, b = hashlib.md5(b"a").hexdigest(), hashlib.md5(b"b").hexdigest()
+    files = spark.createDataFrame([(a, "u" * 32, "x.c"), (b, "u" * 32, "y.c"), (b, "u" * 32, "y.json")], "file_id string, url_id string, path string")
+    lic = spark.createDataFrame([(a, "1", "MIT"), (a, "1", "MIT"), (b, "2", "ISC")], "id string, source string, spdx_id string")
+    writers.write_lines(files, str(tmp_path / "m" / "file"), "file_id")
+    writers.write_lines(lic, str(tmp_path / "m" / "license"), "id")
+    assert mining.load(spark, str(tmp_path / "m"), str(tmp_path / "kb1")) == ["file", "license"]
+    got = spark.read.parquet(str(tmp_path / "kb1" / "license")).drop("p")
+    assert sorted(map(tuple, got.collect())) == sorted([(a, "1", "MIT"), (b, "2", "ISC")])
+    assert sorted((r.file_id, r.path) for r in spark.read.parquet(str(tmp_path / "kb1" / "file")).collect()) == sorted([(a, "x.c"), (b, "y.c")])
+    kb.write_table(spark.createDataFrame([(b, "2", "ISC"), (b, "1", "BSD-2-Clause")], "id string, source string, spdx_id string"), str(tmp_path / "kb2" / "license"), "id")
+    assert set(mining.merge(spark, str(tmp_path / "kb1"), str(tmp_path / "kb2"), str(tmp_path / "kb3"))) == {"file", "license"}
+    assert spark.read.parquet(str(tmp_path / "kb3" / "license")).count() == 3
+    kb.write_table(spark.createDataFrame([(a, 1)], "id string, source int"), str(tmp_path / "kb4" / "license"), "id")
+    with pytest.raises(ValueError, match="different columns"):
+        mining.merge(spark, str(tmp_path / "kb1"), str(tmp_path / "kb4"), str(tmp_path / "kb5"))
+
+
 def test_torn_line_is_dropped(spark, tmp_path):
+    (tmp_path / "cc.csv").write_text("one,1\nthr\ntwo,2\nthr")
+    assert sorted(r.line for r in readers.read_lines(spark, str(tmp_path)).collect()) == ["one,1", "thr", "two,2"]
+    (tmp_path / "cc.csv").unlink()
     (tmp_path / "aa.csv").write_text("one,1\ntwo,2\nthr")
     (tmp_path / "bb.csv").write_text("four,4\n")
     got = {(r.line, r.shard) for r in readers.read_lines(spark, str(tmp_path)).collect()}
@@ -53,6 +106,16 @@ def test_mz_round_trip(spark, tmp_path):
     assert got == sorted(rows)
 
 
+def test_mz_damaged_record(spark, tmp_path):
+    good = hashlib.md5(b"one\n").hexdigest()
+    writers.write_mz(spark.createDataFrame([(good, "one\n")], "file_id string, content string"), str(tmp_path / "m"))
+    shard = tmp_path / "m" / f"{good[:4]}.mz"
+    shard.write_bytes(shard.read_bytes()[:14] + b"\x04\0\0\0junk" + shard.read_bytes()[:-3])
+    got = readers.read_mz(spark, str(tmp_path / "m"))
+    assert [r.content for r in got.collect()] == [None, None]
+    assert {r.verdict for r in archive.verdicts(got).collect()} == {"corrupted"}
+
+
 def test_version(spark, tmp_path):
     (tmp_path / "version.json").write_text('{"monthly":"22.01", "daily":"N/A"}')
     got = kb.version(readers.read_version(spark, str(tmp_path / "version.json")), spark.createDataFrame([("21.12", "22.01.24")], "monthly string, daily string")).first()
