@@ -112,7 +112,7 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def split_words(texts: pa.Array, size: int = 1000) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def split_words(texts: pa.Array, size: int = 500) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """The different words of each run of texts, the number among these of every word, and where each text's words end.
 
     A run is size texts or RUN_BYTES, so that a run of long texts takes no more memory than one of short ones.
@@ -121,6 +121,9 @@ def split_words(texts: pa.Array, size: int = 1000) -> Iterator[tuple[pa.Array, n
         lists = pc.ascii_split_whitespace(pc.fill_null(run.cast(pa.large_string()), ""))
         coded = lists.flatten().dictionary_encode()
         yield coded.dictionary, coded.indices.to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
+        if run.nbytes > RUN_BYTES // 2:  # else each worker holds on to what its largest run took
+            del lists, coded
+            pa.default_memory_pool().release_unused()
 
 
 def runs_of(texts: pa.Array, size: int) -> Iterator[pa.Array]:

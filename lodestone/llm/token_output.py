@@ -107,7 +107,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text."""
-        for words, coded, ends in split_words(texts, 4000):
+        for words, coded, ends in split_words(texts, 1000):
             ids = _joined(self.words(words).take(pa.array(coded)), np.concatenate([[0], ends]))
             _, offsets, data = ids.buffers()
             at = np.frombuffer(offsets, np.int64, len(ids) + 1).tolist()
