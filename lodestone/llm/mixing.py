@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import WORD_PATTERN, discard, materialize
 
 BLOCKS = 1024
+CUT_BITS = 14  # a cut block has up to 2^14 parts, of which one is sorted
 TRIED, ROUNDS = 32, 7  # exponents tried at once, and how often: an interval shrinks to 32^-7
 
 
@@ -94,17 +95,36 @@ def mixing_plan(units: DataFrame, entropy: float | None = None, max_repeats: flo
     entry = F.map_from_entries(F.collect_list(F.struct("block", (F.col("epochs") + whole.cast("int")).cast("int"))))
     by_source = placed.groupBy("source").agg(F.first("weight").alias("weight"), F.first("repeats").alias("repeats"), F.first("epochs").alias("epochs"), entry.alias("blocks"), F.min(cut).alias("cut"))
     by_source = materialize(by_source, "mix-plan")
-    # Rows of the blocks that are cut: a thousandth of each source, equal hashes summed beforehand.
     cuts = by_source.where("cut IS NOT NULL").select(F.col("source").alias("source_"), F.col("cut.block").alias("block_"), F.col("cut.rest").alias("rest"))
-    inside = units.join(cuts, F.col("source").eqNullSafe(F.col("source_")) & (F.col("block") == F.col("block_"))).groupBy("source", "rest", "h").agg(F.sum("n_tokens").alias("n"))
-    run = inside.withColumn("upto", F.expr("sum(n) OVER (PARTITION BY source ORDER BY h)")).where("upto <= rest")
-    hashes = run.groupBy(F.col("source").alias("source_")).agg(F.max("h").alias("cut_hash"))
+    hashes, inside = _cut_hashes(units, cuts)
     out = by_source.join(hashes, F.col("source").eqNullSafe(F.col("source_")), "left")
     full = materialize(out.select("source", "weight", "repeats", "epochs", "blocks", F.col("cut.block").alias("cut_block"), "cut_hash"), "mix-plan")
-    discard(blocks, sources)
+    discard(blocks, sources, by_source, inside)
     return full
 
 
+def _cut_hashes(units: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """source_ and cut_hash, the greatest hash that is still taken of each cut block; and the scratch table to discard.
+
+    A cut block is a thousandth of its source, which may be large: it is summed by the leading CUT_BITS bits of the
+    hash, and only the rows of the one part where the budget runs out are sorted.
+    """
+    rows = units.join(cuts, F.col("source").eqNullSafe(F.col("source_")) & (F.col("block") == F.col("block_")))
+    part = F.call_function("shiftright", F.col("h"), F.lit(64 - CUT_BITS)).alias("part")
+    inside = materialize(rows.groupBy("source", "rest", part, "h").agg(F.sum("n_tokens").alias("n")), "mix-cuts")
+    parts = inside.groupBy("source", "rest", "part").agg(F.sum("n").alias("n"), F.max("h").alias("top"))
+    parts = parts.withColumn("upto", F.expr("sum(n) OVER (PARTITION BY source ORDER BY part)"))
+    fits = F.col("upto") <= F.col("rest")
+    whole = parts.groupBy("source").agg(F.max(F.when(fits, F.col("top"))).alias("top"), F.min(F.when(~fits, F.struct("part", (F.col("upto") - F.col("n")).alias("before")))).alias("split"))
+    # Sources and parts again, under other names: a row for each source.
+    split = whole.where("split IS NOT NULL").select(F.col("source").alias("source_"), F.col("split.part").alias("part_"), F.col("split.before").alias("before"))
+    last = inside.join(split, F.col("source").eqNullSafe(F.col("source_")) & (F.col("part") == F.col("part_"))).drop("source_")
+    last = last.withColumn("upto", F.expr("before + sum(n) OVER (PARTITION BY source ORDER BY h)")).where("upto <= rest")
+    last = last.groupBy(F.col("source").alias("source_")).agg(F.max("h").alias("last"))
+    both = whole.join(last, F.col("source").eqNullSafe(F.col("source_")), "left")
+    return both.select(F.col("source").alias("source_"), F.greatest("top", "last").alias("cut_hash")), inside
+
+
 def in_order(mix: DataFrame) -> DataFrame:
     """The rows of mixed() in order of reading: by ranges of position, sorted within each, so that files written from it hold the permutation."""
     spark = mix.sparkSession

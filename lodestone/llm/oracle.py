@@ -27,8 +27,8 @@ q AS (SELECT level, lang, source, rate, max(docs) AS docs, min(x) FILTER (WHERE
 k AS (SELECT rate, slack FROM (VALUES """
     + ", ".join(f"('{r}', {s})" for r, s in Q.SLACK.items())
     + rf""") t(rate, slack)),
-e AS (SELECT q.*, CASE WHEN rate = 'word_length' THEN least(q1 - {Q.FENCE} * (q3 - q1), q2 - slack) ELSE -1 END AS low, greatest(q3 + {Q.FENCE} * (q3 - q1), q2 + slack) AS high FROM q JOIN k USING (rate)),
-b AS (SELECT a.lang, a.source, a.rate, CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.low WHEN m.docs >= {Q.MIN_DOCS} THEN m.low ELSE t.low END AS low, CASE WHEN a.docs >= {Q.MIN_DOCS} THEN a.high WHEN m.docs >= {Q.MIN_DOCS} THEN m.high ELSE t.high END AS high
+e AS (SELECT q.*, CASE WHEN rate = 'word_length' THEN greatest(least(q1 - {Q.FENCE} * (q3 - q1), q2 - slack), 0) ELSE 0 END AS low, greatest(q3 + {Q.FENCE} * (q3 - q1), q2 + slack) AS high FROM q JOIN k USING (rate)),
+b AS (SELECT a.lang, a.source, a.rate, (a.docs * a.low + {Q.PRIOR_DOCS} * ((m.docs * m.low + {Q.PRIOR_DOCS} * t.low) // (m.docs + {Q.PRIOR_DOCS}))) // (a.docs + {Q.PRIOR_DOCS}) AS low, (a.docs * a.high + {Q.PRIOR_DOCS} * ((m.docs * m.high + {Q.PRIOR_DOCS} * t.high) // (m.docs + {Q.PRIOR_DOCS}))) // (a.docs + {Q.PRIOR_DOCS}) AS high
 FROM e a JOIN e m ON m.level = 2 AND a.rate = m.rate AND a.lang IS NOT DISTINCT FROM m.lang JOIN e t ON t.level = 3 AND a.rate = t.rate WHERE a.level = 1),
 o AS (SELECT u.doc_id FROM u JOIN b ON u.rate = b.rate AND u.lang IS NOT DISTINCT FROM b.lang AND u.source IS NOT DISTINCT FROM b.source WHERE u.x NOT BETWEEN low AND high)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM o) AS kept, symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length FROM v"""

@@ -8,7 +8,8 @@ a language is the sum of its sources' and the sketch of all is the sum of the la
 
 A group's fences are its quartiles plus or minus FENCE times their distance, and at least the slack
 of the rate away from its median: outliers are cut, never a set share, so a group of clean texts loses
-nothing. A group below MIN_DOCS takes the fences of its language, and a small language those of all.
+nothing. A group's fences are drawn towards those of its language, which are drawn towards those of all: the mean of
+both, weighted by the group's texts and PRIOR_DOCS. So small groups lean on larger ones, and no size switches the rule.
 
 Defined results: null texts have no words and fail the base rules; null languages and sources form
 groups of their own; repeated rows are judged each; empty tables give an empty result.
@@ -24,7 +25,7 @@ from lodestone.llm.common import as_bytes, bound_batches, materialize
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
 FENCE = 3
-MIN_DOCS = 300
+PRIOR_DOCS = 300  # the weight, in texts, of the fences that a group's own are drawn towards
 #: Rate -> least distance of a fence from the median; two-sided rates have a lower fence too.
 SLACK = {"symbol_rate": 60, "dup_line_rate": 250, "repeat_rate": 250, "capital_rate": 250, "word_length": 400}
 TWO_SIDED = ("word_length",)
@@ -88,12 +89,12 @@ def quantiles(sketches: DataFrame, *by: str) -> DataFrame:
 
 
 def fences(sketches: DataFrame) -> DataFrame:
-    """lang, source and a low and a high fence for each rate, from the finest level with MIN_DOCS."""
+    """lang, source and a low and a high fence for each rate, each drawn towards that of the level above."""
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])
 
     def level(df: DataFrame, tag: str) -> DataFrame:
         wide = F.greatest((F.col("q3") - F.col("q1")) * FENCE, F.lit(0))
-        low = F.when(F.col("rate").isin(*TWO_SIDED), F.least(F.col("q1") - wide, F.col("q2") - slack[F.col("rate")])).otherwise(-1)
+        low = F.when(F.col("rate").isin(*TWO_SIDED), F.greatest(F.least(F.col("q1") - wide, F.col("q2") - slack[F.col("rate")]), F.lit(0))).otherwise(0)
         high = F.greatest(F.col("q3") + wide, F.col("q2") + slack[F.col("rate")])
         return df.withColumns({f"{tag}_low": low, f"{tag}_high": high}).withColumnRenamed("docs", f"{tag}_docs").drop("q1", "q2", "q3")
 
@@ -102,9 +103,10 @@ def fences(sketches: DataFrame) -> DataFrame:
     l2, a2 = lang.withColumnRenamed("lang", "lang_").withColumnRenamed("rate", "rate_"), all_.withColumnRenamed("rate", "rate_")
     joined = own.join(l2, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("rate") == F.col("rate_")), "left").drop("lang_", "rate_")
     joined = joined.join(a2, F.col("rate") == F.col("rate_"), "left").drop("rate_")
-    pick = lambda x: F.when(F.col("own_docs") >= MIN_DOCS, F.col(f"own_{x}")).when(F.col("lang_docs") >= MIN_DOCS, F.col(f"lang_{x}")).otherwise(F.col(f"all_{x}"))
+    drawn = lambda tag, x, to: F.expr(f"(cast({tag}_docs AS decimal(38)) * {tag}_{x} + {PRIOR_DOCS} * cast({to} AS decimal(38))) div ({tag}_docs + {PRIOR_DOCS})")
+    joined = joined.withColumns({f"near_{x}": drawn("lang", x, f"all_{x}") for x in ("low", "high")})
     at = {r: F.col("rate") == r for r in SLACK}
-    return joined.withColumns({"low": pick("low"), "high": pick("high")}).groupBy("lang", "source").agg(
+    return joined.withColumns({x: drawn("own", x, f"near_{x}") for x in ("low", "high")}).groupBy("lang", "source").agg(
         *[F.max(F.when(at[r], F.col(x))).alias(f"{r}_{x}") for r in SLACK for x in ("low", "high")]
     )
 

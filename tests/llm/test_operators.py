@@ -185,7 +185,9 @@ def brute_mix(spark, units, plan):
     return +taken
 
 
-def test_op3_takes_what_brute_force_takes(spark, docs):
+def test_op3_takes_what_brute_force_takes(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 4)
+    monkeypatch.setattr(mixing, "CUT_BITS", 3)
     for data, options in ((docs, {"max_repeats": 2.0}), (docs, {"entropy": 0.999, "budget": 50_000.0}), (frame(spark), {"max_repeats": 3.0})):
         base = data.select("doc_id", "text", "source")
         units = mixing._rows(base, "doc_id", "text", "source")
@@ -245,7 +247,7 @@ def brute_fences(stats):
         v = sorted(map(floor, values))
         q = [v[-(-len(v) * k // 4) - 1] for k in (1, 2, 3)]
         wide, slack = (q[2] - q[0]) * quality_rules.FENCE, quality_rules.SLACK[rate]
-        return (min(q[0] - wide, q[1] - slack) if rate in quality_rules.TWO_SIDED else -1), max(q[2] + wide, q[1] + slack), len(v)
+        return (max(min(q[0] - wide, q[1] - slack), 0) if rate in quality_rules.TWO_SIDED else 0), max(q[2] + wide, q[1] + slack), len(v)
 
     levels = [defaultdict(list) for _ in range(3)]
     for lang, source, rate, v in stats:
@@ -253,11 +255,11 @@ def brute_fences(stats):
             level[key, rate].append(v)
     out = {}
     for (key, rate), v in levels[0].items():
-        for values in (v, levels[1][key[0], rate], levels[2][None, rate]):
-            low, high, n = of(values, rate)
-            if n >= quality_rules.MIN_DOCS:
-                break
-        out[key, rate] = low, high
+        prior, drawn = quality_rules.PRIOR_DOCS, of(levels[2][None, rate], rate)[:2]
+        for values in (levels[1][key[0], rate], v):
+            *own, n = of(values, rate)
+            drawn = [(n * a + prior * b) // (n + prior) for a, b in zip(own, drawn)]
+        out[key, rate] = tuple(drawn)
     return out
 
 
