@@ -7,7 +7,7 @@ operators are tested against brute force, round trips or held-out labels in test
 from __future__ import annotations
 
 from lodestone.llm import quality_rules as Q
-from lodestone.llm.queries import SHARD_LIMIT
+from lodestone.llm.queries import CENTROIDS, ROUNDS, SHARD_LIMIT, WIDTH
 
 WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
@@ -57,5 +57,47 @@ m AS (SELECT doc_id, min(d) AS d FROM p JOIN s USING (d, shard) WHERE shard_byte
 SELECT doc_id, shard, CAST(d AS INT) AS depth, n_bytes, shard_bytes, shard_docs FROM m JOIN p USING (doc_id, d) JOIN s USING (d, shard)"""
 
 
+#: crc32 of an ASCII string k; the constant is the reflected polynomial.
+CRC32 = "xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, y: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"
+
+OP11 = rf"""WITH RECURSIVE r0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+r1 AS (SELECT *, {CRC32} % 20 AS kind FROM r0),
+r2 AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM r1),
+r3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last, substr(role, 1, 1) AS initial FROM r2),
+r4 AS (SELECT *, last = '' AS blank, last <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM r3),
+r5 AS (SELECT *, NOT blank AND NOT dup AND last NOT IN ('.', '!', '?') AS cut FROM r4),
+facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM r5 GROUP BY conv_id),
+ins(q, k, p) AS (VALUES ('e', 0, 'e'), ('e', 1, 'u'), ('e', 2, 'a'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'), ('u', 0, 'u'), ('u', 1, 'a'), ('a', 0, 'a'), ('a', 1, 'u')),
+step(p, r) AS (VALUES ('e', 's'), ('e', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+d AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 'e' AS q, CAST(0 AS BIGINT) AS cost, '' AS audit FROM facts
+UNION ALL SELECT conv_id, i, q, cost, audit FROM (SELECT d.conv_id, d.i + 1 AS i, m.q, d.cost + 3 * k + m.c AS cost, d.audit || repeat('I', k) || m.e AS audit FROM d JOIN r5 ON d.conv_id IS NOT DISTINCT FROM r5.conv_id AND r5.i = d.i + 1 JOIN ins ON ins.q = d.q,
+ LATERAL (SELECT p AS q, 4 AS c, 'D' AS e UNION ALL SELECT r, cut::INT * 3 + CASE WHEN r = initial THEN 0 ELSE 3 END, CASE WHEN r = initial THEN 'K' ELSE 'R' END FROM step WHERE step.p = ins.p AND NOT blank AND NOT dup AND (r = initial OR r <> 's')) m) t
+ QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+best AS (SELECT d.conv_id, d.cost + 3 * k AS cost, d.audit || repeat('I', k) AS audit, facts.* EXCLUDE (conv_id) FROM d JOIN facts ON d.conv_id IS NOT DISTINCT FROM facts.conv_id AND d.i = facts.n JOIN ins ON ins.q = d.q WHERE p IN ('e', 'a') QUALIFY row_number() OVER (PARTITION BY d.conv_id ORDER BY d.cost + 3 * k, d.audit || repeat('I', k)) = 1),
+e0 AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, generate_subscripts(string_split(audit, ''), 1) AS j FROM best WHERE audit <> ''),
+e1 AS (SELECT *, sum((e <> 'I')::INT) OVER w AS i, sum((e <> 'D')::INT) OVER w AS m, sum((e <> 'D')::INT) OVER (PARTITION BY conv_id) AS total FROM e0 WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+fixed AS (SELECT e1.conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (total - m) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS whole FROM e1 LEFT JOIN r5 ON e1.conv_id IS NOT DISTINCT FROM r5.conv_id AND e1.i = r5.i WHERE e <> 'D' GROUP BY e1.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN fixed ON o.conv_id IS NOT DISTINCT FROM fixed.conv_id"""
+
+
+def _lloyd(k: int, rounds: int, width: int) -> str:
+    """Lloyd's rounds one after the other, as many tables each."""
+    apart = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    parts = [
+        f"v AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x, row_number() OVER () AS r FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0)",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, x FROM (SELECT * FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k}))",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"a{n} AS MATERIALIZED (SELECT v.r, v.vec_id, v.x, cluster, CAST({apart} AS BIGINT) AS distance FROM v, c{n} c QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST({apart} AS BIGINT), cluster) = 1)")
+        if n < rounds:
+            parts.append(f"m{n} AS (SELECT cluster, list(y ORDER BY j) AS x FROM (SELECT cluster, j, CAST(floor(sum(e) / count(*)) AS BIGINT) AS y FROM (SELECT cluster, unnest(x) AS e, generate_subscripts(x, 1) AS j FROM a{n}) GROUP BY ALL) GROUP BY cluster)")
+            parts.append(f"c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN m{n} m USING (cluster))")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT vec_id, CAST(cluster AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} c USING (cluster)"
+
+
+OP12 = _lloyd(CENTROIDS, ROUNDS, WIDTH)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4, "op5_near_dedup": OP5, "op7_substring_dedup": OP7, "op8_sharding": OP8}
+    return {"op4_quality_rules": OP4, "op5_near_dedup": OP5, "op7_substring_dedup": OP7, "op8_sharding": OP8, "op11_conversation_repair": OP11, "op12_centroid_clustering": OP12}

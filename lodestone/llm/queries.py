@@ -8,10 +8,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import decontaminate, mixing, near_dedup, quality_model, quality_rules, secret_scan, sharding, substring_dedup, token_count, token_output
+from lodestone.llm import conversations, decontaminate, dual_tree, language, mixing, near_dedup, quality_model, quality_rules, secret_scan, sharding, substring_dedup, token_count, token_output
 from lodestone.llm.common import scratch_root, table
 
 SHARD_LIMIT = 1 << 20  # bytes of text in a shard
+CENTROIDS, ROUNDS, WIDTH = 40, 5, 64  # of the clustering
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,5 +59,18 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repairs(table(spark, sf_dir, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.clusters(table(spark, sf_dir, "embeddings"), CENTROIDS, ROUNDS, WIDTH)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.languages(docs, language.train(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_quality_model, op3_mixing, op4_quality_rules, op5_near_dedup, op6_secret_scan, op7_substring_dedup, op8_sharding, op9_decontamination, op10_token_count)}
+    return {f.__name__: f for f in (op1_token_output, op2_quality_model, op3_mixing, op4_quality_rules, op5_near_dedup, op6_secret_scan, op7_substring_dedup, op8_sharding, op9_decontamination, op10_token_count, op11_conversation_repair, op12_centroid_clustering, op13_language_id)}

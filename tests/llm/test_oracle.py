@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "conversations", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.queries()[name](spark, SF), con.sql(oracle.oracle_sql()[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
