@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-import bz2
-import gzip
 import io
-import lzma
-import struct
-import tarfile
-import zipfile
-import zlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
 from lodestone.functions.text import basename
+from lodestone.sources.archives import Unreadable, members, read_archives
+from lodestone.sources.shards import read_mz, read_wfp
 
-# Endings of archives that are unpacked, by the way they are unpacked.
-ZIPPED = (".zip", ".jar", ".aar", ".egg", ".war", ".whl", ".nupkg")
-TARRED = (".tar.gz", ".tar.xz", ".tgz", ".tar")
-SINGLE = {".bz2": bz2.decompress, ".xz": lzma.decompress, ".gz": gzip.decompress}
-UNSUPPORTED = (".7z", ".rar", ".gem")
-
+__all__ = ["Unreadable", "decode_field", "expand", "read_archives", "read_folder", "read_lines", "read_mz", "read_version", "read_wfp"]
 
 def read_folder(spark: SparkSession, path: str, hidden: bool = False) -> DataFrame:
     """path, length, content of every regular file below a folder."""
@@ -34,34 +23,8 @@ def read_folder(spark: SparkSession, path: str, hidden: bool = False) -> DataFra
     return files.select("path", "length", "content") if hidden else files.where(~F.startswith(basename(F.col("path")), F.lit("."))).select("path", "length", "content")
 
 
-def unpack(name: str, content: bytes, password: str | None = None) -> Iterator[tuple[str, bytes]]:
-    """Members of an archive, the file itself if it is none; Unreadable where something can't be opened."""
-    low = name.lower()
-    if low.endswith(UNSUPPORTED):
-        raise Unreadable("packed in a way that isn't supported")
-    try:
-        if low.endswith(ZIPPED):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                yield from ((i.filename, z.read(i, password and password.encode())) for i in z.infolist() if not i.is_dir())
-        elif low.endswith(TARRED):
-            with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                for m in t:
-                    if m.isfile():
-                        yield m.name, t.extractfile(m).read()
-        elif end := next((e for e in SINGLE if low.endswith(e)), None):
-            yield name[: -len(end)].rpartition("/")[2], SINGLE[end](content)
-        else:
-            yield name.rpartition("/")[2], content
-    except (OSError, zipfile.BadZipFile, tarfile.TarError, lzma.LZMAError, EOFError, zlib.error, RuntimeError, NotImplementedError) as e:
-        raise Unreadable(str(e)) from e  # RuntimeError: encrypted; NotImplementedError: an unknown compression
-
-
-class Unreadable(Exception):
-    pass
-
-
 def expand(files: DataFrame, password: str | None = None, report: bool = False) -> DataFrame:
-    """archive, archive_id (MD5 of the archive), path, content of every member of files (path, content).
+    """archive, archive_id (MD5 of the archive), path, content of every member of files (path, content) at hand; read_archives() streams them.
 
     An archive gives the members before what can't be read in it. With report there is a column error, and a row
     without path and content for each such archive.
@@ -72,14 +35,14 @@ def expand(files: DataFrame, password: str | None = None, report: bool = False)
             for path, key, content in zip(batch.path, batch.archive_id, batch.content, strict=True):
                 one = lambda member, data, error=None: pd.DataFrame({"archive": [path], "archive_id": [key], "path": [member], "content": [data], "error": [error]})  # noqa: B023, E731
                 try:
-                    for member, data in unpack(path, content, password):
-                        yield one(member, data)
+                    for member, _, stream in members(path, io.BytesIO(content), password=password):
+                        yield one(member, stream.read())
                 except Unreadable as e:
                     yield one(None, None, str(e))
 
     rows = files.select("path", F.md5("content").alias("archive_id"), "content")
-    members = rows.mapInPandas(run, "archive string, archive_id string, path string, content binary, error string")
-    return members if report else members.where("error IS NULL").drop("error")
+    unpacked = rows.mapInPandas(run, "archive string, archive_id string, path string, content binary, error string")
+    return unpacked if report else unpacked.where("error IS NULL").drop("error")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -103,48 +66,6 @@ def decode_field(rows: DataFrame, column: str, decoder: Callable[[Column], Colum
     return rows.withColumn(column, decoder(F.col(column)) if decoder else F.decode(F.unbase64(column), "UTF-8"))
 
 
-def read_wfp(spark: SparkSession, path: str) -> DataFrame:
-    """wfp, file_id, line from binary shards xx.bin: records of 3 + 16 + 2 bytes, the first byte in the name."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch.path, batch.content, strict=True):
-                if len(content) % 21:
-                    raise ValueError(f"{name} is no table of 21-byte records")
-                raw = np.frombuffer(content, np.uint8).reshape(-1, 21).astype(np.int64)
-                first = int(name.rpartition("/")[2][:2], 16)
-                wfp = (first << 24) | (raw[:, 0] << 16) | (raw[:, 1] << 8) | raw[:, 2]
-                ids = [content[k + 3 : k + 19].hex() for k in range(0, len(content), 21)]
-                yield pd.DataFrame({"wfp": wfp, "file_id": ids, "line": (raw[:, 19] | raw[:, 20] << 8).astype("int32")})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(run, "wfp long, file_id string, line int")
-
-
-def read_mz(spark: SparkSession, path: str) -> DataFrame:
-    """file_id, content from archive shards xxxx.mz: 14 bytes of id, a length, zlib data; the id starts in the name.
-
-    A damaged record has a null content, which archive.verdicts() calls corrupted; one that is cut off is the last of its shard.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, data in zip(batch.path, batch.content, strict=True):
-                head, at, ids, contents = name.rpartition("/")[2][:4], 0, [], []
-                while at + 18 <= len(data):
-                    (size,) = struct.unpack_from("<I", data, at + 14)
-                    ids.append(head + data[at : at + 14].hex())
-                    try:
-                        contents.append(zlib.decompress(data[at + 18 : at + 18 + size]).removesuffix(b"\0"))
-                    except zlib.error:
-                        contents.append(None)
-                    at += 18 + size
-                yield pd.DataFrame({"file_id": ids, "content": contents})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.mz").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(run, "file_id string, content binary")
-
-
 def read_version(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", "monthly string, daily string").alias("v")).select("v.*")

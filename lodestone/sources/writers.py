@@ -1,20 +1,14 @@
-"""Writers: text tables and the two binary layouts. Parquet is the library's own form; these are exports.
-
-Text tables go through Spark's own writer and committer. A binary shard is a file of a fixed layout that Spark
-has no writer for: rows are dealt by shard, and tasks write into a folder that must be mounted by all executors.
-"""
+"""Writers of text tables, through Spark's own writer and committer; sources/shards.py has those of the binary layouts."""
 
 from __future__ import annotations
 
-import os
-import struct
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.sources.shards import write_mz, write_wfp
+
+__all__ = ["write_lines", "write_mz", "write_version", "write_wfp"]
+
 
 def write_lines(table: DataFrame, path: str, shard_key: str | None = None) -> None:
     """Comma-separated lines without quoting; with shard_key, a folder for each first byte, which the lines leave out."""
@@ -26,59 +20,5 @@ def write_lines(table: DataFrame, path: str, shard_key: str | None = None) -> No
     lines.repartition("p").sortWithinPartitions("p", "line").write.mode("append").partitionBy("p").text(path)
 
 
-def _write_shards(rows: DataFrame, path: str, suffix: str) -> int:
-    """Write rows (shard, data: pieces in order of n) as files in a folder that all executors share.
-
-    Each attempt of a task writes files of its own and renames them when they are whole, so a repeated task does no harm.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        handle, now, names, attempt = None, None, [], TaskContext.get().taskAttemptId()
-        for batch in batches:
-            for shard, data in zip(batch.shard, batch.data, strict=True):
-                if shard != now:
-                    if handle:
-                        handle.close()
-                        os.replace(f"{path}/.{now}.{attempt}.tmp", f"{path}/{now}{suffix}")
-                    now, handle = shard, open(f"{path}/.{shard}.{attempt}.tmp", "wb")  # noqa: SIM115
-                    names.append(shard)
-                handle.write(data)
-        if handle:
-            handle.close()
-            os.replace(f"{path}/.{now}.{attempt}.tmp", f"{path}/{now}{suffix}")
-        yield pd.DataFrame({"shard": names})
-
-    os.makedirs(path, exist_ok=True)
-    return rows.repartition("shard").sortWithinPartitions("shard", "n").mapInPandas(run, "shard string").count()
-
-
-def write_wfp(wfps: DataFrame, path: str) -> int:
-    """Binary shards xx.bin of 21-byte records, sorted."""
-
-    @F.pandas_udf("binary")
-    def record(wfp: pd.Series, file_id: pd.Series, line: pd.Series) -> pd.Series:
-        return pd.Series([struct.pack(">I", w)[1:] + bytes.fromhex(f) + struct.pack("<H", n) for w, f, n in zip(wfp, file_id, line, strict=True)])
-
-    shard = F.lower(F.lpad(F.hex(F.shiftright("wfp", 24)), 2, "0"))
-    return _write_shards(wfps.select(shard.alias("shard"), record("wfp", "file_id", "line").alias("data"), F.struct("wfp", "file_id", "line").alias("n")), path, ".bin")
-
-
-def write_mz(archive: DataFrame, path: str) -> int:
-    """Archive shards xxxx.mz of compressed contents."""
-
-    @F.pandas_udf("binary")
-    def record(file_id: pd.Series, content: pd.Series) -> pd.Series:
-        out = []
-        for f, c in zip(file_id, content, strict=True):
-            data = zlib.compress(bytes(c) + b"\0")
-            out.append(bytes.fromhex(f)[2:] + struct.pack("<I", len(data)) + data)
-        return pd.Series(out)
-
-    rows = archive.select(F.substring("file_id", 1, 4).alias("shard"), record("file_id", F.col("content").cast("binary")).alias("data"), F.col("file_id").alias("n"))
-    return _write_shards(rows, path, ".mz")
-
-
 def write_version(version: DataFrame, path: str) -> None:
     version.select(F.to_json(F.struct("monthly", "daily")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
