@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
-from lodestone.functions.text import basename, count_char, csv_fields, lower_ascii
+from lodestone.functions.text import basename, bound, count_char, csv_fields, lower_ascii
 
 
 def _strings(values: list[str]) -> Column:
@@ -40,11 +40,15 @@ def unwanted_path(path: Column) -> Column:
 
 def unwanted_start(view: Column) -> Column:
     """The text and a start agree, without case, up to the shorter of both."""
-    head = lower_ascii(F.substring(view, 1, max(map(len, V.IGNORED_STARTS))))
-    found = F.length(view) == 0
-    for start in V.IGNORED_STARTS:
-        found |= F.startswith(head, F.lit(start)) | F.startswith(F.lit(start), lower_ascii(view))
-    return found
+    head = lower_ascii(F.substring(view, 1, max(map(len, V.IGNORED_STARTS))))  # all of a text that is shorter than a start
+
+    def agrees(h: Column) -> Column:
+        found = h == ""
+        for start in V.IGNORED_STARTS:
+            found |= F.startswith(h, F.lit(start)) | F.startswith(F.lit(start), h)
+        return found
+
+    return bound(head, agrees)
 
 
 def is_binary(view: Column) -> Column:
@@ -55,13 +59,17 @@ def is_binary(view: Column) -> Column:
 
 def too_square(view: Column) -> Column:
     """Most of many lines have one length. Lengths count the line end; up to two are not ranked, nor are lengths beyond the first ranks."""
-    lines = F.split(view, "\n", -1)
-    full = F.transform(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.length(x) + 1)
-    full = F.when(F.size(lines) > 1, full).otherwise(F.array().cast("array<int>"))
-    ranked = F.filter(full, lambda n: n > 2)
-    kinds = F.slice(F.array_distinct(ranked), 1, V.SQUARE_RANKS)
-    most = F.array_max(F.transform(kinds, lambda n: F.size(ranked) - F.size(F.array_remove(ranked, n))))
-    return (F.size(lines) > V.SQUARE_LINES) & F.coalesce(F.floor(most * 100 / F.size(lines)) > V.SQUARE_PERCENT, F.lit(False))
+
+    def square(lines: Column) -> Column:
+        ended = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda x: F.length(x) + 1)
+        return bound(F.filter(ended, lambda n: n > 2), lambda ranked: F.floor(_most(ranked) * 100 / F.size(lines)) > V.SQUARE_PERCENT)
+
+    def _most(ranked: Column) -> Column:
+        kinds = F.slice(F.array_distinct(ranked), 1, V.SQUARE_RANKS)
+        return F.array_max(F.transform(kinds, lambda n: F.size(F.filter(ranked, lambda m: m == n))))
+
+    # Few texts have so many lines; the others are not split.
+    return F.when(count_char(view, "\n") >= V.SQUARE_LINES, F.coalesce(bound(F.split(view, "\n", -1), square), F.lit(False))).otherwise(F.lit(False))
 
 
 def big_enough(view: Column, least: int = V.MIN_FILE) -> Column:
@@ -90,7 +98,7 @@ def license_name(name: Column) -> Column:
 
 
 def fingerprintable(view: Column) -> Column:
-    return ~unwanted_start(view) & ~too_square(view) & ~F.contains(view, F.char(F.lit(0))) & (count_char(view, "\n") > 0)
+    return bound(view, lambda b: F.contains(b, F.lit("\n")) & ~F.contains(b, F.char(F.lit(0))) & ~unwanted_start(b) & ~too_square(b))
 
 
 def first_comma_replaced(path: Column) -> Column:

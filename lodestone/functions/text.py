@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use takes it. A null value gives what use makes of a null."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def byte_view(text: Column) -> Column:
     """A character for each byte of a text, or of a binary column as it is."""
     return F.decode(text.cast("binary"), "ISO-8859-1")
@@ -13,9 +20,12 @@ def byte_view(text: Column) -> Column:
 
 def from_byte_view(view: Column) -> Column:
     """The text whose bytes these are: UTF-8, of which the end may cut a character, or else Latin-1."""
-    whole = F.encode(F.regexp_replace(view, "[\u00C2-\u00F4][\u0080-\u00BF]{0,2}$", ""), "ISO-8859-1").cast("string")
-    text = F.encode(view, "ISO-8859-1").cast("string")
-    return F.when(F.is_valid_utf8(text), text).when(F.is_valid_utf8(whole), F.make_valid_utf8(text)).otherwise(view)
+
+    def text_of(v: Column) -> Column:
+        whole = F.encode(F.regexp_replace(v, "[\u00C2-\u00F4][\u0080-\u00BF]{0,2}$", ""), "ISO-8859-1").cast("string")
+        return bound(F.encode(v, "ISO-8859-1").cast("string"), lambda t: F.when(F.is_valid_utf8(t), t).when(F.is_valid_utf8(whole), F.make_valid_utf8(t)).otherwise(v))
+
+    return bound(view, text_of)
 
 
 def lower_ascii(view: Column) -> Column:
@@ -28,7 +38,7 @@ def normalised(view: Column, limit: int) -> Column:
 
 
 def count_char(view: Column, char: str) -> Column:
-    return F.length(view) - F.length(F.translate(view, char, ""))
+    return F.length(view) - F.length(F.replace(view, F.lit(char), F.lit("")))
 
 
 def count_alnum(text: Column) -> Column:

@@ -74,4 +74,5 @@ TABLES = {
     "purl": ["purl_id", "created", "latest", "updated", "star", "watch", "fork"],
     "vulnerability": ["id", "source", "purl", "version_from", "version_patched", "cve", "advisory", "severity", "date", "summary"],
 }
+VERSION = ["monthly", "daily"]
 METADATA = ["vendor", "component", "version", "release_date", "license", "purl"]

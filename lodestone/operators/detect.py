@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
 from lodestone.functions.dictionaries import first_keywords
-from lodestone.functions.text import byte_view, count_alnum, count_char, count_marks, from_byte_view, lower_ascii, normalised
+from lodestone.functions.text import bound, byte_view, count_alnum, count_char, count_marks, from_byte_view, lower_ascii, normalised
 
 TAG = "spdx-license-identifier:"
 MAX_ENTRIES = 20_000  # of a dictionary, which goes to every task
@@ -69,7 +69,9 @@ def _first_wording(spark: SparkSession, entries: list):
 
 def licenses(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text", license_file: bool = False) -> DataFrame:
     """id, source, spdx_id: the tag's ids (source 1), or else the header's wording (2); 3 for license files."""
-    view = files.select(F.col(id_col).alias("id"), byte_view(F.col(text_col)).alias("b"))
+    # Tags and wordings start in the header; a tag's line is read on for twice the longest license.
+    head = start_of(F.col(text_col), V.HEADER + 1 + len(TAG) + 2 * V.MAX_LICENSE)
+    view = files.select(F.col(id_col).alias("id"), head.alias("b"))
     both = view.select("id", spdx_ids(F.col("b")).alias("tags"), license_text(F.col("b"), dictionary).alias("text"))
     source = lambda n: F.lit(3 if license_file else n)
     tagged = F.transform("tags", lambda t: F.struct(source(1).alias("source"), t.alias("spdx_id")))
@@ -77,56 +79,84 @@ def licenses(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_c
     return both.select("id", F.explode(F.when(F.size("tags") > 0, tagged).otherwise(worded)).alias("x")).select("id", "x.source", "x.spdx_id")
 
 
+MARKS = r"\(c\)|copyright|@author"
+HEAD = V.HEADER + 2 + V.MAX_COPYRIGHT  # bytes in which statements lie that start in the header
+
+
 def copyright_statement(view: Column) -> Column:
-    """The first acceptable statement of the header, or null."""
-    brace = F.instr(view, "{")
-    # Starts lie before the first brace and in the first bytes; statements run on to their line's end.
-    limit = F.least(F.when(brace > 0, brace - 1).otherwise(V.HEADER + 1), F.lit(V.HEADER + 1))
-    lines = F.slice(F.split(F.substring(view, 1, V.HEADER + 2 + V.MAX_COPYRIGHT), "\n", -1), 1, V.COPYRIGHT_LINES + 1)
-    # Where each line starts, as offsets from 0.
-    starts = F.transform(lines, lambda x, i: F.aggregate(F.slice(lines, F.lit(1), i), F.lit(0), lambda a, y: a + F.length(y) + 1))
-    marked = F.filter(F.zip_with(lines, starts, lambda x, s: F.struct(x.alias("line"), s.alias("start"))), lambda z: z["line"].rlike(r"(?i)\(c\)|copyright|@author"))
-
-    def statements(z: Column) -> Column:
-        low = lower_ascii(z["line"])
-
-        def acceptable(p: Column) -> Column:
-            here = F.substring(low, p, F.lit(24))
+    """The first acceptable statement of the header, or null. Of view, no more than HEAD bytes are looked at."""
+
+    def in_head(head: Column) -> Column:
+        brace = F.instr(head, "{")
+        # Starts lie before the first brace and in the first bytes; statements run on to their line's end.
+        limit = F.least(F.when(brace > 0, brace - 1).otherwise(V.HEADER + 1), F.lit(V.HEADER + 1))
+        lines = F.slice(F.split(head, "\n", -1), 1, V.COPYRIGHT_LINES + 1)
+        return bound(F.struct(lines.alias("lines"), limit.alias("limit")), in_lines)
+
+    def in_lines(parts: Column) -> Column:
+        # Lines with where each starts, as offsets from 0: each one's start is the one before's and its length.
+        at = lambda x, start: F.struct(x.alias("line"), start.alias("start"))
+        after = lambda done: F.when(F.size(done) == 0, 0).otherwise(F.element_at(done, -1)["start"] + F.length(F.element_at(done, -1)["line"]) + 1)
+        none = F.array().cast("array<struct<line: string, start: int>>")
+        placed = F.aggregate(parts["lines"], none, lambda done, x: F.concat(done, F.array(at(x, after(done)))))
+        marked = F.filter(placed, lambda z: z["line"].rlike(f"(?i){MARKS}"))
+        found = F.filter(F.transform(marked, lambda z: in_line(z, parts["limit"])), lambda s: s.isNotNull())
+        return F.get(found, F.lit(0))
+
+    def in_line(z: Column, limit: Column) -> Column:
+        # Only places where a mark starts: the line is cut before each, and lengths add up.
+        cut = F.split(lower_ascii(z["line"]), f"(?={MARKS})", -1)
+        places = F.aggregate(cut, F.array(F.lit(1)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + F.length(x))))
+        first = F.array_min(F.filter(places, lambda p: acceptable(z, p, limit)))
+        return bound(first, lambda p: F.when(p.isNotNull(), F.substring(z["line"], p, F.lit(V.MAX_COPYRIGHT))))
+
+    def acceptable(z: Column, p: Column, limit: Column) -> Column:
+        def fits(here: Column) -> Column:
             c, word, author = F.startswith(here, F.lit("(c)")), F.startswith(here, F.lit("copyright")), F.startswith(here, F.lit("@author"))
             for tail in V.IGNORED_COPYRIGHT:
                 word &= ~F.startswith(here, F.lit("copyright" + tail))
-            size = F.when(c, 3).when(word, 9).when(author, 7)
-            after = F.substring(z["line"], p + size, F.lit(V.MAX_COPYRIGHT))
-            fits = (F.length(z["line"]) - p + 1 <= V.MAX_COPYRIGHT) & (count_alnum(after) >= V.MIN_COPYRIGHT_ALNUM) & (count_marks(after) <= V.MAX_COPYRIGHT_MARKS)
-            return F.coalesce(size.isNotNull() & fits & (z["start"] + p <= limit), F.lit(False))
+            return bound(F.when(c, 3).when(word, 9).when(author, 7), after_mark)
 
-        # Only places where a mark starts: the line is cut before each, and lengths add up.
-        parts = F.split(low, r"(?=\(c\)|copyright|@author)", -1)
-        places = F.transform(parts, lambda x, i: F.aggregate(F.slice(parts, F.lit(1), i), F.lit(1), lambda a, y: a + F.length(y)))
-        first = F.array_min(F.filter(places, acceptable))
-        return F.when(first.isNotNull(), F.substring(z["line"], first, F.lit(V.MAX_COPYRIGHT)))
+        def after_mark(size: Column) -> Column:
+            fit = lambda after: (count_alnum(after) >= V.MIN_COPYRIGHT_ALNUM) & (count_marks(after) <= V.MAX_COPYRIGHT_MARKS)
+            short = (F.length(z["line"]) - p + 1 <= V.MAX_COPYRIGHT) & (z["start"] + p <= limit)
+            return F.coalesce(size.isNotNull() & short & bound(F.substring(z["line"], p + size, F.lit(V.MAX_COPYRIGHT)), fit), F.lit(False))
 
-    first = F.get(F.filter(F.transform(marked, statements), lambda s: s.isNotNull()), F.lit(0))
-    plain = F.when(F.startswith(lower_ascii(first), F.lit("@author")), F.substring(first, F.lit(9), F.lit(V.MAX_COPYRIGHT))).otherwise(first)
-    return F.translate(from_byte_view(plain), ",", ";")
+        return bound(lower_ascii(F.substring(z["line"], p, F.lit(24))), fits)
+
+    def plain(first: Column) -> Column:
+        return F.when(F.startswith(lower_ascii(first), F.lit("@author")), F.substring(first, F.lit(9), F.lit(V.MAX_COPYRIGHT))).otherwise(first)
+
+    # Most headers have no mark, and no more is done for them.
+    statement = bound(F.substring(view, 1, HEAD), lambda head: F.when(head.rlike(f"(?i){MARKS}"), in_head(head)))
+    return bound(statement, lambda found: F.when(found.isNotNull(), F.translate(from_byte_view(plain(found)), ",", ";")))
+
+
+def start_of(text: Column, n: int) -> Column:
+    """The byte view of a text's first n bytes."""
+    return byte_view(F.substring(text.cast("binary"), 1, n))
 
 
 def copyrights(files: DataFrame, id_col: str = "id", text_col: str = "text", source: int = 1) -> DataFrame:
     """id, source, statement: one at most for each file."""
-    found = files.select(F.col(id_col).alias("id"), F.lit(source).alias("source"), copyright_statement(byte_view(F.col(text_col))).alias("statement"))
+    found = files.select(F.col(id_col).alias("id"), F.lit(source).alias("source"), copyright_statement(start_of(F.col(text_col), HEAD)).alias("statement"))
     return found.where("statement IS NOT NULL")
 
 
 def algorithms(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """id, algorithm, strength: what a file's tokens name, once each."""
-    entries = _entries(first_keywords(dictionary).where(F.length("keyword") > 2))
-    if not entries:
-        return files.select(F.col(id_col).alias("id"), F.lit("").alias("algorithm"), F.lit(0).alias("strength")).limit(0)
-    names = F.create_map(*[x for r in entries for x in (F.lit(r.keyword), F.struct(F.lit(r.algorithm).alias("algorithm"), F.lit(r.strength).alias("strength")))])
-    tokens = F.regexp_extract_all(lower_ascii(byte_view(F.col(text_col))), F.lit("[A-Za-z0-9*._-]{3,}"), F.lit(0))
-    known = F.array_intersect(tokens, F.array(*[F.lit(r.keyword) for r in entries]))
-    named = files.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(F.transform(known, lambda k: names[k]))).alias("x"))
-    return named.select("id", "x.algorithm", "x.strength")
+    """id, algorithm, strength: what a file's tokens name, once each.
+
+    A file's different tokens meet the keywords in a hash join; up to MAX_ENTRIES of these are broadcast. Only what is
+    found is put together by file. Rows with equal ids are one file.
+    """
+    words = first_keywords(dictionary).where(F.length("keyword") > 2).select("keyword", "algorithm", "strength")
+    if words.limit(MAX_ENTRIES + 1).count() <= MAX_ENTRIES:
+        words = F.broadcast(words)
+    # The tokens' bytes are ASCII in any encoding that a text or its bytes may be in.
+    text = F.col(text_col) if dict(files.dtypes)[text_col] == "string" else byte_view(F.col(text_col))
+    tokens = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z0-9*._-]{3,}"), F.lit(0)), F.lower))
+    each = files.select(F.col(id_col).alias("id"), F.explode(tokens).alias("keyword"))
+    return each.join(words, "keyword").select("id", "algorithm", "strength").distinct()
 
 
 def quality_terms(view: Column) -> dict[str, Column]:

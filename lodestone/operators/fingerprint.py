@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
@@ -94,8 +94,51 @@ def first_lines(wfps: DataFrame) -> DataFrame:
     return wfps.groupBy("wfp", "file_id").agg(F.min("line").alias("line"))
 
 
-def without_denied(wfps: DataFrame, denied: DataFrame) -> DataFrame:
-    return wfps.join(denied.select("wfp"), "wfp", "left_anti")
+MAX_DENIED = 1_000_000  # fingerprints that are broadcast as they are, some 20 MB
+MAX_BITS = 27  # of places in the filter that stands for more of them: 16 MB
+_SPREAD = 40503  # odd, so that places differ
+
+
+def read_denied(spark: SparkSession, path: str) -> DataFrame:
+    """wfp of a list of fingerprints in text: eight hexadecimal digits each, apart by anything else; # starts a comment."""
+    digits = F.regexp_extract_all(F.regexp_replace("value", "#.*", ""), F.lit("(?i)(?:0x)?\\b([0-9a-f]{8})\\b|0x([0-9a-f]{8})"), F.lit(0))
+    words = spark.read.text(path).select(F.explode(digits).alias("hex"))
+    return words.select(F.conv(F.substring("hex", -8, 8), 16, 10).cast("long").alias("wfp")).distinct()
+
+
+def _bits(denied: DataFrame, n: int) -> tuple[int, np.ndarray]:
+    """A bit for each place that a denied fingerprint has, about 16 places a fingerprint: bitmaps put together by aggregates."""
+    width = min(max((16 * n - 1).bit_length(), 15), MAX_BITS)
+    place = (F.col("wfp") * _SPREAD).bitwiseXOR(F.shiftright("wfp", 13)).bitwiseAND(F.lit((1 << width) - 1)) + 1
+    rows = denied.select(place.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect()
+    out = np.zeros(1 << (width - 3), np.uint8)
+    for r in rows:  # 4 KB each, 2^MAX_BITS bits at most
+        out[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
+    return width, out
+
+
+def without_denied(wfps: DataFrame, denied: DataFrame, most: int = MAX_DENIED) -> DataFrame:
+    """The rows of wfps whose fingerprint is not in denied; none of them is shuffled but what a longer list may hold.
+
+    Up to most denied fingerprints are broadcast. For more, a filter of bits tells those rows that may be denied, and
+    these alone are joined with the list; wfps is read twice then, and should be a stored table.
+    """
+    some = denied.select("wfp").where("wfp IS NOT NULL").distinct()
+    n = some.count()
+    if n <= most:
+        return wfps.join(F.broadcast(some), "wfp", "left_anti").select(*wfps.columns)
+    width, bits = _bits(some, n)
+    shared = wfps.sparkSession.sparkContext.broadcast(bits)  # 2^MAX_BITS bits at most
+
+    @F.arrow_udf("boolean")
+    def maybe(column: pa.Array) -> pa.Array:
+        v = column.fill_null(0).to_numpy()
+        place = (v * _SPREAD ^ v >> 13) & ((1 << width) - 1)
+        return pa.array((shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool))
+
+    marked = wfps.withColumn("__maybe", maybe("wfp"))
+    clear, rest = marked.where("NOT __maybe").drop("__maybe"), marked.where("__maybe").drop("__maybe")
+    return clear.unionByName(rest.join(some, "wfp", "left_anti").select(*wfps.columns))
 
 
 def snippet_matches(queries: DataFrame, known: DataFrame) -> DataFrame:

@@ -39,12 +39,20 @@ def load_files(lines: DataFrame, shard: str = "shard", line: str = "line") -> Da
     The least path of each (file, url) is taken first; it is judged afterwards, so that a rejected path
     takes its siblings with it.
     """
+    return fit_files(least_paths(lines, shard, line))
+
+
+def least_paths(lines: DataFrame, shard: str = "shard", line: str = "line") -> DataFrame:
+    """file_id, url_id and the least path of the two, before it is judged."""
     known = lines.where((F.octet_length(line) <= V.MAX_CSV_LINE - 1) & (csv_fields(F.col(line)) >= 3))
     rest = F.regexp_extract(line, "^[^,]*,[^,]*,(.*)$", 1)
     rows = known.select(decoded_key(field(F.col(line), 1), F.col(shard)).alias("file_id"), field(F.col(line), 2).alias("url_id"), rest.alias("path"))
-    least = rows.groupBy("file_id", "url_id").agg(F.min("path").alias("path"))
-    fit = P.valid_md5(F.col("file_id")) & ~P.reserved_id(F.col("file_id")) & ~F.contains("path", F.lit(",")) & ~P.ignored_ending(F.col("path"))
-    return least.where(fit)
+    return rows.groupBy("file_id", "url_id").agg(F.min("path").alias("path"))
+
+
+def fit_files(least: DataFrame) -> DataFrame:
+    """Rows of least_paths() whose id and path are admitted."""
+    return least.where(P.valid_md5(F.col("file_id")) & ~P.reserved_id(F.col("file_id")) & ~F.contains("path", F.lit(",")) & ~P.ignored_ending(F.col("path")))
 
 
 def load_pivot(lines: DataFrame, shard: str = "shard", line: str = "line") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +9,10 @@ from lodestone.functions import predicates as P
 from lodestone.functions import values as V
 from lodestone.functions.dictionaries import crypto_dictionary, license_dictionary
 from lodestone.functions.text import basename, byte_view, purl_id, version_id
-from lodestone.operators import detect, fingerprint, kb
+from lodestone.operators import detect, fingerprint, kb, store
 from lodestone.operators.outcome import ARCHIVED, LISTED, MINED, outcome
 from lodestone.sources import readers
+from lodestone.sources.storage import exists
 
 
 def component(spark: SparkSession, metadata: str, download_url: str = "", archive_id: str | None = None) -> DataFrame:
@@ -70,14 +70,19 @@ def mine(files: DataFrame, components: DataFrame, licenses: DataFrame | None = N
     }
 
 
-KEYS = {"url": "url_id", "file": "file_id", "pivot": "url_id", "license": "id", "copyright": "id", "cryptography": "id", "quality": "id", "attribution": "purl_id", "sources": "file_id", "notices": "file_id", "wfp": "file_id", "extra_file": "file_id", "extra_sources": "file_id"}
+def save(tables: dict[str, DataFrame], path: str, only: list[str] | None = None, overwrite: bool = False, batch: tuple[str, int] | None = None) -> None:
+    """Write mined tables to a store as one snapshot; only names those wanted.
 
-
-def save(tables: dict[str, DataFrame], path: str, only: list[str] | None = None, overwrite: bool = False) -> None:
-    """Write mined tables to a knowledge base; only names those wanted."""
-    for name, table in tables.items():
-        if only is None or name in only:
-            kb.write_table(table, f"{path}/{name}", KEYS[name], overwrite)
+    batch: a stream's name and the number of its batch. A batch that the store has already is not written again.
+    """
+    wanted = {n: t for n, t in tables.items() if only is None or n in only}
+    if wanted:
+        spark = next(iter(wanted.values())).sparkSession
+        seen = store.snapshot(spark, path)
+        if batch and seen.batches.get(batch[0], -1) >= batch[1]:
+            return
+        made = {n: store.add(spark, path, seen, n, t, overwrite) for n, t in wanted.items()}
+        store.publish(spark, path, seen.next(made, batches=dict([batch]) if batch else None))
 
 
 def files_of(members: DataFrame) -> DataFrame:
@@ -85,57 +90,56 @@ def files_of(members: DataFrame) -> DataFrame:
     return members.select(F.col("archive_id").alias("url_id"), "path", F.col("content").alias("text"))
 
 
-def load(spark: SparkSession, mined: str, path: str, tables: list[str] | None = None, overwrite: bool = False) -> list[str]:
-    """Load a dataset of text tables (a folder for each) into a knowledge base; the names of those that were there.
+def load(spark: SparkSession, mined: str, path: str, tables: list[str] | None = None, overwrite: bool = False, denied: DataFrame | None = None) -> list[str]:
+    """Load a dataset into a store as one snapshot; the names of the tables that were there, version first.
 
-    Lines of another length or number of fields are left out, repeated rows too; file, pivot and purl have rules of their own.
+    The dataset has a folder of text for each table, binary shards in wfp, sources and notices, and version.json. Lines
+    of another length or number of fields are left out. Loads one after the other give what one load of all gives.
+    denied: fingerprints (wfp) that are left out.
     """
-    done = []
-    for name in tables or list(V.TABLES):
-        lines = read_table(spark, f"{mined}/{name}")
-        if lines is None:
-            continue
-        if name == "file":
-            rows = kb.load_files(lines)
-        elif name == "pivot":
-            rows = kb.load_pivot(lines)
-        elif name == "purl":
-            rows, related = kb.load_purl(kb.admissible(lines, 2))
-            kb.write_table(related.distinct(), f"{path}/purl_related", "purl_id", overwrite)
-        else:
-            key = V.TABLES[name][0]
-            rows = kb.with_fields(kb.admissible(lines, len(V.TABLES[name])), name, keep=("shard",)).withColumn(key, kb.decoded_key(F.col(key), F.col("shard")))
-        kb.write_table(rows.drop("shard").distinct(), f"{path}/{name}", KEYS.get(name, V.TABLES[name][0]), overwrite)
-        done.append(name)
+    seen = store.snapshot(spark, path)
+    version, done = dict(seen.version), []
+    if exists(spark, f"{mined}/version.json"):
+        new = readers.read_version(spark, f"{mined}/version.json")
+        old = spark.createDataFrame([tuple(seen.version.get(k) for k in V.VERSION)], "monthly string, daily string")
+        version, done = kb.version(new, old).first().asDict(), ["version"]
+    made = {}
+    for name in tables or [*V.TABLES, *BINARY]:
+        for part, rows in _loadable(spark, mined, name, denied).items():
+            made[part] = store.add(spark, path, seen, part, rows, overwrite)
+            done.append(part)
+    store.publish(spark, path, seen.next(made, version))
     return done
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return readers.read_lines(spark, path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+BINARY = ("sources", "notices", "wfp")
 
 
-def merge(spark: SparkSession, source: str, target: str, out: str) -> list[str]:
-    """Merge two knowledge bases into a third: every table of either, each row once; the names of the tables.
+def _loadable(spark: SparkSession, mined: str, name: str, denied: DataFrame | None) -> dict[str, DataFrame]:
+    """The tables that a dataset's folder makes; none if it isn't there."""
+    if not exists(spark, f"{mined}/{name}"):
+        return {}
+    if name in ("sources", "notices"):
+        return {name: readers.read_mz(spark, f"{mined}/{name}").where("content IS NOT NULL")}
+    if name == "wfp":
+        rows = readers.read_wfp(spark, f"{mined}/wfp")
+        return {name: fingerprint.without_denied(rows, denied) if denied is not None else rows}
+    lines = readers.read_lines(spark, f"{mined}/{name}")
+    if name == "file":
+        return {name: kb.least_paths(lines)}
+    if name == "pivot":
+        return {name: kb.load_pivot(lines)}
+    if name == "purl":
+        rows, related = kb.load_purl(kb.admissible(lines, 2))
+        return {name: rows, "purl_related": related}
+    key = V.TABLES[name][0]
+    rows = kb.with_fields(kb.admissible(lines, len(V.TABLES[name])), name, keep=("shard",))
+    return {name: rows.withColumn(key, kb.decoded_key(F.col(key), F.col("shard"))).drop("shard")}
 
-    All tables are compared before anything is written; tables of different columns can't be merged.
-    """
-    found: dict[str, list[DataFrame]] = {}
-    for root in (source, target):
-        for name in (*KEYS, "dependency", "purl", "purl_related", "vulnerability"):
-            try:
-                found.setdefault(name, []).append(spark.read.parquet(f"{root}/{name}").drop("p"))
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-    both = {name: kb.merge(*parts) if len(parts) == 2 else parts[0] for name, parts in found.items() if parts}
-    for name, rows in both.items():
-        kb.write_table(rows.distinct(), f"{out}/{name}", KEYS.get(name, rows.columns[0]))
-    return list(both)
+
+def merge(spark: SparkSession, source: str, target: str, out: str) -> list[str]:
+    """Merge two stores into a third; the names of its tables."""
+    return list(store.merge(spark, source, target, out).tables)
 
 
 def local_facts(files: DataFrame, licenses: DataFrame, crypto: DataFrame) -> dict[str, DataFrame]:

@@ -87,6 +87,12 @@ def replace(source: str, target: str) -> None:
     system.move(start, end)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, as Spark's own readers see it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A folder that the driver and all executors share: spark.checkpoint.dir, or else one in the warehouse."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"

@@ -23,11 +23,15 @@ def new_contents(files: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def ingest(spark: SparkSession, source: str, kb_path: str, checkpoint: str, components: DataFrame, only: list[str] | None = None, on_batch: Callable | None = None):
-    """Start a query that mines each batch and appends its tables; returns the StreamingQuery."""
+    """Start a query that mines each batch and loads its tables into a store, a snapshot each; returns the StreamingQuery.
+
+    The checkpoint's folder names the stream, so a batch that is repeated after a failure is loaded once.
+    """
+    stream_name = checkpoint.rstrip("/").rpartition("/")[2]
 
     def batch(files: DataFrame, batch_id: int) -> None:
         tables = mining.mine(files.drop("file_id", "seen"), components)
-        mining.save(tables, f"{kb_path}/batch={batch_id}", only, overwrite=True)  # a repeated batch replaces itself
+        mining.save(tables, kb_path, only, batch=(stream_name, batch_id))  # a repeated batch is in the store already
         if on_batch:
             on_batch(batch_id)
 

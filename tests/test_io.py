@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import archive, kb
+from lodestone.operators import archive, kb, store
 from lodestone.plans import mining
 from lodestone.sources import readers, writers
 from lodestone.streaming import ingest
@@ -64,22 +64,15 @@ def test_bytes_from_archives_to_facts(spark, tmp_path):
     assert {r.id for r in local["copyright"].collect()} == {"src/a.c", "src/b.c"} and local["quality"].count() == 2
 
 
-def test_load_and_merge_of_datasets(spark, tmp_path):
+def test_load_of_a_dataset(spark, tmp_path):
     a, b = hashlib.md5(b"a").hexdigest(), hashlib.md5(b"b").hexdigest()
     files = spark.createDataFrame([(a, "u" * 32, "x.c"), (b, "u" * 32, "y.c"), (b, "u" * 32, "y.json")], "file_id string, url_id string, path string")
     lic = spark.createDataFrame([(a, "1", "MIT"), (a, "1", "MIT"), (b, "2", "ISC")], "id string, source string, spdx_id string")
     writers.write_lines(files, str(tmp_path / "m" / "file"), "file_id")
     writers.write_lines(lic, str(tmp_path / "m" / "license"), "id")
     assert mining.load(spark, str(tmp_path / "m"), str(tmp_path / "kb1")) == ["file", "license"]
-    got = spark.read.parquet(str(tmp_path / "kb1" / "license")).drop("p")
-    assert sorted(map(tuple, got.collect())) == sorted([(a, "1", "MIT"), (b, "2", "ISC")])
-    assert sorted((r.file_id, r.path) for r in spark.read.parquet(str(tmp_path / "kb1" / "file")).collect()) == sorted([(a, "x.c"), (b, "y.c")])
-    kb.write_table(spark.createDataFrame([(b, "2", "ISC"), (b, "1", "BSD-2-Clause")], "id string, source string, spdx_id string"), str(tmp_path / "kb2" / "license"), "id")
-    assert set(mining.merge(spark, str(tmp_path / "kb1"), str(tmp_path / "kb2"), str(tmp_path / "kb3"))) == {"file", "license"}
-    assert spark.read.parquet(str(tmp_path / "kb3" / "license")).count() == 3
-    kb.write_table(spark.createDataFrame([(a, 1)], "id string, source int"), str(tmp_path / "kb4" / "license"), "id")
-    with pytest.raises(ValueError, match="different columns"):
-        mining.merge(spark, str(tmp_path / "kb1"), str(tmp_path / "kb4"), str(tmp_path / "kb5"))
+    assert sorted(map(tuple, store.open_table(spark, str(tmp_path / "kb1"), "license").collect())) == sorted([(a, "1", "MIT"), (b, "2", "ISC")])
+    assert sorted((r.file_id, r.path) for r in store.open_table(spark, str(tmp_path / "kb1"), "file").collect()) == sorted([(a, "x.c"), (b, "y.c")])
 
 
 def test_torn_line_is_dropped(spark, tmp_path):
@@ -133,7 +126,10 @@ def test_mine_save_and_stream(spark, tmp_path):
     assert tables["sources"].count() == 1 and tables["attribution"].count() == 1
     assert [r.statement for r in tables["copyright"].collect()] == ["Copyright 2020 Some Body"]
     mining.save(tables, str(tmp_path / "kb"), only=["file", "license"])
-    assert spark.read.parquet(str(tmp_path / "kb" / "file")).count() == 2
+    assert store.open_table(spark, str(tmp_path / "kb"), "file").count() == 2
     files.withColumn("seen", F.current_timestamp()).unionByName(files.withColumn("seen", F.current_timestamp())).write.parquet(str(tmp_path / "in"))
     ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "stream"), str(tmp_path / "ck"), comp, only=["file"]).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "stream" / "batch=0" / "file")).count() == 2
+    assert store.open_table(spark, str(tmp_path / "stream"), "file").count() == 2
+    seen = store.snapshot(spark, str(tmp_path / "stream"))
+    mining.save({"file": tables["file"]}, str(tmp_path / "stream"), batch=("ck", 0))  # that batch again
+    assert "ck" in seen.batches and store.snapshot(spark, str(tmp_path / "stream")) == seen
