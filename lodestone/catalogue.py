@@ -7,6 +7,7 @@ One SQL text makes that view in Spark and in the SQL engine that checks the resu
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,13 @@ from pyspark.sql import functions as F
 from lodestone.functions import dictionaries as D
 from lodestone.functions import predicates as P
 from lodestone.functions import values as V
-from lodestone.functions.text import basename, byte_view, purl_id, version_id
+from lodestone.functions.text import basename, byte_view, normalised, purl_id, version_id
 from lodestone.operators import archive as A
-from lodestone.operators import detect, fingerprint, kb
+from lodestone.operators import detect, fingerprint, kb, store
 from lodestone.operators.outcome import LISTED, outcome
 from lodestone.plans import mining
+from lodestone.sources import archives, shards
+from lodestone.sources.storage import shared_folder
 
 SRC = """SELECT doc_id, source AS component, lang AS version, 'pkg:generic/' || source AS purl, md5(source || ',' || lang) AS url_id,
   CASE WHEN lang = 'en' THEN 'MIT' WHEN lang = 'de' THEN 'Apache-2.0' ELSE '' END AS license,
@@ -200,11 +203,11 @@ def license_all(spark, sf_dir):
     return detect.licenses(src(spark, sf_dir), D.license_dictionary(spark), "doc_id").withColumnRenamed("id", "doc_id")
 
 
-@query(f"WITH {DICT} SELECT a.ord AS inner_ord, b.ord AS outer_ord FROM dict a JOIN dict b ON a.ord <> b.ord AND a.spdx_id <> b.spdx_id AND contains(b.phrase, a.phrase)")
+@query("WITH d AS (SELECT DISTINCT p_brand AS spdx_id, regexp_replace(lower(p_brand), '[^a-z0-9+]', '', 'g') AS phrase FROM part) SELECT a.spdx_id AS inner_id, b.spdx_id AS outer_id FROM d a JOIN d b ON a.spdx_id <> b.spdx_id AND contains(b.phrase, a.phrase)")
 def license_dict_conflicts(spark, sf_dir):
-    d = D.license_dictionary(spark)
-    a, b = d.select(F.col("ord").alias("inner_ord"), F.col("spdx_id").alias("i"), F.col("phrase").alias("p")), d.select(F.col("ord").alias("outer_ord"), F.col("spdx_id").alias("o"), "phrase")
-    return a.join(b, (F.col("i") != F.col("o")) & F.contains("phrase", F.col("p"))).select("inner_ord", "outer_ord")
+    """Wordings that others contain, in a dictionary of the brands of parts."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("spdx_id")).distinct()
+    return D.conflicts(brands.withColumn("phrase", normalised(byte_view(F.col("spdx_id")), 1023)))
 
 
 @query(f"{W}, {licenses_cte()} SELECT component, spdx_id, count(*) AS n FROM lic JOIN (SELECT doc_id, component FROM src) USING (doc_id) GROUP BY ALL")
@@ -260,9 +263,27 @@ def crypto_strength_rollup(spark, sf_dir):
     return crypto_algorithms(spark, sf_dir).groupBy("strength").agg(F.countDistinct("doc_id").alias("files"), F.countDistinct("algorithm").alias("algorithms"))
 
 
-@query(f"WITH {WORDS} SELECT keyword, algorithm, strength FROM words")
+FIRST_WORDS = "first_words AS (SELECT regexp_extract(text, '[A-Za-z0-9]+') AS keyword, source AS algorithm, CAST(n_chars % 512 AS INT) AS strength, doc_id AS ord FROM documents)"
+
+
+@query(f"WITH {FIRST_WORDS} SELECT lower(keyword) AS keyword, arg_min(algorithm, ord) AS algorithm, arg_min(strength, ord) AS strength FROM first_words GROUP BY 1")
 def crypto_dict_first_wins(spark, sf_dir):
-    return D.first_keywords(D.crypto_dictionary(spark)).select("keyword", "algorithm", "strength")
+    """A dictionary in which documents name their first words: of those that agree, the first entry wins."""
+    words = table(spark, sf_dir, "documents").select(F.regexp_extract("text", "[A-Za-z0-9]+", 0).alias("keyword"), F.col("source").alias("algorithm"), (F.col("n_chars") % 512).cast("int").alias("strength"), F.col("doc_id").alias("ord"))
+    return D.first_keywords(words).select("keyword", "algorithm", "strength")
+
+
+LARGE = "large AS (SELECT t AS keyword, substr(md5(t), 1, 2) AS algorithm, length(t) AS strength FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(regexp_replace(text, '[^A-Za-z0-9*._-]', ' ', 'g')), '[a-z0-9*._-]{3,}')) AS t FROM documents) ORDER BY md5(t) LIMIT 1000)"
+
+
+@query(f"WITH {LARGE}, tok AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(regexp_replace(text, '[^A-Za-z0-9*._-]', ' ', 'g')), '[a-z0-9*._-]{{3,}}'))) AS t FROM documents) SELECT DISTINCT doc_id, algorithm, CAST(strength AS INT) AS strength FROM tok JOIN large ON t = keyword")
+def crypto_large_dictionary(spark, sf_dir):
+    """A dictionary of a thousand of the documents' own tokens, those with the least MD5, in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    tokens = docs.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9*._-]{3,}"), F.lit(0))).alias("t")).select(F.lower("t").alias("keyword")).distinct()
+    some = tokens.orderBy(F.md5("keyword")).limit(1000)
+    words = some.select(F.lit(0).alias("ord"), "keyword", F.substring(F.md5("keyword"), 1, 2).alias("algorithm"), F.length("keyword").alias("strength"))
+    return detect.algorithms(docs, words, "doc_id").withColumnRenamed("id", "doc_id")
 
 
 @query(f"{W}, {quality_cte()} SELECT doc_id, score FROM qual")
@@ -428,8 +449,7 @@ def csv_arity_reject(spark, sf_dir):
 @query(f"{W}, m AS (SELECT DISTINCT component || ',' || component || ',' || version || ',20240101,' || license || ',' || purl AS meta FROM src) SELECT meta, string_split(meta, ',')[1] AS vendor, string_split(meta, ',')[3] AS version, string_split(meta, ',')[5] AS license, string_split(meta, ',')[6] AS purl FROM m WHERE length(meta) - length(replace(meta, ',', '')) = 5")
 def metadata_fields(spark, sf_dir):
     m = components(spark, sf_dir).select(F.concat_ws(",", "component", "component", "version", F.lit("20240101"), "license", "purl").alias("meta"))
-    part = lambda n: F.element_at(F.split("meta", ",", -1), n)
-    return m.where(P.has_fields(F.col("meta"), 6)).select("meta", part(1).alias("vendor"), part(3).alias("version"), part(5).alias("license"), part(6).alias("purl"))
+    return mining.parsed_metadata(m, "meta").select("meta", "vendor", "version", "license", "purl")
 
 
 @query(f"{WL} SELECT DISTINCT line FROM lines")
@@ -545,11 +565,12 @@ def archive_keys(spark, sf_dir):
     return A.keys(archive(spark, sf_dir))
 
 
-@query("SELECT md5('// SPDX-License-Identifier: MIT' || chr(10) || 'MD5_Init(&c); y = AES_cbc_encrypt(a,b); MD5_Init(&d);' || chr(10) || text) AS file_id, 1 AS one FROM documents WHERE doc_id = 0")
+@query(f"{WA}, wanted AS (SELECT max(md5(text)) AS file_id FROM src) SELECT file_id, md5(content) AS content_md5, CAST(count(*) AS BIGINT) AS copies FROM arch WHERE file_id IN (SELECT file_id FROM wanted) GROUP BY ALL")
 def archive_cat(spark, sf_dir):
-    key = src(spark, sf_dir).where("doc_id = 0").select(F.md5("text").alias("file_id"))
-    one = A.known(A.unique(archive(spark, sf_dir).where(A.intact(F.col("file_id"), F.col("content")))), key)
-    return one.select(F.md5("content").alias("file_id"), F.lit(1).alias("one"))
+    """What the archive holds under one key, the greatest there is, copies and damaged ones too."""
+    a = archive(spark, sf_dir)
+    key = src(spark, sf_dir).agg(F.max(F.md5("text")).alias("k")).first().k
+    return A.extract(a, key.upper()).groupBy("file_id", F.md5("content").alias("content_md5")).agg(F.count("*").alias("copies"))
 
 
 WU = f"{W}, uniq AS (SELECT file_id, any_value(b) AS b, any_value(text) AS text FROM v GROUP BY file_id)"
@@ -620,10 +641,13 @@ def wfp_ignored(spark, sf_dir):
     return fingerprint.without_denied(w, denied).select("wfp", "file_id", "line")
 
 
-@query(f"WITH {WFP.replace('FROM documents', "FROM (SELECT doc_id, repeat(chr(10), 65530) || text AS text FROM documents WHERE doc_id % 50 = 0)")} SELECT doc_id AS file_id, wfp, CAST(least(line, 65535) AS INT) AS line FROM wfps")
+LATE = WFP.replace(f"WHERE NOT {start_sql()} AND NOT {square_sql()} AND contains(b, chr(10))", "WHERE NOT contains(b, chr(0))")
+
+
+@query(f"WITH {LATE} SELECT doc_id AS file_id, wfp, CAST(least(line + 65530, 65535) AS INT) AS line FROM wfps")
 def wfp_line_saturate(spark, sf_dir):
-    """Texts that start on a line near the largest; the query set of snippet_match."""
-    late = table(spark, sf_dir, "documents").where("doc_id % 50 = 0").select(F.col("doc_id").alias("file_id"), F.concat(F.repeat(F.lit("\n"), F.lit(65530)), "text").alias("text"))
+    """All texts, each after so many empty lines that it starts near the greatest line number."""
+    late = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), F.concat(F.repeat(F.lit("\n"), F.lit(65530)), "text").alias("text"))
     return fingerprint.fingerprints(late, hash_name="md5")
 
 
@@ -632,11 +656,12 @@ def archive_fingerprints(spark, sf_dir):
     return fingerprint.first_lines(fingerprint.fingerprints(_stored(spark, sf_dir), hash_name="md5", text_col="content"))
 
 
-@query(f"{W}, {FILES}, {COMPONENTS} SELECT DISTINCT file_id, url_id, component, version, purl FROM files JOIN comp USING (url_id) WHERE file_id < '2'")
+@query(f"{W}, {FILES}, {COMPONENTS}, least AS (SELECT file_id, url_id, min(path) AS path FROM files GROUP BY ALL) SELECT file_id, url_id, component, version, purl FROM least JOIN comp USING (url_id) WHERE NOT contains(path, ',') AND NOT {ending('path', V.IGNORED_ENDINGS)}")
 def file_urls(spark, sf_dir):
-    files = file_table(spark, sf_dir)
-    urls = components(spark, sf_dir).select("url_id", "component", "version", "purl")
-    return mining.urls_of_files(files.where("file_id < '2'"), files.select("url_id", "file_id").distinct(), urls)
+    """Every file's urls, asked of a store that holds all files and urls."""
+    path = _scratch(spark, "file-urls")
+    mining.save({"file": file_table(spark, sf_dir), "url": components(spark, sf_dir).select("url_id", "component", "version", "purl")}, path)
+    return store.urls_of_files(spark, path, file_ids(spark, sf_dir).unionByName(src(spark, sf_dir).select("doc_id", F.md5("text").alias("file_id")))).select("file_id", "url_id", "component", "version", "purl")
 
 
 @query(f"WITH {WFP}, pair AS (SELECT DISTINCT q.doc_id AS query_id, k.doc_id AS file_id, q.wfp FROM wfps q JOIN wfps k ON q.wfp = k.wfp WHERE q.doc_id % 50 = 0) SELECT query_id, file_id, count(*) AS hits FROM pair GROUP BY ALL")
@@ -656,10 +681,89 @@ def encoded_field(spark, sf_dir):
     return decode_field(enc, "data")
 
 
-@query("SELECT '24.02' AS monthly, '24.01.24' AS daily")
+@query("SELECT strftime(max(ts), '%y.%m') AS monthly, (SELECT max(strftime(o_orderdate, '%y.%m.%d')) FROM orders) AS daily FROM events")
 def version_merge(spark, sf_dir):
-    new = spark.createDataFrame([("24.02", "N/A")], "monthly string, daily string")
-    return kb.version(new, spark.createDataFrame([("24.01", "24.01.24")], "monthly string, daily string"))
+    """A version that knows the month of the last event alone takes the day from the one before, the greatest of the orders as text."""
+    new = table(spark, sf_dir, "events").select(F.date_format("ts", "yy.MM").alias("monthly"), F.lit("N/A").alias("daily"))
+    old = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yy.MM").alias("monthly"), F.date_format("o_orderdate", "yy.MM.dd").alias("daily"))
+    return kb.version(new, old)
+
+
+# ---------------------------------------------------------------- formats and the store
+
+
+def _scratch(spark: SparkSession, tag: str) -> str:
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+PACKED = "component || '-' || CAST(doc_id % 16 AS VARCHAR(4)) || CASE WHEN doc_id % 2 = 0 THEN '.zip' ELSE '.tar.gz' END"
+
+
+@query(f"WITH src AS ({SRC}) SELECT {PACKED} AS archive, path, md5(text) AS content_md5 FROM src WHERE contains(path, 'src/')")
+def archive_members(spark, sf_dir):
+    """Components packed into archives, and what their folders src hold, which is asked of the reader."""
+    path = _scratch(spark, "archives")
+    archives.write_archives(src(spark, sf_dir).select(F.expr(PACKED).alias("archive"), "path", F.encode("text", "UTF-8").alias("content")), path)
+    read = archives.read_archives(spark, path, ids="false").where(F.contains("path", F.lit("src/")))
+    return read.select(basename(F.col("archive")).alias("archive"), "path", F.md5("content").alias("content_md5"))
+
+
+MASKED_DOCS = "SELECT doc_id, " + masked("text") + " AS b FROM documents"
+STORED_WFP = WFP.replace(MASKED_DOCS, "SELECT file_id AS doc_id, " + masked("text") + " AS b FROM (SELECT DISTINCT md5(text) AS file_id, text FROM documents)")
+
+
+@query(f"WITH {STORED_WFP} SELECT wfp, doc_id AS file_id, min(line) AS line FROM wfps GROUP BY ALL")
+def wfp_shards(spark, sf_dir):
+    """Fingerprints of all documents, written as binary shards and read back."""
+    path, docs = _scratch(spark, "wfp"), table(spark, sf_dir, "documents")
+    rows = fingerprint.fingerprints(docs.select(F.md5("text").alias("file_id"), "text"), hash_name="md5")
+    shards.write_wfp(fingerprint.first_lines(rows), path)
+    return shards.read_wfp(spark, path)
+
+
+@query("SELECT md5(text) AS file_id, md5(text) AS content_md5, CAST(strlen(text) AS INT) AS n_bytes, substr(md5(text), 1, 4) AS shard FROM documents")
+def mz_shards(spark, sf_dir):
+    """All documents, written as archive shards and read back."""
+    path = _scratch(spark, "mz")
+    shards.write_mz(table(spark, sf_dir, "documents").select(F.md5("text").alias("file_id"), F.col("text").alias("content")), path)
+    return shards.read_mz(spark, path, report=True).select("file_id", F.md5("content").alias("content_md5"), F.octet_length("content").alias("n_bytes"), "shard")
+
+
+@query(f"{WL}, {LOADED} SELECT * FROM loaded")
+def load_twice(spark, sf_dir):
+    """Lines dealt to two datasets that are loaded one after the other: what one load of all lines gives."""
+    path = _scratch(spark, "loads")
+    dealt = lines(spark, sf_dir).withColumn("half", F.crc32("line") % 2)
+    for half in (0, 1):
+        dealt.where(F.col("half") == half).select("line", F.col("shard").alias("p")).write.partitionBy("p").text(f"{path}/mined{half}/file")
+        mining.load(spark, f"{path}/mined{half}", f"{path}/kb")
+    return store.open_table(spark, f"{path}/kb", "file")
+
+
+@query(f"{W}, {FILES}, {MERGED} SELECT file_id, url_id, min(path) AS path FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY ALL")
+def merge_stores(spark, sf_dir):
+    """Two stores with overlapping halves of the files, merged into a third."""
+    path, files = _scratch(spark, "merge"), file_table(spark, sf_dir)
+    mining.save({"file": files.where(F.substring("file_id", 1, 1) < "8")}, f"{path}/a")
+    mining.save({"file": files.where(F.substring("file_id", 1, 1) > "3")}, f"{path}/b")
+    mining.merge(spark, f"{path}/a", f"{path}/b", f"{path}/c")
+    return store.stored(spark, f"{path}/c", store.snapshot(spark, f"{path}/c").tables["file"], "file")
+
+
+@query(ORACLES["wfp_ignored"])
+def wfp_ignored_by_filter(spark, sf_dir):
+    """The same deny-list by the filter of bits, as for one too long to be broadcast."""
+    w = _fingerprints(spark, sf_dir)
+    denied = w.groupBy("wfp").agg(F.countDistinct("file_id").alias("n")).where("n > 3")
+    return fingerprint.without_denied(w, denied, most=0).select("wfp", "file_id", "line")
+
+
+@query(ORACLES["snippet_match"])
+def snippet_match_store(spark, sf_dir):
+    """The same matches, asked of a store of all fingerprints."""
+    path, w = _scratch(spark, "snippets"), _fingerprints(spark, sf_dir)
+    mining.save({"wfp": w.select("wfp", "file_id", "line")}, path)
+    return store.snippet_matches(spark, path, w.where("file_id % 50 = 0"))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import predicates as P
 from lodestone.functions import values as V
 from lodestone.functions.dictionaries import crypto_dictionary, license_dictionary
-from lodestone.functions.text import basename, byte_view, purl_id, version_id
+from lodestone.functions.text import basename, byte_view, field, purl_id, version_id
 from lodestone.operators import detect, fingerprint, kb, store
 from lodestone.operators.outcome import ARCHIVED, LISTED, MINED, outcome
 from lodestone.sources import readers
@@ -17,13 +17,18 @@ from lodestone.sources.storage import exists
 
 def component(spark: SparkSession, metadata: str, download_url: str = "", archive_id: str | None = None) -> DataFrame:
     """A component's row: metadata are six fields; a local folder's id is the MD5 of the metadata."""
-    fields = metadata.split(",")
-    if len(fields) != len(V.METADATA):
+    row = parsed_metadata(spark.createDataFrame([(metadata, download_url)], "metadata string, download_url string"))
+    if metadata.count(",") != len(V.METADATA) - 1:
         raise ValueError(f"metadata needs {len(V.METADATA)} fields: {', '.join(V.METADATA)}")
-    row = spark.createDataFrame([(metadata, download_url, *fields)], ", ".join(f"{c} string" for c in ["metadata", "download_url", *V.METADATA]))
     return with_ids(row.withColumn("url_id", F.lit(archive_id) if archive_id else F.md5("metadata")).drop("metadata"))
 
 
+def parsed_metadata(rows: DataFrame, column: str = "metadata") -> DataFrame:
+    """Rows whose metadata have as many fields as they must, with a column for each field."""
+    names = V.METADATA
+    return rows.where(P.has_fields(F.col(column), len(names))).withColumns({n: field(F.col(column), i + 1) for i, n in enumerate(names)})
+
+
 def with_ids(components: DataFrame) -> DataFrame:
     return components.withColumns({"purl_id": purl_id(F.col("purl")), "version_id": version_id(F.col("purl"), F.col("version"))})
 
