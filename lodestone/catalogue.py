@@ -21,7 +21,7 @@ from lodestone.operators import archive as A
 from lodestone.operators import detect, fingerprint, kb, store
 from lodestone.operators.outcome import LISTED, outcome
 from lodestone.plans import mining
-from lodestone.sources import archives, shards
+from lodestone.sources import archives, integrity, records, shards
 from lodestone.sources.storage import shared_folder
 
 SRC = """SELECT doc_id, source AS component, lang AS version, 'pkg:generic/' || source AS purl, md5(source || ',' || lang) AS url_id,
@@ -132,17 +132,17 @@ def licenses_cte(key: str = "doc_id", rel: str = "v") -> str:
 lic AS (SELECT {key}, 1 AS source, spdx_id FROM tags UNION ALL SELECT {key}, 2, spdx_id FROM worded WHERE {key} NOT IN (SELECT {key} FROM tags))"""
 
 
-def copyright_cte(key: str = "doc_id", rel: str = "v") -> str:
-    """cop(key, statement) as CTEs. Lines that hold a statement are ASCII before it in this data."""
-    return f"""cl0 AS (SELECT {key}, string_split(b, chr(10)) AS ls, string_split(text, chr(10)) AS ts, CASE WHEN strpos(b, '{{') > 0 THEN strpos(b, '{{') - 1 ELSE 4097 END AS lim FROM {rel}),
-cl1 AS (SELECT {key}, lim, ls, ts, unnest(range(1, least(len(ls), 21) + 1)) AS i FROM cl0),
-cl2 AS (SELECT {key}, lim, i, ls[i] AS line, ts[i] AS plain, CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(ls[1:i-1], lambda x: length(x) + 1)) END AS s FROM cl1 WHERE regexp_matches(ls[i], '(?i)\\(c\\)|copyright|@author')),
-cl3 AS (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM cl2),
-cl4 AS (SELECT *, lower(substr(line, p, 24)) AS here FROM cl3),
-cl5 AS (SELECT *, CASE WHEN here[1:3] = '(c)' THEN 3 WHEN here[1:9] = 'copyright' AND NOT ({" OR ".join(f"starts_with(here, 'copyright{t}')" for t in V.IGNORED_COPYRIGHT)}) THEN 9 WHEN here[1:7] = '@author' THEN 7 END AS n FROM cl4),
-cl6 AS (SELECT *, substr(line, p + n, 256) AS tail FROM cl5 WHERE n IS NOT NULL AND s + p <= least(lim, 4097)),
-cl7 AS (SELECT {key}, i, p, here, plain FROM cl6 WHERE length(line) - p + 1 <= 256 AND length(regexp_replace(tail, '[^A-Za-z0-9]', '', 'g')) >= 3 AND length(regexp_replace(tail, '[A-Za-z0-9 ]', '', 'g')) <= 10),
-cop AS (SELECT {key}, arg_min(replace(CASE WHEN here[1:7] = '@author' THEN substr(plain, p + 8) ELSE substr(plain, p) END, ',', ';'), i * 100000 + p) AS statement FROM cl7 GROUP BY {key})"""
+def copyright_cte(key: str = "doc_id", rel: str = "v", p: str = "") -> str:
+    """cop(key, statement) as CTEs, p before their names. Lines that hold a statement are ASCII before it in this data."""
+    return f"""{p}cl0 AS (SELECT {key}, string_split(b, chr(10)) AS ls, string_split(text, chr(10)) AS ts, CASE WHEN strpos(b, '{{') > 0 THEN strpos(b, '{{') - 1 ELSE 4097 END AS lim FROM {rel}),
+{p}cl1 AS (SELECT {key}, lim, ls, ts, unnest(range(1, least(len(ls), 21) + 1)) AS i FROM {p}cl0),
+{p}cl2 AS (SELECT {key}, lim, i, ls[i] AS line, ts[i] AS plain, CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(ls[1:i-1], lambda x: length(x) + 1)) END AS s FROM {p}cl1 WHERE regexp_matches(ls[i], '(?i)\\(c\\)|copyright|@author')),
+{p}cl3 AS (SELECT *, unnest(range(1, length(line) + 1)) AS p FROM {p}cl2),
+{p}cl4 AS (SELECT *, lower(substr(line, p, 24)) AS here FROM {p}cl3),
+{p}cl5 AS (SELECT *, CASE WHEN here[1:3] = '(c)' THEN 3 WHEN here[1:9] = 'copyright' AND NOT ({" OR ".join(f"starts_with(here, 'copyright{t}')" for t in V.IGNORED_COPYRIGHT)}) THEN 9 WHEN here[1:7] = '@author' THEN 7 END AS n FROM {p}cl4),
+{p}cl6 AS (SELECT *, substr(line, p + n, 256) AS tail FROM {p}cl5 WHERE n IS NOT NULL AND s + p <= least(lim, 4097)),
+{p}cl7 AS (SELECT {key}, i, p, here, plain FROM {p}cl6 WHERE length(line) - p + 1 <= 256 AND length(regexp_replace(tail, '[^A-Za-z0-9]', '', 'g')) >= 3 AND length(regexp_replace(tail, '[A-Za-z0-9 ]', '', 'g')) <= 10),
+{p}cop AS (SELECT {key}, arg_min(replace(CASE WHEN here[1:7] = '@author' THEN substr(plain, p + 8) ELSE substr(plain, p) END, ',', ';'), i * 100000 + p) AS statement FROM {p}cl7 GROUP BY {key})"""
 
 
 def crypto_cte(key: str = "doc_id", rel: str = "v") -> str:
@@ -729,6 +729,25 @@ def mz_shards(spark, sf_dir):
     return shards.read_mz(spark, path, report=True).select("file_id", F.md5("content").alias("content_md5"), F.octet_length("content").alias("n_bytes"), "shard")
 
 
+@query(f"WITH v AS (SELECT *, {masked('text')} AS b FROM documents), uniq AS (SELECT md5(text) AS file_id, any_value(b) AS b FROM v GROUP BY 1), {quality_cte('file_id', 'uniq')} SELECT file_id, score FROM qual")
+def record_quality(spark, sf_dir):
+    """The score of every stored document, by a table function that goes through archive shards a record at a time."""
+    path, docs = _scratch(spark, "records"), table(spark, sf_dir, "documents")
+    shards.write_mz(docs.select(F.md5("text").alias("file_id"), F.col("text").alias("content")).dropDuplicates(["file_id"]), path)
+    return detect.quality(records.handled(spark, path), "file_id", "content").select(F.col("id").alias("file_id"), "score")
+
+
+@query("SELECT 'text' AS kind, 'a last line without end' AS problem, count(DISTINCT source) AS n FROM documents UNION ALL SELECT 'mz', NULL, count(DISTINCT substr(md5(text), 1, 4)) FROM documents UNION ALL SELECT 'bin', NULL, count(DISTINCT substr(md5(text), 1, 2)) FROM documents")
+def file_integrity(spark, sf_dir):
+    """Files of a dataset by kind and problem: texts without a last line end (a file a source), archive shards, fingerprint shards."""
+    path, docs = _scratch(spark, "integrity"), table(spark, sf_dir, "documents").withColumn("file_id", F.md5("text"))
+    whole = docs.select("source", F.lit("no line end").alias("content")).distinct().select(F.col("source").alias("p"), F.concat("content", "source").alias("line"))
+    whole.repartition("p").write.partitionBy("p").option("lineSep", " ").text(f"{path}/text")
+    shards.write_mz(docs.select("file_id", F.col("text").alias("content")), f"{path}/sources")
+    shards.write_wfp(docs.select(F.conv(F.substring("file_id", 1, 8), 16, 10).cast("long").alias("wfp"), "file_id", F.lit(1).alias("line")), f"{path}/wfp")
+    return integrity.report(spark, path).groupBy("kind", "problem").agg(F.count("*").alias("n"))
+
+
 @query(f"{WL}, {LOADED} SELECT * FROM loaded")
 def load_twice(spark, sf_dir):
     """Lines dealt to two datasets that are loaded one after the other: what one load of all lines gives."""
@@ -785,14 +804,29 @@ def component_inventory(spark, sf_dir):
     return files.join(lic, "component", "left").join(alg, "component", "left").join(qual, "component", "left").fillna(0, ["licenses", "algorithms"])
 
 
-@query()
+MINED_TABLES = f"""{W}, {FILES}, {COMPONENTS}, {DECLARED}, o AS (SELECT *, {outcome_sql(False)} AS outcome FROM v),
+ok AS (SELECT DISTINCT file_id, b, text FROM o WHERE outcome IN ('accepted', 'not_archived')), {licenses_cte('file_id', 'ok')}, {copyright_cte('file_id', 'ok')}, {crypto_cte('file_id', 'ok')}, {quality_cte('file_id', 'ok')},
+note AS (SELECT v.*, md5(purl) AS purl_id FROM v WHERE {NOTICE} AND length(b) >= 256), {copyright_cte('doc_id', 'note', 'n')}
+SELECT 'url' AS name, count(*) AS n FROM comp UNION ALL SELECT 'file', count(*) FROM files UNION ALL SELECT 'pivot', count(*) FROM (SELECT DISTINCT url_id, file_id FROM files)
+UNION ALL SELECT 'license', (SELECT count(*) FROM (SELECT DISTINCT file_id, source, spdx_id FROM lic)) + (SELECT count(*) FROM declared)
+UNION ALL SELECT 'copyright', (SELECT count(*) FROM cop) + (SELECT count(*) FROM ncop) UNION ALL SELECT 'cryptography', count(*) FROM alg UNION ALL SELECT 'quality', count(*) FROM qual
+UNION ALL SELECT 'attribution', count(*) FROM (SELECT DISTINCT purl_id, file_id FROM note) UNION ALL SELECT 'sources', count(DISTINCT file_id) FROM o WHERE outcome = 'accepted' UNION ALL SELECT 'notices', count(DISTINCT file_id) FROM note"""
+
+
+@query(MINED_TABLES)
 def mined_tables(spark, sf_dir):
-    """Rows of each table that mining all components gives."""
+    """Rows of each table that mining all components gives, from facts that one pass over the texts has written."""
     s = src(spark, sf_dir).select("url_id", "path", "text")
-    comps = url_table(spark, sf_dir)
-    tables = mining.mine(s, mining.with_ids(comps))
-    counts = [t.select(F.lit(n).alias("name")) for n, t in tables.items()]
+    tables = mining.mine(s, mining.with_ids(url_table(spark, sf_dir)), at=_scratch(spark, "facts"))
+    counts = [t.select(F.lit(n).alias("name")) for n, t in tables.items() if n != "wfp"]  # whose hash SQL lacks
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
     return out.groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query(f"{W}, {FILES}, {COMPONENTS}, ok AS (SELECT DISTINCT file_id, b, text FROM (SELECT *, {outcome_sql(False)} AS outcome FROM v) WHERE outcome IN ('accepted', 'not_archived')), {crypto_cte('file_id', 'ok')} SELECT file_id AS id, algorithm, strength FROM alg")
+def mined_cryptography(spark, sf_dir):
+    """The table of algorithms as one-pass mining makes it."""
+    s = src(spark, sf_dir).select("url_id", "path", "text")
+    return mining.mine(s, mining.with_ids(url_table(spark, sf_dir)))["cryptography"]

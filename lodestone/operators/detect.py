@@ -6,6 +6,8 @@ a check of their size.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +69,22 @@ def _first_wording(spark: SparkSession, entries: list):
     return found
 
 
-def licenses(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text", license_file: bool = False) -> DataFrame:
-    """id, source, spdx_id: the tag's ids (source 1), or else the header's wording (2); 3 for license files."""
-    # Tags and wordings start in the header; a tag's line is read on for twice the longest license.
-    head = start_of(F.col(text_col), V.HEADER + 1 + len(TAG) + 2 * V.MAX_LICENSE)
-    view = files.select(F.col(id_col).alias("id"), head.alias("b"))
-    both = view.select("id", spdx_ids(F.col("b")).alias("tags"), license_text(F.col("b"), dictionary).alias("text"))
+LICENSE_HEAD = V.HEADER + 1 + len(TAG) + 2 * V.MAX_LICENSE  # tags and wordings start in the header; a tag's line is read on for twice the longest license
+
+
+def license_facts(view: Column, dictionary: DataFrame, license_file: bool = False) -> Column:
+    """source, spdx_id as an array: the tag's ids (source 1), or else the header's wording (2); 3 for license files. Null if none."""
     source = lambda n: F.lit(3 if license_file else n)
-    tagged = F.transform("tags", lambda t: F.struct(source(1).alias("source"), t.alias("spdx_id")))
-    worded = F.when(F.col("text").isNotNull(), F.array(F.struct(source(2).alias("source"), F.col("text").alias("spdx_id"))))
-    return both.select("id", F.explode(F.when(F.size("tags") > 0, tagged).otherwise(worded)).alias("x")).select("id", "x.source", "x.spdx_id")
+    tagged = lambda tags: F.transform(tags, lambda t: F.struct(source(1).alias("source"), t.alias("spdx_id")))
+    text = license_text(view, dictionary)
+    worded = F.when(text.isNotNull(), F.array(F.struct(source(2).alias("source"), text.alias("spdx_id"))))
+    return F.coalesce(bound(spdx_ids(view), lambda tags: F.when(F.size(tags) > 0, tagged(tags))), worded)
+
+
+def licenses(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text_col: str = "text", license_file: bool = False) -> DataFrame:
+    """id, source, spdx_id of every file's license_facts()."""
+    view = files.select(F.col(id_col).alias("id"), start_of(F.col(text_col), LICENSE_HEAD).alias("b"))
+    return view.select("id", F.explode(license_facts(F.col("b"), dictionary, license_file)).alias("x")).select("id", "x.source", "x.spdx_id")
 
 
 MARKS = r"\(c\)|copyright|@author"
@@ -159,6 +167,20 @@ def algorithms(files: DataFrame, dictionary: DataFrame, id_col: str = "id", text
     return each.join(words, "keyword").select("id", "algorithm", "strength").distinct()
 
 
+def algorithm_finder(dictionary: DataFrame):
+    """algorithm, strength as an array, of a text's bytes: the same as a function of a row, for plans that compute all facts at once."""
+    words = {r.keyword.encode(): (r.algorithm, r.strength) for r in _entries(first_keywords(dictionary).where(F.length("keyword") > 2))}
+    sent, kind = dictionary.sparkSession.sparkContext.broadcast(words), pa.list_(pa.struct([("algorithm", pa.string()), ("strength", pa.int32())]))
+
+    @F.arrow_udf("array<struct<algorithm: string, strength: int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        known, token = sent.value, re.compile(rb"[A-Za-z0-9*._-]{3,}")
+        names = lambda text: sorted({known[t] for t in map(bytes.lower, set(token.findall(text))) if t in known})
+        return pa.array([[{"algorithm": a, "strength": n} for a, n in names(t)] if t else [] for t in texts.to_pylist()], kind)
+
+    return found
+
+
 def quality_terms(view: Column) -> dict[str, Column]:
     """The five terms of the score, as 0 or 1."""
     pieces = F.split(view, "\n", -1)
@@ -178,6 +200,12 @@ def quality_terms(view: Column) -> dict[str, Column]:
     return {k: v.cast("int") for k, v in terms.items()}
 
 
+def quality_score(view: Column) -> Column:
+    """The score from 0 to 5 of a file large enough, with lines and without NUL; null of others."""
+    fit = lambda b: (F.length(b) >= V.MIN_FILE) & F.contains(b, F.lit("\n")) & ~F.contains(b, F.char(F.lit(0)))
+    return bound(view, lambda b: F.when(fit(b), sum(quality_terms(b).values(), F.lit(0))))
+
+
 def quality(files: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """id, source (0), score 0 to 5, of files large enough, with lines and without NUL."""
     rows = files.select(F.col(id_col).alias("id"), byte_view(F.col(text_col)).alias("b"))

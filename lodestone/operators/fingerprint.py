@@ -28,22 +28,55 @@ def _crc_table(polynomial: int) -> np.ndarray:
     return table
 
 
-def _gram_crc(table: np.ndarray) -> Callable[[bytes, int], np.ndarray]:
-    """A cyclic redundancy check of every gram at once, a byte of all grams at a time."""
+class GramCrc:
+    """A cyclic redundancy check of every gram of a text at once.
 
-    def hashes(plain: bytes, gram: int) -> np.ndarray:
-        raw = np.frombuffer(plain, np.uint8)
-        n = len(raw) - gram + 1
-        crc = np.full(n, 0xFFFFFFFF, np.uint32)
-        for k in range(gram):
-            crc = table[(crc ^ raw[k : k + n]) & np.uint32(0xFF)] ^ (crc >> np.uint32(8))
-        return (crc ^ np.uint32(0xFFFFFFFF)).astype(np.int64)
+    The check is linear: that of two parts is that of the first, moved on by the second's length, and that of the second.
+    So grams of 2, 4, 8, ... bytes come from those half as long, and a gram of any length from a few of these. Moving on by
+    a length is looked up for each half of the 32 bits.
+    """
 
-    return hashes
+    def __init__(self, polynomial: int):
+        self.table = _crc_table(polynomial)
+        self.moves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def move(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        if length not in self.moves:
+            halves = [np.arange(1 << 16, dtype=np.uint32), np.arange(1 << 16, dtype=np.uint32) << np.uint32(16)]
+            for _ in range(length):
+                halves = [self.table[h & np.uint32(0xFF)] ^ (h >> np.uint32(8)) for h in halves]
+            self.moves[length] = halves[0], halves[1]
+        return self.moves[length]
+
+    def joined(self, first: np.ndarray, second: np.ndarray, length: int) -> np.ndarray:
+        low, high = self.move(length)
+        return low[first & np.uint32(0xFFFF)] ^ high[first >> np.uint32(16)] ^ second
+
+    def plain(self, length: int) -> int:
+        """What a gram's check differs by, as it starts and ends with all bits turned."""
+        low, high = self.move(length)
+        return int(low[0xFFFF] ^ high[0xFFFF]) ^ 0xFFFFFFFF
+
+    def __call__(self, text: bytes, gram: int) -> np.ndarray:
+        raw = np.frombuffer(text, np.uint8)
+        n = len(raw) - gram + 1
+        if n <= 0:
+            return np.zeros(0, np.int64)
+        power, length, whole, done = self.table[raw], 1, None, gram
+        # Parts are taken from the gram's end, the shortest first.
+        while True:
+            if gram & length:
+                done -= length
+                part = power[done : done + n]
+                whole = part if whole is None else self.joined(part, whole, gram - done - length)
+            if done == 0:
+                return (whole ^ np.uint32(self.plain(gram))).astype(np.int64)
+            power = self.joined(power[:-length], power[length:], length)
+            length *= 2
 
 
 #: By name: of the text's letters and digits and the gram's size, a hash of each gram. Reflected polynomials.
-HASHES: dict[str, Callable[[bytes, int], np.ndarray]] = {"md5": gram_md5, "crc32": _gram_crc(_crc_table(0xEDB88320)), "crc32c": _gram_crc(_crc_table(0x82F63B78))}
+HASHES: dict[str, Callable[[bytes, int], np.ndarray]] = {"md5": gram_md5, "crc32": GramCrc(0xEDB88320), "crc32c": GramCrc(0x82F63B78)}
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _OTHERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b).isalnum())
 
@@ -89,6 +122,25 @@ def fingerprints(files: DataFrame, gram: int = GRAM, window: int = WINDOW, hash_
     return fit.mapInArrow(run, f"file_id {kind}, wfp long, line int")
 
 
+def fingerprint_finder(gram: int = GRAM, window: int = WINDOW, hash_name: str = "crc32"):
+    """wfp, line as an array, of a text's bytes: each fingerprint with its least line. For plans that compute all facts at once."""
+    kind = pa.list_(pa.struct([("wfp", pa.int64()), ("line", pa.int32())]))
+
+    @F.arrow_udf("array<struct<wfp: bigint, line: int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        offsets, hs, ls = [0], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for text in texts.to_pylist():
+            h, line = winnow(text, gram, window, HASHES[hash_name]) if text else (hs[0], ls[0])
+            h, first = np.unique(h, return_index=True)  # lines grow along a text
+            hs.append(h)
+            ls.append(line[first].astype(np.int32))
+            offsets.append(offsets[-1] + len(h))
+        values = pa.StructArray.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ls))], names=["wfp", "line"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values).cast(kind)
+
+    return found
+
+
 def first_lines(wfps: DataFrame) -> DataFrame:
     """One row for each fingerprint and file: the least line."""
     return wfps.groupBy("wfp", "file_id").agg(F.min("line").alias("line"))

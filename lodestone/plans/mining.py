@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import predicates as P
 from lodestone.functions import values as V
+from lodestone.functions.predicates import fingerprintable
 from lodestone.functions.dictionaries import crypto_dictionary, license_dictionary
 from lodestone.functions.text import basename, byte_view, field, purl_id, version_id
 from lodestone.operators import detect, fingerprint, kb, store
@@ -40,38 +41,70 @@ def judged(files: DataFrame, all_extensions: bool = False, keep_rejected: bool =
     return marked.withColumn("outcome", outcome(F.col("path"), byte_view(F.col("text")), F.col("file_id"), all_extensions, keep_rejected, least))
 
 
-def mine(files: DataFrame, components: DataFrame, licenses: DataFrame | None = None, crypto: DataFrame | None = None, **options) -> dict[str, DataFrame]:
-    """Every table of the knowledge base, from files (url_id, path, text) and their components.
+def facts(files: DataFrame, components: DataFrame, licenses: DataFrame | None = None, crypto: DataFrame | None = None, **options) -> DataFrame:
+    """A row for each file with all that the detectors say of it, from one pass over the texts; nothing is shuffled.
 
-    text is a string or the bytes of a file. Detectors work before repeated files are dropped, as facts are small and
-    texts are not: only the tables that store contents shuffle these.
+    url_id, path, file_id, outcome, notice (an attribution notice of a known component), licenses, root_licenses (of a
+    license file in the root), copyright, notice_copyright, algorithms, score, wfps.
     """
     spark = files.sparkSession
     licenses = license_dictionary(spark) if licenses is None else licenses
     crypto = crypto_dictionary(spark) if crypto is None else crypto
-    all_ = judged(files, **options)
-    listed, mined = all_.where(F.col("outcome").isin(*LISTED)), all_.where(F.col("outcome").isin(*MINED))
-    extra = all_.where("outcome = 'extra'")
+    rows = judged(files, **options).withColumn("bytes", F.col("text").cast("binary"))
+    mined, archived = F.col("outcome").isin(*MINED), F.col("outcome").isin(*ARCHIVED)
+    notice = P.is_notice(F.col("path")) & (F.octet_length("bytes") >= options.get("least", V.MIN_FILE))
+    root = ~F.contains("path", F.lit("/")) & P.license_name(basename(F.col("path")))
+    head = detect.start_of(F.col("bytes"), max(detect.HEAD, detect.LICENSE_HEAD))
+    # What Python detectors get: the texts that they are for, and nulls for the others.
+    seen = rows.withColumns({"mined": mined, "notice": notice, "root": root, "head": head, "fit": archived & fingerprintable(byte_view(F.col("bytes")))})
+    only = lambda flag, column: F.when(F.col(flag), column)
+    statement = detect.copyright_statement(F.col("head"))
+    found = {
+        "licenses": only("mined", detect.license_facts(F.col("head"), licenses)),
+        "root_licenses": only("root", detect.license_facts(F.col("head"), licenses, license_file=True)),
+        "statement": F.when(F.col("mined") | F.col("notice"), statement),
+        "algorithms": detect.algorithm_finder(crypto)(only("mined", F.col("bytes"))),
+        "score": only("mined", detect.quality_score(byte_view(F.col("bytes")))),
+        "wfps": fingerprint.fingerprint_finder()(only("fit", F.col("bytes"))),
+    }
+    return seen.select("url_id", "path", "file_id", "outcome", "mined", "notice", *[c.alias(n) for n, c in found.items()])
+
+
+def mine(files: DataFrame, components: DataFrame, licenses: DataFrame | None = None, crypto: DataFrame | None = None, at: str | None = None, **options) -> dict[str, DataFrame]:
+    """Every table of the knowledge base, from files (url_id, path, text) and their components.
+
+    text is a string or the bytes of a file. With at, a folder, the facts of all files are written there first, by one pass
+    over the texts, and all tables but those of contents are read from them. Without, each table makes its pass when it is
+    asked for. Facts are put together by file after they were found, as they are small and texts are not.
+    """
+    rows = facts(files, components, licenses, crypto, **options)
+    if at:
+        rows.write.mode("overwrite").parquet(at)
+        rows = files.sparkSession.read.schema(rows.schema).parquet(at)
+    texts = judged(files, **options)
+    archived, extra = texts.where(F.col("outcome").isin(*ARCHIVED)), texts.where("outcome = 'extra'")
+    listed, mined = rows.where(F.col("outcome").isin(*LISTED)), rows.where("mined")
     ids = components.select(F.col("url_id").alias("url_"), "purl_id", "version_id")
-    notices = all_.where(P.is_notice(F.col("path")) & (F.length(byte_view(F.col("text"))) >= options.get("least", V.MIN_FILE)))
-    notices = notices.join(ids, F.col("url_id") == F.col("url_")).where("purl_id IS NOT NULL")
-    root = all_.where(~F.contains("path", F.lit("/")) & P.license_name(basename(F.col("path")))).join(ids, F.col("url_id") == F.col("url_")).where("version_id IS NOT NULL")
-    facts = ["id", "source", "spdx_id"]
-    archived = all_.where(F.col("outcome").isin(*ARCHIVED))
+    notices = rows.where("notice").join(ids, F.col("url_id") == F.col("url_")).where("purl_id IS NOT NULL")
+    root = rows.where("root_licenses IS NOT NULL").join(ids, F.col("url_id") == F.col("url_")).where("version_id IS NOT NULL")
+    licenses_of = lambda df, key, column: df.select(F.col(key).alias("id"), F.explode(column).alias("x")).select("id", "x.source", "x.spdx_id")
+    said = lambda df, key, source: df.where("statement IS NOT NULL").select(F.col(key).alias("id"), F.lit(source).alias("source"), "statement")
+    contents = lambda df: df.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"])
+    noticed = texts.where(P.is_notice(F.col("path")) & (F.octet_length("text") >= options.get("least", V.MIN_FILE))).join(ids.where("purl_id IS NOT NULL"), F.col("url_id") == F.col("url_"), "left_semi")
     return {
         "url": components.select(*V.TABLES["url"]),
         "file": listed.select("file_id", "url_id", P.first_comma_replaced(F.col("path")).alias("path")),
         "pivot": listed.select("url_id", "file_id").distinct(),
-        "license": detect.licenses(mined, licenses, "file_id").select(*facts).distinct().unionByName(detect.licenses(root, licenses, "version_id", license_file=True).select(*facts)).unionByName(detect.declared_licenses(components).select(*facts)),
-        "copyright": detect.copyrights(mined, "file_id").distinct().unionByName(detect.copyrights(notices, "purl_id", source=2)),
-        "cryptography": detect.algorithms(mined, crypto, "file_id").distinct(),
-        "quality": detect.quality(mined, "file_id").distinct(),
+        "license": licenses_of(mined, "file_id", "licenses").distinct().unionByName(licenses_of(root, "version_id", "root_licenses")).unionByName(detect.declared_licenses(components).select("id", "source", "spdx_id")),
+        "copyright": said(mined, "file_id", 1).distinct().unionByName(said(notices, "purl_id", 2)),
+        "cryptography": mined.select(F.col("file_id").alias("id"), F.explode("algorithms").alias("x")).select("id", "x.algorithm", "x.strength").distinct(),
+        "quality": mined.where("score IS NOT NULL").select(F.col("file_id").alias("id"), F.lit(0).alias("source"), "score").distinct(),
         "attribution": notices.select("purl_id", F.col("file_id").alias("notice_id")).distinct(),
-        "sources": archived.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
-        "notices": notices.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
-        "wfp": fingerprint.first_lines(fingerprint.fingerprints(archived)),
-        "extra_file": extra.select("file_id", "url_id", "path"),
-        "extra_sources": extra.select("file_id", F.col("text").alias("content")).dropDuplicates(["file_id"]),
+        "sources": contents(archived),
+        "notices": contents(noticed),
+        "wfp": fingerprint.first_lines(rows.select("file_id", F.explode("wfps").alias("x")).select("x.wfp", "file_id", "x.line")),
+        "extra_file": rows.where("outcome = 'extra'").select("file_id", "url_id", "path"),
+        "extra_sources": contents(extra),
     }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
 from lodestone.functions.text import basename
+from lodestone.sources import integrity
 from lodestone.sources.archives import Unreadable, members, read_archives
 from lodestone.sources.shards import read_mz, read_wfp
 
@@ -48,17 +49,20 @@ def expand(files: DataFrame, password: str | None = None, report: bool = False)
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """line, shard (the folder p=.. or else the file's name up to the first dot) of text tables.
 
-    A last line without a line end was cut off while it was written; only ended lines are returned. Line ends are
-    counted: where lines and ends make more than the file's size, the last line of its last block has none.
+    A last line without a line end was cut off while it was written; only ended lines are returned. Which files have
+    one is told from their ends alone; texts are read once, unless there are such.
     """
     read = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
-    meta = {"file": "file_path", "size": "file_size", "block": "file_block_start"}
-    lines = read.select(F.col("value").alias("line"), *[F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()], F.monotonically_increasing_id().alias("at"))
-    place = F.struct("block", "at")
-    torn = lines.groupBy("file").agg(F.sum(F.octet_length("line") + 1).alias("read"), F.max("size").alias("size"), F.max(place).alias("last")).where("read > size")
-    kept = lines.join(torn.select(F.col("file").alias("torn"), "last"), (F.col("file") == F.col("torn")) & (place == F.col("last")), "left_anti")
+    lines = read.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    torn = integrity.torn(spark, path)
+    if not torn.isEmpty():
+        # Of the lines of a torn file that are as its tail is, one is the tail itself.
+        tails = torn.select("file", F.col("tail").cast("string").alias("line"))
+        alike = lines.join(tails, ["file", "line"]).groupBy("file", "line").agg(F.count("*").alias("n"))
+        more = alike.where("n > 1").select(F.explode(F.array_repeat("line", F.col("n").cast("int") - 1)).alias("line"), "file")
+        lines = lines.join(tails, ["file", "line"], "left_anti").select("line", "file").unionByName(more)
     folder, name = F.regexp_extract("file", "/p=([0-9a-f]{2})/", 1), F.regexp_extract("file", r"([^/.]*)(\.[^/]*)?$", 1)
-    return kept.select("line", F.when(folder != "", folder).otherwise(name).alias("shard"))
+    return lines.select("line", F.when(folder != "", folder).otherwise(name).alias("shard"))
 
 
 def decode_field(rows: DataFrame, column: str, decoder: Callable[[Column], Column] | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ def ingest(spark: SparkSession, source: str, kb_path: str, checkpoint: str, comp
     stream_name = checkpoint.rstrip("/").rpartition("/")[2]
 
     def batch(files: DataFrame, batch_id: int) -> None:
-        tables = mining.mine(files.drop("file_id", "seen"), components)
+        tables = mining.mine(files.drop("file_id", "seen"), components, at=f"{kb_path}/_facts/{stream_name}")
         mining.save(tables, kb_path, only, batch=(stream_name, batch_id))  # a repeated batch is in the store already
         if on_batch:
             on_batch(batch_id)

@@ -10,7 +10,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.sources import archives, shards
+from lodestone.sources import archives, integrity, readers, records, shards, storage
 
 MD5 = lambda data: hashlib.md5(data).hexdigest()
 
@@ -162,3 +162,73 @@ def test_mz_goes_on_after_damage(spark, tmp_path):
     assert [r.content and bytes(r.content) for r in got] == [order[0], None, order[2], None, *order[4:], None]
     assert [r.file_id is None for r in got] == [False, True, False, False, *[False] * (len(order) - 4), True]
     assert got[1].error == f"{sizes[1]} bytes that are no record" and got[-1].error == "4 bytes that are no record"
+
+
+def test_integrity_report(spark, tmp_path, monkeypatch):
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "aa.csv").write_text("one,1\ntwo,2\n")
+    (tmp_path / "file" / "b b.csv").write_text("one,1\n" + "x" * 3000)
+    (tmp_path / "file" / "cc.csv").write_text("no end")
+    shards.write_wfp(spark.createDataFrame(WFPS, "wfp long, file_id string, line int"), str(tmp_path / "wfp"))
+    (tmp_path / "wfp" / "0a.bin").write_bytes(b"x" * 50)
+    (tmp_path / "wfp" / "zz.bin").write_bytes(b"x" * 21)
+    shards.write_mz(spark.createDataFrame([(MD5(b"a"), b"a"), (MD5(b"b"), b"b")], "file_id string, content binary"), str(tmp_path / "sources"))
+    one = tmp_path / "sources" / f"{MD5(b'a')[:4]}.mz"
+    one.write_bytes(one.read_bytes() + b"more")
+    monkeypatch.setattr(integrity, "TAIL", 7)
+    got = {(r.file.rpartition("/")[2], r.kind, r.records, r.problem, r.at) for r in integrity.report(spark, str(tmp_path)).collect()}
+    good = {(f"{x}.bin", "bin", n, None, None) for x, n in (("00", 1), ("de", 2), ("ff", 1))} | {(f"{MD5(b'b')[:4]}.mz", "mz", 1, None, None), ("aa.csv", "text", None, None, None)}
+    bad = {("b%20b.csv", "text", None, "a last line without end", 6), ("b%20b.csv", "text", None, "a line too long", 6), ("cc.csv", "text", None, "a last line without end", 0)}
+    bad |= {("0a.bin", "bin", 2, "a record that is cut off", 42), ("zz.bin", "bin", 1, "no shard's name", None), (one.name, "mz", 1, "4 bytes that are no record", one.stat().st_size - 4)}
+    assert got == good | bad
+
+
+def test_only_tails_are_read(tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_bytes(b"line\n" * 100_000 + b"torn")
+    read, real = [], storage.fs.LocalFileSystem.open_input_file
+
+    class Counted:
+        def __init__(self, handle):
+            self.handle = handle
+
+        def read(self, n):
+            read.append(n)
+            return self.handle.read(n)
+
+        def __getattr__(self, name):
+            return getattr(self.handle, name)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *args):
+            self.handle.close()
+
+    class System:
+        def open_input_file(self, path):
+            return Counted(real(storage.fs.LocalFileSystem(), path))
+
+    monkeypatch.setattr(integrity, "opened", lambda file: (System(), file))
+    assert integrity.torn_tail(str(tmp_path / "a.csv"), 500_004) == b"torn" and sum(read) <= integrity.TAIL + 1
+    (tmp_path / "a.csv").write_bytes(b"line\n" * 100_000)
+    read.clear()
+    assert integrity.torn_tail(str(tmp_path / "a.csv"), 500_000) is None and read == [1]
+
+
+def test_whole_texts_are_read_once(spark, tmp_path):
+    (tmp_path / "aa.csv").write_text("one,1\ntwo,2\n")
+    plan = spark._jvm.PythonSQLUtils.explainString(readers.read_lines(spark, str(tmp_path))._jdf.queryExecution(), "simple")
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_records_one_at_a_time(spark, tmp_path):
+    contents = [f"text {k}\n".encode() * k for k in range(1, 60)]
+    frame = spark.createDataFrame([(MD5(c), c) for c in contents], "file_id string, content binary")
+    shards.write_mz(frame, str(tmp_path / "m"))
+    got = records.handled(spark, str(tmp_path / "m")).collect()
+    assert {(r.file_id, bytes(r.content)) for r in got} == {(MD5(c), c) for c in contents}
+    lines = records.handled(spark, str(tmp_path / "m"), lambda file_id, content: ((file_id, n, line.decode()) for n, line in enumerate(content.splitlines())), "file_id string, n int, line string", "mz_lines")
+    assert lines.count() == sum(range(1, 60)) and lines.where("n = 0").count() == 59
+    spark.sql("SELECT 1").collect()
+    held = shards.mz_records(storage.fs.LocalFileSystem(), str(next((tmp_path / "m").glob("*.mz"))), 10**6)
+    assert hasattr(held, "__next__")
