@@ -18,16 +18,16 @@ r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM (SELECT doc_id
 l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 s AS (SELECT doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals FROM w LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(1000 * n_symbols // nullif(word_chars, 0), 0) AS symbol_rate, coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) AS dup_line_rate, coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) AS repeat_rate, coalesce(1000 * n_capitals // nullif(word_chars, 0), 0) AS capital_rate, coalesce(100 * word_chars // nullif(n_words, 0), 0) AS word_length FROM s),
-u AS (UNPIVOT (SELECT doc_id, lang, source, symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length FROM v WHERE n_words > 0) ON symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length INTO NAME rate VALUE x),
-f AS (SELECT lang, source, rate, (x >> greatest(length(bin(x)) - 6, 0)) << greatest(length(bin(x)) - 6, 0) AS x FROM u),
+u AS (UNPIVOT (SELECT doc_id, lang, source, base_failed, symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length FROM v WHERE n_words > 0) ON symbol_rate, dup_line_rate, repeat_rate, capital_rate, word_length INTO NAME rate VALUE x),
+f AS (SELECT lang, source, rate, (x >> greatest(length(bin(x)) - 6, 0)) << greatest(length(bin(x)) - 6, 0) AS x FROM u WHERE NOT base_failed),
 z AS (SELECT 1 AS level, lang, source, rate, x FROM f UNION ALL SELECT 2, lang, NULL, rate, x FROM f UNION ALL SELECT 3, NULL, NULL, rate, x FROM f),
 c AS (SELECT level, lang, source, rate, x, count(*) AS n FROM z GROUP BY ALL),
-d AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY x) AS upto, sum(n) OVER (PARTITION BY level, lang, source, rate) AS docs FROM c),
-q AS (SELECT level, lang, source, rate, max(docs) AS docs, min(x) FILTER (WHERE upto * 4 >= docs) AS q1, min(x) FILTER (WHERE upto * 4 >= docs * 2) AS q2, min(x) FILTER (WHERE upto * 4 >= docs * 3) AS q3 FROM d GROUP BY ALL),
-k AS (SELECT rate, slack FROM (VALUES """
-    + ", ".join(f"('{r}', {s})" for r, s in Q.SLACK.items())
-    + rf""") t(rate, slack)),
-e AS (SELECT q.*, CASE WHEN rate = 'word_length' THEN greatest(least(q1 - {Q.FENCE} * (q3 - q1), q2 - slack), 0) ELSE 0 END AS low, greatest(q3 + {Q.FENCE} * (q3 - q1), q2 + slack) AS high FROM q JOIN k USING (rate)),
+k AS (SELECT rate, lower, upper FROM (VALUES """
+    + ", ".join(f"('{r}', {low}, {high})" for r, (low, high) in Q.TAILS.items())
+    + rf""") t(rate, lower, upper)),
+d AS (SELECT c.*, lower, upper, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY x) AS upto, sum(n) OVER (PARTITION BY level, lang, source, rate) AS docs FROM c JOIN k USING (rate)),
+q AS (SELECT level, lang, source, rate, max(docs) AS docs, min(x) FILTER (WHERE upto * 100 >= docs * lower) AS q1, min(x) FILTER (WHERE upto * 100 >= docs * 50) AS q2, min(x) FILTER (WHERE upto * 100 >= docs * upper) AS q3 FROM d GROUP BY ALL),
+e AS (SELECT q.*, CASE WHEN rate = 'word_length' THEN greatest(q1 - {Q.FENCE} * (q2 - q1), 0) ELSE 0 END AS low, q3 + {Q.FENCE} * (q3 - q2) AS high FROM q),
 b AS (SELECT a.lang, a.source, a.rate, (a.docs * a.low + {Q.PRIOR_DOCS} * ((m.docs * m.low + {Q.PRIOR_DOCS} * t.low) // (m.docs + {Q.PRIOR_DOCS}))) // (a.docs + {Q.PRIOR_DOCS}) AS low, (a.docs * a.high + {Q.PRIOR_DOCS} * ((m.docs * m.high + {Q.PRIOR_DOCS} * t.high) // (m.docs + {Q.PRIOR_DOCS}))) // (a.docs + {Q.PRIOR_DOCS}) AS high
 FROM e a JOIN e m ON m.level = 2 AND a.rate = m.rate AND a.lang IS NOT DISTINCT FROM m.lang JOIN e t ON t.level = 3 AND a.rate = t.rate WHERE a.level = 1),
 o AS (SELECT u.doc_id FROM u JOIN b ON u.rate = b.rate AND u.lang IS NOT DISTINCT FROM b.lang AND u.source IS NOT DISTINCT FROM b.source WHERE u.x NOT BETWEEN low AND high)
@@ -63,7 +63,9 @@ CRC32 = "xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lam
 OP11 = rf"""WITH RECURSIVE r0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
 r1 AS (SELECT *, {CRC32} % 20 AS kind FROM r0),
 r2 AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM r1),
-r3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last, substr(role, 1, 1) AS initial FROM r2),
+r3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last, substr(role, 1, 1) AS initial FROM r2),
 r4 AS (SELECT *, last = '' AS blank, last <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM r3),
 r5 AS (SELECT *, NOT blank AND NOT dup AND last NOT IN ('.', '!', '?') AS cut FROM r4),
 facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM r5 GROUP BY conv_id),

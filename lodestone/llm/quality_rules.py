@@ -6,9 +6,11 @@ quantile sketches: counts by bucket, where a bucket is a value's leading six bit
 error below 1/32). Adding counts merges sketches, in any order and with one result, so the sketch of
 a language is the sum of its sources' and the sketch of all is the sum of the languages'.
 
-A group's fences are its quartiles plus or minus FENCE times their distance, and at least the slack
-of the rate away from its median: outliers are cut, never a set share, so a group of clean texts loses
-nothing. A group's fences are drawn towards those of its language, which are drawn towards those of all: the mean of
+Sketches hold the texts that pass the base rules. A group's fence is an upper quantile of its sketch (TAILS names it for each
+rate) and FENCE times that quantile's distance from the median beyond it; word length has a lower fence too. Nothing but
+the sketch decides: what is far out depends on how wide a group's own texts spread. The quantile of a rate lies where
+clean texts still are: symbols come in bad texts above all, so three quarters; repeats come in good ones too, so 99%.
+A group's fences are drawn towards those of its language, which are drawn towards those of all: the mean of
 both, weighted by the group's texts and PRIOR_DOCS. So small groups lean on larger ones, and no size switches the rule.
 
 Defined results: null texts have no words and fail the base rules; null languages and sources form
@@ -24,11 +26,10 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import as_bytes, bound_batches, materialize
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
-FENCE = 3
+FENCE = 4
 PRIOR_DOCS = 300  # the weight, in texts, of the fences that a group's own are drawn towards
-#: Rate -> least distance of a fence from the median; two-sided rates have a lower fence too.
-SLACK = {"symbol_rate": 60, "dup_line_rate": 250, "repeat_rate": 250, "capital_rate": 250, "word_length": 400}
-TWO_SIDED = ("word_length",)
+#: Rate -> the quantiles, in hundredths, that its low and high fences are drawn from; 0 is no low fence.
+TAILS = {"symbol_rate": (0, 75), "dup_line_rate": (0, 99), "repeat_rate": (0, 99), "capital_rate": (0, 98), "word_length": (5, 90)}
 
 
 def text_stats(text: bytes | None) -> tuple[int, int, int, int, int, int, int]:
@@ -71,8 +72,8 @@ def _lower_bound(bucket):
 
 def sketch(stats: DataFrame) -> DataFrame:
     """lang, source, rate, bucket, n: one pass, combined before the shuffle."""
-    rates = F.array(*[F.struct(F.lit(r).alias("rate"), F.col(r).alias("value")) for r in SLACK])
-    kept = stats.where("n_words > 0").select("lang", "source", F.explode(rates).alias("x"))
+    rates = F.array(*[F.struct(F.lit(r).alias("rate"), F.col(r).alias("value")) for r in TAILS])
+    kept = stats.where("NOT base_failed").select("lang", "source", F.explode(rates).alias("x"))
     return kept.groupBy("lang", "source", F.col("x.rate").alias("rate"), _bucket(F.col("x.value")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -81,22 +82,21 @@ def merged(sketches: DataFrame, *by: str) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, *by: str) -> DataFrame:
-    """docs, q1, q2 and q3 of each group and rate. A group has some hundred buckets at most."""
+    """docs, median, lower and upper quantile (TAILS) of each group and rate. A group has some hundred buckets at most."""
     key = ", ".join([*by, "rate"])
     run = sketches.withColumn("upto", F.expr(f"sum(n) OVER (PARTITION BY {key} ORDER BY bucket)")).withColumn("docs", F.expr(f"sum(n) OVER (PARTITION BY {key})"))
-    at = [F.min(F.when(F.col("upto") * 4 >= F.col("docs") * q, F.col("bucket"))) for q in (1, 2, 3)]
-    return run.groupBy(*by, "rate").agg(F.max("docs").alias("docs"), *[_lower_bound(b).alias(f"q{i + 1}") for i, b in enumerate(at)])
+    share = lambda k: F.create_map(*[F.lit(x) for r, tails in TAILS.items() for x in (r, tails[k])])[F.col("rate")]
+    at = {name: F.min(F.when(F.col("upto") * 100 >= F.col("docs") * q, F.col("bucket"))) for name, q in (("lower", share(0)), ("median", F.lit(50)), ("upper", share(1)))}
+    return run.groupBy(*by, "rate").agg(F.max("docs").alias("docs"), *[_lower_bound(b).alias(name) for name, b in at.items()])
 
 
 def fences(sketches: DataFrame) -> DataFrame:
     """lang, source and a low and a high fence for each rate, each drawn towards that of the level above."""
-    slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])
-
     def level(df: DataFrame, tag: str) -> DataFrame:
-        wide = F.greatest((F.col("q3") - F.col("q1")) * FENCE, F.lit(0))
-        low = F.when(F.col("rate").isin(*TWO_SIDED), F.greatest(F.least(F.col("q1") - wide, F.col("q2") - slack[F.col("rate")]), F.lit(0))).otherwise(0)
-        high = F.greatest(F.col("q3") + wide, F.col("q2") + slack[F.col("rate")])
-        return df.withColumns({f"{tag}_low": low, f"{tag}_high": high}).withColumnRenamed("docs", f"{tag}_docs").drop("q1", "q2", "q3")
+        two_sided = F.col("rate").isin(*[r for r, (low, _) in TAILS.items() if low])
+        low = F.when(two_sided, F.greatest(F.col("lower") - FENCE * (F.col("median") - F.col("lower")), F.lit(0))).otherwise(0)
+        high = F.col("upper") + FENCE * (F.col("upper") - F.col("median"))
+        return df.withColumns({f"{tag}_low": low, f"{tag}_high": high}).withColumnRenamed("docs", f"{tag}_docs").drop("lower", "median", "upper")
 
     by_lang = merged(sketches, "lang")
     own, lang, all_ = level(quantiles(sketches, "lang", "source"), "own"), level(quantiles(by_lang, "lang"), "lang"), level(quantiles(merged(by_lang)), "all")
@@ -105,13 +105,13 @@ def fences(sketches: DataFrame) -> DataFrame:
     joined = joined.join(a2, F.col("rate") == F.col("rate_"), "left").drop("rate_")
     drawn = lambda tag, x, to: F.expr(f"(cast({tag}_docs AS decimal(38)) * {tag}_{x} + {PRIOR_DOCS} * cast({to} AS decimal(38))) div ({tag}_docs + {PRIOR_DOCS})")
     joined = joined.withColumns({f"near_{x}": drawn("lang", x, f"all_{x}") for x in ("low", "high")})
-    at = {r: F.col("rate") == r for r in SLACK}
+    at = {r: F.col("rate") == r for r in TAILS}
     return joined.withColumns({x: drawn("own", x, f"near_{x}") for x in ("low", "high")}).groupBy("lang", "source").agg(
-        *[F.max(F.when(at[r], F.col(x))).alias(f"{r}_{x}") for r in SLACK for x in ("low", "high")]
+        *[F.max(F.when(at[r], F.col(x))).alias(f"{r}_{x}") for r in TAILS for x in ("low", "high")]
     )
 
 
-RATES = ", ".join(f"{r} long" for r in SLACK)
+RATES = ", ".join(f"{r} long" for r in TAILS)
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, " + RATES
 
 
@@ -142,7 +142,7 @@ def _judged(rows: DataFrame, marks: DataFrame, lang, source, stats: str):
     near = marks.select(F.struct("*").alias("__fence"))
     joined = rows.join(near, lang.eqNullSafe(F.col("__fence.lang")) & source.eqNullSafe(F.col("__fence.source")), "left")
     kept = ~F.col(f"{stats}.base_failed")
-    for r in SLACK:
+    for r in TAILS:
         kept &= F.coalesce(F.col(f"{stats}.{r}").between(F.col(f"__fence.{r}_low"), F.col(f"__fence.{r}_high")), F.lit(True))
     return joined, kept
 
@@ -158,7 +158,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marks = materialize(fences(sketch(stats.select("lang", "source", "__stats.*"))), "quality-fences")
     joined, kept = _judged(stats, marks, F.col("lang"), F.col("source"), "__stats")
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return joined.select(F.col("__id").alias(id_col), *[F.col(f"__stats.{c}") for c in base], kept.alias("kept"), *[F.col(f"__stats.{r}") for r in SLACK])
+    return joined.select(F.col("__id").alias(id_col), *[F.col(f"__stats.{c}") for c in base], kept.alias("kept"), *[F.col(f"__stats.{r}") for r in TAILS])
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

@@ -245,9 +245,10 @@ def brute_fences(stats):
 
     def of(values, rate):
         v = sorted(map(floor, values))
-        q = [v[-(-len(v) * k // 4) - 1] for k in (1, 2, 3)]
-        wide, slack = (q[2] - q[0]) * quality_rules.FENCE, quality_rules.SLACK[rate]
-        return (max(min(q[0] - wide, q[1] - slack), 0) if rate in quality_rules.TWO_SIDED else 0), max(q[2] + wide, q[1] + slack), len(v)
+        (lower, upper), n = quality_rules.TAILS[rate], quality_rules.FENCE
+        at = lambda share: v[max(-(-len(v) * share // 100), 1) - 1]
+        low = max(at(lower) - n * (at(50) - at(lower)), 0) if lower else 0
+        return low, at(upper) + n * (at(upper) - at(50)), len(v)
 
     levels = [defaultdict(list) for _ in range(3)]
     for lang, source, rate, v in stats:
@@ -265,12 +266,13 @@ def brute_fences(stats):
 
 def test_op4_verdicts(spark):
     sf = "/root/testdata/sf0.01"
-    rates = list(quality_rules.SLACK)
+    rates = list(quality_rules.TAILS)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source")
     got = queries.op4_quality_rules(spark, sf).join(docs, "doc_id").collect()
-    fences = brute_fences([(r.lang, r.source, k, r[k]) for r in got if r.n_words for k in rates])
+    fences = brute_fences([(r.lang, r.source, k, r[k]) for r in got if not r.base_failed for k in rates])
+    assert len({v for (_, rate), v in fences.items() if rate != "symbol_rate"}) > len(fences) / 3  # groups have fences of their own
     for r in got:
-        inside = all(fences[(r.lang, r.source), k][0] <= r[k] <= fences[(r.lang, r.source), k][1] for k in rates) if r.n_words else False
+        inside = r.base_failed or all(fences[(r.lang, r.source), k][0] <= r[k] <= fences[(r.lang, r.source), k][1] for k in rates)
         assert r.kept == (not r.base_failed and inside), r
     labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id").quality
     verdict = {r.doc_id: r for r in got if r.doc_id in labels.index and not r.base_failed}
