@@ -10,8 +10,11 @@ original text.
 
 Nothing that unpacks is left out for its size: what comes out of a compressed payload is decoded as it is read, and
 beyond MAX_LAYER characters it is scanned in pieces that overlap by OVERLAP, of which one is in memory at a time (such
-payloads are counted in n_large). A base64 run inside of it that is longer than the overlap may be cut
-where two pieces meet; its parts are decoded by themselves.
+payloads are counted in n_large). A piece does not end inside of a base64 run but where that is longer than MAX_RUN (64 Mi
+characters): such a run alone is cut, and its parts are decoded by themselves.
+
+Time grows in proportion to a text: a run is decoded once as it stands and once for each alignment that a separator in it
+gives; what else starts in it is looked for in the bytes.
 
 Defined results: null and empty texts have no spans (counts 0, sha256 of the empty string); a null
 doc_id stays null; repeated rows are scanned each; other columns are ignored.
@@ -26,6 +29,7 @@ import codecs
 import hashlib
 import lzma
 import re
+import string
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
@@ -38,6 +42,7 @@ from lodestone.llm.common import map_rows
 
 MAX_LAYER = 1 << 24  # characters
 OVERLAP, CHUNK = 1 << 16, 1 << 20
+MAX_RUN = 1 << 26  # characters of one base64 run in a payload beyond MAX_LAYER
 
 # The base rules, by kind in order.
 KINDS = ("assign", "access", "hex")
@@ -51,7 +56,6 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINE_AFTER = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
 _LINE_BEFORE = re.compile(r"([A-Za-z0-9+/_-]+)[\x20\t]*\r?\n[\x20\t]*\Z")
 _GLUE = re.compile(r"[/_-]+")
-_PACKED = re.compile(r"[/_-](?=H4sI|e[AFJN])")  # how gzip and zlib streams begin
 
 
 def scan(text: str) -> list[tuple[int, int, str]]:
@@ -117,17 +121,10 @@ def _unicode(escape: str) -> str | None:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
 
 
-class _Zstd:
-    """zstandard's decompressor as the others are used: an input that is one chunk, output in pieces."""
-
-    def __init__(self):
-        self.eof, self.needs_input, self.unused_data, self._reader = False, True, b"", None
-
-    def decompress(self, data: bytes, most: int) -> bytes:
-        self._reader = self._reader or zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
-        out = self._reader.read(most)
-        self.eof = not out
-        return out
+def _zstd(raw: memoryview) -> Iterator[bytes]:
+    reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+    while plain := reader.read(CHUNK):
+        yield plain
 
 
 #: How compressed streams begin (fixed values), and what reads them.
@@ -139,27 +136,39 @@ _MAGIC: tuple[tuple[bytes, Callable], ...] = (
     (b"\x78\xda", zlib.decompressobj),
     (b"BZh", bz2.BZ2Decompressor),
     (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
-    (b"\x28\xb5\x2f\xfd", _Zstd),
+    (b"\x28\xb5\x2f\xfd", None),
 )
+_MAKERS = dict(_MAGIC)
+#: Where gzip and zlib streams may begin inside of a run.
+_HEADS = re.compile(rb"\x1f\x8b(?=\x08)|\x78[\x01\x5e\x9c\xda]")
+FEED = 1 << 16  # bytes that a decompressor gets at once, so that a false start costs no more
 
 
-def _inflated(raw: bytes, make: Callable) -> Iterator[bytes]:
-    """What a compressed stream holds, member after member, chunk by chunk; what comes before an error counts."""
+def _inflated(raw: bytes, make: Callable | None, start: int = 0) -> Iterator[bytes]:
+    """What a compressed stream at a place holds, member after member, chunk by chunk; what comes before an error counts."""
+    view, at = memoryview(raw), start
     try:
-        while raw:
+        if make is None:
+            yield from _zstd(view[at:])
+            return
+        while at < len(view):
             d = make()
-            plain, rest = d.decompress(raw, CHUNK), b""
-            while True:
-                if plain:
-                    yield plain
-                if d.eof:
-                    rest = d.unused_data
-                    break
-                rest = getattr(d, "unconsumed_tail", b"")
-                if not plain and not rest:
+            while not d.eof:
+                fed = view[at : at + FEED]
+                if not len(fed):
                     return  # the stream has no end
-                plain = d.decompress(rest, CHUNK)
-            raw = rest.lstrip(b"\0")  # members may be padded
+                at += len(fed)
+                plain = d.decompress(fed, CHUNK)
+                while True:
+                    if plain:
+                        yield plain
+                    rest = getattr(d, "unconsumed_tail", b"")
+                    if d.eof or not (rest or (plain and not getattr(d, "needs_input", True))):
+                        break
+                    plain = d.decompress(rest, CHUNK)
+            at -= len(d.unused_data)
+            while at < len(view) and not view[at]:
+                at += 1  # members may be padded
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
         return
 
@@ -174,52 +183,76 @@ def _encoding(head: bytes) -> str:
     return "utf-8"
 
 
-def _texts(chunks: Iterator[bytes], errors: str) -> Iterator[str]:
-    """The text of chunks, whole up to MAX_LAYER characters, else in pieces; ends at bytes that can't be decoded."""
+def _open_run(text: str) -> int:
+    """The length of the base64 run, over lines too, that a text ends with and that may go on."""
+    return len(text) - len(text.rstrip(_RUN_LETTERS))
+
+
+_RUN_LETTERS = string.ascii_letters + string.digits + "+/_-=\r\n"
+
+
+def _texts(chunks: Iterator[bytes]) -> Iterator[str]:
+    """The text of chunks, whole up to MAX_LAYER characters, else in pieces; ends at bytes that can't be decoded.
+
+    A piece does not end inside of a base64 run, unless that run alone is longer than MAX_RUN.
+    """
     decoder, held, size = None, [], 0
     try:
         for chunk in chunks:
-            decoder = decoder or codecs.getincrementaldecoder(_encoding(chunk))(errors)
+            decoder = decoder or codecs.getincrementaldecoder(_encoding(chunk))("strict")
             held.append(decoder.decode(chunk))
             size += len(held[-1])
-            if size > MAX_LAYER:
+            if size > MAX_LAYER and (size > MAX_LAYER + MAX_RUN or _open_run(held[-1]) < len(held[-1])):
                 text = "".join(held)
+                tail = min(max(OVERLAP, _open_run(text)), MAX_RUN)
                 yield text
-                held, size = [text[-OVERLAP:]], OVERLAP
+                held, size = [text[-tail:]], tail
         if decoder:
             held.append(decoder.decode(b"", True))
     except UnicodeDecodeError:
-        if errors == "strict":
-            return
+        return
     if any(held):
         yield "".join(held)
 
 
-def _decoded(run: str, errors: str = "strict") -> Iterator[str]:
-    """The text in a base64 run (either alphabet, padding optional), inflated if compressed; in pieces if it is large."""
+def _raw(run: str, lenient: bool = False) -> bytes | None:
+    """The bytes of a base64 run (either alphabet, padding optional); a lenient one may have a character too many."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
-        if errors == "strict":
-            return
+        if not lenient:
+            return None
         body = body[:-1]
     try:
-        raw = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
+        return base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
+        return None
+
+
+def _decoded(run: str) -> Iterator[str]:
+    """The text in a base64 run, inflated if compressed; in pieces if it is large."""
+    raw = _raw(run)
+    if raw is None:
         return
-    packed = False
     for magic, make in _MAGIC:
         if raw.startswith(magic):
-            for text in _texts(_inflated(raw, make), errors):
+            packed = False
+            for text in _texts(_inflated(raw, make)):
                 packed = True
                 yield text
+            if packed:
+                return
             break
-    if not packed:
-        plain = False
-        for text in _texts(iter([raw]), errors):
-            plain = True
-            yield text
-        if not plain or errors == "replace":  # nothing tells a raw deflate stream but that it inflates to text
-            yield from _texts(_inflated(raw, lambda: zlib.decompressobj(-zlib.MAX_WBITS)), "strict")
+    plain = False
+    for text in _texts(raw[k : k + CHUNK] for k in range(0, len(raw), CHUNK)):
+        plain = True
+        yield text
+    if not plain:  # nothing tells a raw deflate stream but that it inflates to text
+        yield from _texts(_inflated(raw, lambda: zlib.decompressobj(-zlib.MAX_WBITS)))
+
+
+#: Text among other bytes: no finding, and nothing that unwraps to one, is shorter.
+_SHOWN = rb"[\x09-\x0d\x20-\x7e]"
+_TEXT = re.compile(rb"%s{12,}|(?:%s\x00){12,}|(?:\x00%s){12,}" % (_SHOWN, _SHOWN, _SHOWN))
 
 
 def _blocks(lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -236,20 +269,35 @@ def _blocks(lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _glued(run: str, first: int) -> list[int]:
-    """Where in the first characters of run a payload after a separator may start: the first place of each alignment
-    holds all later ones of it, but compressed streams start at their own."""
+def _glued(run: str, first: int) -> Iterator[tuple[int, Iterator[str]]]:
+    """Start and texts of the payloads that may follow a separator in the first characters of run.
+
+    The run is decoded once for each alignment, from the first separator that gives it: that holds the bytes of all later
+    starts. Text among them is taken as it is found, and compressed streams are read from where their heads are.
+    """
     starts: dict[int, int] = {}
     for g in _GLUE.finditer(run, 0, first):
         for at in range(g.start() + 1, g.end() + 1):
             starts.setdefault(at % 4, at)
         if len(starts) == 4:
             break
-    return sorted({*starts.values(), *(g.end() for g in _PACKED.finditer(run, 0, first))})
-
-
-def _payloads(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Start, end, base64 and how to treat bytes that aren't UTF-8, of all that may be a base64 payload."""
+    for at in sorted(starts.values()):
+        raw = _raw(run[at:], lenient=True)
+        if not raw:
+            continue
+        if shown := [x.replace(b"\0", b"").decode() for x in _TEXT.findall(raw)]:
+            yield at, iter(["\ufffd".join(shown)])
+        if magic := next((m for m in _MAKERS if raw.startswith(m)), None):
+            yield at, _texts(_inflated(raw, _MAKERS[magic]))
+        yield at, _texts(_inflated(raw, lambda: zlib.decompressobj(-zlib.MAX_WBITS)))
+        for head in _HEADS.finditer(raw, 1):
+            here = at + head.start() // 3 * 4
+            if head.start() % 3 == 0 and here <= first and run[here - 1] in "/_-":
+                yield here, _texts(_inflated(raw, _MAKERS[head.group()], head.start()))
+
+
+def _payloads(text: str) -> Iterator[tuple[int, int, Iterator[str]]]:
+    """Start, end and texts, in pieces if large, of all that may be a base64 payload."""
     grouped = 0
     for m in _BASE64.finditer(text):
         runs = [(m.start(), m.end(), m.group(), len(m.group()))]
@@ -263,9 +311,9 @@ def _payloads(text: str) -> Iterator[tuple[int, int, str, str]]:
             grouped = lines[-1][1]
             runs += [(lines[i][0], lines[j][1], "".join(text[a:b] for a, b in lines[i : j + 1]), lines[i][1] - lines[i][0]) for i, j in _blocks(lines)]
         for start, end, run, first in runs:
-            yield start, end, run, "strict"
-            for at in _glued(run, first):
-                yield start + at, end, run[at:], "replace"
+            yield start, end, _decoded(run)
+            for at, texts in _glued(run, first):
+                yield start + at, end, texts
 
 
 def _inner(layer: Layer, large: list[int]) -> Iterator[Layer]:
@@ -274,8 +322,8 @@ def _inner(layer: Layer, large: list[int]) -> Iterator[Layer]:
         yield found
     if "\\" in layer.text and (found := _substituted(layer, _UNICODE, _unicode)):
         yield found
-    for start, end, run, errors in _payloads(layer.text):
-        for k, text in enumerate(_decoded(run, errors)):
+    for start, end, texts in _payloads(layer.text):
+        for k, text in enumerate(texts):
             if k == 1:
                 large.append(start)
             yield Layer(text, layer, [(0, start, end, False)])

@@ -437,6 +437,38 @@ def test_op6_large_payloads_are_scanned_in_pieces(monkeypatch):
                 assert secret_scan.scan_layers(f"x {run}")[1:] == ([(2, 2 + len(run), "assign")], 1), (at, secret)
 
 
+def test_op6_long_runs_in_large_payloads_are_whole(monkeypatch):
+    """A base64 run across the end of a piece, longer than the overlap, with a payload that is only read whole."""
+    import base64
+    import gzip
+    import random
+
+    rng, n = random.Random(4), 1 << 20
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", n)
+    noise = bytes(rng.randrange(33, 127) for _ in range(200_000)) + b" password = hunter2222 "
+    for run in (base64.b64encode(gzip.compress(noise)), base64.encodebytes(gzip.compress(noise)).rstrip()):
+        for at in (n - 100_000, n - 12, n + 4):
+            plain = (b"no. " * n)[:at] + run + b". " + b"no. " * 50_000
+            outer = base64.b64encode(gzip.compress(plain)).decode()
+            assert secret_scan.scan_layers(f"x {outer}")[1] == [(2, 2 + len(outer), "assign")], at
+
+
+def test_op6_time_follows_the_text():
+    import base64
+    import random
+    import time
+
+    noise = base64.b64encode(random.Random(1).randbytes(3 << 20)).decode()
+    wrapped = "\n".join(noise[i : i + 76] for i in range(0, len(noise), 76))
+    for make in (lambda n: "/eA" * (n // 3), lambda n: noise[:n], lambda n: wrapped[:n], lambda n: "/H4sIAAAA" * (n // 9), lambda n: "_-/" * (n // 3)):
+        took = []
+        for n in (250_000, 1_000_000):
+            start = time.process_time()
+            secret_scan.scan_layers(make(n))
+            took.append(time.process_time() - start)
+        assert took[1] < 8 * took[0] + 0.2 and took[1] < 5, took
+
+
 def _wrappers():
     import base64
     import bz2
