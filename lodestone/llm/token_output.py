@@ -9,11 +9,14 @@ and any of its readers can open. A row is a shard:
     first_id, last_id  least and greatest doc_id (first_id null: the shard holds null ids)
     payload          the raw ids, little-endian uint16 or uint32 by vocabulary size
     docs             doc_id as int64 and a null flag as uint8 per document, in payload order
-    index            minimal perfect hash: levels of bits, then by hash slot the fingerprint (uint32)
-                     and the first id and number of ids in the payload (uint32 each)
+    index            minimal perfect hash: words of bits by level, the number of bits before each word (uint32),
+                     then by slot the fingerprint (uint32) and the first id and number of ids in the payload (uint32 each)
 
-Keyed access: hash the key, walk the levels to its slot, compare the stored fingerprint, slice the
-payload; no search and no scan. Repeated ids get an occurrence number, so each row has a key.
+Beside them, _directory has a bucket of ids in each folder, with an index of the same kind to the shards that hold an id.
+
+Keyed access: hash the key, read one word of bits a level to its slot, compare the stored fingerprint: first in one bucket
+of the directory, then in the shard that it names; no search, no scan, whatever the order of documents. Repeated ids get
+an occurrence number, so each row has a key.
 
 Defined results: null texts are empty documents (they hold the end id alone); null ids sort first;
 rows with equal ids keep separate entries; empty tables give no shard; other columns are ignored.
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import bound_batches, split_words
 
 SHARD_IDS = 2_000_000  # a shard is closed once it holds this many ids
+BUCKET_DOCS = 1 << 18  # documents of a bucket of the directory, about
 KEEP_PIECES = 300_000  # pieces that a Python worker remembers
 SHARD_SCHEMA = "part int, seq int, part_offset long, n_ids long, n_docs long, first_id long, last_id long, payload binary, docs binary, index binary"
 
@@ -178,47 +182,56 @@ def occurrences(doc_ids: np.ndarray, nulls: np.ndarray) -> np.ndarray:
 
 
 def build_index(hashes: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
-    """Level by level, keys that fall alone on a bit take it; the others go on to the next level."""
+    """Level by level, keys that fall alone on a bit take it; the others go on to the next level.
+
+    Beside each word of bits stands how many bits are set before it, over all levels, so a key's slot comes from one word.
+    """
     left, levels = hashes, []
     while len(left) and len(levels) < 60:
-        bits = max(64, 2 * len(left))
-        at = _mix(left, 100 + len(levels)) % np.uint64(bits)
-        alone = np.bincount(at.astype(np.int64), minlength=bits) == 1
+        bits = -(-max(64, 2 * len(left)) // 64) * 64
+        at = (_mix(left, 100 + len(levels)) % np.uint64(bits)).astype(np.int64)
+        alone = np.bincount(at, minlength=bits) == 1
         levels.append(alone)
-        left = left[~alone[at.astype(np.int64)]]
+        left = left[~alone[at]]
     if len(left):
         raise ValueError("two keys of a shard have the same 64-bit hash")
+    words = np.packbits(np.concatenate(levels), bitorder="little").view("<u8") if levels else np.zeros(0, "<u8")
+    count = np.bitwise_count(words).astype("<u4")
+    before = (np.cumsum(count, dtype="<u4") - count).astype("<u4")
     head = struct.pack("<II", len(hashes), len(levels)) + b"".join(struct.pack("<I", len(b)) for b in levels)
-    body = b"".join(np.packbits(b, bitorder="little").tobytes() for b in levels)
-    slot = _slots(hashes, levels)
     values = np.zeros((len(hashes), 3), "<u4")
-    values[slot] = np.stack([_mix(hashes, 7).astype(np.uint32), first, size], 1)
-    return head + body + values.tobytes()
+    index = head + words.tobytes() + before.tobytes()
+    values[_slots(index, hashes)[0]] = np.stack([_mix(hashes, 7).astype(np.uint32), first, size], 1)
+    return index + values.tobytes()
 
 
-def _slots(hashes: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+def _slots(index: bytes, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """The slot of each key, -1 if it has none, and where the values begin. Of the index only single words are read."""
+    _, k = struct.unpack_from("<II", index)
+    sizes, at = struct.unpack_from(f"<{k}I", index, 8), 8 + 4 * k
+    n = sum(sizes) // 64
+    words, before = np.frombuffer(index, "<u8", n, at), np.frombuffer(index, "<u4", n, at + 8 * n)
     slot, todo, base = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), 0
-    for k, bits in enumerate(levels):
-        at = (_mix(hashes[todo], 100 + k) % np.uint64(len(bits))).astype(np.int64)
-        rank, hit = np.cumsum(bits), bits[at]
-        slot[todo[hit]] = base + rank[at[hit]] - 1
-        todo, base = todo[~hit], base + int(rank[-1])
-    return slot
+    for level, bits in enumerate(sizes):
+        place = _mix(hashes[todo], 100 + level) % np.uint64(bits)
+        word, bit = (place >> np.uint64(6)).astype(np.int64) + base, place & np.uint64(63)
+        seen = words[word]
+        hit = seen >> bit & np.uint64(1) == 1
+        rank = before[word] + np.bitwise_count(seen & ((np.uint64(1) << bit) - np.uint64(1)))
+        slot[todo[hit]] = rank[hit]
+        todo, base = todo[~hit], base + bits // 64
+        if not len(todo):
+            break
+    return slot, at + 12 * n
 
 
 def lookup(index: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """found, first id and number of ids of each key; a key whose fingerprint differs is not there."""
-    n, k = struct.unpack_from("<II", index)
-    sizes, at, levels = struct.unpack_from(f"<{k}I", index, 8), 8 + 4 * k, []
-    for bits in sizes:
-        raw = np.frombuffer(index, np.uint8, (bits + 7) // 8, at)
-        levels.append(np.unpackbits(raw, count=bits, bitorder="little").astype(bool))
-        at += len(raw)
-    values = np.frombuffer(index, "<u4", 3 * n, at).reshape(n, 3)
-    slot = _slots(hashes, levels)
+    slot, at = _slots(index, hashes)
+    (n,) = struct.unpack_from("<I", index)
     if not n:
         return slot >= 0, slot, slot
-    values = values[slot]
+    values = np.frombuffer(index, "<u4", 3 * n, at).reshape(n, 3)[slot]
     return (slot >= 0) & (values[:, 0] == _mix(hashes, 7).astype(np.uint32)), values[:, 1].astype(np.int64), values[:, 2].astype(np.int64)
 
 
@@ -281,6 +294,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id:
             pass
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     dealt.select("k", "t").mapInArrow(run, SHARD_SCHEMA).write.mode("overwrite").parquet(path)
+    write_directory(spark, path)
 
 
 def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -313,11 +327,79 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     return shards.join(F.broadcast(bases), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+DIRECTORY_SCHEMA = "buckets int, shards binary, index binary, bucket int"
+
+
+def _bucket_of(doc_ids: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mix(doc_ids.astype("<i8").view(np.uint64), 13) % np.uint64(buckets)).astype(np.int32)
+
+
+def write_directory(spark: SparkSession, path: str) -> None:
+    """Beside the shards, which of them hold a doc_id: buckets of ids, each with a minimal perfect hash to its ids' shards.
+
+    A repeated id counts once for each shard, so what a bucket holds is bounded by shards and by its own different ids.
+    """
+    shards = read_token_shards(spark, path)
+    total = shards.agg(F.sum("n_docs").alias("n")).first().n or 0
+    buckets = max(1, -(-total // BUCKET_DOCS))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, seq, n, docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = np.frombuffer(docs, "<i8", n)
+                ids = np.unique(ids[np.frombuffer(docs, np.uint8, n, 8 * n) == 0])
+                columns = [_bucket_of(ids, buckets), ids, np.full(len(ids), part, np.int32), np.full(len(ids), seq, np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "id", "part", "seq"])
+
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out() -> pa.RecordBatch:
+            ids, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            keys, none = ids[starts], np.zeros(len(starts), np.int64)
+            index = build_index(key_hash(keys, none, none), starts, np.diff(np.append(starts, len(ids))))
+            return pa.RecordBatch.from_arrays([pa.array([buckets], pa.int32()), pa.array([place.astype("<i4").tobytes()], pa.binary()), pa.array([index], pa.binary()), pa.array([now], pa.int32())], names=["buckets", "shards", "index", "bucket"])
+
+        for batch in batches:
+            bucket, ids, part, seq = (c.to_numpy() for c in batch.columns)
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+            for a, b in zip(starts, [*starts[1:], len(bucket)]):
+                if held and bucket[a] != now:
+                    yield out()
+                    held = []
+                now = int(bucket[a])
+                held.append((ids[a:b], np.stack([part[a:b], seq[a:b]], 1)))
+        if held:
+            yield out()
+
+    rows = shards.select("part", "seq", "n_docs", "docs").mapInArrow(places, "bucket int, id long, part int, seq int")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "id", "part", "seq")
+    dealt.mapInArrow(indexed, DIRECTORY_SCHEMA).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/_directory")
+
+
+def shards_of(spark: SparkSession, path: str, doc_id: int) -> list[tuple[int, int]]:
+    """part and seq of the shards that hold a doc_id, from one bucket of the directory."""
+    directory = spark.read.schema(DIRECTORY_SCHEMA).parquet(f"{path}/_directory")
+    any_row = directory.select("buckets").first()
+    if any_row is None:
+        return []
+    key = np.array([doc_id], "<i8")
+    row = directory.where(F.col("bucket") == int(_bucket_of(key, any_row.buckets)[0])).first()
+    if row is None:
+        return []
+    found, first, size = lookup(row["index"], key_hash(key, np.zeros(1, np.int64), np.zeros(1, np.int64)))
+    if not found[0]:
+        return []
+    place = np.frombuffer(row.shards, "<i4").reshape(-1, 2)[first[0] : first[0] + size[0]]
+    return [(int(a), int(b)) for a, b in place]
+
+
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
-    """The ids of each row that was written under doc_id: the shards' ranges prune, the index finds."""
+    """The ids of each row that was written under doc_id: the directory names the shards, their indexes find the ids."""
     out = []
-    shards = read_token_shards(spark, path).where((F.coalesce("first_id", F.lit(-(2**63))) <= doc_id) & (F.col("last_id") >= doc_id))
-    for row in shards.orderBy("part", "seq").toLocalIterator():
+    for part, seq in shards_of(spark, path, doc_id):
+        row = read_token_shards(spark, path).where((F.col("part") == part) & (F.col("seq") == seq)).first()
         raw = np.frombuffer(row.payload, np.dtype("<u2" if len(row.payload) == 2 * row.n_ids else "<u4"))
         for k in range(row.n_docs):
             found, first, size = lookup(row["index"], key_hash(np.array([doc_id]), np.zeros(1, np.uint8), np.array([k])))

@@ -77,6 +77,47 @@ def test_op1_words_as_the_library_encodes_them():
         assert np.frombuffer(next(enc.encode(pa.array([text]))), enc.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_op1_one_shard_for_a_key_in_any_order(spark, tmp_path, monkeypatch):
+    """Rows in an order of their own, so that every shard spans all ids: the directory still names the shards of a key alone."""
+    import random
+
+    monkeypatch.setattr(token_output, "SHARD_IDS", 400)
+    monkeypatch.setattr(token_output, "BUCKET_DOCS", 64)
+    ids = [k * 7 - 300 for k in range(500)] + [14] * 40 + [None] * 3
+    random.Random(2).shuffle(ids)
+    texts = {k: f"text {k} of a document" for k in ids}
+    rows = [(k, texts[k], None, None, None, None, None, None, None) for k in ids]
+    frame(spark, rows).repartition(4).write.parquet(str(tmp_path / "docs"))
+    path = str(tmp_path / "tokens")
+    token_output.write_token_shards(spark.read.parquet(str(tmp_path / "docs")), path, public_tokenizers.path("word_bpe_49k.json"), 2, as_stored=True)
+    shards = token_output.read_token_shards(spark, path)
+    assert shards.count() > 8 and shards.where("first_id < 0 AND last_id > 2000").count() > 4
+    want = {k: n for k, _, n, *_ in [(r[0], r[3], [r[1]]) for r in brute_tokens([(k, texts[k]) for k in ids])]}
+    for k in (14, -300, 22, 2101):
+        assert len(token_output.shards_of(spark, path, k)) == 1 or k == 14
+        got = token_output.read_document(spark, path, k)
+        assert len(got) == ids.count(k) and all([len(g)] == want[k] for g in got)
+    for k in (2, 10**12, -(2**63)):
+        assert token_output.shards_of(spark, path, k) == []
+    assert spark.read.parquet(f"{path}/_directory").select("bucket").distinct().count() > 3
+
+
+def test_op1_lookup_time_is_constant():
+    import time
+
+    took = {}
+    for n in (5_000, 500_000):
+        keys = np.arange(n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        index = token_output.build_index(keys, np.arange(n), np.arange(n))
+        some = [np.array([keys[k * 31 % n]]) for k in range(300)]
+        token_output.lookup(index, some[0])
+        start = time.process_time()
+        found = [token_output.lookup(index, k) for k in some]
+        took[n] = time.process_time() - start
+        assert all(f[0] and a[0] == k * 31 % n for k, (f, a, _) in enumerate(found))
+    assert took[500_000] < 3 * took[5_000] + 0.01, took
+
+
 def test_minimal_perfect_hash():
     keys = token_output.key_hash(np.arange(5000), np.zeros(5000, np.uint8), np.zeros(5000, np.int64))
     index = token_output.build_index(keys, np.arange(5000) * 3, np.full(5000, 3))
