@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.sources.storage import shared_folder
+
 #: A word is a maximal run of anything but space and TAB..CR (bytes.split() splits there too).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -30,22 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that the whole cluster shares: spark.checkpoint.dir.
-
-    Only where that is unset and driver and executors are one process, a temporary folder serves until it ends.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.split("[")[0] == "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _own:
-        _own.append(tempfile.mkdtemp(prefix="lodestone-"))
-        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
-    return _own[0]
-
-
-_own: list[str] = []
+    """The folder that the whole cluster shares: spark.checkpoint.dir, or where that is unset a folder in the warehouse."""
+    return shared_folder(spark)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

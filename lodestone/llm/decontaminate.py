@@ -233,7 +233,7 @@ class Items:
         before[order[again + 1]] = place[order[again]]
         cells, starts = len(words) // GRID + 1, np.arange(0, max(len(words) - (NARROW - NARROW_STRIDE), 1), STRIDE)
         last = place // GRID
-        slab = max(1, (16 << 20) // max(len(place), 1))
+        slab = max(1, (16 << 20) // max(len(place), cells))  # items at once: a row for each place, and one for each cell
         for stretch in np.unique(self.stretch[items]):
             low = np.maximum(-(-(np.maximum(before, place - stretch) + 1) // GRID), 0)
             use = np.flatnonzero(low <= last)

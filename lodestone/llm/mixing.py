@@ -128,7 +128,9 @@ def _cut_hashes(units: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame
 def in_order(mix: DataFrame) -> DataFrame:
     """The rows of mixed() in order of reading: by ranges of position, sorted within each, so that files written from it hold the permutation."""
     spark = mix.sparkSession
-    order = [F.col("__mix.position"), F.xxhash64("__mix.block", *[c for c in mix.columns if c != "__mix"])]
+    # Maps have no hash of their own; their text stands for them.
+    rest = [F.col(f"`{c}`").cast("string") if "map<" in kind else F.col(f"`{c}`") for c, kind in mix.dtypes if c != "__mix"]
+    order = [F.col("__mix.position"), F.xxhash64("__mix.block", *rest)]
     return mix.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
 
 

@@ -248,6 +248,12 @@ def test_op3_entropy(docs):
     assert got.n_tokens.sum() <= 50_000
 
 
+def test_op3_map_columns_ride_along(spark, docs):
+    rows = docs.limit(50).withColumn("tags", F.create_map(F.lit("k"), F.col("doc_id")))
+    mix = mixing.in_order(mixing.mixed(rows, max_repeats=2.0))
+    assert all(r.tags == {"k": r.doc_id} for r in mix.collect()) and mix.count() > 0
+
+
 def test_op3_edge(spark):
     out = mixing.mixed(frame(spark), max_repeats=3.0)
     assert out.columns[:-1] == frame(spark).columns
