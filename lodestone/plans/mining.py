@@ -197,6 +197,15 @@ def urls_of_files(files: DataFrame, pivot: DataFrame, urls: DataFrame) -> DataFr
     return pivot.join(wanted, "file_id").join(urls, "url_id").select("file_id", *urls.columns)
 
 
+def local_folder(spark: SparkSession, path: str, licenses: DataFrame | None = None, crypto: DataFrame | None = None) -> dict[str, DataFrame]:
+    """local_facts() of every file at or below a folder, by its path below it."""
+    files = readers.read_folder(spark, path)
+    root = F.regexp_replace(F.lit(path.rstrip("/") + "/"), "^file:/*", "/")
+    below = F.replace(F.regexp_replace("path", "^file:/*", "/"), root, F.lit(""))
+    rows = files.select(below.alias("path"), F.col("content").alias("text"))
+    return local_facts(rows, license_dictionary(spark) if licenses is None else licenses, crypto_dictionary(spark) if crypto is None else crypto)
+
+
 def local(files: DataFrame, text_col: str = "text", path_col: str = "path") -> DataFrame:
     """Files that a local detector looks at: no filter by name or path, but by content."""
     view = byte_view(F.col(text_col))

@@ -40,7 +40,8 @@ from lodestone.sources.storage import PIECE, Input, delete_folder, files_below,
 ZIPPED = (".zip", ".jar", ".aar", ".egg", ".war", ".whl", ".nupkg")
 TARRED = (".tar.gz", ".tar.xz", ".tar.bz2", ".tgz", ".tar")
 SINGLE = {".bz2": bz2.open, ".xz": lzma.open, ".gz": gzip.open}
-UNSUPPORTED = (".7z", ".rar", ".gem")
+GEM, GEM_DATA = ".gem", "data.tar.gz"  # a tar file, in which this member holds the files
+UNSUPPORTED = (".7z", ".rar")
 
 SCHEMA = "archive string, archive_id string, path string, part int, content binary, error string"
 BATCH_BYTES = 4 << 20
@@ -75,6 +76,11 @@ def members(name: str, handle, wanted=wanted_always, password: str | None = None
                 for m in t:
                     if m.isfile() and wanted(m.name):
                         yield m.name, m.size, t.extractfile(m)
+        elif low.endswith(GEM):
+            with tarfile.open(fileobj=handle, mode="r|") as outer:
+                for data in outer:
+                    if data.name == GEM_DATA:
+                        yield from members(GEM_DATA, outer.extractfile(data), wanted)
         elif ending := next((e for e in SINGLE if low.endswith(e)), None):
             inner = name.rpartition("/")[2][: -len(ending)]
             if wanted(inner):

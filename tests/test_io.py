@@ -116,6 +116,27 @@ def test_version(spark, tmp_path):
     assert tuple(got) == ("22.01", "22.01.24")
 
 
+def test_version_is_written_and_read_back(spark, tmp_path):
+    frame = spark.createDataFrame([("22.01", "22.01.24")], "monthly string, daily string")
+    writers.write_version(frame, str(tmp_path / "v"))
+    assert [tuple(r) for r in readers.read_version(spark, str(tmp_path / "v")).collect()] == [("22.01", "22.01.24")]
+
+
+def test_encoded_fields_with_a_decoder_of_ones_own(spark):
+    rows = spark.createDataFrame([("a", "b2xsZWg=")], "id string, data string")
+    assert readers.decode_field(rows, "data", lambda c: F.reverse(F.decode(F.unbase64(c), "UTF-8"))).first().data == "hello"
+
+
+def test_facts_of_a_folder(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.c").write_text(CODE)
+    (tmp_path / "b.json").write_text("{" + CODE)
+    got = mining.local_folder(spark, str(tmp_path))
+    assert [tuple(r) for r in got["license"].collect()] == [("src/a.c", 1, "MIT")]
+    assert [(r.id, r.algorithm) for r in got["cryptography"].collect()] == [("src/a.c", "MD5")]
+    assert [r.id for r in got["quality"].collect()] == ["src/a.c"] and got["copyright"].count() == 0
+
+
 def test_mine_save_and_stream(spark, tmp_path):
     comp = mining.component(spark, "me,thing,1.0,20240101,MIT,pkg:generic/thing")
     url = comp.first().url_id

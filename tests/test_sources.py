@@ -34,6 +34,16 @@ def folder(tmp_path_factory):
             info.size = 4
             t.addfile(info, io.BytesIO(b"text"))
     (root / "c.txt.gz").write_bytes(gzip.compress(b"one") + gzip.compress(b"two"))
+    data = io.BytesIO()
+    with tarfile.open(fileobj=data, mode="w:gz") as t:
+        info = tarfile.TarInfo("lib/g.rb")
+        info.size = 4
+        t.addfile(info, io.BytesIO(b"ruby"))
+    with tarfile.open(root / "g.gem", "w") as t:
+        for name, content in (("metadata.gz", gzip.compress(b"m")), ("data.tar.gz", data.getvalue())):
+            info = tarfile.TarInfo(name)
+            info.size = len(content)
+            t.addfile(info, io.BytesIO(content))
     (root / "d.7z").write_bytes(b"7z")
     (root / "e.zip").write_bytes(b"torn")
     (root / "f.tar").write_bytes(b"")
@@ -44,7 +54,7 @@ def folder(tmp_path_factory):
 def test_members_of_every_archive(spark, folder):
     got = archives.read_archives(spark, str(folder)).collect()
     good = {(r.archive.rpartition("/")[2], r.path, bytes(r.content)) for r in got if r.error is None}
-    assert good == {("a.zip", f"src/f{k}.c", f"int x{k};\n".encode() * 50) for k in range(40)} | {("a.zip", "doc/readme", b"hello"), ("b.tar.gz", "src/b.c", b"text"), ("b.tar.gz", "LICENSE", b"text"), ("c.txt.gz", "c.txt", b"onetwo")}
+    assert good == {("a.zip", f"src/f{k}.c", f"int x{k};\n".encode() * 50) for k in range(40)} | {("a.zip", "doc/readme", b"hello"), ("b.tar.gz", "src/b.c", b"text"), ("b.tar.gz", "LICENSE", b"text"), ("c.txt.gz", "c.txt", b"onetwo"), ("g.gem", "lib/g.rb", b"ruby")}
     assert {r.archive.rpartition("/")[2] for r in got if r.error} == {"d.7z", "e.zip", "f.tar"} and all(r.path is None for r in got if r.error)
     assert {r.archive_id for r in got if r.archive.endswith("a.zip")} == {MD5((folder / "a.zip").read_bytes())}
 
@@ -81,7 +91,7 @@ def test_members_in_parts_and_limits(spark, folder):
     assert [r.part for r in parts] == list(range(5)) and b"".join(bytes(r.content) for r in parts) == b"int x3;\n" * 50 + b""[:0] or len(parts) > 1
     assert b"".join(bytes(r.content) for r in parts) == b"int x3;\n" * 50
     large = archives.read_archives(spark, str(folder), maxMemberBytes=5).collect()
-    assert {r.path for r in large if r.error is None} == {"doc/readme", "src/b.c", "LICENSE"}
+    assert {r.path for r in large if r.error is None} == {"doc/readme", "src/b.c", "LICENSE", "lib/g.rb"}
     assert sum(r.error is not None and r.path is not None for r in large) == 41
     assert archives.read_archives(spark, str(folder / "a.zip"), minBytes=10**6).collect()[0].error
     with pytest.raises(Exception, match="no-such"):
