@@ -197,7 +197,10 @@ class Items:
         item = self.words[k]
         n = len(item)
         near = words[max(0, start - n) : start + WINDOW + n].tolist()
-        held = [w in self.kinds[k] for w in near]
+        kinds = self.kinds[k]
+        held = [w in kinds for w in near]
+        if sum(held) < PARAPHRASE * n:
+            return False  # nor does any part of it hold enough
         # Two item lengths at a time, so that far-off words don't add up.
         for at in range(0, max(len(near) - n // 2, 1), max(n // 2, 1)):
             if sum(held[at : at + n + n // 2]) < PARAPHRASE * n:
