@@ -165,7 +165,7 @@ class Items:
     """Benchmark items made ready for search: windows' vectors, words, answers."""
 
     def __init__(self, rows: list[tuple[int, str | None]], matrix: np.ndarray):
-        self.ids, self.words, self.kinds, self.answers, vectors, short = [], [], [], [], [], []
+        self.ids, self.words, self.kinds, self.sorted_kinds, self.answers, vectors, short = [], [], [], [], [], [], []
         self.matrix = matrix
         for item_id, text in rows:
             words = next(words_of(pa.array([text], pa.string())))
@@ -176,6 +176,7 @@ class Items:
             self.words.append(words.tolist())
             self.answers.append(set(next(words_of(pa.array([last]))).tolist()))
             self.kinds.append(frozenset(self.words[-1]))
+            self.sorted_kinds.append(np.unique(words))
             f = features_of(words)
             starts = np.arange(0, max(len(f) - WINDOW, 0) + 1, ITEM_STRIDE)
             vectors.append(_passages(f, np.append(starts, len(f) - WINDOW) if len(f) > WINDOW else starts, WINDOW, matrix))
@@ -192,20 +193,25 @@ class Items:
         self.count = np.int16 if self.n_kinds.max(initial=0) < 1 << 14 else np.int32
         self.stretch = -(-(self.sizes + self.sizes // 2) // 48) * 48 + GRID
 
-    def matches(self, words: np.ndarray, start: int, k: int) -> bool:
-        """Whether the words around a passage hold item k."""
-        item = self.words[k]
+    def shared(self, words: np.ndarray, k: int) -> list[int]:
+        """How many of the first 0, 1, 2... words are words of item k."""
+        kinds = self.sorted_kinds[k]
+        at = np.minimum(np.searchsorted(kinds, words), len(kinds) - 1)
+        return np.concatenate([[0], np.cumsum(kinds[at] == words)]).tolist()
+
+    def matches(self, words: np.ndarray, start: int, k: int, upto: list[int] | None = None) -> bool:
+        """Whether the words around a passage hold item k; upto is shared()."""
+        item, upto = self.words[k], upto or self.shared(words, k)
         n = len(item)
-        near = words[max(0, start - n) : start + WINDOW + n].tolist()
-        kinds = self.kinds[k]
-        held = [w in kinds for w in near]
-        if sum(held) < PARAPHRASE * n:
-            return False  # nor does any part of it hold enough
+        first, end = max(0, start - n), min(start + WINDOW + n, len(words))
+        if upto[end] - upto[first] < PARAPHRASE * n:
+            return False
         # Two item lengths at a time, so that far-off words don't add up.
-        for at in range(0, max(len(near) - n // 2, 1), max(n // 2, 1)):
-            if sum(held[at : at + n + n // 2]) < PARAPHRASE * n:
+        for a in range(first, first + max(end - first - n // 2, 1), max(n // 2, 1)):
+            b = min(a + n + n // 2, end)
+            if upto[b] - upto[a] < PARAPHRASE * n:
                 continue
-            part = near[at : at + n + n // 2]
+            part = words[a:b].tolist()
             common = common_subsequence(item, part)
             if common >= VERBATIM * n:
                 return True
@@ -213,6 +219,10 @@ class Items:
                 return True
         return False
 
+    def holds(self, words: np.ndarray, k: int, starts: list[int]) -> bool:
+        upto = self.shared(words, k)
+        return any(self.matches(words, start, k, upto) for start in starts)
+
     def possible(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Each item that may be there, with the passages (by number) around which it may be.
 
@@ -291,7 +301,7 @@ class Items:
         out: list[list[int]] = []
         for words in words_of(texts):
             near = self.candidates(words) if len(words) >= MIN_WORDS and len(self.ids) else ()
-            out.append(sorted(self.ids[k] for k, starts in near if any(self.matches(words, start, k) for start in starts)))
+            out.append(sorted(self.ids[k] for k, starts in near if self.holds(words, k, starts)))
         return out
 
 
