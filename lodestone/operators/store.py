@@ -138,7 +138,7 @@ def write_run(rows: DataFrame, path: str, name: str, key: str, buckets: int, dea
     return run
 
 
-def _scan(spark: SparkSession, path: str, table: Table, *others: tuple[str, Table]) -> DataFrame:
+def scan(spark: SparkSession, path: str, table: Table, *others: tuple[str, Table]) -> DataFrame:
     """The rows of a table's runs as they are, in its buckets; of others with the same columns and buckets too.
 
     The catalogue gets an entry for each set of runs, once: a bucketed table whose partitions are the runs' folders.
@@ -162,7 +162,7 @@ def _folded(rows: DataFrame, name: str) -> DataFrame:
 
 def stored(spark: SparkSession, path: str, table: Table, name: str) -> DataFrame:
     """Every row of a table once, before rows are judged."""
-    rows = _scan(spark, path, table)
+    rows = scan(spark, path, table)
     return _folded(rows, name) if len(table.runs) > 1 else rows
 
 
@@ -187,7 +187,7 @@ def add(spark: SparkSession, path: str, seen: Snapshot, name: str, rows: DataFra
         # Texts move once, to their bucket; what is stored is read by key alone, where it lies.
         rows = rows.repartition(buckets, key).dropDuplicates([key])
         if old:
-            rows = rows.join(_scan(spark, path, old).select(key), key, "left_anti")
+            rows = rows.join(scan(spark, path, old).select(key), key, "left_anti")
     else:
         rows = _folded(rows, name)
     run = write_run(rows, path, name, key, buckets)
@@ -281,9 +281,9 @@ def merge(spark: SparkSession, source: str, target: str, out: str) -> Snapshot:
     for name in names:
         both = [(p, side.tables[name]) for p, side in sides if name in side.tables]
         first, dealt = both[0][1], len({t.buckets for _, t in both}) == 1
-        rows = _scan(spark, *both[0], *(both[1:] if dealt else []))
+        rows = scan(spark, *both[0], *(both[1:] if dealt else []))
         for other in [] if dealt else both[1:]:
-            rows = kb.merge(rows, _scan(spark, *other))
+            rows = kb.merge(rows, scan(spark, *other))
         rows = rows.dropDuplicates([first.key]) if name in CONTENTS else _folded(rows, name)
         tables[name] = Table(first.key, first.schema, first.buckets, [write_run(rows, out, name, first.key, first.buckets, dealt)])
     versions = [side.version for _, side in sides]
