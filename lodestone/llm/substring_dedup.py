@@ -1,11 +1,11 @@
 """Substring dedup with a log-structured fingerprint index.
 
 The input comes in batches of ascending doc_id. Of each batch, window fingerprints go into a run: a
-table of (fp, row) sorted by fingerprint within its partitions, never changed once written. A batch's own
-run is joined by merging with the runs of history; what meets there (or twice within the batch) is
-suspect. When FANOUT runs of a level have come together they are compacted into one of the next
-level, which later batches read instead. Runs live in a folder of the shared store and a manifest names
-those that count, so an index outlasts the session: remove_repeats() takes a new batch against all
+table of its different fingerprints, bucketed and sorted, never changed once written. A batch's own
+run is merge-joined with the runs of history, bucket by bucket as they lie; what meets there (or twice
+within the batch) is suspect. When FANOUT runs of a level have come together they are merged into one of
+the next level, which later batches read instead. Runs live in a folder of the shared store and a snapshot
+names those that count, so an index outlasts the session: remove_repeats() takes a new batch against all
 batches before it, and reads of their texts only those with a suspect.
 
 A window of WINDOW words is filed under its anchor, the GRAM-word run of least hash inside it: equal
@@ -16,8 +16,8 @@ bits) with their places, the first of each is found by a minimum, and every late
 Texts equal as a whole are settled before, by a hash of their words: all of a later copy goes.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing; rows of
-a null doc_id are one document that comes before all others; rows with equal ids are versions of one
-document, so a window at the same place in two of them counts once, and each version loses what its own
+a null doc_id are one document that comes before all others (in a later batch too, without what was given out
+being revised), as do ids below -2^62 - 2^61; rows with equal ids are versions of one document, so a window at the same place in two of them counts once, and each version loses what its own
 windows tell; empty tables give an empty result; other columns are ignored.
 """
 
@@ -26,20 +26,26 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import as_bytes, bound_batches, discard, hashed_words, materialize, scratch_root
 from lodestone.llm.near_dedup import _C
+from lodestone.operators import store
 
 WINDOW, GRAM = 20, 8
 BATCHES, FANOUT = 3, 2  # the third batch reads the compacted runs of the first two
+ENTRY, KEY = "fp long, row long, twice boolean", "fp long, again boolean"
+NULL_ROWS = -(2**63) + 2**61  # rows below stand for null ids
+_LEVEL = "level-"
+_ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 SPAN = WINDOW - GRAM + 1  # anchors that a window can choose from
 
 
@@ -88,67 +94,101 @@ def _row_anchors(df: DataFrame) -> DataFrame:
             if fps:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fps).view(np.int64)), pa.array(np.concatenate(rows), pa.int64()), pa.array(np.concatenate(twice))], names=["fp", "row", "twice"])
 
-    return df.mapInArrow(run, "fp long, row long, twice boolean")
+    return df.mapInArrow(run, ENTRY)
 
 
 class FingerprintIndex:
     """Immutable sorted runs of fingerprints, by level, in a folder; adding a batch tells which of its fingerprints are suspect.
 
-    The folder holds runs and manifests, one for each change: the last manifest lists the runs that count. A manifest
-    is written after its runs and before others are deleted, so a job that dies leaves the index as it was.
+    A run holds each fingerprint of its batches once, dealt into buckets and sorted in them, so what a batch has in common
+    with it is a merge of files that lie side by side, and so is the compaction of two runs: history is read, never shuffled or
+    sorted again. The rows that hold a fingerprint are kept beside the runs as each batch brought them. A snapshot names the
+    runs that count and is published after they are written, before others are deleted: a job that dies leaves the index
+    as it was.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        jvm = spark._jvm
-        self._at = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._at(path))
-        names = [x.getPath().getName() for x in self._fs.listStatus(self._at(path))]
-        made = sorted(int(x.split("-")[1]) for x in names if x.startswith("manifest-"))
-        self.version = made[-1] if made else 0
-        held = spark.read.json(f"{path}/manifest-{self.version}", "level int, name string").collect() if made else []
-        self.runs = [(r.level, r.name) for r in held]  # logarithmic in the number of batches
-
-    def read(self, names: list[str]) -> DataFrame:
-        return self.spark.read.schema("fp long, row long, twice boolean").parquet(*[f"{self.path}/{n}" for n in names])
+        self.seen = store.snapshot(spark, path)
+        levels = [t for n, t in self.seen.tables.items() if n.startswith(_LEVEL)]
+        self.buckets = levels[0].buckets if levels else store.buckets_for(spark)
+
+    @property
+    def runs(self) -> list[tuple[int, str]]:
+        """Level and folder of each run: logarithmic in the number of batches."""
+        return [(int(n.removeprefix(_LEVEL)), run) for n, t in self.seen.tables.items() if n.startswith(_LEVEL) for run in t.runs]
 
     def entries(self) -> DataFrame:
         """fp, row, twice of all batches."""
-        return self.read([n for _, n in self.runs])
+        return self._entries(self.seen.tables["entries"].runs)
+
+    def _entries(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(ENTRY).parquet(*[f"{self.path}/{n}" for n in folders])
+
+    def _table(self, *runs: str) -> store.Table:
+        return store.Table("fp", KEY, self.buckets, list(runs))
 
-    def _write(self, entries: DataFrame) -> str:
-        name = f"run-{uuid.uuid4().hex}"
-        entries.sortWithinPartitions("fp").write.parquet(f"{self.path}/{name}")
-        return name
+    def keys(self, run: str) -> DataFrame:
+        """fp and again (more than once in the batch) of a run, in its buckets."""
+        return store.scan(self.spark, self.path, self._table(run))
 
-    def _commit(self, runs: list[tuple[int, str]]) -> None:
-        old = [n for _, n in self.runs if n not in {m for _, m in runs}]
-        self.spark.createDataFrame(runs, "level int, name string").coalesce(1).write.json(f"{self.path}/manifest-{self.version + 1}")
-        old += [f"manifest-{self.version}"] if self.version else []
-        self.runs, self.version = runs, self.version + 1
-        for name in old:
-            self._fs.delete(self._at(f"{self.path}/{name}"), True)
+    def known(self, run: str) -> DataFrame:
+        """The fingerprints of a new run that older ones hold, once for each of these."""
+        found = [self.keys(run).select("fp").join(self.keys(old).select("fp"), "fp", "left_semi") for _, old in self.runs]
+        return reduce(DataFrame.unionByName, found, self.keys(run).select("fp").where("false"))
+
+    def _write(self, keys: DataFrame) -> str:
+        """Write keys, which are dealt by fp already where the session has as many partitions as the index has buckets."""
+        dealt = int(self.spark.conf.get("spark.sql.shuffle.partitions")) == self.buckets
+        return store.write_run(keys.select("fp", "again"), self.path, "keys", "fp", self.buckets, dealt)
 
     def add(self, entries: DataFrame) -> DataFrame:
-        """Suspect fingerprints (fp) of a batch's entries (fp, row, twice), which become a run."""
-        name = self._write(entries)
-        batch = self.read([name])
-        suspect = batch.groupBy("fp").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("fp")
-        for _, run in self.runs:
-            suspect = suspect.unionByName(batch.select("fp").join(self.read([run]).select("fp"), "fp", "left_semi"))
-        suspect = materialize(suspect.distinct(), "index-suspect")
-        self._commit([*self.runs, (0, name)])
-        level = 0
-        while len(full := [n for k, n in self.runs if k == level]) >= FANOUT:
-            # By place too, as one fingerprint may be any share of all.
-            merged = self._write(self.read(full).repartition("fp", F.pmod("row", F.lit(64))))
-            level += 1
-            self._commit([(k, n) for k, n in self.runs if n not in full] + [(level, merged)])
+        """Suspect fingerprints (fp) of a batch's entries (fp, row, twice), which become a run.
+
+        Rows must be above those of earlier batches, or stand for null ids.
+        """
+        batch, ids, real = f"entries/batch-{uuid.uuid4().hex}", Observation(), F.when(~_of_null("row"), F.col("row"))
+        entries.observe(ids, F.min(real).alias("least"), F.max(real).alias("most")).write.parquet(f"{self.path}/{batch}")
+        least, most, last = ids.get.get("least"), ids.get.get("most"), self.seen.version.get("last")
+        if least is not None and last is not None and least <= int(last):
+            self._delete(batch)
+            raise ValueError(f"the index holds documents up to {last}; those of a later batch must be above, not from {least} on")
+        again = (F.count("*") > 1) | F.max("twice")
+        run = self._write(self._entries([batch]).groupBy("fp").agg(again.alias("again")))
+        with in_file_order(self.spark):
+            suspect = materialize(self.keys(run).where("again").select("fp").unionByName(self.known(run)).distinct(), "index-suspect")
+            levels = {k: [r for at, r in self.runs if at == k] for k, _ in self.runs}
+            levels[0], level = [*levels.get(0, []), run], 0
+            while len(levels[level]) >= FANOUT:
+                merged = reduce(lambda a, b: a.join(b, "fp", "full_outer"), [self.keys(r).select("fp") for r in levels[level]])
+                levels[level + 1] = [*levels.get(level + 1, []), self._write(merged.withColumn("again", F.lit(False)))]
+                levels[level], level = [], level + 1
+        held = self.seen.tables.get("entries")
+        tables = {f"{_LEVEL}{k}": self._table(*runs) for k, runs in levels.items()}
+        tables["entries"] = store.Table("fp", ENTRY, self.buckets, [*(held.runs if held else []), batch])
+        new = self.seen.next(tables, {"last": str(most)} if most is not None else None)
+        store.publish(self.spark, self.path, new)
+        self.seen = new
+        store.vacuum(self.spark, self.path, keep=1)
         return suspect
 
+    def _delete(self, name: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
     def drop(self) -> None:
-        self._fs.delete(self._at(self.path), True)
+        self._delete("")
+
+
+@contextmanager
+def in_file_order(spark: SparkSession) -> Iterator[None]:
+    """What is planned within takes a bucket of a single sorted file as sorted."""
+    before = spark.conf.get(_ORDERED)
+    spark.conf.set(_ORDERED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ORDERED, before)
 
 
 def _windows(df: DataFrame) -> DataFrame:
@@ -195,7 +235,19 @@ def _keys(df: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("row"), F.col(text_col).alias("text"))
+    """id, row (the id; each text of the null id has one of its own below NULL_ROWS, so that it is no hot key), text."""
+    of_null = F.lit(-(2**63)) + F.xxhash64(text_col).bitwiseAND(F.lit(2**61 - 1))
+    own = F.col(id_col).cast("long")
+    return docs.select(own.alias("id"), F.coalesce(own, of_null).alias("row"), F.col(text_col).alias("text"))
+
+
+def _of_null(row: str) -> Column:
+    return F.col(row) < NULL_ROWS
+
+
+def _place(row: str) -> Column:
+    """The document's place in the order: one and the same for all of the null id."""
+    return F.when(_of_null(row), F.lit(-(2**63))).otherwise(F.col(row))
 
 
 def _marks(rows: DataFrame, met: DataFrame) -> DataFrame:
@@ -203,9 +255,9 @@ def _marks(rows: DataFrame, met: DataFrame) -> DataFrame:
 
     rows: row, text. met: fp, row, the suspects of each row.
     """
-    keys = materialize(_keys(rows).where("key IS NOT NULL"), "repeat-keys")
-    firsts = materialize(keys.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last").select("key", "first"), "repeat-firsts")
-    gone = materialize(keys.join(firsts, "key").where("row > first").groupBy("row").agg(F.collect_set("key").alias("gone")), "repeat-gone")
+    keys = materialize(_keys(rows.select("row", "text")).where("key IS NOT NULL"), "repeat-keys")
+    firsts = materialize(keys.groupBy("key").agg(F.min(_place("row")).alias("first"), F.max(_place("row")).alias("last")).where("first < last").select("key", "first"), "repeat-firsts")
+    gone = materialize(keys.join(firsts, "key").where(_place("row") > F.col("first")).groupBy("row").agg(F.collect_set("key").alias("gone")), "repeat-gone")
     lists = met.groupBy("row").agg(F.collect_list("fp").alias("fps"))
     # Documents of a single text that is gone are settled; of others, the texts that aren't gone are judged.
     settled = keys.groupBy("row").agg(F.count_distinct("key").alias("n")).join(gone, "row").where(F.col("n") == F.size("gone")).select("row")
@@ -213,7 +265,7 @@ def _marks(rows: DataFrame, met: DataFrame) -> DataFrame:
     windows = materialize(_windows(rows.join(lists, "row").select("row", "text", "fps", "gone")), "repeat-windows")
     discard(keys, firsts, lists)
     # Verified on 128 bits of all words: the first place of each sequence that has several.
-    place = F.struct("row", "at")
+    place = F.struct(_place("row").alias("row"), "at")
     least = materialize(windows.groupBy("w1", "w2").agg(F.min(place).alias("m"), F.max(place).alias("x")).where("m <> x").select("w1", "w2", "m"), "repeat-least")
     later = windows.join(least, ["w1", "w2"]).where(place != F.col("m")).groupBy("row", "version").agg(F.collect_set("at").alias("at"))
     later = later.groupBy("row").agg(F.collect_list(F.struct("version", "at")).alias("at"))
@@ -234,7 +286,7 @@ def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id"
             some = some.where(F.col("row") > low)
         if high is not None:
             some = some.where(F.col("row") <= high)
-        suspects.append(index.add(_row_anchors(some)))
+        suspects.append(index.add(_row_anchors(some.select("row", "text"))))
     met = materialize(index.entries().join(reduce(DataFrame.unionByName, suspects).distinct(), "fp").select("row", "fp"), "repeat-met")
     discard(*suspects)
     index.drop()
@@ -246,9 +298,9 @@ def repeat_marks(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id"
 def remove_repeats(batch: DataFrame, before: DataFrame, index: FingerprintIndex, texts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """substring_duplicates() of a batch whose ids are above all those of before, the texts that index holds; index takes the batch in."""
     rows = _rows(batch, id_col, text_col)
-    suspects = index.add(_row_anchors(rows))
+    suspects = index.add(_row_anchors(rows.select("row", "text")))
     met = materialize(index.entries().join(suspects, "fp").select("row", "fp"), "repeat-met")
-    both = rows.unionByName(_rows(before, id_col, text_col).join(met.select("row").distinct(), "row", "left_semi").select("row", "text"))
+    both = rows.unionByName(_rows(before, id_col, text_col).join(met.select("row").distinct(), "row", "left_semi"))
     marks = _marks(both, met)
     discard(suspects, met)
     return _applied(rows, marks, texts, id_col)
@@ -273,18 +325,18 @@ def substring_duplicates(docs: DataFrame, batches: int = BATCHES, texts: bool =
 
 
 def _applied(rows: DataFrame, marks: DataFrame, texts: bool, id_col: str) -> DataFrame:
-    joined = rows.join(marks, "row", "left").select("row", "text", "at", "gone")
+    joined = rows.join(marks, "row", "left").select("id", "text", "at", "gone")
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             out: list[tuple] = []
-            for row, text, hashes, at, gone in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), hashed_words(batch.column(1)), batch.column(2), batch.column(3).to_pylist(), strict=True):
+            for own, text, hashes, at, gone in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), hashed_words(batch.column(1)), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 words = (text or b"").split()
                 mine = _version(hashes) if at.is_valid else None
                 places = next((x["at"].values.to_numpy() for x in at.values if x["version"].as_py() == mine), None) if at.is_valid else None
                 kept = _kept(words, places, gone, _text_key(text) if gone else None)
                 plain = b" ".join(kept)
-                out.append((None if row == -(2**63) else row, len(words), len(words) - len(kept), hashlib.sha256(plain).hexdigest(), *([plain.decode()] if texts else [])))
+                out.append((own, len(words), len(words) - len(kept), hashlib.sha256(plain).hexdigest(), *([plain.decode()] if texts else [])))
             columns = list(zip(*out, strict=True)) or [()] * (4 + texts)
             types = [pa.int64()] * 3 + [pa.string()] * (1 + texts)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[id_col, "n_words", "n_removed", "kept_sha256", "kept_text"][: 4 + texts])

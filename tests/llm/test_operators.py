@@ -638,11 +638,56 @@ def test_op7_batches_in_sequence(spark, local, tmp_path):
         got += [tuple(r) for r in substring_dedup.remove_repeats(batch, before, index).collect()]
         assert len(index.runs) <= 3
     assert {r[0]: r for r in got} == want and len(got) == len(want)
-    assert index.entries().count() == index.read([n for _, n in index.runs]).dropDuplicates(["fp", "row"]).count()
+    assert index.entries().count() == index.entries().dropDuplicates(["fp", "row"]).count()
     empty = substring_dedup.remove_repeats(spark.createDataFrame([], schema), before, index)
     assert empty.count() == 0
 
 
+def test_op7_history_lies_still(spark, local, tmp_path):
+    """A batch meets older runs without an exchange or a sort on either side; ids that come too late are refused."""
+    schema, ids = "doc_id long, text string", sorted(i for i, _ in local)
+    index = substring_dedup.FingerprintIndex(spark, str(tmp_path / "index"))
+    part = lambda a, b: spark.createDataFrame([r for r in local if ids[a] <= r[0] <= ids[b]], schema)
+    anchors = lambda df: substring_dedup._row_anchors(substring_dedup._rows(df, "doc_id", "text").select("row", "text"))
+    for a, b in ((0, 49), (50, 99), (100, 149)):
+        index.add(anchors(part(a, b)))
+    (_, old), (_, new) = sorted(index.runs, reverse=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with substring_dedup.in_file_order(spark):
+            met = index.keys(new).select("fp").join(index.keys(old).select("fp"), "fp", "left_semi")
+            plan = met._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan, plan
+            whole = index.known(new)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in whole, whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    held = lambda a, b: {r.fp for r in anchors(part(a, b)).collect()}
+    assert {r.fp for r in met.collect()} == held(0, 99) & held(100, 149)
+    runs = index.runs
+    with pytest.raises(ValueError):
+        index.add(anchors(part(149, 160)))
+    assert substring_dedup.FingerprintIndex(spark, index.path).runs == runs
+    index.add(anchors(part(150, 160)))
+
+
+def test_op7_null_ids_are_one_document(spark):
+    """Their texts are versions that come before all others; each has a row of its own inside the operator."""
+    import random
+
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+    a, b = prose(40), prose(30)
+    data = [(None, a), (None, a), (None, f"{b} {a}"), (3, f"{prose(25)} {b}"), (4, a), (-7, b)]
+    want = Counter([(None, 40, 0)] * 2 + [(None, 70, 40), (3, 55, 30), (4, 40, 40), (-7, 30, 30)])
+    for batches in (1, 3):
+        got = substring_dedup.substring_duplicates(spark.createDataFrame(data, "doc_id long, text string"), batches)
+        assert Counter((r.doc_id, r.n_words, r.n_removed) for r in got.collect()) == want
+    rows = substring_dedup._rows(spark.createDataFrame(data, "doc_id long, text string"), "doc_id", "text")
+    assert rows.where("id IS NULL").select("row").distinct().count() == 2
+
+
 def test_op7_repeats_inside_one_text(spark):
     phrase = " ".join(f"k{i}" for i in range(7))
     data = [(1, phrase + " " + phrase + " " + phrase + " " + phrase + " tail"), (2, "a " * 60), (3, None), (4, "b " * 19)]
