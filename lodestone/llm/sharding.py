@@ -10,7 +10,7 @@ still too large, 60 further bits of the row's place in the table part it, so equ
 rows) may be any share of the input. A single row over the limit is a shard by itself, over size.
 
 Defined results: null texts count 0 bytes; null keys hash as the empty string; an empty table has no
-shards; other columns are ignored. Shards are only assigned here, no files are written.
+shards; other columns are ignored by assign_shards() and written by write_shards().
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialize
+from lodestone.llm.common import discard, materialize
 
 STEP = 15
 KEY_BITS, ALL_BITS = 60, 120
@@ -63,11 +63,16 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
     return out
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, n_bytes and the 120 bits (h, tie) of every row, and the columns of docs as a struct doc."""
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
+    key = _word(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    return docs.select(F.col(id_col).alias("id"), size.alias("n_bytes"), key.alias("h"), _word(F.monotonically_increasing_id()).alias("tie"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, shard, depth, n_bytes, shard_bytes and shard_docs of every row."""
-    place = _word(F.monotonically_increasing_id())
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), _word(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"), place.alias("tie"))
-    rows = materialize(rows, "shard-rows")
+    rows = materialize(_keyed(docs, id_col, text_col).select("id", "n_bytes", "h", "tie"), "shard-rows")
     leaves = materialize(directory(rows, limit), "shard-directory")
     depths = [r.depth for r in leaves.select("depth").distinct().collect()]  # 121 at most
     if not depths:
@@ -77,3 +82,24 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     at = F.array(*[F.lit(d) for d in sorted(depths)])
     tried = rows.select("id", "n_bytes", F.explode(F.transform(at, lambda d: _prefix(d))).alias("shard"))
     return tried.join(leaves, "shard").select(F.col("id").alias(id_col), "shard", "depth", "n_bytes", "shard_bytes", "shard_docs")
+
+
+def write_shards(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "shard_bits") -> DataFrame:
+    """Write all columns of docs below path, a folder for each shard; what was written: shard, depth, shard_bytes, shard_docs.
+
+    A folder is named by the bits after a b (shard_bits=b0110), which readers find in the column shard_col. A shard is one
+    file, or as many as spark.sql.files.maxRecordsPerFile makes. path must not exist yet, and docs have no column shard_col.
+    """
+    if shard_col.lower() in [c.lower() for c in docs.columns]:
+        raise ValueError(f"documents have a column {shard_col}: name another for the shards")
+    # Numbers of places hold for one reading of the table, so they are written with the rows.
+    rows = materialize(_keyed(docs, id_col, text_col), "shard-texts")
+    leaves = materialize(directory(rows.select("n_bytes", "h", "tie"), limit), "shard-directory")
+    depths = sorted(r.depth for r in leaves.select("depth").distinct().collect())  # 121 at most
+    # Keys find their shard without their texts, which then are dealt by shard: none is over the limit, so no task is large.
+    tried = rows.select("h", "tie", F.explode(F.array(*[_prefix(F.lit(d)) for d in depths or [0]])).alias("shard"))
+    placed = materialize(tried.join(leaves.select("shard"), "shard", "left_semi"), "shard-placed")
+    out = rows.join(placed, ["h", "tie"]).select("doc.*", F.concat(F.lit("b"), "shard").alias(shard_col))
+    out.repartition(shard_col).write.partitionBy(shard_col).parquet(path)
+    discard(rows, placed)
+    return leaves

@@ -8,6 +8,10 @@ No piece of the vocabulary holds a word mark after another character or holds a
 merges never cross those places. Texts are therefore cut there and counts of short cuts are kept in
 a bounded table per Python worker, where most words of a corpus are found again.
 
+What this rests on is read from the model before anything is counted: byte-pair merges with byte fallback, texts
+as they are but for a word mark in front and in place of spaces, and none but plain pieces. A model with other options
+is refused.
+
 Defined results: a null or empty text has 0 bytes and 0 tokens; a null doc_id stays null;
 repeated rows are counted each; other columns are ignored.
 """
@@ -90,6 +94,29 @@ class PieceCounter:
         return total + (len(lines) - 1) * self.weight("\n")
 
 
+def unsupported(model_file: str) -> list[str]:
+    """Options of a model under which the counts here would not be the library's."""
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(model_file, "rb") as f:
+        model.ParseFromString(f.read())
+    trainer, normal = model.trainer_spec, model.normalizer_spec
+    kinds = {piece.type for piece in model.pieces}
+    wrong = {
+        "merges that aren't byte pairs": trainer.model_type != trainer.BPE,
+        "no byte fallback": not trainer.byte_fallback,
+        "word marks at the end of words": trainer.treat_whitespace_as_suffix,
+        "no word mark in front": not normal.add_dummy_prefix,
+        "spaces removed": normal.remove_extra_whitespaces,
+        "spaces not marked": not normal.escape_whitespaces,
+        "characters normalised": bool(normal.precompiled_charsmap),
+        "pieces of the user's own": model.SentencePiece.USER_DEFINED in kinds,
+        "unused pieces": model.SentencePiece.UNUSED in kinds,
+    }
+    return [name for name, found in wrong.items() if found]
+
+
 _counters: dict[str, PieceCounter] = {}
 
 
@@ -100,7 +127,12 @@ def counter(model_file: str) -> PieceCounter:
 
 
 def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every whole text."""
+    """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every whole text.
+
+    ValueError for a model with options that aren't followed here.
+    """
+    if wrong := unsupported(model_file):
+        raise ValueError(f"{model_file}: {', '.join(wrong)}")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def row(doc_id, text: bytes | None) -> tuple:

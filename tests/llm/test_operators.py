@@ -731,6 +731,24 @@ def test_op8_edge(spark):
     assert sharding.assign_shards(frame(spark, []), 1000).count() == 0
 
 
+def test_op8_written_shards(spark, tmp_path):
+    """Every row and column once, below a folder for each shard, which holds what the directory says and no more."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, data, limit in (("docs", docs, 20_000), ("edge", frame(spark), 1000), ("one", frame(spark), 1 << 30)):
+        path = str(tmp_path / name)
+        told = {r.shard: (r.shard_bytes, r.shard_docs) for r in sharding.write_shards(data, path, limit).collect()}
+        back = spark.read.parquet(path)
+        assert Counter(map(str, back.select(*data.columns).collect())) == Counter(map(str, data.collect()))
+        found = back.groupBy("shard_bits").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b"), F.count("*").alias("n")).collect()
+        assert {r.shard_bits.removeprefix("b"): (r.b, r.n) for r in found} == told
+        assert all(b <= limit or n == 1 for b, n in told.values()) and (len(told) > 3) == (name != "one")
+        files = [len(list(f.glob("*.parquet"))) for f in (tmp_path / name).glob("shard_bits=*")]
+        assert set(files) == {1} and len(files) == len(told)
+    assert sharding.write_shards(frame(spark, []), str(tmp_path / "none"), 1000).count() == 0
+    with pytest.raises(ValueError):
+        sharding.write_shards(docs.withColumn("shard_bits", F.lit(1)), str(tmp_path / "clash"), 1000)
+
+
 def test_op8_splits_as_sql_does(spark):
     """A limit under which most buckets split many times; the SQL counterpart at the same limit."""
     import duckdb
@@ -803,3 +821,31 @@ def test_op10(spark, local):
     count = token_count.counter(model).count
     for text in ["a", "  a", "a  b ", "\n\n", "a\nb\t c", "▁", "a▁b ▁ ▁▁", "\x00", "<s></s><unk><0x41>", "漢字😀 é ﬁ½", " " * 40, "==== ----", "x" * 999, "\r\n 　 ٣"]:
         assert count(text) == len(sp.encode(text)), text
+
+
+def test_op10_other_models_are_refused(spark, tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    source = public_tokenizers.path("piece_bpe_32k.model")
+    assert token_count.unsupported(source) == []
+
+    def changed(change):
+        model = proto.ModelProto()
+        with open(source, "rb") as f:
+            model.ParseFromString(f.read())
+        change(model)
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.model"
+        path.write_bytes(model.SerializeToString())
+        return str(path)
+
+    def option(spec, name, value):
+        return lambda m: setattr(getattr(m, spec), name, value)
+
+    changes = [option("normalizer_spec", "add_dummy_prefix", False), option("normalizer_spec", "remove_extra_whitespaces", True), option("normalizer_spec", "escape_whitespaces", False)]
+    changes += [option("normalizer_spec", "precompiled_charsmap", b"x"), option("trainer_spec", "model_type", 1), option("trainer_spec", "byte_fallback", False), option("trainer_spec", "treat_whitespace_as_suffix", True)]
+    changes += [lambda m: setattr(m.pieces[-1], "type", 4), lambda m: setattr(m.pieces[-1], "type", 5)]
+    for change in changes:
+        path = changed(change)
+        assert len(token_count.unsupported(path)) == 1
+        with pytest.raises(ValueError):
+            token_count.token_counts(frame(spark), path)
