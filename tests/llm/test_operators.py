@@ -688,6 +688,21 @@ def test_op7_null_ids_are_one_document(spark):
     assert rows.where("id IS NULL").select("row").distinct().count() == 2
 
 
+def test_op7_null_ids_in_a_later_batch(spark, tmp_path):
+    """They are taken, and come before what the index holds, whose results stay."""
+    import random
+
+    rng = random.Random(6)
+    a, b = (" ".join(f"z{rng.randrange(10**6)}" for _ in range(30)) for _ in "ab")
+    schema = "doc_id long, text string"
+    index = substring_dedup.FingerprintIndex(spark, str(tmp_path / "index"))
+    first = spark.createDataFrame([(1, a), (2, None)], schema)
+    assert {(r.doc_id, r.n_removed) for r in substring_dedup.remove_repeats(first, spark.createDataFrame([], schema), index).collect()} == {(1, 0), (2, 0)}
+    batch = spark.createDataFrame([(None, a), (3, f"{a} {b}"), (None, None), (4, b)], schema)
+    got = substring_dedup.remove_repeats(batch, first, index).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed) for r in got) == Counter([(None, 30, 0), (3, 60, 30), (None, 0, 0), (4, 30, 30)])
+
+
 def test_op7_repeats_inside_one_text(spark):
     phrase = " ".join(f"k{i}" for i in range(7))
     data = [(1, phrase + " " + phrase + " " + phrase + " " + phrase + " tail"), (2, "a " * 60), (3, None), (4, "b " * 19)]
