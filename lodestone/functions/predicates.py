@@ -57,19 +57,24 @@ def is_binary(view: Column) -> Column:
     return zipped | F.contains(view, F.char(F.lit(0)))
 
 
-def too_square(view: Column) -> Column:
-    """Most of many lines have one length. Lengths count the line end; up to two are not ranked, nor are lengths beyond the first ranks."""
+def too_square(view: Column, blank_lines: int = 0) -> Column:
+    """Most of many lines have one length. Lengths count the line end; up to two are not ranked, nor are lengths beyond the first ranks.
+
+    With blank_lines, of the text after so many empty lines.
+    """
 
     def square(lines: Column) -> Column:
         ended = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda x: F.length(x) + 1)
-        return bound(F.filter(ended, lambda n: n > 2), lambda ranked: F.floor(_most(ranked) * 100 / F.size(lines)) > V.SQUARE_PERCENT)
+        return bound(F.filter(ended, lambda n: n > 2), lambda ranked: F.floor(_most(ranked) * 100 / (F.size(lines) + blank_lines)) > V.SQUARE_PERCENT)
 
     def _most(ranked: Column) -> Column:
         kinds = F.slice(F.array_distinct(ranked), 1, V.SQUARE_RANKS)
         return F.array_max(F.transform(kinds, lambda n: F.size(F.filter(ranked, lambda m: m == n))))
 
-    # Few texts have so many lines; the others are not split.
-    return F.when(count_char(view, "\n") >= V.SQUARE_LINES, F.coalesce(bound(F.split(view, "\n", -1), square), F.lit(False))).otherwise(F.lit(False))
+    # Few texts have so many lines, or enough of them that aren't blank; the others are not split.
+    ends = count_char(view, "\n")
+    many = (ends >= V.SQUARE_LINES - blank_lines) & (ends * 100 > (ends + 1 + blank_lines) * V.SQUARE_PERCENT) if blank_lines else ends >= V.SQUARE_LINES
+    return F.when(many, F.coalesce(bound(F.split(view, "\n", -1), square), F.lit(False))).otherwise(F.lit(False))
 
 
 def big_enough(view: Column, least: int = V.MIN_FILE) -> Column:
@@ -97,7 +102,10 @@ def license_name(name: Column) -> Column:
     return found
 
 
-def fingerprintable(view: Column) -> Column:
+def fingerprintable(view: Column, blank_lines: int = 0) -> Column:
+    """Whether a text, or with blank_lines the text after so many empty lines, is fingerprinted."""
+    if blank_lines:  # it starts with a line end
+        return bound(view, lambda b: ~F.contains(b, F.char(F.lit(0))) & ~too_square(b, blank_lines))
     return bound(view, lambda b: F.contains(b, F.lit("\n")) & ~F.contains(b, F.char(F.lit(0))) & ~unwanted_start(b) & ~too_square(b))
 
 

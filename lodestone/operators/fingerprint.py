@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,8 +17,73 @@ from lodestone.functions.text import byte_view
 GRAM, WINDOW = 30, 64
 
 
+_MD5_ADD = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+_MD5_TURN = [s for four in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for s in four * 4]
+_MD5_WORD = [i for i in range(16)] + [(5 * i + 1) % 16 for i in range(16)] + [(3 * i + 5) % 16 for i in range(16)] + [7 * i % 16 for i in range(16)]
+_MD5_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+_GRAMS = 1 << 15  # hashed at once: so many that numpy's calls don't count, so few that a core's cache holds most of them
+
+
+def _md5_heads(words: np.ndarray, n: int, gram: int) -> np.ndarray:
+    """The first word of the MD5 of each of n grams; words has the four bytes from each place on."""
+    a, b, c, d = (np.full(n, v, np.uint32) for v in _MD5_START)
+    f, bits = np.empty(n, np.uint32), 8 * gram
+    blocks = (gram + 8) // 64 + 1
+    for block in range(blocks):
+        before, parts = [x.copy() for x in (a, b, c, d)], []
+        for at in range(64 * block, 64 * block + 64, 4):
+            left = gram - at  # bytes of a gram from there on; then a bit, zeros, and the length in bits
+            if left >= 4:
+                parts.append((words[at : at + n], 0))
+            elif left > 0:
+                parts.append((words[at : at + n] & np.uint32((1 << 8 * left) - 1), 0x80 << 8 * left))
+            else:
+                parts.append((None, 0x80 if left == 0 else bits >> 32 * (at % 64 - 56 >> 2) & 0xFFFFFFFF if block == blocks - 1 and at % 64 >= 56 else 0))
+        last = block == blocks - 1
+        for i in range(61 if last else 64):  # the first word is set in the 61st step
+            if i < 16:
+                np.bitwise_xor(c, d, f)
+                f &= b
+                f ^= d
+            elif i < 32:
+                np.bitwise_xor(b, c, f)
+                f &= d
+                f ^= c
+            elif i < 48:
+                np.bitwise_xor(b, c, f)
+                f ^= d
+            else:
+                np.invert(d, f)
+                f |= b
+                f ^= c
+            array, constant = parts[_MD5_WORD[i]]
+            a += f
+            a += np.uint32(_MD5_ADD[i] + constant & 0xFFFFFFFF)
+            if array is not None:
+                a += array
+            np.left_shift(a, np.uint32(_MD5_TURN[i]), f)
+            a >>= np.uint32(32 - _MD5_TURN[i])
+            a |= f
+            a += b
+            a, b, c, d = d, a, b, c
+        if last:
+            return before[0] + b
+        for x, y in zip((a, b, c, d), before, strict=True):
+            x += y
+    raise AssertionError
+
+
 def gram_md5(plain: bytes, gram: int) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.md5(plain[i : i + gram]).digest()[:4], "big") for i in range(len(plain) - gram + 1)], np.int64)
+    """The first four bytes of the MD5 of every gram, thousands of grams at a time in each step of MD5."""
+    n = len(plain) - gram + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    out = np.empty(n, np.uint32)
+    raw = np.frombuffer(plain + bytes(4), np.uint8).astype(np.uint32)
+    words = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
+    for at in range(0, n, _GRAMS):
+        out[at : at + _GRAMS] = _md5_heads(words[at:], min(_GRAMS, n - at), gram)
+    return out.byteswap().astype(np.int64)
 
 
 def _crc_table(polynomial: int) -> np.ndarray:
@@ -79,45 +144,68 @@ class GramCrc:
 HASHES: dict[str, Callable[[bytes, int], np.ndarray]] = {"md5": gram_md5, "crc32": GramCrc(0xEDB88320), "crc32c": GramCrc(0x82F63B78)}
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _OTHERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b).isalnum())
-
-
-def winnow(text: bytes, gram: int, window: int, hashes: Callable[[bytes, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of a text and the lines (from 1, saturating) where their grams start."""
-    plain = text.translate(_FOLD, _OTHERS)
-    n = len(plain) - gram + 1
-    if n < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    raw = np.frombuffer(text, np.uint8)
-    keep = np.ones(256, bool)
-    keep[list(_OTHERS)] = False
-    lines = (1 + np.cumsum(raw == 10))[keep[raw]]
+_KEEP = np.isin(np.arange(256), list(_OTHERS), invert=True)
+GROUP_BYTES = 1 << 18  # of texts that are hashed together
+
+
+def winnow_all(texts: list[bytes], gram: int, window: int, hashes: Callable[[bytes, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each fingerprint's text (from 0), the fingerprint, and the line (from 1) where its gram starts. Texts are hashed as one; no window spans two."""
+    joined = b"".join(texts)
+    raw, plain = np.frombuffer(joined, np.uint8), joined.translate(_FOLD, _OTHERS)
+    place, ends = np.flatnonzero(_KEEP[raw]), np.cumsum([len(t) for t in texts], dtype=np.int64)
+    upto = np.searchsorted(place, ends)
+    first = np.append(0, upto[:-1]).astype(np.int64)
+    count = np.maximum(upto - first - gram - window + 2, 0)  # windows of each text
+    if not count.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = hashes(plain, gram)
     # The rightmost of the least: places count down, so the greater place is the lesser key.
-    key = (h << 31) | ((1 << 31) - 1 - np.arange(n))
+    key = (h << 31) | ((1 << 31) - 1 - np.arange(len(h)))
     least, width = key, 1
     while 2 * width <= window:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
     least = np.minimum(least[: len(least) - (window - width)], least[window - width :])
-    moved = np.append(True, least[1:] != least[:-1])
+    least = least[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+    moved = np.append(True, least[1:] != least[:-1])  # keys hold places, so those of two texts differ
     at = (1 << 31) - 1 - (least[moved] & ((1 << 31) - 1))
-    return h[at], np.minimum(lines[at], V.MAX_LINE_NUMBER)
+    owner, ended = np.repeat(np.arange(len(texts)), count)[moved], np.flatnonzero(raw == 10)
+    before = np.searchsorted(ended, np.append(0, ends[:-1]))
+    return owner, h[at], 1 + np.searchsorted(ended, place[at]) - before[owner]
 
 
-def fingerprints(files: DataFrame, gram: int = GRAM, window: int = WINDOW, hash_name: str = "crc32", id_col: str = "file_id", text_col: str = "text") -> DataFrame:
-    """file_id, wfp, line of every admissible text. Texts go to Python by batch; nothing is shuffled."""
+def winnow(text: bytes, gram: int, window: int, hashes: Callable[[bytes, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of a text and the lines (from 1, saturating) where their grams start."""
+    _, h, lines = winnow_all([text], gram, window, hashes)
+    return h, np.minimum(lines, V.MAX_LINE_NUMBER)
+
+
+def _groups(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in groups of about GROUP_BYTES, each with its first one's place."""
+    start, some, size = 0, [], 0
+    for k, text in enumerate(texts.cast(pa.binary())):
+        some.append(text.as_py() or b"")
+        size += len(some[-1])
+        if size >= GROUP_BYTES:
+            yield start, some
+            start, some, size = k + 1, [], 0
+    if some:
+        yield start, some
+
+
+def fingerprints(files: DataFrame, gram: int = GRAM, window: int = WINDOW, hash_name: str = "crc32", id_col: str = "file_id", text_col: str = "text", blank_lines: int = 0) -> DataFrame:
+    """file_id, wfp, line of every admissible text. Texts go to Python by batch; nothing is shuffled.
+
+    With blank_lines, of each text after so many empty lines, which nobody has to write out: they hold no gram, and only count.
+    """
     kind = files.schema[id_col].dataType.simpleString()
-    fit = files.select(F.col(id_col).alias("file_id"), F.col(text_col).alias("text")).where(fingerprintable(byte_view(F.col("text"))))
+    fit = files.select(F.col(id_col).alias("file_id"), F.col(text_col).alias("text")).where(fingerprintable(byte_view(F.col("text")), blank_lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, ls = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for k, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                h, line = winnow(text, gram, window, HASHES[hash_name])
-                hs.append(h)
-                ls.append(line)
-                ids.append(np.full(len(h), k))
-            at = pa.array(np.concatenate(ids)) if ids else pa.array([], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(np.concatenate(hs)), pa.array(np.concatenate(ls).astype(np.int32))], names=["file_id", "wfp", "line"])
+            for start, texts in _groups(batch.column(1)):
+                at, h, lines = winnow_all(texts, gram, window, HASHES[hash_name])
+                lines = np.minimum(lines + blank_lines, V.MAX_LINE_NUMBER).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(start + at)), pa.array(h), pa.array(lines)], names=["file_id", "wfp", "line"])
 
     return fit.mapInArrow(run, f"file_id {kind}, wfp long, line int")
 

@@ -158,3 +158,19 @@ def test_dictionaries(spark, tmp_path):
     (tmp_path / "c").mkdir()
     (tmp_path / "c" / "X.txt").write_text("name=XX\nCODING=96\nxx_init\nbad word\nxx.h\n")
     assert ids(D.build_crypto_dictionary(spark, str(tmp_path / "c")), "ord", "keyword", "algorithm", "strength") == [(0, "xx_init", "XX", 96), (1, "xx.h", "XX", 96)]
+
+
+def test_blank_lines_are_counted_not_written(spark):
+    """What texts written after so many empty lines give, without such texts in the plan."""
+    prose = "Some words of a text that is long enough to have a few fingerprints,\nwith lines that differ in length.\n" * 4
+    texts = [prose, "{ a start }\n" + prose, prose.replace("\n", " "), prose + "\0", "aaaa,bbbb,cccc\n" * 600, "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "file_id long, text string")
+    for blank in (3, 300, 65530):
+        written = rows.withColumn("text", F.concat(F.repeat(F.lit("\n"), F.lit(blank)), "text"))
+        want = fingerprint.fingerprints(written, 12, 16).collect()
+        assert sorted(fingerprint.fingerprints(rows, 12, 16, blank_lines=blank).collect()) == sorted(want)
+        assert {r.file_id for r in want} == ({0, 1, 2} if blank == 3 else {0, 1, 2, 4})
+    from lodestone import catalogue
+
+    plan = catalogue.queries()["wfp_line_saturate"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "repeat" not in plan and len(plan) < 30_000
