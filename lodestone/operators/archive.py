@@ -80,5 +80,8 @@ def keys(archive: DataFrame) -> DataFrame:
     return archive.select("file_id").distinct()
 
 
-def extract(archive: DataFrame, key: str) -> DataFrame:
-    return archive.where(F.col("file_id") == key.lower())
+def extract(archive: DataFrame, asked: DataFrame | str) -> DataFrame:
+    """What the archive holds under a key, or under each of the keys of a table (file_id), in either case."""
+    if isinstance(asked, str):
+        return archive.where(F.col("file_id") == asked.lower())
+    return known(archive, asked.select(F.lower("file_id").alias("file_id")))

@@ -174,3 +174,35 @@ def test_blank_lines_are_counted_not_written(spark):
 
     plan = catalogue.queries()["wfp_line_saturate"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "repeat" not in plan and len(plan) < 30_000
+
+
+def test_extract_of_many_keys(spark):
+    from lodestone import catalogue
+
+    held = spark.createDataFrame([("ab", "x"), ("ab", "x"), ("ab", "y"), ("cd", "z"), ("ef", "w")], "file_id string, content string")
+    asked = spark.createDataFrame([("AB",), ("ab",), ("cd",), ("00",), (None,)], "file_id string")
+    assert ids(archive.extract(held, asked), "file_id", "content") == [("ab", "x"), ("ab", "x"), ("ab", "y"), ("cd", "z")]
+    assert ids(archive.extract(held, "CD"), "file_id", "content") == [("cd", "z")]
+    sf = "/root/testdata/sf0.001"
+    assert catalogue.queries()["archive_cat"](spark, sf).select("file_id").distinct().count() == catalogue.queries()["archive_keys"](spark, sf).count()
+
+
+@pytest.mark.parametrize("gram", [1, 3, 4, 30, 55, 56, 59, 60, 64, 119, 120])
+def test_md5_of_grams(gram, monkeypatch):
+    import hashlib
+    import random
+
+    monkeypatch.setattr(fingerprint, "_GRAMS", 100)
+    text = random.Random(gram).randbytes(450)
+    want = [hashlib.md5(text[i : i + gram]).hexdigest()[:8] for i in range(len(text) - gram + 1)]
+    assert [f"{h:08x}" for h in fingerprint.gram_md5(text, gram).tolist()] == want
+
+
+def test_texts_of_a_group_are_apart():
+    import random
+
+    rng = random.Random(5)
+    some = [bytes(rng.choices(b"abAB01 \n\xc3.", k=n)) for n in (0, 400, 20, 27, 28, 3000, 0, 500)]
+    at, h, lines = fingerprint.winnow_all(some, 12, 16, fingerprint.HASHES["md5"])
+    alone = [(k, *x) for k, text in enumerate(some) for x in zip(*(a.tolist() for a in fingerprint.winnow(text, 12, 16, fingerprint.HASHES["md5"])), strict=True)]
+    assert list(zip(at.tolist(), h.tolist(), lines.tolist(), strict=True)) == alone and len(set(at.tolist())) == 3
