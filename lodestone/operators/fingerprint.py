@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import values as V
 from lodestone.functions.predicates import fingerprintable
 from lodestone.functions.text import byte_view
+from lodestone.sources.storage import kept
 
 GRAM, WINDOW = 30, 64
 
@@ -263,7 +264,7 @@ def without_denied(wfps: DataFrame, denied: DataFrame, most: int = MAX_DENIED) -
     Up to most denied fingerprints are broadcast. For more, a filter of bits tells those rows that may be denied, and
     these alone are joined with the list; wfps is read twice then, and should be a stored table.
     """
-    some = denied.select("wfp").where("wfp IS NOT NULL").distinct()
+    some = kept(denied.select("wfp").where("wfp IS NOT NULL").distinct(), "denied")
     n = some.count()
     if n <= most:
         return wfps.join(F.broadcast(some), "wfp", "left_anti").select(*wfps.columns)
@@ -281,8 +282,31 @@ def without_denied(wfps: DataFrame, denied: DataFrame, most: int = MAX_DENIED) -
     return clear.unionByName(rest.join(some, "wfp", "left_anti").select(*wfps.columns))
 
 
+CLASS_BLOCK = 1024  # files of a class that are dealt together
+
+
+def _classes(rows: DataFrame, name: str) -> DataFrame:
+    """name, class, wfps: the set of fingerprints of each file, and what stands for it."""
+    sets = rows.where("wfp IS NOT NULL").groupBy(name).agg(F.array_sort(F.collect_set("wfp")).alias("wfps"))
+    return sets.withColumn("class", F.md5(F.array_join(F.col("wfps").cast("array<string>"), ",")))
+
+
 def snippet_matches(queries: DataFrame, known: DataFrame) -> DataFrame:
-    """Extension: query_id, file_id, hits: files that share fingerprints with a query."""
-    left = queries.select(F.col("file_id").alias("query_id"), "wfp").distinct()
-    right = known.select("file_id", "wfp").distinct()
-    return left.join(right, "wfp").groupBy("query_id", "file_id").agg(F.count("*").alias("hits"))
+    """Extension: query_id, file_id, hits: files that share fingerprints with a query.
+
+    Most files share but a few frequent fingerprints with any query. So files with the same set of asked fingerprints are
+    one class, as are queries; hits are counted between classes, and pairs of files come from a join without an aggregate.
+    Files of large classes are dealt by blocks.
+    """
+    asked = kept(_classes(queries.select(F.col("file_id").alias("query_id"), "wfp"), "query_id"), "asked")
+    each = asked.dropDuplicates(["class"]).select(F.col("class").alias("query_class"), F.explode("wfps").alias("wfp"))
+    held = kept(_classes(known.select("file_id", "wfp").join(each.select("wfp").distinct(), "wfp", "left_semi"), "file_id"), "held")
+    sizes = held.groupBy("class").agg(F.count("*").alias("n"), F.first("wfps").alias("wfps"))
+    classes = kept(sizes.select(F.col("class").alias("file_class"), F.ceil(F.col("n") / CLASS_BLOCK).alias("blocks"), "wfps"), "classes")
+    found = each.join(classes.select("file_class", F.explode("wfps").alias("wfp")), "wfp").groupBy("query_class", "file_class").agg(F.count("*").alias("hits"))
+    blocks = classes.select("file_class", "blocks")
+    dealt = found.join(blocks, "file_class").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = dealt.join(asked.select("query_id", F.col("class").alias("query_class")), "query_class")
+    files = held.select("file_id", F.col("class").alias("file_class")).join(blocks, "file_class")
+    files = files.select("file_id", "file_class", F.pmod(F.xxhash64("file_id"), F.col("blocks")).alias("block"))
+    return left.join(files, ["file_class", "block"]).select("query_id", "file_id", "hits")

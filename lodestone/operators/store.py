@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import values as V
-from lodestone.operators import kb
+from lodestone.operators import fingerprint, kb
 
 #: The column that deals a table's rows; other tables are dealt by their first column.
 KEYS = {"wfp": "wfp", "license": "id", "copyright": "id", "cryptography": "id", "quality": "id"}
@@ -246,9 +246,7 @@ def urls_of_files(spark: SparkSession, path: str, files: DataFrame) -> DataFrame
 
 def snippet_matches(spark: SparkSession, path: str, queries: DataFrame) -> DataFrame:
     """query_id, file_id, hits: files of the store that share fingerprints with those of queries (file_id, wfp)."""
-    asked = queries.select(F.col("file_id").alias("query_id"), "wfp").distinct()
-    known = open_table(spark, path, "wfp").select("wfp", "file_id")
-    return known.join(asked, "wfp").groupBy("query_id", "file_id").agg(F.count("*").alias("hits"))
+    return fingerprint.snippet_matches(queries, open_table(spark, path, "wfp"))
 
 
 def facts_of_files(spark: SparkSession, path: str, name: str, files: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PIECE = 1 << 20  # bytes read or copied at once
 
@@ -96,3 +97,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 def shared_folder(spark: SparkSession) -> str:
     """A folder that the driver and all executors share: spark.checkpoint.dir, or else one in the warehouse."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+
+
+def kept(rows: DataFrame, tag: str) -> DataFrame:
+    """rows as a table in the shared folder, for what is read several times and costs more than that."""
+    path = f"{shared_folder(rows.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -210,3 +210,25 @@ def test_denied_fingerprints(spark, tmp_path):
     plan = spark._jvm.PythonSQLUtils.explainString(fingerprint.without_denied(wfps, denied)._jdf.queryExecution(), "simple")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert fingerprint.without_denied(wfps, denied.limit(0)).count() == 5005
+
+
+def test_matches_of_classes(spark, tmp_path, monkeypatch):
+    """Hits of all pairs, which no aggregate over pairs counts; files of large classes in blocks."""
+    import random
+    from collections import Counter
+
+    from lodestone import catalogue
+    from lodestone.operators import fingerprint
+
+    monkeypatch.setattr(fingerprint, "CLASS_BLOCK", 3)
+    rng = random.Random(3)
+    files = {f: {rng.choice((1, 1, 2, 3, rng.randrange(500))) for _ in range(rng.randrange(5))} for f in range(300)}
+    rows = [(f, w) for f, ws in files.items() for w in ws]
+    wfps = spark.createDataFrame([*rows, *rows[:50], (1, None), (50, None)], "file_id long, wfp long")
+    want = Counter((q, f) for q in files if q % 50 == 0 for f in files for _ in files[q] & files[f])
+    got = fingerprint.snippet_matches(wfps.where("file_id % 50 = 0"), wfps)
+    assert {(r.query_id, r.file_id): r.hits for r in got.collect()} == want and got.count() == len(want) > 100
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [query_id" not in plan
+    for name in ("snippet_match", "wfp_ignored", "wfp_ignored_by_filter"):  # fingerprints are made once
+        assert "MapInArrow" not in catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
