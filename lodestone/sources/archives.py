@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from lodestone.sources.storage import PIECE, Input, delete_folder, files_below, opened, pieces, replace
+from lodestone.sources.storage import PIECE, Input, bound_batches, delete_folder, files_below, opened, pieces, replace
 
 # Endings of archives that are unpacked, by the way they are unpacked.
 ZIPPED = (".zip", ".jar", ".aar", ".egg", ".war", ".whl", ".nupkg")
@@ -208,7 +208,8 @@ class ArchiveWriter(DataSourceArrowWriter):
         system.create_dir(folder, recursive=True)
         task, done, now, packed, handle = TaskContext.get().taskAttemptId(), [], None, None, None
         for batch in iterator:
-            for name, path, content in zip(*(batch.column(c).to_pylist() for c in ("archive", "path", "content")), strict=True):
+            for name, path, scalar in zip(batch.column("archive").to_pylist(), batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                content = scalar.as_py()  # one at a time beside Arrow's
                 if name != now:
                     if packed is not None:
                         packed.close()
@@ -297,5 +298,6 @@ def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
 def write_archives(files: DataFrame, path: str, mode: str = "append") -> None:
     """Pack files (archive, path, content: bytes) into archives of those names below path."""
     register(files.sparkSession)
+    bound_batches(files.sparkSession)
     rows = files.select("archive", "path", files["content"].cast("binary").alias("content"))
     rows.repartition("archive").sortWithinPartitions("archive", "path").write.format("archive").mode(mode).save(path)

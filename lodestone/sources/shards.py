@@ -13,10 +13,12 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from lodestone.sources.storage import delete_folder, files_below, opened, pieces, replace
+from lodestone.sources.storage import bound_batches, delete_folder, files_below, opened, pieces, replace
 
 WFP_BYTES, MZ_HEAD = 21, 18  # of a record; of a record before its data
 BATCH_BYTES = 4 << 20
+MZ_FILES, MOVES = 256, 16  # small shards that one task reads at most; files moved at a time on commit
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 WFP_SCHEMA = "wfp long, file_id string, line int"
 MZ_SCHEMA = "file_id string, content binary, shard string, at long, error string"
 
@@ -40,6 +44,20 @@ class Range(InputPartition):
     end: int
 
 
+@dataclass
+class Files(InputPartition):
+    files: list[tuple[str, int]]
+
+
+def hex_strings(raw: np.ndarray) -> pa.Array:
+    """Each row of bytes in hexadecimal digits."""
+    n, width = raw.shape
+    digits = np.empty((n, width, 2), np.uint8)
+    digits[:, :, 0], digits[:, :, 1] = _HEX[raw >> 4], _HEX[raw & 15]
+    ends = np.arange(n + 1, dtype=np.int32) * (2 * width)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(digits))
+
+
 def shard_name(file: str) -> str:
     return file.rpartition("/")[2].partition(".")[0]
 
@@ -67,8 +85,7 @@ class WfpReader(DataSourceReader):
                 raw = np.frombuffer(data, np.uint8).reshape(-1, WFP_BYTES)
                 head, line = raw[:, :3].astype(np.int64), raw[:, 19:].astype(np.int32)
                 wfp = (first << 24) | (head[:, 0] << 16) | (head[:, 1] << 8) | head[:, 2]
-                ids = [raw[k, 3:19].tobytes().hex() for k in range(len(raw))]
-                yield pa.RecordBatch.from_arrays([pa.array(wfp), pa.array(ids, pa.string()), pa.array(line[:, 0] | line[:, 1] << 8)], names=["wfp", "file_id", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(wfp), hex_strings(raw[:, 3:19]), pa.array(line[:, 0] | line[:, 1] << 8)], names=["wfp", "file_id", "line"])
 
 
 def mz_records(system: fs.FileSystem, path: str, size: int) -> Iterator[tuple[str | None, bytes | None, int, str | None]]:
@@ -126,23 +143,33 @@ def mz_records(system: fs.FileSystem, path: str, size: int) -> Iterator[tuple[st
 
 
 class MzReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.root = options["path"]
+    """A task reads several shards, up to splitBytes or MZ_FILES of them, as there may be 65,536."""
 
-    def partitions(self) -> Sequence[Range]:
-        return [Range(file, size, 0, size) for file, size in files_below(self.root, "*.mz")]
+    def __init__(self, options: dict[str, str]):
+        self.root, self.split = options["path"], int(options.get("splitbytes", 16 << 20))
+
+    def partitions(self) -> Sequence[Files]:
+        out, room = [], 0
+        for file, size in files_below(self.root, "*.mz"):
+            if not out or size > room or len(out[-1].files) == MZ_FILES:
+                out.append(Files([]))
+                room = self.split
+            out[-1].files.append((file, size))
+            room -= size
+        return out
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        system, path = opened(partition.file)
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         names, types = ["file_id", "content", "shard", "at", "error"], [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string()]
-        some, size = [], 0
+        some, held = [], 0
         batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=names)  # noqa: B905, E731
-        for file_id, content, at, error in mz_records(system, path, partition.size):
-            some.append((file_id, content, shard_name(path), at, error))
-            size += len(content or b"")
-            if size > BATCH_BYTES or len(some) == 1000:
-                yield batch()
-                some, size = [], 0
+        for file, size in partition.files:
+            system, path = opened(file)
+            for file_id, content, at, error in mz_records(system, path, size):
+                some.append((file_id, content, shard_name(path), at, error))
+                held += len(content or b"")
+                if held > BATCH_BYTES or len(some) == 1000:
+                    yield batch()
+                    some, held = [], 0
         if some:
             yield batch()
 
@@ -166,7 +193,10 @@ class ShardWriter(DataSourceArrowWriter):
         task, made, handle = TaskContext.get().taskAttemptId(), [], None
         try:
             for batch in iterator:
-                for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                data = batch.column("data").cast(pa.large_binary())
+                ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1] if len(data) else np.zeros(1, np.int64)
+                runs, at = pc.run_end_encode(batch.column("shard")), 0  # rows of one shard lie together
+                for shard, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
                     if not made or shard + self.suffix != made[-1][1]:
                         if handle is not None:
                             handle.close()
@@ -176,8 +206,9 @@ class ShardWriter(DataSourceArrowWriter):
                             with system.open_input_stream(f"{target}/{made[-1][1]}") as old:
                                 for piece in pieces(old):
                                     handle.write(piece)
-                    handle.write(data)
-                    made[-1] = (*made[-1][:2], made[-1][2] + 1)
+                    handle.write(data.buffers()[2].slice(int(ends[at]), int(ends[end] - ends[at])))
+                    made[-1] = (*made[-1][:2], made[-1][2] + end - at)
+                    at = end
         finally:
             if handle is not None:
                 handle.close()
@@ -191,8 +222,8 @@ class ShardWriter(DataSourceArrowWriter):
             for old, _ in files_below(self.path, "*" + self.suffix):
                 system, path = opened(old)
                 system.delete_file(path)
-        for temporary, name, _ in made:
-            replace(f"{self.temporary}/{temporary}", f"{self.path}/{name}")
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(lambda m: replace(f"{self.temporary}/{m[0]}", f"{self.path}/{m[1]}"), made))
         delete_folder(self.temporary)
 
     def abort(self, messages: list[Shards | None]) -> None:
@@ -239,16 +270,17 @@ def read_wfp(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.format(_format(spark, WfpSource)).options(**options).load(path)
 
 
-def read_mz(spark: SparkSession, path: str, report: bool = False) -> DataFrame:
+def read_mz(spark: SparkSession, path: str, report: bool = False, **options) -> DataFrame:
     """file_id, content of archive shards xxxx.mz; a damaged record has a null content, which archive.verdicts() calls corrupted.
 
     With report, shard, at and error too, and a row without an id for bytes that are no record.
     """
-    rows = spark.read.format(_format(spark, MzSource)).load(path)
+    rows = spark.read.format(_format(spark, MzSource)).options(**options).load(path)
     return rows if report else rows.where("file_id IS NOT NULL").select("file_id", "content")
 
 
 def _write(rows: DataFrame, order: list[str], path: str, source: type[DataSource], mode: str) -> None:
+    bound_batches(rows.sparkSession)
     dealt = rows.repartition("shard").sortWithinPartitions("shard", *order).select("shard", "data")
     dealt.write.format(_format(rows.sparkSession, source)).mode(mode).save(path)
 
@@ -269,9 +301,9 @@ def write_mz(archive: DataFrame, path: str, mode: str = "append") -> None:
     @F.arrow_udf("binary")
     def record(ids: pa.Array, contents: pa.Array) -> pa.Array:
         out = []
-        for file_id, content in zip(ids.to_pylist(), contents.to_pylist(), strict=True):
-            data = zlib.compress(content + b"\0")
-            out.append(bytes.fromhex(file_id)[2:] + struct.pack("<I", len(data)) + data)
+        for file_id, content in zip(ids, contents, strict=True):  # one content at a time beside Arrow's
+            data = zlib.compress(content.as_py() + b"\0")
+            out.append(bytes.fromhex(file_id.as_py())[2:] + struct.pack("<I", len(data)) + data)
         return pa.array(out, pa.binary())
 
     rows = archive.select(F.substring("file_id", 1, 4).alias("shard"), record("file_id", F.col("content").cast("binary")).alias("data"), "file_id")

@@ -104,3 +104,9 @@ def kept(rows: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_folder(rows.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default, so that contents of some kilobytes take few MB in each worker; another number stays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -242,3 +242,21 @@ def test_records_one_at_a_time(spark, tmp_path):
     spark.sql("SELECT 1").collect()
     held = shards.mz_records(storage.fs.LocalFileSystem(), str(next((tmp_path / "m").glob("*.mz"))), 10**6)
     assert hasattr(held, "__next__")
+
+
+def test_small_shards_are_read_by_few_tasks(spark, tmp_path):
+    """A task reads many small archive shards; rows of one shard are written at once, records of either layout as before."""
+    from lodestone.sources import shards
+
+    contents = [f"content {k}".encode() for k in range(600)]
+    shards.write_mz(spark.createDataFrame([(MD5(c), c) for c in contents], "file_id string, content binary"), str(tmp_path / "m"))
+    files = len(list((tmp_path / "m").glob("*.mz")))
+    read = shards.read_mz(spark, str(tmp_path / "m"), report=True)
+    assert files > 500 and read.rdd.getNumPartitions() == -(-files // shards.MZ_FILES)
+    assert sorted(bytes(r.content) for r in read.collect()) == sorted(contents) and all(r.file_id.startswith(r.shard) for r in read.collect())
+    assert shards.read_mz(spark, str(tmp_path / "m"), splitBytes=100).rdd.getNumPartitions() > files // 10
+    rows = [(k * 7919 * 65537 % 2**32, MD5(str(k).encode()), k) for k in range(3000)]
+    for _ in range(2):  # the second time appended
+        shards.write_wfp(spark.createDataFrame(rows, "wfp long, file_id string, line int"), str(tmp_path / "w"))
+    assert sorted(tuple(r) for r in shards.read_wfp(spark, str(tmp_path / "w")).collect()) == sorted(rows * 2)
+    assert sorted(p.suffix for p in (tmp_path / "w").iterdir() if not p.name.startswith(".")) == [".bin"] * len({w >> 24 for w, _, _ in rows})
