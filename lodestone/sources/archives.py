@@ -72,7 +72,7 @@ def members(name: str, handle, wanted=wanted_always, password: str | None = None
                         with z.open(i, pwd=password.encode() if password else None) as stream:
                             yield i.filename, i.file_size, stream
         elif low.endswith(TARRED):
-            with tarfile.open(fileobj=handle, mode="r|*") as t:
+            with tarfile.open(fileobj=handle, mode="r|*", stream=True) as t:
                 for m in t:
                     if m.isfile() and wanted(m.name):
                         yield m.name, m.size, t.extractfile(m)
@@ -228,6 +228,7 @@ class ArchiveWriter(DataSourceArrowWriter):
                     info = tarfile.TarInfo(path)
                     info.size = len(content)
                     packed.addfile(info, io.BytesIO(content))
+                    packed.members.clear()  # which tarfile would keep of every member
         if packed is not None:
             packed.close()
             handle.close()

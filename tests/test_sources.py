@@ -260,3 +260,27 @@ def test_small_shards_are_read_by_few_tasks(spark, tmp_path):
         shards.write_wfp(spark.createDataFrame(rows, "wfp long, file_id string, line int"), str(tmp_path / "w"))
     assert sorted(tuple(r) for r in shards.read_wfp(spark, str(tmp_path / "w")).collect()) == sorted(rows * 2)
     assert sorted(p.suffix for p in (tmp_path / "w").iterdir() if not p.name.startswith(".")) == [".bin"] * len({w >> 24 for w, _, _ in rows})
+
+
+def test_tar_members_are_not_kept():
+    """A reader of a tar file forgets members as it goes on."""
+    import gc
+    import io
+    import tarfile
+
+    from lodestone.sources import archives
+
+    held = io.BytesIO()
+    with tarfile.open(fileobj=held, mode="w:gz") as t:
+        for k in range(200):
+            info = tarfile.TarInfo(f"f{k}")
+            info.size = 1
+            t.addfile(info, io.BytesIO(b"x"))
+    held.seek(0)
+    seen = archives.members("a.tar.gz", held)
+    gc.collect()
+    before = sum(isinstance(o, tarfile.TarInfo) for o in gc.get_objects())
+    names = [next(seen)[0] for _ in range(150)]
+    gc.collect()
+    assert names == [f"f{k}" for k in range(150)] and sum(isinstance(o, tarfile.TarInfo) for o in gc.get_objects()) - before < 20
+    assert [name for name, _, _ in seen] == [f"f{k}" for k in range(150, 200)]
