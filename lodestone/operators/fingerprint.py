@@ -217,13 +217,16 @@ def fingerprint_finder(gram: int = GRAM, window: int = WINDOW, hash_name: str =
 
     @F.arrow_udf("array<struct<wfp: bigint, line: int>>")
     def found(texts: pa.Array) -> pa.Array:
-        offsets, hs, ls = [0], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        for text in texts.to_pylist():
-            h, line = winnow(text, gram, window, HASHES[hash_name]) if text else (hs[0], ls[0])
-            h, first = np.unique(h, return_index=True)  # lines grow along a text
-            hs.append(h)
-            ls.append(line[first].astype(np.int32))
-            offsets.append(offsets[-1] + len(h))
+        counts, hs, ls = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for _, some in _groups(texts):
+            at, h, line = winnow_all(some, gram, window, HASHES[hash_name])
+            order = np.lexsort((h, at))  # stable, and lines grow along a text
+            at, h, line = at[order], h[order], line[order]
+            first = np.append(True, (at[1:] != at[:-1]) | (h[1:] != h[:-1]))[: len(h)]
+            counts.append(np.bincount(at[first], minlength=len(some)))
+            hs.append(h[first])
+            ls.append(np.minimum(line[first], V.MAX_LINE_NUMBER).astype(np.int32))
+        offsets = np.cumsum(np.concatenate(counts))
         values = pa.StructArray.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ls))], names=["wfp", "line"])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values).cast(kind)
 
