@@ -5,11 +5,12 @@
    benchmark) gives a latent space: a random test matrix is multiplied by A^T A in Spark, made orthonormal,
    multiplied again and rotated onto its singular vectors; directions are scaled to equal variance.
 3. Every passage of every document (WINDOW words, a new one each STRIDE) is searched for every benchmark item: the
-   query set, in blocks of BLOCK_BYTES of text, a pass over the documents each. Pairs of a passage and an item are
-   left out first, exactly, if so few words of the item are there or around that no accepted subsequence can
-   be. The others are projected and compared by cosine with the item's windows. A passage may hold only a part of
-   an item under WINDOW + STRIDE words, or much besides; these items are also searched by
-   passages of NARROW words, a new one each NARROW_STRIDE, against their windows at every word.
+   query set, in blocks of BLOCK_BYTES of text, a pass over the documents each. Runs of texts are searched together, an
+   item at a time. Pairs of a passage and an item are left out first, exactly, if so few words of the item are
+   there or around that no accepted subsequence can be. The others are projected and compared by cosine with the
+   item's windows. A passage may hold only a part of an item under WINDOW + STRIDE words, or much besides; these
+   items are also searched by passages of NARROW words, a new one each NARROW_STRIDE, against their windows at
+   every word.
 4. A candidate counts if the longest common subsequence of the item and the words around the passage
    holds VERBATIM of the item, or PARAPHRASE of it and ANSWER of the answer's words. An item's answer is
    its last sentence.
@@ -21,6 +22,7 @@ leaves all clean; other columns are ignored or ride along.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.6
 FIT_DOCS = 4000  # documents of least hash that the latent space is fitted on; all are searched
 FIT_TASKS, FIT_ITEMS = 8, 10_000  # tasks of a fit at least, and items for each further task
 BLOCK_BYTES = 2 << 20  # text of the items searched for in one pass; their windows take some forty times as much
-GRID = 8  # words of a text whose places are counted together in the exact bound
+RUN_WORDS, RUN_TEXTS, RUN_FLAGS = 1 << 18, 1000, 1 << 25  # words and texts that are searched together, and flags of a word and text
 
 _TRIM = ".,;:!?\"'()[]{}"
 
@@ -161,6 +163,52 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of ranges of count from first on, one after another."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+class Run:
+    """Texts laid end to end, and their passages, numbered through all texts."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.words, self.size = np.concatenate(texts), np.array(list(map(len, texts)), np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.n_passages = -(-np.maximum(self.size - (NARROW - NARROW_STRIDE), 1) // STRIDE)
+        self.first_passage = np.cumsum(self.n_passages) - self.n_passages
+
+    def passages(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each passage's text, and its start there."""
+        text = np.searchsorted(self.first_passage, numbers, "right") - 1
+        return text, (numbers - self.first_passage[text]) * STRIDE
+
+    def vectors(self, numbers: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vectors of passages, and of those of NARROW words in each; zeros for those that don't begin in their text.
+
+        Words are added up in pieces of NARROW_STRIDE, as narrow passages overlap.
+        """
+        text, start = self.passages(numbers)
+        features, matrix = features_of(self.words), np.concatenate([matrix, np.zeros((1, matrix.shape[1]), np.float32)])
+        n_pieces, n_inner, per = WINDOW // NARROW_STRIDE, STRIDE // NARROW_STRIDE, NARROW // NARROW_STRIDE
+        wide = np.empty((len(numbers), matrix.shape[1]), np.float32)
+        narrow = np.empty((len(numbers), n_inner, matrix.shape[1]), np.float32)
+        for at in range(0, len(numbers), 512):
+            t, s = text[at : at + 512], start[at : at + 512]
+            place = s[:, None] + np.arange(WINDOW)
+            row = np.where(place < self.size[t, None], features[np.minimum(self.start[t, None] + place, len(features) - 1)], len(matrix) - 1)
+            pieces = np.zeros((len(s), n_pieces, matrix.shape[1]), np.float32)
+            for i in range(WINDOW):
+                pieces[:, i // NARROW_STRIDE] += matrix[row[:, i]]
+            wide[at : at + 512] = _unit(pieces.sum(1))
+            for i in range(n_inner):
+                narrow[at : at + 512, i] = _unit(pieces[:, i : i + per].sum(1))
+        n = self.size[text]
+        wide[(start >= n - (WINDOW - STRIDE)) & (start > 0)] = 0  # only narrow passages begin there
+        inner = start[:, None] + np.arange(0, STRIDE, NARROW_STRIDE)
+        narrow[(inner >= n[:, None] - (NARROW - NARROW_STRIDE)) & (inner > 0)] = 0
+        return wide, narrow
+
+
 class Items:
     """Benchmark items made ready for search: windows' vectors, words, answers."""
 
@@ -188,10 +236,10 @@ class Items:
         self.n_kinds = np.array(list(map(len, self.kinds)), np.int64)
         flat = np.fromiter((w for kinds in self.kinds for w in kinds), np.uint64, int(self.n_kinds.sum()))
         self.vocabulary, self.places = np.unique(flat, return_inverse=True)
+        heads = np.bincount((self.vocabulary >> np.uint64(48)).astype(np.int64), minlength=1 << 16)
+        self.most_alike, self.by_head = int(heads.max()), np.minimum(np.cumsum(heads) - heads, max(len(self.vocabulary) - 1, 0)).astype(np.int32)
         self.first = np.cumsum(self.n_kinds) - self.n_kinds
         self.least = self.n_kinds - (1 - PARAPHRASE) * self.sizes
-        self.count = np.int16 if self.n_kinds.max(initial=0) < 1 << 14 else np.int32
-        self.stretch = -(-(self.sizes + self.sizes // 2) // 48) * 48 + GRID
 
     def shared(self, words: np.ndarray, k: int) -> list[int]:
         """How many of the first 0, 1, 2... words are words of item k."""
@@ -224,85 +272,106 @@ class Items:
         return any(self.matches(words, start, k, upto) for start in starts)
 
     def possible(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Each item that may be there, with the passages (by number) around which it may be.
+        """Each item that may be in a text, with the passages (by number) around which it may be."""
+        return self.possible_in(Run([words]))
+
+    def possible_in(self, run: Run) -> Iterator[tuple[int, np.ndarray]]:
+        """Each item that may be in a text of the run, with the run's passages (by number) around which it may be.
 
         An accepted subsequence holds PARAPHRASE of the item, so a text that lacks more of the item's different words
-        can't hold it; nor can a passage if no stretch that matches() takes around it has that many of them. Both bounds
-        are exact. Different words are counted in a stretch from every GRID-th word on, somewhat longer than
-        those of matches(): a place counts in the stretches that hold it, but not the same word before it.
+        can't hold it; nor can a passage if no stretch that matches() takes around it has so many words of the item, and
+        that many different ones. These bounds are exact. Stretches are counted from each word of the item on. One
+        item is met with all texts at once.
         """
-        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        place = np.flatnonzero(self.vocabulary[at] == words)
-        there = np.zeros(len(self.vocabulary), np.int64)
-        there[at[place]] = 1
-        items = np.flatnonzero(np.add.reduceat(there[self.places], self.first) >= self.least)
-        if not len(items):
-            return
-        column = np.cumsum(there) * there  # the words of this text that items have: 1, 2...; 0 for others
-        word = column[at[place]]
-        order = np.argsort(word, kind="stable")
-        before = np.full(len(place), -len(words) - 1)
-        again = np.flatnonzero(word[order[1:]] == word[order[:-1]])
-        before[order[again + 1]] = place[order[again]]
-        cells, starts = len(words) // GRID + 1, np.arange(0, max(len(words) - (NARROW - NARROW_STRIDE), 1), STRIDE)
-        last = place // GRID
-        slab = max(1, (16 << 20) // max(len(place), cells))  # items at once: a row for each place, and one for each cell
-        for stretch in np.unique(self.stretch[items]):
-            low = np.maximum(-(-(np.maximum(before, place - stretch) + 1) // GRID), 0)
-            use = np.flatnonzero(low <= last)
-            by_low = use[np.argsort(low[use], kind="stable")]
-            from_, low_at = np.unique(low[by_low], return_index=True)
-            upto, last_at = np.unique(last[use], return_index=True)
-            alike = items[self.stretch[items] == stretch]
-            for a in range(0, len(alike), slab):
-                some = alike[a : a + slab]
-                count = self.n_kinds[some]
-                which = np.repeat(self.first[some] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-                holds = np.zeros((len(order) + 1, len(some)), self.count)
-                holds[column[self.places[which]], np.repeat(np.arange(len(some)), count)] = 1
-                holds[0] = 0
-                change = np.zeros((cells + 1, len(some)), self.count)
-                change[from_] = np.add.reduceat(holds[word[by_low]], low_at, 0)
-                change[upto + 1] -= np.add.reduceat(holds[word[use]], last_at, 0)
-                full = np.cumsum(change[:-1], 0, self.count) >= np.ceil(self.least[some]).astype(self.count)
-                for r in np.flatnonzero(full.any(0)).tolist():
-                    k, n = int(some[r]), int(self.sizes[some[r]])
-                    sums = np.concatenate([[0], np.cumsum(full[:, r])])
-                    # Stretches that matches() takes begin from n words before the passage to n after it.
-                    low_, high = np.maximum(starts - n, 0) // GRID, np.minimum((starts + WINDOW + n) // GRID + 1, cells)
-                    yield k, np.flatnonzero(sums[high] > sums[low_])
-
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-        """Each item that may be there, with the starts of the passages that are near it by cosine."""
-        pairs = list(self.possible(words))
+        # Words are found by their first 16 bits, and then one word of the vocabulary further at a time.
+        at = self.by_head.take(run.words >> np.uint64(48))
+        for _ in range(self.most_alike - 1):
+            at += self.vocabulary.take(at) < run.words
+            np.minimum(at, len(self.vocabulary) - 1, at)
+        place = np.flatnonzero(self.vocabulary.take(at) == run.words)
+        column, text = at[place], np.repeat(np.arange(len(run.size)), run.size)[place]
+        there = np.zeros((len(self.vocabulary), len(run.size)), bool)
+        there[column, text] = True
+        n_places = np.bincount(text, minlength=len(run.size))
+        first_place = np.cumsum(n_places) - n_places
+        kind = np.full(len(self.vocabulary), -1, np.int16 if self.n_kinds.max() < 1 << 15 else np.int32)  # of an item's words: their number
+        for k, (n, first, count) in enumerate(zip(self.sizes.tolist(), self.first.tolist(), self.n_kinds.tolist(), strict=True)):
+            own = self.places[first : first + count]
+            texts = np.flatnonzero(there[own].sum(0, dtype=np.int32) >= self.least[k])
+            if not len(texts):
+                continue
+            kind[own] = np.arange(count)
+            hit = _ranges(first_place[texts], n_places[texts])
+            which = kind.take(column.take(hit))
+            kind[own] = -1
+            held = np.flatnonzero(which >= 0)
+            hit, which = hit.take(held), which.take(held)
+            most, need = n + n // 2, math.ceil(PARAPHRASE * n)  # words of a stretch, and those of the item at least
+            key = place[hit] + text[hit] * most  # no stretch spans two texts
+            enough = key[need - 1 :] - key[: max(len(key) - need + 1, 0)] < most
+            if not enough.any():
+                continue
+            live = np.zeros(len(run.size), bool)
+            live[text[hit[: len(enough)][enough]]] = True
+            some = np.flatnonzero(live[text[hit]])
+            enough, key, which = np.append(enough, np.zeros(need - 1, bool))[some], key[some], which[some]
+            order, before = np.argsort(which.astype(np.min_scalar_type(count)), kind="stable"), np.full(len(key), -1)
+            again = np.flatnonzero(which[order[1:]] == which[order[:-1]])
+            before[order[again + 1]] = order[again]
+            # A word counts in the stretches that begin after the same word before it, up to itself.
+            low = np.maximum(before + 1, np.searchsorted(key, key - most, "right"))
+            different = np.cumsum(np.bincount(low, minlength=len(key))) - np.arange(len(key))
+            full = np.flatnonzero(enough & (different >= self.least[k]))
+            if not len(full):
+                continue
+            # matches() takes words from n before the passage to n after it: all that are needed must be there.
+            owner = text[hit[some[full]]]
+            begin, end = (place[hit[some[i]]] - run.start[owner] for i in (full, full + need - 1))
+            low = np.maximum(-((WINDOW + n - 1 - end) // STRIDE), 0)
+            high = np.minimum((begin + n) // STRIDE, run.n_passages[owner] - 1)
+            yield k, np.unique(_ranges(run.first_passage[owner] + low, np.maximum(high - low + 1, 0)))
+
+    def candidates(self, run: Run) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Item, text and the starts of its passages that are near the item by cosine."""
+        pairs = list(self.possible_in(run))
         if not pairs:
             return
-        features = features_of(words)
         all_ = np.unique(np.concatenate([p for _, p in pairs]))
-        starts, n = all_ * STRIDE, len(words)
-        wide = _passages(features, starts, WINDOW, self.matrix)
-        wide[(starts >= n - (WINDOW - STRIDE)) & (starts > 0)] = 0  # only narrow passages begin there
-        narrow = None
+        wide, narrow = run.vectors(all_, self.matrix)
         for k, passages in pairs:
             at = np.searchsorted(all_, passages)
-            alike = (wide[at] @ self.vectors[k].T).max(1) >= COSINE
+            alike = (wide[at] @ self.vectors[k].T).max(1, initial=-1) >= COSINE
             if len(self.short[k]):
-                if narrow is None:  # those within each passage
-                    inner = (starts[:, None] + np.arange(0, STRIDE, NARROW_STRIDE)).ravel()
-                    narrow = _passages(features, inner, NARROW, self.matrix)
-                    narrow[(inner >= n - (NARROW - NARROW_STRIDE)) & (inner > 0)] = 0
-                    narrow = narrow.reshape(len(starts), -1, narrow.shape[1])
-                alike |= (narrow[at] @ self.short[k].T).max((1, 2)) >= COSINE
-            if alike.any():
-                yield k, starts[at[alike]].tolist()
+                alike |= (narrow[at] @ self.short[k].T).max((1, 2), initial=-1) >= COSINE
+            text, start = run.passages(passages[alike])
+            cuts = np.flatnonzero(np.diff(text)) + 1
+            for some, starts in zip(np.split(text, cuts), np.split(start, cuts), strict=True):
+                if len(some):
+                    yield k, int(some[0]), starts
 
     def found_in(self, texts: pa.Array) -> list[list[int]]:
         """The ids of the items that each text holds."""
-        out: list[list[int]] = []
-        for words in words_of(texts):
-            near = self.candidates(words) if len(words) >= MIN_WORDS and len(self.ids) else ()
-            out.append(sorted(self.ids[k] for k, starts in near if self.holds(words, k, starts)))
-        return out
+        out: list[list[int]] = [[] for _ in range(len(texts))]
+        most = min(RUN_TEXTS, max(RUN_FLAGS // max(len(self.vocabulary), 1), 1))
+        rows, some, size = [], [], 0
+        for row, words in enumerate(words_of(texts)):
+            if len(words) >= MIN_WORDS and len(self.ids):
+                rows.append(row)
+                some.append(words)
+                size += len(words)
+            if size >= RUN_WORDS or len(rows) == most:
+                self._find(rows, some, out)
+                rows, some, size = [], [], 0
+        if rows:
+            self._find(rows, some, out)
+        return [sorted(ids) for ids in out]
+
+    def _find(self, rows: list[int], some: list[np.ndarray], out: list[list[int]]) -> None:
+        for k, text, starts in self.candidates(Run(some)):
+            # The words that matches() may take.
+            low, high = max(int(starts[0]) - len(self.words[k]), 0), int(starts[-1]) + WINDOW + len(self.words[k])
+            if self.holds(some[text][low:high], k, (starts - low).tolist()):
+                out[rows[text]].append(self.ids[k])
 
 
 _ready: dict[str, Items] = {}
